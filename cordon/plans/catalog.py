@@ -123,3 +123,284 @@ def _doubles(df: DataFrame) -> DataFrame:
 @query("fact_trips")
 def q_fact(spark, sf_dir):
     return _doubles(_wh(spark, sf_dir).fact)
+
+
+# -- sources -------------------------------------------------------------------------
+
+def _scratch(spark, name):
+    from cordon.plans.scratch import scratch_path
+    return scratch_path(spark, name)
+
+
+@query("src_raw_trips")
+def q_src_raw(spark, sf_dir):
+    """Raw rows landed as monthly folders and read back with the declared
+    schema (partition discovery of ``trip_month``)."""
+    from cordon.sources import read_raw_trips, write_raw_months
+    wh = _wh(spark, sf_dir)
+    root = _scratch(spark, "raw")
+    write_raw_months(wh.raw, root)
+    return read_raw_trips(spark, root)
+
+
+@query("src_zone_lookup")
+def q_src_zone_lookup(spark, sf_dir):
+    """Zone lookup written as a quoted CSV with a header and read back."""
+    from cordon.sources import read_zone_lookup, write_zone_lookup_csv
+    wh = _wh(spark, sf_dir)
+    path = _scratch(spark, "zone_lookup")
+    write_zone_lookup_csv(wh.lookup, path)
+    return read_zone_lookup(spark, path)
+
+
+@query("ingest_pending_months")
+def q_ingest(spark, sf_dir):
+    """Land every month, ingest into an empty store twice (the second run
+    must add nothing), report rows per month in the store."""
+    from cordon.sources import read_raw_trips, write_raw_months
+    from cordon.sources.ingest import ingest_pending
+    wh = _wh(spark, sf_dir)
+    landing, store = _scratch(spark, "landing"), _scratch(spark, "store")
+    write_raw_months(wh.raw, landing)
+    ingest_pending(spark, landing, store).collect()
+    second = ingest_pending(spark, landing, store).count()
+    if second:
+        raise RuntimeError(f"ingest is not idempotent: {second} months copied twice")
+    return (read_raw_trips(spark, store).groupBy("trip_month")
+            .agg(F.count(F.lit(1)).alias("trips")))
+
+
+@query("stream_ingest_months")
+def q_stream_ingest(spark, sf_dir):
+    """The same ingest as an availableNow Structured Streaming job, run twice
+    on one checkpoint; rows per month in the store."""
+    from cordon.sources import read_raw_trips, write_raw_months
+    from cordon.streaming import stream_ingest
+    wh = _wh(spark, sf_dir)
+    landing, store, ckpt = (_scratch(spark, "s_landing"), _scratch(spark, "s_store"),
+                            _scratch(spark, "s_ckpt"))
+    write_raw_months(wh.raw, landing)
+    stream_ingest(spark, landing, store, ckpt)
+    stream_ingest(spark, landing, store, ckpt)
+    return (read_raw_trips(spark, store).groupBy("trip_month")
+            .agg(F.count(F.lit(1)).alias("trips")))
+
+
+# -- profiling --------------------------------------------------------------------------
+
+from cordon.operators import profiling  # noqa: E402
+
+
+@query("profile_rows_by_month")
+def q_prof_month(spark, sf_dir):
+    return profiling.rows_by_month(_wh(spark, sf_dir).raw)
+
+
+@query("profile_invalid_rates")
+def q_prof_invalid(spark, sf_dir):
+    return profiling.invalid_rates(_wh(spark, sf_dir).raw)
+
+
+@query("profile_value_ranges")
+def q_prof_ranges(spark, sf_dir):
+    return profiling.value_ranges(_wh(spark, sf_dir).raw)
+
+
+@query("profile_key_cardinality")
+def q_prof_card(spark, sf_dir):
+    return profiling.key_cardinality(_wh(spark, sf_dir).raw)
+
+
+# -- zones and dimensions ------------------------------------------------------------------
+
+from cordon.operators import zones  # noqa: E402
+from cordon.operators import dims as dims_ops  # noqa: E402
+
+
+@query("zone_treated_ref")
+def q_zone_ref(spark, sf_dir):
+    return _wh(spark, sf_dir).zone_ref
+
+
+@query("zone_treated_list")
+def q_zone_list(spark, sf_dir):
+    return zones.treated_zone_list(_wh(spark, sf_dir).zone_ref)
+
+
+@query("zone_treated_counts")
+def q_zone_counts(spark, sf_dir):
+    return zones.treated_zone_counts(_wh(spark, sf_dir).zone_ref)
+
+
+@query("zone_treated_unmatched")
+def q_zone_unmatched(spark, sf_dir):
+    return zones.unmatched_treated_names(_wh(spark, sf_dir).zone_ref, CFG)
+
+
+@query("dim_zone")
+def q_dim_zone(spark, sf_dir):
+    return dims_ops.dim_zone(_wh(spark, sf_dir).zone_ref)
+
+
+# -- fact stages ------------------------------------------------------------------------------
+
+from cordon.operators import fact as fact_ops  # noqa: E402
+
+
+@query("trips_cleaned")
+def q_cleaned(spark, sf_dir):
+    return _doubles(_wh(spark, sf_dir).cleaned)
+
+
+@query("exclusion_counts")
+def q_exclusions(spark, sf_dir):
+    return fact_ops.exclusion_counts(_wh(spark, sf_dir).raw, CFG)
+
+
+@query("trips_deduped")
+def q_deduped(spark, sf_dir):
+    return _doubles(_wh(spark, sf_dir).deduped)
+
+
+@query("trips_keyed")
+def q_keyed(spark, sf_dir):
+    return _doubles(_wh(spark, sf_dir).keyed)
+
+
+@query("trip_with_zone_roles")
+def q_roles(spark, sf_dir):
+    from cordon.operators import marts
+    wh = _wh(spark, sf_dir)
+    return marts.trips_with_zone_roles(wh.fact, wh.dim_zone)
+
+
+# -- data quality ---------------------------------------------------------------------------------
+
+from cordon.operators import quality  # noqa: E402
+
+
+@query("dq_row_reconciliation")
+def q_dq1(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.row_reconciliation(wh.raw, wh.fact, CFG)
+
+
+@query("dq_referential_integrity")
+def q_dq2(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.referential_integrity(wh.fact, wh.dims)
+
+
+@query("dq_range_assertions")
+def q_dq3(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.range_assertions(wh.fact, CFG)
+
+
+@query("dq_duplicate_keys")
+def q_dq4(spark, sf_dir):
+    return quality.duplicate_keys(_wh(spark, sf_dir).fact)
+
+
+@query("dq_schema_drift")
+def q_dq5(spark, sf_dir):
+    return quality.schema_drift(_wh(spark, sf_dir).raw)
+
+
+@query("dq_month_completeness")
+def q_dq6(spark, sf_dir):
+    return quality.month_completeness(_wh(spark, sf_dir).fact, CFG)
+
+
+@query("dq_gate_report")
+def q_gate(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.gate_report(wh.raw, wh.fact, wh.dims, CFG)
+
+
+# -- serving ------------------------------------------------------------------------------------------
+
+from cordon.operators import serving  # noqa: E402
+
+
+@query("serving_fact")
+def q_serving(spark, sf_dir):
+    """Typed serving table: contract cast, written, read back."""
+    from cordon.plans.build import publish_serving
+    wh = _wh(spark, sf_dir)
+    path = _scratch(spark, "serving_fact")
+    return publish_serving(wh.fact, path)
+
+
+@query("trips_per_period")
+def q_trips_per_period(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return serving.trips_per_period(wh.fact, wh.dim_date)
+
+
+@query("orphan_zone_recheck")
+def q_orphan_recheck(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return serving.orphan_zone_recheck(wh.fact, wh.dim_zone)
+
+
+# -- marts ----------------------------------------------------------------------------------------------
+
+from cordon.operators import marts  # noqa: E402
+
+
+@query("mart_kpis")
+def q_kpis(spark, sf_dir):
+    return marts.kpis(_wh(spark, sf_dir).fact)
+
+
+@query("mart_monthly_trend")
+def q_monthly(spark, sf_dir):
+    return marts.monthly_trend(_wh(spark, sf_dir).fact)
+
+
+@query("mart_zone_map")
+def q_zone_map(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return marts.zone_map(wh.fact, wh.dim_zone)
+
+
+@query("mart_hour_heatmap")
+def q_heatmap(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return marts.hour_heatmap(wh.fact, wh.dim_date, wh.dim_time)
+
+
+@query("mart_metric_slices")
+def q_slices(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return marts.metric_slices(wh.fact, wh.dim_time)
+
+
+# -- regression -------------------------------------------------------------------------------------------
+
+from cordon.operators import regression  # noqa: E402
+
+
+def _panel(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return panel.did_panel(wh.fact, wh.dim_date, _zc(wh), CFG.cutoff)
+
+
+@query("pretrend_regression")
+def q_pretrend(spark, sf_dir):
+    """Pre-trend slope difference with HC1 covariance and with the study's
+    two-cluster covariance (flagged degenerate)."""
+    p = _panel(spark, sf_dir)
+    return (regression.pretrend_test(p, CFG.cutoff, cov_type="HC1")
+            .unionByName(regression.pretrend_test(p, CFG.cutoff, cov_type="cluster",
+                                                  cluster_col="treated")))
+
+
+@query("did_regression")
+def q_did_reg(spark, sf_dir):
+    """DiD with month and weekday fixed effects; HC1 and the study's
+    two-cluster covariance (flagged degenerate)."""
+    p = _panel(spark, sf_dir)
+    return (regression.did_regression(p, cov_type="HC1")
+            .unionByName(regression.did_regression(p, cov_type="cluster", cluster_col="treated")))

@@ -85,6 +85,12 @@ class Warehouse:
     def dim_vendor(self) -> DataFrame:
         return bounded(D.dim_vendor(self.spark, self.cfg))
 
+    @property
+    def dims(self) -> dict[str, DataFrame]:
+        return {"zone": self.dim_zone, "date": self.dim_date, "time": self.dim_time,
+                "payment": self.dim_payment, "ratecode": self.dim_ratecode,
+                "vendor": self.dim_vendor}
+
     # -- fact stages ----------------------------------------------------------
     @cached_property
     def cleaned(self) -> DataFrame:

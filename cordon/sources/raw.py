@@ -36,10 +36,19 @@ def raw_file_columns(spark: SparkSession, root: str) -> list[str]:
     return spark.read.option("mergeSchema", "true").parquet(root).columns
 
 
+def conform_raw(raw: DataFrame, schema=RAW_TRIPS) -> DataFrame:
+    """The declared raw columns, by name, in the declared types."""
+    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+                      F.col(RAW_PARTITION))
+
+
 def write_raw_months(raw: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Land raw rows as ``trip_month=`` folders; dynamic partition overwrite
-    replaces only the months present in ``raw``."""
-    (raw.repartition(RAW_PARTITION)
+    """Land raw rows as ``trip_month=`` folders in the declared types;
+    dynamic partition overwrite replaces only the months present in ``raw``.
+    Rows are spread over tasks by month and a hash of the pickup time, so a
+    month holding a large share of the rows is written by many tasks."""
+    salt = F.pmod(F.xxhash64("tpep_pickup_datetime", "PULocationID"), F.lit(16))
+    (conform_raw(raw).repartition(RAW_PARTITION, salt)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(RAW_PARTITION)
