@@ -1,12 +1,16 @@
 """Ordinary least squares as two distributed aggregations.
 
-Pass 1 sums the cross products ``X'X``, ``X'y`` and ``n`` with built-in
-aggregates (partial sums per task, then one tiny merge).  Only the K x K
-system reaches the driver, where it is solved with a pseudo-inverse.
-Pass 2 forms residuals with the coefficients as literals and sums the
-covariance "meat": ``sum e^2 x x'`` (HC1), or - for clustered covariance -
-per-cluster score sums ``s_g = sum x e`` by ``groupBy(cluster)`` followed by
-``sum s_g s_g'``, again entirely in Spark.
+Pass 1 sums the cross products of the augmented design ``[X y]`` - giving
+``X'X``, ``X'y``, ``y'y`` and ``n`` - with ``mapInPandas``: each task folds
+its Arrow batches into one K x K partial matrix with numpy and emits it in
+long form ``(i, j, v)``; ``groupBy(i, j).sum`` merges the partials.  (With
+month and weekday fixed effects K is near 90, i.e. ~4000 products per row -
+far too many for separate SQL aggregate expressions.)  Only the K x K system
+reaches the driver, where it is solved with a pseudo-inverse.  Pass 2 forms
+residuals with the coefficients as literals and sums the covariance "meat":
+``sum e^2 x x'`` (HC1), or - for clustered covariance - per-cluster score
+sums ``s_g = sum x e`` by ``groupBy(cluster)`` followed by ``sum s_g s_g'``,
+again in Spark.
 
 Covariance choices: ``nonrobust``, ``HC1`` and ``cluster``.  With two or
 fewer clusters the cluster-robust covariance is degenerate (the normal
@@ -19,6 +23,7 @@ covariance.
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +31,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cordon.plans.scratch import checkpoint_root
+
+# The per-task folds below run in Python workers; ship this module's code
+# with them by value so executors need no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
 Z975 = 1.959963984540054  # two-sided 95 % normal critical value
 
 RESULT_SCHEMA = T.StructType([
@@ -46,97 +61,159 @@ RESULT_SCHEMA = T.StructType([
 
 @dataclass
 class Design:
-    names: list[str]
-    columns: list[Column]
-
-
-def design(df: DataFrame, terms: dict[str, Column], categoricals=(),
-           max_levels: int = 10_000) -> Design:
-    """Intercept + numeric terms + treatment-coded dummies (first level
-    dropped) for each categorical column.  Levels are read with a bound."""
-    names = ["Intercept"] + list(terms)
-    cols = [F.lit(1.0)] + [c.cast("double") for c in terms.values()]
-    for cat in categoricals:
-        lv = (df.select(F.col(cat).cast("string").alias("v")).distinct()
-              .orderBy("v").limit(max_levels + 1).collect())
+    """Column layout of X: intercept, numeric terms, then one dummy per
+    non-reference level of each categorical (treatment coding, first level
+    dropped)."""
+
+    terms: list[str]
+    levels: dict[str, list[str]]
+
+    @property
+    def names(self) -> list[str]:
+        out = ["Intercept"] + list(self.terms)
+        for cat, lv in self.levels.items():
+            out += [f"C({cat})[T.{v}]" for v in lv[1:]]
+        return out
+
+    def matrix(self, b) -> np.ndarray:
+        """X for one pandas batch (columns ``_t<i>`` and the categoricals)."""
+        cols = [np.ones(len(b))] + [b[f"_t{i}"].to_numpy(dtype=float)
+                                    for i in range(len(self.terms))]
+        for cat, lv in self.levels.items():
+            v = b[cat].astype(str).to_numpy()
+            cols += [(v == x).astype(float) for x in lv[1:]]
+        return np.column_stack(cols)
+
+
+def factor_levels(df: DataFrame, categoricals, max_levels: int = 10_000) -> dict[str, list[str]]:
+    """Sorted distinct levels of every categorical in one query, bounded."""
+    if not categoricals:
+        return {}
+    u = None
+    for c in categoricals:
+        x = df.select(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+        u = x if u is None else u.unionByName(x)
+    rows = u.distinct().limit(len(categoricals) * max_levels + 1).collect()
+    out = {c: [] for c in categoricals}
+    for r in rows:
+        out[r.c].append(r.v)
+    for c, lv in out.items():
         if len(lv) > max_levels:
-            raise ValueError(f"{cat}: more than {max_levels} levels")
-        for r in lv[1:]:
-            names.append(f"C({cat})[T.{r.v}]")
-            cols.append(F.when(F.col(cat).cast("string") == r.v, 1.0).otherwise(0.0))
-    return Design(names, cols)
+            raise ValueError(f"{c}: more than {max_levels} levels")
+        lv.sort()
+    return out
 
 
-def _sym(vals, k: int) -> np.ndarray:
+def _merge_long(parts: DataFrame, k: int) -> np.ndarray:
     m = np.zeros((k, k))
-    it = iter(vals)
-    for i in range(k):
-        for j in range(i, k):
-            m[i, j] = m[j, i] = next(it)
+    for r in parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
+        m[r.i, r.j] = m[r.j, r.i] = r.v
     return m
 
 
-def _pairs(xs: list[Column], w: Column | None = None) -> list[Column]:
-    out = []
-    for i in range(len(xs)):
-        for j in range(i, len(xs)):
-            e = xs[i] * xs[j]
-            out.append(F.sum(e if w is None else e * w))
-    return out
+def _long(acc: np.ndarray):
+    import pandas as pd
+    iu = np.triu_indices(acc.shape[0])
+    return pd.DataFrame({"i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "v": acc[iu]})
+
+
+LONG = "i int, j int, v double"
+
+
+def gram(df: DataFrame, cols: list[str], weight: str | None = None) -> np.ndarray:
+    """Symmetric matrix ``sum_rows w * v v'`` of the numeric columns ``cols``:
+    one numpy partial per task, merged by ``groupBy(i, j).sum``."""
+    k = len(cols)
+
+    def fold(batches):
+        acc = np.zeros((k, k))
+        for b in batches:
+            v = b[cols].to_numpy(dtype=float)
+            vw = v * b[weight].to_numpy(dtype=float)[:, None] if weight else v
+            acc += vw.T @ v
+        yield _long(acc)
+
+    src = df.select(*cols, *([weight] if weight else []))
+    return _merge_long(src.mapInPandas(fold, LONG), k)
 
 
 def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
         cov_type: str = "HC1", cluster_col: str | None = None) -> DataFrame:
     spark = df.sparkSession
-    d = design(df, terms, categoricals)
+    # The input is read by several passes (levels, normal equations,
+    # covariance): project the needed columns and write them once to the
+    # checkpoint folder - lineage cut, survives a lost executor - instead
+    # of recomputing the input for every pass.
+    checkpoint_root(spark)
+    categoricals = list(categoricals)
+    src = df.select(*[c.cast("double").alias(f"_t{i}") for i, c in enumerate(terms.values())],
+                    *[F.col(c) for c in categoricals],
+                    F.col(y).cast("double").alias("_y"),
+                    *([F.col(cluster_col).alias("_g")] if cluster_col else []))
+    src = src.filter(F.col("_y").isNotNull()).checkpoint(eager=True)
+    d = Design(list(terms), factor_levels(src, categoricals))
     k = len(d.names)
-    xs = [F.col(f"_x{i}") for i in range(k)]
-    base = df.select(*[c.alias(f"_x{i}") for i, c in enumerate(d.columns)],
-                     F.col(y).cast("double").alias("_y"),
-                     *([F.col(cluster_col).alias("_g")] if cluster_col else []))
-    base = base.filter(F.col("_y").isNotNull())
-
-    # pass 1: normal equations
-    r = base.agg(F.count(F.lit(1)).alias("n"), *_pairs(xs),
-                 *[F.sum(x * F.col("_y")) for x in xs]).first()
-    n = int(r[0])
-    vals = [float(v or 0.0) for v in r[1:]]
-    npair = k * (k + 1) // 2
-    xtx = _sym(vals[:npair], k)
-    xty = np.array(vals[npair:npair + k])
+
+    # pass 1: normal equations from the Gram matrix of [X y]
+    def fold_xy(batches):
+        acc = np.zeros((k + 1, k + 1))
+        for b in batches:
+            xy = np.column_stack([d.matrix(b), b["_y"].to_numpy(dtype=float)])
+            acc += xy.T @ xy
+        yield _long(acc)
+
+    g = _merge_long(src.mapInPandas(fold_xy, LONG), k + 1)
+    xtx, xty = g[:k, :k], g[:k, k]
+    n = int(round(xtx[0, 0]))  # the intercept column is all ones
     bread = np.linalg.pinv(xtx)
     beta = bread @ xty
     rank = int(np.linalg.matrix_rank(xtx))
 
-    # pass 2: residuals and the covariance meat
-    fitted = None
-    for b, x in zip(beta, xs):
-        t = F.lit(float(b)) * x
-        fitted = t if fitted is None else fitted + t
-    res = base.withColumn("_e", F.col("_y") - fitted)
+    # pass 2: residuals e = y - X beta and the covariance meat
     clusters = None
     warning = None
-    if cov_type == "nonrobust":
-        ssr = res.agg(F.sum(F.col("_e") * F.col("_e"))).first()[0] or 0.0
-        cov = bread * (ssr / max(n - rank, 1))
-    elif cov_type == "HC1":
-        m = res.agg(*_pairs(xs, F.col("_e") * F.col("_e"))).first()
-        meat = _sym([float(v or 0.0) for v in m], k)
-        cov = bread @ meat @ bread * (n / max(n - rank, 1))
+    if cov_type in ("nonrobust", "HC1"):
+        def fold_meat(batches):
+            acc = np.zeros((k, k))
+            for b in batches:
+                x = d.matrix(b)
+                e = b["_y"].to_numpy(dtype=float) - x @ beta
+                acc += (x * (e * e)[:, None]).T @ x
+            yield _long(acc)
+
+        meat = _merge_long(src.mapInPandas(fold_meat, LONG), k)
+        if cov_type == "nonrobust":
+            # sum e^2 is the intercept entry of the e^2-weighted Gram matrix
+            cov = bread * (meat[0, 0] / max(n - rank, 1))
+        else:
+            cov = bread @ meat @ bread * (n / max(n - rank, 1))
     elif cov_type == "cluster":
         if not cluster_col:
             raise ValueError("cluster covariance needs cluster_col")
-        scores = res.groupBy("_g").agg(*[F.sum(x * F.col("_e")).alias(f"_s{i}")
-                                         for i, x in enumerate(xs)])
-        ss = [F.col(f"_s{i}") for i in range(k)]
-        m = scores.agg(F.count(F.lit(1)), *_pairs(ss)).first()
-        clusters = int(m[0])
-        meat = _sym([float(v or 0.0) for v in m[1:]], k)
-        g = clusters
-        factor = (g / max(g - 1, 1)) * ((n - 1) / max(n - rank, 1))
+        score_cols = [f"_s{i}" for i in range(k)]
+
+        def fold_scores(batches):
+            import pandas as pd
+            for b in batches:
+                x = d.matrix(b)
+                e = b["_y"].to_numpy(dtype=float) - x @ beta
+                part = pd.DataFrame(x * e[:, None], columns=score_cols)
+                part.insert(0, "_g", b["_g"].astype(str).to_numpy())
+                yield part.groupby("_g", as_index=False).sum()
+
+        schema = "_g string, " + ", ".join(f"{c} double" for c in score_cols)
+        partial = src.mapInPandas(fold_scores, schema)
+        # per-cluster score sums (partials of one cluster from several tasks
+        # are added here), then sum_g s_g s_g'
+        scores = partial.groupBy("_g").agg(*[F.sum(c).alias(c) for c in score_cols])
+        scores = scores.withColumn("_one", F.lit(1.0))
+        full = gram(scores, score_cols + ["_one"])
+        meat, clusters = full[:k, :k], int(round(full[k, k]))
+        g_ = clusters
+        factor = (g_ / max(g_ - 1, 1)) * ((n - 1) / max(n - rank, 1))
         cov = bread @ meat @ bread * factor
-        if g <= 2:
-            warning = f"degenerate: {g} clusters; cluster-robust SE is not meaningful"
+        if g_ <= 2:
+            warning = f"degenerate: {g_} clusters; cluster-robust SE is not meaningful"
     else:
         raise ValueError(f"unknown cov_type {cov_type!r}")
 

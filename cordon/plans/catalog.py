@@ -383,8 +383,11 @@ from cordon.operators import regression  # noqa: E402
 
 
 def _panel(spark, sf_dir):
+    """The group x day panel, checkpointed once for the regression passes."""
+    from cordon.plans.scratch import checkpoint_root
     wh = _wh(spark, sf_dir)
-    return panel.did_panel(wh.fact, wh.dim_date, _zc(wh), CFG.cutoff)
+    checkpoint_root(spark)
+    return panel.did_panel(wh.fact, wh.dim_date, _zc(wh), CFG.cutoff).checkpoint(eager=True)
 
 
 @query("pretrend_regression")

@@ -54,10 +54,12 @@ def tpch_raw_trips(
     supp = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
 
-    # Join strategy is left to the planner: the supplier and customer sides
-    # are broadcast only while their measured size is under the broadcast
-    # threshold, otherwise these are shuffle joins.
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+    # Orders grows with line items (a quarter of their count), so that join is
+    # always a sort-merge join on the order key - never a broadcast of a side
+    # that grows with the data.  Supplier and customer are left to the
+    # planner: broadcast only while their measured size is under the
+    # broadcast threshold, otherwise shuffle joins.
+    j = (li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey)
            .join(supp, li.l_suppkey == supp.s_suppkey)
            .join(cust, orders.o_custkey == cust.c_custkey))
 

@@ -42,13 +42,15 @@ def conform_raw(raw: DataFrame, schema=RAW_TRIPS) -> DataFrame:
                       F.col(RAW_PARTITION))
 
 
-def write_raw_months(raw: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Land raw rows as ``trip_month=`` folders in the declared types;
-    dynamic partition overwrite replaces only the months present in ``raw``.
-    Rows are spread over tasks by month and a hash of the pickup time, so a
-    month holding a large share of the rows is written by many tasks."""
-    salt = F.pmod(F.xxhash64("tpep_pickup_datetime", "PULocationID"), F.lit(16))
-    (conform_raw(raw).repartition(RAW_PARTITION, salt)
+def write_raw_months(raw: DataFrame, root: str, mode: str = "overwrite",
+                     conform: bool = True) -> None:
+    """Land raw rows as ``trip_month=`` folders, by default in the declared
+    types; dynamic partition overwrite replaces only the months present in
+    ``raw``.  Rows are range-partitioned on (month, pickup time, pickup
+    zone): each task writes a contiguous slice of one or two months, and a
+    month holding a large share of the rows is split across many tasks."""
+    rel = conform_raw(raw) if conform else raw
+    (rel.repartitionByRange(RAW_PARTITION, "tpep_pickup_datetime", "PULocationID")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(RAW_PARTITION)
