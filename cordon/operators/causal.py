@@ -2,7 +2,8 @@
 
 The 2x2 DiD is one call: ``(post_t - pre_t) - (post_c - pre_c)`` of a cell
 statistic.  Volume cells are trips / (observed days x zones with trips);
-mean cells are exact sums divided once by counts.
+mean cells are exact sums divided once by counts.  All operators read the
+zone x day aggregate (``panel.zone_day``), never the trips.
 """
 
 from __future__ import annotations
@@ -30,12 +31,12 @@ def _period(cutoff: dt.date | None, pre: str = "pre", post: str = "post") -> Col
     return F.when(F.col("date") >= F.lit(cutoff), post).otherwise(pre)
 
 
-def volume_cells(fact: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
+def volume_cells(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
                  cutoff: dt.date | None = None, date_before: dt.date | None = None,
                  group_col: str = "pu_is_cbd") -> DataFrame:
     """(group, period, trips, days, n_zones, rate).  ``cutoff`` None uses the
     date dimension's own period; ``date_before`` restricts the dates."""
-    daily = group_days(fact, dim_date, group_col)
+    daily = group_days(zd, dim_date, group_col)
     if date_before is not None:
         daily = daily.filter(F.col("date") < F.lit(date_before))
     cells = (daily.withColumn("_p", _period(cutoff))
@@ -59,10 +60,10 @@ def _did_row(cells: DataFrame, pre: str, post: str) -> DataFrame:
         (F.lit(100.0) * (t_ch - c_ch) / F.col("t_pre")).alias("did_pct_of_treated_pre"))
 
 
-def did_volume(fact: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
+def did_volume(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
                digits: int | None = None) -> DataFrame:
     """Outcome A: trips per zone-day, treated vs control, pre vs post."""
-    r = _did_row(volume_cells(fact, dim_date, zone_counts), "pre", "post")
+    r = _did_row(volume_cells(zd, dim_date, zone_counts), "pre", "post")
     out = r.select(
         F.lit("volume_trips_per_zone_day").alias("outcome"),
         F.col("t_pre").alias("treated_pre"), F.col("t_post").alias("treated_post"),
@@ -75,24 +76,24 @@ def did_volume(fact: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
     return out
 
 
-def placebo_did(fact: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
+def placebo_did(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
                 cfg: PipelineConfig) -> DataFrame:
     """Volume DiD at the fake cutoff on dates before ``placebo_end`` only."""
-    cells = volume_cells(fact, dim_date, zone_counts, cutoff=cfg.placebo_cutoff,
+    cells = volume_cells(zd, dim_date, zone_counts, cutoff=cfg.placebo_cutoff,
                          date_before=cfg.placebo_end)
     r = _did_row(cells, "pre", "post")
     return r.select(F.lit("placebo_volume").alias("test"),
                     F.col("did_estimate").alias("placebo_did_estimate_should_be_near_zero"))
 
 
-def did_means(fact: DataFrame, dim_date: DataFrame, cfg: PipelineConfig,
-              card_only: bool = True, group_col: str = "pu_is_cbd") -> DataFrame:
+def did_means(zd: DataFrame, dim_date: DataFrame, card_only: bool = True,
+              group_col: str = "pu_is_cbd") -> DataFrame:
     """Outcomes B and C: DiD of mean trip distance and mean tip % (both on
     card trips only, as in the study)."""
-    f = fact.filter(F.col("payment_key") == cfg.card_payment) if card_only else fact
-    per = (f.groupBy(group_col, "date_key")
-           .agg(F.sum("trip_distance").alias("s_dist"), F.count("trip_distance").alias("n_dist"),
-                F.sum("tip_pct").alias("s_tip"), F.count("tip_pct").alias("n_tip"))
+    p = "card_" if card_only else ""
+    per = (zd.groupBy(group_col, "date_key")
+           .agg(F.sum(f"{p}dist_sum").alias("s_dist"), F.sum(f"{p}dist_n").alias("n_dist"),
+                F.sum(f"{p}tip_sum").alias("s_tip"), F.sum(f"{p}tip_n").alias("n_tip"))
            .join(dim_date, "date_key")
            .groupBy(group_col, "period")
            .agg(F.sum("s_dist").alias("s_dist"), F.sum("n_dist").alias("n_dist"),
@@ -113,13 +114,16 @@ TREATED_LABEL = "treated_CBD"
 CONTROL_LABEL = "control_nonCBD"
 
 
-def parallel_trends(fact: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
+MEASURES = {"trip_distance": ("dist_sum", "dist_n"), "tip_pct": ("tip_sum", "tip_n")}
+
+
+def parallel_trends(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
                     measure: str = "volume", group_col: str = "pu_is_cbd") -> DataFrame:
     """Monthly series per group: mean over days of trips per zone (volume),
-    or the monthly mean of a trip measure."""
+    or the monthly mean of a trip measure (``trip_distance``, ``tip_pct``)."""
     grp = F.when(F.col(group_col) == 1, TREATED_LABEL).otherwise(CONTROL_LABEL).alias("grp")
     if measure == "volume":
-        daily = group_days(fact, dim_date, group_col).join(zone_counts, group_col)
+        daily = group_days(zd, dim_date, group_col).join(zone_counts, group_col)
         out = (daily.groupBy("year_month", grp)
                .agg(F.sum("trips").alias("s"), F.count(F.lit(1)).alias("n"),
                     F.max("n_zones").alias("z"))
@@ -127,8 +131,9 @@ def parallel_trends(fact: DataFrame, dim_date: DataFrame, zone_counts: DataFrame
                        (_d("s") / (F.col("n") * F.col("z")).cast("double"))
                        .alias("avg_trips_per_zone_day")))
     else:
-        per = (fact.groupBy(group_col, "date_key")
-               .agg(F.sum(measure).alias("s"), F.count(measure).alias("n"))
+        s_col, n_col = MEASURES[measure]
+        per = (zd.groupBy(group_col, "date_key")
+               .agg(F.sum(s_col).alias("s"), F.sum(n_col).alias("n"))
                .join(dim_date, "date_key").join(zone_counts, group_col))
         out = (per.groupBy("year_month", grp)
                .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
@@ -145,7 +150,7 @@ def parallel_trends_wide(trends: DataFrame) -> DataFrame:
             .orderBy("year_month"))
 
 
-def boundary_sensitivity(fact: DataFrame, dim_date: DataFrame, zone_ref: DataFrame,
+def boundary_sensitivity(zd: DataFrame, dim_date: DataFrame, zone_ref: DataFrame,
                          cfg: PipelineConfig, borderline=None) -> DataFrame:
     """Volume DiD re-run with borderline zones moved across the boundary.
 
@@ -168,9 +173,9 @@ def boundary_sensitivity(fact: DataFrame, dim_date: DataFrame, zone_ref: DataFra
     flags = (zone_ref.select(F.col("location_id").alias("pu_zone_key"),
                              F.explode(F.array(*entries)).alias("s"))
              .select("pu_zone_key", "s.*"))
-    zd = (fact.groupBy("pu_zone_key", "date_key").agg(F.count(F.lit(1)).alias("trips"))
-          .join(dim_date.select("date_key", "date", "period"), "date_key"))
-    j = zd.join(flags, "pu_zone_key")
+    per = (zd.groupBy("pu_zone_key", "date_key").agg(F.sum("trips").alias("trips"))
+           .join(dim_date.select("date_key", "date", "period"), "date_key"))
+    j = per.join(flags, "pu_zone_key")
     keys = ["scenario", "moved_zones", "treated"]
     n_zones = j.groupBy(*keys).agg(F.countDistinct("pu_zone_key").alias("n_zones"))
     cells = (j.groupBy(*keys, "period")

@@ -1,9 +1,13 @@
-"""Zone counts (D27) and the group x day panel.
+"""The shared zone x day aggregate, zone counts (D27) and the group x day
+panel (D35).
 
-Everything here starts by collapsing the fact to a (zone, date) or
-(group, date) aggregate: the partial aggregation runs before the shuffle, so
-the shuffled data is bounded by zones x days however many trips there are,
-and a zone holding a large share of the trips is just one row per task.
+``zone_day`` collapses the fact once to one row per (pickup zone, date):
+trips plus exact sums and counts of the measures the analyses average (all
+trips and card trips).  Its size is bounded by zones x days however many
+trips there are - the partial aggregation runs before the shuffle, so even a
+zone holding a large share of the trips is one row per task.  Every DiD,
+trend, placebo, panel and sensitivity query derives from it instead of
+rescanning the fact.
 """
 
 from __future__ import annotations
@@ -16,29 +20,47 @@ from pyspark.sql import functions as F
 from cordon.functions import month_label
 
 
-def active_zone_counts(fact: DataFrame, dim_zone: DataFrame,
+def zone_day(fact: DataFrame, card_payment: int) -> DataFrame:
+    card = F.col("payment_key") == card_payment
+
+    def on_card(c: str):
+        return F.when(card, F.col(c))
+
+    return fact.groupBy("pu_zone_key", "pu_is_cbd", "date_key").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum("trip_distance").alias("dist_sum"), F.count("trip_distance").alias("dist_n"),
+        F.sum("tip_pct").alias("tip_sum"), F.count("tip_pct").alias("tip_n"),
+        F.count(F.when(card, 1)).alias("card_trips"),
+        F.sum(on_card("trip_distance")).alias("card_dist_sum"),
+        F.count(on_card("trip_distance")).alias("card_dist_n"),
+        F.sum(on_card("tip_pct")).alias("card_tip_sum"),
+        F.count(on_card("tip_pct")).alias("card_tip_n"),
+    )
+
+
+def active_zone_counts(zd: DataFrame, dim_zone: DataFrame,
                        group_col: str = "pu_is_cbd") -> DataFrame:
     """Zones of the dimension that have at least one trip, per group."""
-    used = fact.select("pu_zone_key", group_col).distinct()
+    used = zd.select("pu_zone_key", group_col).distinct()
     z = dim_zone.select("zone_key")
     return (used.join(z, used.pu_zone_key == z.zone_key)
             .groupBy(group_col)
             .agg(F.countDistinct("zone_key").alias("n_zones")))
 
 
-def group_days(fact: DataFrame, dim_date: DataFrame,
+def group_days(zd: DataFrame, dim_date: DataFrame,
                group_col: str = "pu_is_cbd") -> DataFrame:
     """Trips per (group, date) with the date's attributes; only dates with
     trips appear (the panel is not zero-filled)."""
-    per_day = fact.groupBy(group_col, "date_key").agg(F.count(F.lit(1)).alias("trips"))
+    per_day = zd.groupBy(group_col, "date_key").agg(F.sum("trips").alias("trips"))
     return per_day.join(dim_date, "date_key")
 
 
-def did_panel(fact: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
+def did_panel(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
               cutoff: dt.date, group_col: str = "pu_is_cbd") -> DataFrame:
     """date, group, trips, n_zones, treated, post, trips_per_zone, month,
     dow (0 = Monday).  Groups without a zone count (unknown zones) drop out."""
-    g = group_days(fact, dim_date, group_col).join(zone_counts, group_col)
+    g = group_days(zd, dim_date, group_col).join(zone_counts, group_col)
     return g.select(
         "date",
         F.col(group_col),

@@ -38,7 +38,7 @@ def _wh(spark, sf_dir):
 
 
 def _zc(wh):
-    return panel.active_zone_counts(wh.fact, wh.dim_zone)
+    return panel.active_zone_counts(wh.zone_day, wh.dim_zone)
 
 
 # -- causal --------------------------------------------------------------------
@@ -46,19 +46,19 @@ def _zc(wh):
 @query("did_volume")
 def q_did_volume(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return causal.did_volume(wh.fact, wh.dim_date, _zc(wh))
+    return causal.did_volume(wh.zone_day, wh.dim_date, _zc(wh))
 
 
 @query("did_means")
 def q_did_means(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return causal.did_means(wh.fact, wh.dim_date, CFG)
+    return causal.did_means(wh.zone_day, wh.dim_date)
 
 
 @query("placebo_did")
 def q_placebo(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return causal.placebo_did(wh.fact, wh.dim_date, _zc(wh), CFG)
+    return causal.placebo_did(wh.zone_day, wh.dim_date, _zc(wh), CFG)
 
 
 @query("active_zone_counts")
@@ -70,25 +70,25 @@ def q_active_zone_counts(spark, sf_dir):
 @query("parallel_trends")
 def q_parallel_trends(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return causal.parallel_trends(wh.fact, wh.dim_date, _zc(wh))
+    return causal.parallel_trends(wh.zone_day, wh.dim_date, _zc(wh))
 
 
 @query("parallel_trends_wide")
 def q_parallel_trends_wide(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return causal.parallel_trends_wide(causal.parallel_trends(wh.fact, wh.dim_date, _zc(wh)))
+    return causal.parallel_trends_wide(causal.parallel_trends(wh.zone_day, wh.dim_date, _zc(wh)))
 
 
 @query("did_boundary_sensitivity")
 def q_boundary(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return causal.boundary_sensitivity(wh.fact, wh.dim_date, wh.zone_ref, CFG)
+    return causal.boundary_sensitivity(wh.zone_day, wh.dim_date, wh.zone_ref, CFG)
 
 
 @query("did_panel")
 def q_did_panel(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return panel.did_panel(wh.fact, wh.dim_date, _zc(wh), CFG.cutoff)
+    return panel.did_panel(wh.zone_day, wh.dim_date, _zc(wh), CFG.cutoff)
 
 
 # -- segmentation -----------------------------------------------------------------
@@ -387,7 +387,7 @@ def _panel(spark, sf_dir):
     from cordon.plans.scratch import checkpoint_root
     wh = _wh(spark, sf_dir)
     checkpoint_root(spark)
-    return panel.did_panel(wh.fact, wh.dim_date, _zc(wh), CFG.cutoff).checkpoint(eager=True)
+    return panel.did_panel(wh.zone_day, wh.dim_date, _zc(wh), CFG.cutoff).checkpoint(eager=True)
 
 
 @query("pretrend_regression")

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from cordon.config import TPCH_TRIPS, PipelineConfig
 from cordon.operators import dims as D
 from cordon.operators import fact as FT
+from cordon.operators import panel as panel_ops
 from cordon.operators.broadcast import bounded, checked_broadcast
 from cordon.operators.zones import classify_zones
 from cordon.plans.scratch import scratch_path
@@ -153,6 +154,22 @@ class Warehouse:
         return read_fact(self.spark, path, self.fact_plan.schema)
 
 
+    @cached_property
+    def zone_day_path(self) -> str:
+        path = scratch_path(self.spark, "zone_day")
+        panel_ops.zone_day(self.fact, self.cfg.card_payment).write.mode("overwrite").parquet(path)
+        return path
+
+    @property
+    def zone_day(self) -> DataFrame:
+        """The fact collapsed to (pickup zone, date), written once; small."""
+        if not self.materialize:
+            return panel_ops.zone_day(self.fact, self.cfg.card_payment)
+        with self._lock:
+            path = self.zone_day_path
+        return self.spark.read.parquet(path)
+
+
 _CACHE: dict = {}
 _CACHE_LOCK = threading.Lock()
 

@@ -154,8 +154,8 @@ def test_null_vendor_keys_and_orphans(wh):
 
 
 def test_unknown_zone_absent_from_did(wh):
-    zc = panel.active_zone_counts(wh.fact, wh.dim_zone)
-    cells = causal.volume_cells(wh.fact, wh.dim_date, zc).collect()
+    zc = panel.active_zone_counts(wh.zone_day, wh.dim_zone)
+    cells = causal.volume_cells(wh.zone_day, wh.dim_date, zc).collect()
     assert all(r._g in (0, 1) for r in cells)
     total = sum(r.trips for r in cells)
     assert total == wh.fact.filter(F.col("pu_is_cbd").isNotNull()).count()

@@ -43,9 +43,9 @@ def test_counts(wh):
 
 
 def test_did_cells(wh):
-    zc = panel.active_zone_counts(wh.fact, wh.dim_zone)
+    zc = panel.active_zone_counts(wh.zone_day, wh.dim_zone)
     cells = {(r._g, r._p): (r.trips, r.days, r.n_zones)
-             for r in causal.volume_cells(wh.fact, wh.dim_date, zc).collect()}
+             for r in causal.volume_cells(wh.zone_day, wh.dim_date, zc).collect()}
     assert cells[(0, "pre")] == (7177, 368, 21)
     assert cells[(0, "post")] == (1756, 87, 21)
     assert cells[(1, "pre")] == (2014, 360, 4)
