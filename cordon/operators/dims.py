@@ -17,8 +17,26 @@ def dim_zone(zone_ref: DataFrame) -> DataFrame:
         "service_zone", "is_cbd")
 
 
+def inline_table(spark: SparkSession, rows, columns: list[tuple[str, str]]) -> DataFrame:
+    """A small constant table as an SQL inline table (VALUES): a local
+    relation the planner knows the exact size of, so it is broadcast."""
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return repr(v)
+    names = ", ".join(n for n, _ in columns)
+    casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in columns)
+    if not rows:
+        return spark.sql(f"SELECT {casts} FROM VALUES ({', '.join('NULL' for _ in columns)}) "
+                         f"AS t({names}) WHERE FALSE")
+    values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")
+
+
 def _decode(spark: SparkSession, rows, key: str, desc: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), f"{key} int, {desc} string")
+    return inline_table(spark, list(rows), [(key, "int"), (desc, "string")])
 
 
 def dim_payment(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:

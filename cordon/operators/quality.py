@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cordon.config import EXPECTED_RAW_COLUMNS, PipelineConfig
+from cordon.operators.dims import inline_table
 from cordon.operators.fact import exclusion_counts
 
 
@@ -79,6 +80,10 @@ def _fk_specs(dims: dict[str, DataFrame]):
 
 EXTRA_FK = ("orphan_time", "time_key", "time", "time_key")
 
+# dimensions whose keys are unique by construction (spine, hours, decode
+# tables); only the zone lookup is external and may repeat a key
+UNIQUE_KEY_DIMS = ("date", "time", "payment", "ratecode", "vendor")
+
 
 def _mark_orphans(fact: DataFrame, dims: dict[str, DataFrame], with_time: bool):
     """Left-join the fact to each dimension's distinct keys; a missing marker
@@ -90,11 +95,13 @@ def _mark_orphans(fact: DataFrame, dims: dict[str, DataFrame], with_time: bool):
     if with_time:
         n, col, d, k = EXTRA_FK
         specs.append((n, col, dims[d], k))
+    unique = {id(dims[d]) for d in UNIQUE_KEY_DIMS if d in dims}
     f = fact
     flags = []
     for i, (name, col, dim, key) in enumerate(specs):
         m = f"_m{i}"
-        keys = dim.select(F.col(key).alias(f"_k{i}")).distinct().withColumn(m, F.lit(1))
+        keys = dim.select(F.col(key).alias(f"_k{i}"))
+        keys = (keys if id(dim) in unique else keys.distinct()).withColumn(m, F.lit(1))
         f = f.join(keys, f[col] == keys[f"_k{i}"], "left")
         flags.append((name, F.col(m).isNull()))
     return f, flags
@@ -166,8 +173,8 @@ def duplicate_keys(fact: DataFrame) -> DataFrame:
 def schema_drift(raw: DataFrame, expected=EXPECTED_RAW_COLUMNS) -> DataFrame:
     """Expected raw columns missing from the table (names, case-insensitive)."""
     spark = raw.sparkSession
-    exp = spark.createDataFrame([(c,) for c in expected], "col string")
-    act = spark.createDataFrame([(c.lower(),) for c in raw.columns], "col string")
+    exp = inline_table(spark, [(c,) for c in expected], [("col", "string")])
+    act = inline_table(spark, [(c.lower(),) for c in raw.columns], [("col", "string")])
     missing = exp.join(act, "col", "left_anti")
     return missing.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit("schema_drift_missing_cols").alias("check_name"), "failures")

@@ -37,7 +37,8 @@ def treated_zone_counts(zone_ref: DataFrame) -> DataFrame:
 def unmatched_treated_names(zone_ref: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Treated-list names that match no zone of a treated borough; the
     classification would silently ignore them."""
-    spark = zone_ref.sparkSession
-    names = spark.createDataFrame([(n,) for n in cfg.treated_zones], "zone string")
+    from cordon.operators.dims import inline_table
+    names = inline_table(zone_ref.sparkSession, [(n,) for n in cfg.treated_zones],
+                         [("zone", "string")])
     matched = zone_ref.filter(F.col("borough").isin(list(cfg.treated_boroughs))).select("zone")
     return names.join(F.broadcast(matched), "zone", "left_anti")

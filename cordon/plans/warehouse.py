@@ -39,7 +39,11 @@ def write_fact(fact: DataFrame, path: str) -> None:
     partitioner split even a single (date, zone) holding a large share of
     all trips across tasks.  The partition count is left to AQE."""
     keys = ["date_key", "pu_zone_key", "trip_key"]
-    (fact.repartitionByRange(*keys)
+    # after de-duplication rows are unique on the natural key; when the trip
+    # key is NULL (a NULL key part) these columns still tell rows apart, so
+    # even a large group of NULL-key trips can be split between tasks
+    ties = ["time_key", "vendor_key", "total_amount", "trip_duration_min", "do_zone_key"]
+    (fact.repartitionByRange(*keys, *ties)
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

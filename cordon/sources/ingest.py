@@ -36,6 +36,6 @@ def ingest_pending(spark: SparkSession, landing: str, store: str) -> DataFrame:
     months copied with their row counts."""
     todo = pending_months(spark, landing, store)
     rows = read_raw_trips(spark, landing).join(F.broadcast(todo), RAW_PARTITION, "left_semi")
-    write_raw_months(rows, store, mode="append")
+    write_raw_months(rows, store, mode="append", layout="local")
     return (read_raw_trips(spark, store).join(F.broadcast(todo), RAW_PARTITION, "left_semi")
             .groupBy(RAW_PARTITION).agg(F.count(F.lit(1)).alias("rows")))

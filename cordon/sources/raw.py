@@ -42,15 +42,32 @@ def conform_raw(raw: DataFrame, schema=RAW_TRIPS) -> DataFrame:
                       F.col(RAW_PARTITION))
 
 
+RANGE_KEYS = (RAW_PARTITION, "tpep_pickup_datetime", "PULocationID", "VendorID",
+              "total_amount", "tpep_dropoff_datetime", "DOLocationID", "fare_amount")
+
+
 def write_raw_months(raw: DataFrame, root: str, mode: str = "overwrite",
-                     conform: bool = True) -> None:
+                     conform: bool = True, layout: str = "range") -> None:
     """Land raw rows as ``trip_month=`` folders, by default in the declared
     types; dynamic partition overwrite replaces only the months present in
-    ``raw``.  Rows are range-partitioned on (month, pickup time, pickup
-    zone): each task writes a contiguous slice of one or two months, and a
-    month holding a large share of the rows is split across many tasks."""
+    ``raw``.
+
+    ``range``: range-partition on (month, pickup time, zone, ...) - each task
+    writes a contiguous slice of one or two months, and a month (or a pickup
+    instant) holding a large share of the rows is split across tasks.  For
+    input whose rows arrive mixed across months (a join's output).
+    ``local``: no shuffle - each task writes what it read.  For copying
+    monthly files, where every input split already belongs to one month, so
+    each task writes a single file and split sizes bound the task size.
+    """
     rel = conform_raw(raw) if conform else raw
-    (rel.repartitionByRange(RAW_PARTITION, "tpep_pickup_datetime", "PULocationID")
+    if layout == "range":
+        rel = rel.repartitionByRange(*RANGE_KEYS)
+    elif layout == "local":
+        rel = rel.sortWithinPartitions(RAW_PARTITION)
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+    (rel
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(RAW_PARTITION)
