@@ -37,7 +37,10 @@ def publish_serving(fact: DataFrame, path: str) -> DataFrame:
 
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = True,
                    analyze: bool = True) -> None:
-    """Point a catalog table at a written folder."""
+    """Point a catalog table at a written folder (S2, S4, S10).  ``name`` may
+    be ``database.table``; the database is created when absent."""
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.', 1)[0]}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
     if partitioned:
@@ -46,6 +49,16 @@ def register_table(spark: SparkSession, name: str, path: str, partitioned: bool
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def export_csv(results: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Persist small analysis results as CSV with a header (S16), one folder
+    per result; returns the paths."""
+    paths = {}
+    for name, df in results.items():
+        paths[name] = f"{root}/{name}"
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(paths[name])
+    return paths
+
+
 def run_build(wh: Warehouse, out_root: str, table: str | None = None) -> BuildResult:
     spark = wh.spark
     for name, df in wh.dims.items():

@@ -16,9 +16,9 @@ from cordon.streaming import stream_ingest
 
 def test_build_publishes_when_gate_passes(spark, tmp_dir):
     wh = Warehouse(spark, TPCH_TRIPS, tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001))
-    res = run_build(wh, tmp_dir, table="fact_trips_test")
+    res = run_build(wh, tmp_dir, table="cordon_test.fact_trips")
     assert all(f == 0 for _, f in res.report)
-    n = spark.table("fact_trips_test").count()
+    n = spark.table("cordon_test.fact_trips").count()
     assert n == wh.fact.count()
     serving = spark.read.parquet(res.serving_path)
     assert serving.schema["tip_pct"].dataType.simpleString() == "decimal(6,4)"
@@ -55,3 +55,14 @@ def test_stream_ingest_is_idempotent(spark, tmp_dir):
     stream_ingest(spark, landing, store, ckpt)
     stream_ingest(spark, landing, store, ckpt)
     assert read_raw_trips(spark, store).count() == raw.count()
+
+
+def test_export_csv(spark, tmp_dir):
+    from cordon.operators import causal, panel
+    from cordon.plans.build import export_csv
+    wh = Warehouse(spark, TPCH_TRIPS, tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001))
+    zc = panel.active_zone_counts(wh.zone_day, wh.dim_zone)
+    res = {"did_volume": causal.did_volume(wh.zone_day, wh.dim_date, zc)}
+    paths = export_csv(res, tmp_dir)
+    back = spark.read.option("header", True).option("inferSchema", True).csv(paths["did_volume"])
+    assert back.count() == 1 and "did_estimate" in back.columns
