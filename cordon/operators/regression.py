@@ -138,8 +138,11 @@ def gram(df: DataFrame, cols: list[str], weight: str | None = None) -> np.ndarra
 
 
 def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
-        cov_type: str = "HC1", cluster_col: str | None = None) -> DataFrame:
+        cov_type="HC1", cluster_col: str | None = None) -> DataFrame:
+    """Coefficients with one or several covariance types (``cov_type`` may
+    be a tuple); the normal equations are solved once for all of them."""
     spark = df.sparkSession
+    cov_types = (cov_type,) if isinstance(cov_type, str) else tuple(cov_type)
     # The input is read by several passes (levels, normal equations,
     # covariance): project the needed columns and write them once to the
     # checkpoint folder - lineage cut, survives a lost executor - instead
@@ -169,7 +172,25 @@ def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
     beta = bread @ xty
     rank = int(np.linalg.matrix_rank(xtx))
 
-    # pass 2: residuals e = y - X beta and the covariance meat
+    # pass 2 (per covariance type): residuals e = y - X beta and the meat
+    rows = []
+    for ct in cov_types:
+        cov, clusters, warning = _covariance(src, d, beta, bread, n, rank, ct, cluster_col)
+        if rank < k:
+            warning = ((warning + "; ") if warning else "") + f"rank deficient ({rank} < {k})"
+        for i, name in enumerate(d.names):
+            var = float(cov[i, i])
+            se = math.sqrt(var) if var > 0 else 0.0
+            z = float(beta[i]) / se if se > 0 else None
+            p = math.erfc(abs(z) / math.sqrt(2.0)) if z is not None else None
+            rows.append((name, float(beta[i]), se, z, p, float(beta[i]) - Z975 * se,
+                         float(beta[i]) + Z975 * se, n, k, clusters, ct, warning))
+    return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
+def _covariance(src: DataFrame, d: Design, beta, bread, n: int, rank: int,
+                cov_type: str, cluster_col: str | None):
+    k = len(d.names)
     clusters = None
     warning = None
     if cov_type in ("nonrobust", "HC1"):
@@ -184,50 +205,34 @@ def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
         meat = _merge_long(src.mapInPandas(fold_meat, LONG), k)
         if cov_type == "nonrobust":
             # sum e^2 is the intercept entry of the e^2-weighted Gram matrix
-            cov = bread * (meat[0, 0] / max(n - rank, 1))
-        else:
-            cov = bread @ meat @ bread * (n / max(n - rank, 1))
-    elif cov_type == "cluster":
-        if not cluster_col:
-            raise ValueError("cluster covariance needs cluster_col")
-        score_cols = [f"_s{i}" for i in range(k)]
-
-        def fold_scores(batches):
-            import pandas as pd
-            for b in batches:
-                x = d.matrix(b)
-                e = b["_y"].to_numpy(dtype=float) - x @ beta
-                part = pd.DataFrame(x * e[:, None], columns=score_cols)
-                part.insert(0, "_g", b["_g"].astype(str).to_numpy())
-                yield part.groupby("_g", as_index=False).sum()
-
-        schema = "_g string, " + ", ".join(f"{c} double" for c in score_cols)
-        partial = src.mapInPandas(fold_scores, schema)
-        # per-cluster score sums (partials of one cluster from several tasks
-        # are added here), then sum_g s_g s_g'
-        scores = partial.groupBy("_g").agg(*[F.sum(c).alias(c) for c in score_cols])
-        scores = scores.withColumn("_one", F.lit(1.0))
-        full = gram(scores, score_cols + ["_one"])
-        meat, clusters = full[:k, :k], int(round(full[k, k]))
-        g_ = clusters
-        factor = (g_ / max(g_ - 1, 1)) * ((n - 1) / max(n - rank, 1))
-        cov = bread @ meat @ bread * factor
-        if g_ <= 2:
-            warning = f"degenerate: {g_} clusters; cluster-robust SE is not meaningful"
-    else:
+            return bread * (meat[0, 0] / max(n - rank, 1)), None, None
+        return bread @ meat @ bread * (n / max(n - rank, 1)), None, None
+    if cov_type != "cluster":
         raise ValueError(f"unknown cov_type {cov_type!r}")
+    if not cluster_col:
+        raise ValueError("cluster covariance needs cluster_col")
+    score_cols = [f"_s{i}" for i in range(k)]
 
-    if rank < k:
-        warning = ((warning + "; ") if warning else "") + f"rank deficient ({rank} < {k})"
-    rows = []
-    for i, name in enumerate(d.names):
-        var = float(cov[i, i])
-        se = math.sqrt(var) if var > 0 else 0.0
-        z = float(beta[i]) / se if se > 0 else None
-        p = math.erfc(abs(z) / math.sqrt(2.0)) if z is not None else None
-        rows.append((name, float(beta[i]), se, z, p, float(beta[i]) - Z975 * se,
-                     float(beta[i]) + Z975 * se, n, k, clusters, cov_type, warning))
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    def fold_scores(batches):
+        import pandas as pd
+        for b in batches:
+            x = d.matrix(b)
+            e = b["_y"].to_numpy(dtype=float) - x @ beta
+            part = pd.DataFrame(x * e[:, None], columns=score_cols)
+            part.insert(0, "_g", b["_g"].astype(str).to_numpy())
+            yield part.groupby("_g", as_index=False).sum()
+
+    schema = "_g string, " + ", ".join(f"{c} double" for c in score_cols)
+    partial = src.mapInPandas(fold_scores, schema)
+    # per-cluster score sums (partials of one cluster from several tasks are
+    # added here), then sum_g s_g s_g'
+    scores = partial.groupBy("_g").agg(*[F.sum(c).alias(c) for c in score_cols])
+    full = gram(scores.withColumn("_one", F.lit(1.0)), score_cols + ["_one"])
+    meat, clusters = full[:k, :k], int(round(full[k, k]))
+    factor = (clusters / max(clusters - 1, 1)) * ((n - 1) / max(n - rank, 1))
+    if clusters <= 2:
+        warning = f"degenerate: {clusters} clusters; cluster-robust SE is not meaningful"
+    return bread @ meat @ bread * factor, clusters, warning
 
 
 def pretrend_test(panel: DataFrame, cutoff, y: str = "trips_per_zone",

@@ -395,9 +395,8 @@ def q_pretrend(spark, sf_dir):
     """Pre-trend slope difference with HC1 covariance and with the study's
     two-cluster covariance (flagged degenerate)."""
     p = _panel(spark, sf_dir)
-    return (regression.pretrend_test(p, CFG.cutoff, cov_type="HC1")
-            .unionByName(regression.pretrend_test(p, CFG.cutoff, cov_type="cluster",
-                                                  cluster_col="treated")))
+    return regression.pretrend_test(p, CFG.cutoff, cov_type=("HC1", "cluster"),
+                                    cluster_col="treated")
 
 
 @query("did_regression")
@@ -405,5 +404,4 @@ def q_did_reg(spark, sf_dir):
     """DiD with month and weekday fixed effects; HC1 and the study's
     two-cluster covariance (flagged degenerate)."""
     p = _panel(spark, sf_dir)
-    return (regression.did_regression(p, cov_type="HC1")
-            .unionByName(regression.did_regression(p, cov_type="cluster", cluster_col="treated")))
+    return regression.did_regression(p, cov_type=("HC1", "cluster"), cluster_col="treated")

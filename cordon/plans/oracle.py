@@ -512,8 +512,8 @@ FROM (SELECT trip_key FROM fact GROUP BY trip_key HAVING COUNT(*) > 1) d"""
     drift_sql = f"""
 SELECT 'schema_drift_missing_cols' AS check_name, CAST(COUNT(*) AS BIGINT) AS failures
 FROM (VALUES {expected}) AS e(col)
-WHERE NOT EXISTS (SELECT 1 FROM (SELECT lower(unnest(json_keys(to_json(r)))) AS col
-                                 FROM (SELECT * FROM raw LIMIT 1) r) a
+WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT lower(unnest(json_keys(to_json(r)))) AS col
+                                 FROM raw r) a
                   WHERE a.col = e.col)"""
     q["dq_schema_drift"] = pre + drift_sql
     months_sql = f"""

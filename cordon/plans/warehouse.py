@@ -178,6 +178,19 @@ _CACHE: dict = {}
 _CACHE_LOCK = threading.Lock()
 
 
+def taxi_warehouse(spark: SparkSession, raw_root: str, zone_csv: str,
+                   cfg: PipelineConfig | None = None, **kw) -> Warehouse:
+    """Warehouse over monthly raw trip files (``raw_root/trip_month=YYYY-MM/``)
+    and the zone lookup CSV, with the study's values by default.  The raw
+    files are read in place (no landing copy)."""
+    from cordon.config import TAXI
+    from cordon.sources import read_raw_trips, read_zone_lookup
+    wh = Warehouse(spark, cfg or TAXI, read_raw_trips(spark, raw_root),
+                   read_zone_lookup(spark, zone_csv), **kw)
+    wh.__dict__["raw_path"] = raw_root if wh.materialize else None
+    return wh
+
+
 def tpch_warehouse(spark: SparkSession, sf_dir: str,
                    cfg: PipelineConfig = TPCH_TRIPS, **kw) -> Warehouse:
     """Warehouse over the trips adapter of one test-table folder, shared by

@@ -66,3 +66,19 @@ def test_export_csv(spark, tmp_dir):
     paths = export_csv(res, tmp_dir)
     back = spark.read.option("header", True).option("inferSchema", True).csv(paths["did_volume"])
     assert back.count() == 1 and "did_estimate" in back.columns
+
+
+def test_taxi_warehouse_reads_files(spark, tmp_dir):
+    """The file-based entry point: monthly Parquet + zone CSV, taxi-style
+    declared types (money as DOUBLE)."""
+    from cordon.plans.warehouse import taxi_warehouse
+    from cordon.sources import write_zone_lookup_csv
+    raw = tpch_raw_trips(spark, SF001)
+    write_raw_months(raw, f"{tmp_dir}/raw")
+    write_zone_lookup_csv(tpch_zone_lookup(spark, SF001), f"{tmp_dir}/zones")
+    wh = taxi_warehouse(spark, f"{tmp_dir}/raw", f"{tmp_dir}/zones", TPCH_TRIPS)
+    assert wh.raw.schema["fare_amount"].dataType.simpleString() == "double"
+    ref = Warehouse(spark, TPCH_TRIPS, raw, tpch_zone_lookup(spark, SF001))
+    assert wh.fact.count() == ref.fact.count()
+    assert {r.check_name: r.failures for r in
+            quality.gate_report(wh.raw, wh.fact, wh.dims, TPCH_TRIPS).collect()}["orphan_date"] == 0
