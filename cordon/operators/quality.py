@@ -180,6 +180,13 @@ def schema_drift(raw: DataFrame, expected=EXPECTED_RAW_COLUMNS) -> DataFrame:
         F.lit("schema_drift_missing_cols").alias("check_name"), "failures")
 
 
+def schema_drift_table(spark, table: str, expected=EXPECTED_RAW_COLUMNS) -> DataFrame:
+    """DQ5 against a catalog table's declared columns (information schema)."""
+    cols = [c.name for c in spark.catalog.listColumns(table)]
+    return schema_drift(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in cols)),
+                        expected)
+
+
 # -- DQ6 -------------------------------------------------------------------------
 
 def month_completeness(fact: DataFrame, cfg: PipelineConfig) -> DataFrame:

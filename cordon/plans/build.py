@@ -49,6 +49,13 @@ def register_table(spark: SparkSession, name: str, path: str, partitioned: bool
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def add_partition(spark: SparkSession, table: str, column: str, value: str, path: str) -> None:
+    """Register one partition folder explicitly (the alternative to
+    discovering them)."""
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({column}='{value}') "
+              f"LOCATION '{path}'")
+
+
 def export_csv(results: dict[str, DataFrame], root: str) -> dict[str, str]:
     """Persist small analysis results as CSV with a header (S16), one folder
     per result; returns the paths."""

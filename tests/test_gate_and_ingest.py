@@ -82,3 +82,20 @@ def test_taxi_warehouse_reads_files(spark, tmp_dir):
     assert wh.fact.count() == ref.fact.count()
     assert {r.check_name: r.failures for r in
             quality.gate_report(wh.raw, wh.fact, wh.dims, TPCH_TRIPS).collect()}["orphan_date"] == 0
+
+
+def test_month_pruning_and_catalog_drift(spark, tmp_dir):
+    from cordon.operators.fact import clean
+    from cordon.plans.build import add_partition, register_table
+    raw = tpch_raw_trips(spark, SF001)
+    root = f"{tmp_dir}/raw"
+    write_raw_months(raw, root)
+    files = read_raw_trips(spark, root)
+    cfg = TPCH_TRIPS.with_(prune_raw_months=True)
+    pruned = clean(files, cfg)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "trip_month" in plan
+    assert pruned.count() == clean(files, TPCH_TRIPS).count()
+    register_table(spark, "cordon_test.raw_trips", root, analyze=False)
+    assert quality.schema_drift_table(spark, "cordon_test.raw_trips").first().failures == 0
+    add_partition(spark, "cordon_test.raw_trips", "trip_month", "1995-01", f"{root}/trip_month=1995-01")
