@@ -383,11 +383,10 @@ from cordon.operators import regression  # noqa: E402
 
 
 def _panel(spark, sf_dir):
-    """The group x day panel, checkpointed once for the regression passes."""
-    from cordon.plans.scratch import checkpoint_root
+    """The group x day panel (from the zone x day table; the regression
+    checkpoints its own projected input)."""
     wh = _wh(spark, sf_dir)
-    checkpoint_root(spark)
-    return panel.did_panel(wh.zone_day, wh.dim_date, _zc(wh), CFG.cutoff).checkpoint(eager=True)
+    return panel.did_panel(wh.zone_day, wh.dim_date, _zc(wh), CFG.cutoff)
 
 
 @query("pretrend_regression")

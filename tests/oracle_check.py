@@ -26,15 +26,18 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.12g}")
+        return v if EXACT else float(f"{v:.12g}")
     if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.12g}")
+        return float(v) if EXACT else float(f"{float(v):.12g}")
     if isinstance(v, bool):
         return int(v)
     if isinstance(v, dt.datetime):
