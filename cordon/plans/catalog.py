@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cordon.config import TPCH_TRIPS
-from cordon.operators import causal, panel, segments
+from cordon.operators import causal, marts, panel, profiling, quality, regression, segments, serving, zones
+from cordon.operators import dims as dims_ops
+from cordon.operators import fact as fact_ops
 from cordon.plans.warehouse import tpch_warehouse
 
 CFG = TPCH_TRIPS
@@ -188,8 +190,6 @@ def q_stream_ingest(spark, sf_dir):
 
 # -- profiling --------------------------------------------------------------------------
 
-from cordon.operators import profiling  # noqa: E402
-
 
 @query("profile_rows_by_month")
 def q_prof_month(spark, sf_dir):
@@ -213,9 +213,6 @@ def q_prof_card(spark, sf_dir):
 
 # -- zones and dimensions ------------------------------------------------------------------
 
-from cordon.operators import zones  # noqa: E402
-from cordon.operators import dims as dims_ops  # noqa: E402
-
 
 @query("zone_treated_ref")
 def q_zone_ref(spark, sf_dir):
@@ -244,8 +241,6 @@ def q_dim_zone(spark, sf_dir):
 
 # -- fact stages ------------------------------------------------------------------------------
 
-from cordon.operators import fact as fact_ops  # noqa: E402
-
 
 @query("trips_cleaned")
 def q_cleaned(spark, sf_dir):
@@ -269,15 +264,12 @@ def q_keyed(spark, sf_dir):
 
 @query("trip_with_zone_roles")
 def q_roles(spark, sf_dir):
-    from cordon.operators import marts
     wh = _wh(spark, sf_dir)
     return marts.trips_with_zone_roles(wh.fact, wh.dim_zone)
 
 
 # -- data quality ---------------------------------------------------------------------------------
 
-from cordon.operators import quality  # noqa: E402
-
 
 @query("dq_row_reconciliation")
 def q_dq1(spark, sf_dir):
@@ -320,8 +312,6 @@ def q_gate(spark, sf_dir):
 
 # -- serving ------------------------------------------------------------------------------------------
 
-from cordon.operators import serving  # noqa: E402
-
 
 @query("serving_fact")
 def q_serving(spark, sf_dir):
@@ -346,8 +336,6 @@ def q_orphan_recheck(spark, sf_dir):
 
 # -- marts ----------------------------------------------------------------------------------------------
 
-from cordon.operators import marts  # noqa: E402
-
 
 @query("mart_kpis")
 def q_kpis(spark, sf_dir):
@@ -379,8 +367,6 @@ def q_slices(spark, sf_dir):
 
 # -- regression -------------------------------------------------------------------------------------------
 
-from cordon.operators import regression  # noqa: E402
-
 
 def _panel(spark, sf_dir):
     """The group x day panel (from the zone x day table; the regression
