@@ -92,22 +92,19 @@ def exclusion_counts(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
     )
 
 
-def _keep_order(cols) -> Column:
-    parts = []
-    for c in cols:
-        parts += [F.col(c).isNull(), F.col(c)]
-    return F.struct(*parts)
-
-
 def dedup(rel: DataFrame, keys=NATURAL_KEY, order=KEEP_ORDER,
           method: str = "aggregate") -> DataFrame:
     """Keep one row per key: the first by ``order`` (NULLs last).
 
-    ``aggregate`` (default) groups by the key and keeps ``min_by`` of the row:
-    the map side combines duplicates before the shuffle, so even a key that
-    holds a large share of the rows becomes one row per task, never one huge
-    group.  ``window`` is the row_number form (all rows of a key meet in one
-    task); both give the same rows.  NULL keys form one group in both.
+    ``aggregate`` (default) groups by the key and keeps the ``min`` of one
+    struct holding the order columns (each preceded by its NULL flag, so
+    NULLs sort last) followed by any remaining columns: the smallest struct
+    is the first row by ``order``, ties broken by the remaining columns.  The
+    map side combines copies before the shuffle, so even a key that holds a
+    large share of the rows becomes one row per task, never one huge group,
+    and each shuffled row carries its columns once.  ``window`` is the
+    row_number form (all rows of a key meet in one task); both give the same
+    rows.  NULL keys form one group in both.
     """
     keys, order = list(keys), list(order)
     rest = [c for c in rel.columns if c not in keys]
@@ -118,10 +115,13 @@ def dedup(rel: DataFrame, keys=NATURAL_KEY, order=KEEP_ORDER,
                 .filter(F.col("_rn") == 1).drop("_rn"))
     if method != "aggregate":
         raise ValueError(f"unknown dedup method {method!r}")
-    kept = (rel.groupBy(*keys)
-            .agg(F.min_by(F.struct(*rest), _keep_order(order)).alias("_row")))
-    return kept.select(*[F.col(c) for c in rel.columns if c in keys],
-                       *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*rel.columns)
+    fields = []
+    for i, c in enumerate(order):
+        fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(c)]
+    fields += [F.col(c).alias(c) for c in rest if c not in order]
+    kept = rel.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_row"))
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
+                         for c in rel.columns])
 
 
 def key_and_derive(rel: DataFrame) -> DataFrame:
