@@ -56,6 +56,20 @@ def add_partition(spark: SparkSession, table: str, column: str, value: str, path
               f"LOCATION '{path}'")
 
 
+class ResultTooLarge(ValueError):
+    pass
+
+
+def fetch_small(df: DataFrame, max_rows: int = 100_000) -> list[dict]:
+    """Rows of a small result as dicts for a client (S15).  Reads at most
+    ``max_rows + 1`` rows and refuses a larger result instead of pulling an
+    unbounded one through the driver."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ResultTooLarge(f"result has more than {max_rows} rows; write it instead")
+    return [r.asDict() for r in rows]
+
+
 def export_csv(results: dict[str, DataFrame], root: str) -> dict[str, str]:
     """Persist small analysis results as CSV with a header (S16), one folder
     per result; returns the paths."""

@@ -99,3 +99,10 @@ def test_month_pruning_and_catalog_drift(spark, tmp_dir):
     register_table(spark, "cordon_test.raw_trips", root, analyze=False)
     assert quality.schema_drift_table(spark, "cordon_test.raw_trips").first().failures == 0
     add_partition(spark, "cordon_test.raw_trips", "trip_month", "1995-01", f"{root}/trip_month=1995-01")
+
+
+def test_fetch_small(spark):
+    from cordon.plans.build import ResultTooLarge, fetch_small
+    assert fetch_small(spark.range(3)) == [{"id": 0}, {"id": 1}, {"id": 2}]
+    with pytest.raises(ResultTooLarge):
+        fetch_small(spark.range(10), max_rows=5)
