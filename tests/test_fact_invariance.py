@@ -45,3 +45,15 @@ def test_order_and_partitioning_invariance(spark, base):
     shuffled = raw.repartition(13).orderBy(F.rand(3))
     two = Warehouse(spark, TPCH_TRIPS, shuffled, zones, materialize=False, dedup_method="window")
     assert _fact_rows(one) == _fact_rows(two)
+
+
+def test_duplicate_key_forms_agree(spark, base):
+    from cordon.operators import quality
+    raw, zones = base
+    wh = Warehouse(spark, TPCH_TRIPS, raw, zones, materialize=False)
+    doubled = wh.fact.unionByName(wh.fact.limit(37))
+    for f in (wh.fact, doubled):
+        a = quality.duplicate_keys(f, method="hash").first().failures
+        b = quality.duplicate_keys(f, method="exact").first().failures
+        assert a == b
+    assert quality.duplicate_keys(doubled).first().failures == 37
