@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cordon.plans.scratch import checkpoint_root
+from cordon.plans.scratch import scratch_path
 
 # The per-task folds below run in Python workers; ship this module's code
 # with them by value so executors need no installed copy of the package.
@@ -144,16 +144,17 @@ def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
     spark = df.sparkSession
     cov_types = (cov_type,) if isinstance(cov_type, str) else tuple(cov_type)
     # The input is read by several passes (levels, normal equations,
-    # covariance): project the needed columns and write them once to the
-    # checkpoint folder - lineage cut, survives a lost executor - instead
-    # of recomputing the input for every pass.
-    checkpoint_root(spark)
+    # covariance): project the needed columns and write them once as a
+    # Parquet table in the checkpoint folder - lineage cut, survives a lost
+    # executor, computed once - instead of recomputing it for every pass.
     categoricals = list(categoricals)
     src = df.select(*[c.cast("double").alias(f"_t{i}") for i, c in enumerate(terms.values())],
                     *[F.col(c) for c in categoricals],
                     F.col(y).cast("double").alias("_y"),
                     *([F.col(cluster_col).alias("_g")] if cluster_col else []))
-    src = src.filter(F.col("_y").isNotNull()).checkpoint(eager=True)
+    path = scratch_path(spark, "ols_input")
+    src.filter(F.col("_y").isNotNull()).write.mode("overwrite").parquet(path)
+    src = spark.read.parquet(path)
     d = Design(list(terms), factor_levels(src, categoricals))
     k = len(d.names)
 
