@@ -70,11 +70,13 @@ class Warehouse:
     lookup: DataFrame
     dedup_method: str = "aggregate"
     materialize: bool = True
+    # land the raw rows as files first; off when they already are files
+    land_raw: bool = True
     _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
 
     @cached_property
     def raw_path(self) -> str | None:
-        if not self.materialize:
+        if not (self.materialize and self.land_raw):
             return None
         path = scratch_path(self.spark, "raw_trips")
         write_raw_months(self.source_raw, path, conform=False)
@@ -82,7 +84,7 @@ class Warehouse:
 
     @property
     def raw(self) -> DataFrame:
-        if not self.materialize:
+        if not (self.materialize and self.land_raw):
             return self.source_raw
         with self._lock:
             path = self.raw_path
@@ -157,7 +159,6 @@ class Warehouse:
             path = self.fact_path
         return read_fact(self.spark, path, self.fact_plan.schema)
 
-
     @cached_property
     def zone_day_path(self) -> str:
         path = scratch_path(self.spark, "zone_day")
@@ -182,13 +183,14 @@ def taxi_warehouse(spark: SparkSession, raw_root: str, zone_csv: str,
                    cfg: PipelineConfig | None = None, **kw) -> Warehouse:
     """Warehouse over monthly raw trip files (``raw_root/trip_month=YYYY-MM/``)
     and the zone lookup CSV, with the study's values by default.  The raw
-    files are read in place (no landing copy)."""
+    files are read in place - by column name, cast to the declared types, so
+    months whose files store different physical types still union - with no
+    landing copy."""
     from cordon.config import TAXI
     from cordon.sources import read_raw_trips, read_zone_lookup
-    wh = Warehouse(spark, cfg or TAXI, read_raw_trips(spark, raw_root),
-                   read_zone_lookup(spark, zone_csv), **kw)
-    wh.__dict__["raw_path"] = raw_root if wh.materialize else None
-    return wh
+    kw.setdefault("land_raw", False)
+    return Warehouse(spark, cfg or TAXI, read_raw_trips(spark, raw_root),
+                     read_zone_lookup(spark, zone_csv), **kw)
 
 
 def tpch_warehouse(spark: SparkSession, sf_dir: str,

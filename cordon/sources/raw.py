@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cordon.schemas import RAW_PARTITION, RAW_TRIPS, ZONE_LOOKUP
 
 
-def read_raw_trips(spark: SparkSession, root: str, schema=RAW_TRIPS) -> DataFrame:
-    """Monthly Parquet under ``root/trip_month=YYYY-MM/``.
-
-    Partitions are discovered from the folder names; the partition column is
-    read as a string.  Each column is read under its declared name and cast to
-    the declared type, so a month whose files store INT where others store
-    BIGINT/DOUBLE still unions cleanly; a column missing from some files reads
-    as NULL.
-    """
-    df = (spark.read
-          .option("basePath", root)
-          .option("mergeSchema", "true")
-          .parquet(root))
+def _conform_read(df: DataFrame, schema) -> DataFrame:
     present = {c.lower(): c for c in df.columns}
     cols = []
     for f in schema.fields:
@@ -31,6 +22,32 @@ def read_raw_trips(spark: SparkSession, root: str, schema=RAW_TRIPS) -> DataFram
     return df.select(*cols)
 
 
+def read_raw_trips(spark: SparkSession, root: str, schema=RAW_TRIPS) -> DataFrame:
+    """Monthly Parquet under ``root/trip_month=YYYY-MM/``.
+
+    Partitions are discovered from the folder names; the partition column is
+    read as a string.  Each column is taken by its declared name (any case)
+    and cast to the declared type; a column missing from some files reads as
+    NULL.  When months store a column in incompatible physical types (INT in
+    one month, DOUBLE in another) the files cannot share one schema: then
+    each month is read with its own schema, normalised the same way, and the
+    months are unioned - one scan per month instead of one in total.
+    """
+    reader = spark.read.option("basePath", root).option("mergeSchema", "true")
+    try:
+        return _conform_read(reader.parquet(root), schema)
+    except Exception as e:  # incompatible physical types across files
+        if "merge" not in str(e).lower():
+            raise
+    files = spark.read.option("basePath", root).parquet(root).inputFiles()
+    months: dict[str, list[str]] = {}
+    for f in files:
+        m = re.search(rf"{RAW_PARTITION}=([^/]+)/", f)
+        months.setdefault(m.group(1) if m else "", []).append(f)
+    parts = [_conform_read(reader.parquet(*fs), schema) for _, fs in sorted(months.items())]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def raw_file_columns(spark: SparkSession, root: str) -> list[str]:
     """Column names physically present in the raw files (for drift checks)."""
     return spark.read.option("mergeSchema", "true").parquet(root).columns

@@ -106,3 +106,19 @@ def test_fetch_small(spark):
     assert fetch_small(spark.range(3)) == [{"id": 0}, {"id": 1}, {"id": 2}]
     with pytest.raises(ResultTooLarge):
         fetch_small(spark.range(10), max_rows=5)
+
+
+def test_raw_read_survives_type_drift(spark, tmp_dir):
+    """Months storing a column as INT in one month and DOUBLE in another, and
+    a month lacking a column, read into the declared schema."""
+    a = spark.sql("SELECT 1L AS VendorID, timestamp_ntz'2024-01-02 10:00:00' AS tpep_pickup_datetime, "
+                  "2 AS passenger_count, 3 AS trip_distance, 4.5D AS fare_amount")
+    b = spark.sql("SELECT 2 AS vendorid, timestamp_ntz'2024-02-02 10:00:00' AS tpep_pickup_datetime, "
+                  "2.0D AS passenger_count, 3.5D AS trip_distance, 5L AS fare_amount, 1.0D AS tolls_amount")
+    a.write.parquet(f"{tmp_dir}/trip_month=2024-01")
+    b.write.parquet(f"{tmp_dir}/trip_month=2024-02")
+    rows = sorted(read_raw_trips(spark, tmp_dir).select(
+        "VendorID", "passenger_count", "trip_distance", "fare_amount", "tolls_amount",
+        "trip_month").collect())
+    assert [tuple(r) for r in rows] == [(1, 2.0, 3.0, 4.5, None, "2024-01"),
+                                        (2, 2.0, 3.5, 5.0, 1.0, "2024-02")]
