@@ -57,3 +57,19 @@ def test_duplicate_key_forms_agree(spark, base):
         b = quality.duplicate_keys(f, method="exact").first().failures
         assert a == b
     assert quality.duplicate_keys(doubled).first().failures == 37
+
+
+def test_boundary_baseline_equals_did_volume(spark, base):
+    from cordon.operators import causal, panel
+    raw, zones = base
+    wh = Warehouse(spark, TPCH_TRIPS, raw, zones, materialize=False)
+    zd = wh.zone_day
+    vol = causal.did_volume(zd, wh.dim_date, panel.active_zone_counts(zd, wh.dim_zone)).first()
+    sens = {r.scenario: r for r in
+            causal.boundary_sensitivity(zd, wh.dim_date, wh.zone_ref, TPCH_TRIPS).collect()}
+    base_row = sens["baseline"]
+    assert (base_row.treated_pre, base_row.control_pre, base_row.did_estimate) == (
+        vol.treated_pre, vol.control_pre, vol.did_estimate)
+    assert set(sens) == {"baseline", "move NATION_21"}
+    # moving a control zone into the treated set changes the control rate
+    assert sens["move NATION_21"].control_pre != base_row.control_pre
