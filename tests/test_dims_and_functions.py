@@ -41,3 +41,24 @@ def test_scalar_functions(spark):
     assert r.m == 0 and r.w == 7 and r.p == "AM peak"
     assert r.k == hashlib.md5(b"1|2024-01-01 00:00:50.000|161|12.50").hexdigest().upper()
     assert r.nk is None
+
+
+def test_checked_broadcast_falls_back_above_bound(spark):
+    from cordon.operators.broadcast import checked_broadcast
+    small = spark.range(5)
+    big = spark.range(50)
+    j_small = spark.range(100).join(checked_broadcast(small, 10), "id")
+    j_big = spark.range(100).join(checked_broadcast(big, 10), "id")
+    plan_small = j_small._jdf.queryExecution().optimizedPlan().toString()
+    plan_big = j_big._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan_small.lower()
+    assert "broadcast" not in plan_big.lower()
+    assert j_small.count() == 5 and j_big.count() == 50
+
+
+def test_inline_table_quoting(spark):
+    from cordon.operators.dims import inline_table
+    rows = [(1, "O'Hare"), (2, "back\\slash"), (3, None)]
+    df = inline_table(spark, rows, [("k", "int"), ("v", "string")])
+    assert sorted(tuple(r) for r in df.collect()) == rows
+    assert inline_table(spark, [], [("k", "int")]).count() == 0
