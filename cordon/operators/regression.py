@@ -75,6 +75,14 @@ class Design:
             out += [f"C({cat})[T.{v}]" for v in lv[1:]]
         return out
 
+    def columns(self) -> list[Column]:
+        """X as Spark expressions (for the SQL-aggregate path)."""
+        cols = [F.lit(1.0)] + [F.col(f"_t{i}") for i in range(len(self.terms))]
+        for cat, lv in self.levels.items():
+            v = F.col(cat).cast("string")
+            cols += [F.when(v == x, 1.0).otherwise(0.0) for x in lv[1:]]
+        return cols
+
     def matrix(self, b) -> np.ndarray:
         """X for one pandas batch (columns ``_t<i>`` and the categoricals)."""
         cols = [np.ones(len(b))] + [b[f"_t{i}"].to_numpy(dtype=float)
@@ -137,10 +145,35 @@ def gram(df: DataFrame, cols: list[str], weight: str | None = None) -> np.ndarra
     return _merge_long(src.mapInPandas(fold, LONG), k)
 
 
+def gram_sql(df: DataFrame, cols: list[Column], weight: Column | None = None) -> np.ndarray:
+    """``sum_rows w * v v'`` with built-in aggregates (one JVM-side pass);
+    for small K only - the number of aggregate expressions is K(K+1)/2."""
+    k = len(cols)
+    aggs = []
+    for i in range(k):
+        for j in range(i, k):
+            e = cols[i] * cols[j]
+            aggs.append(F.sum(e if weight is None else e * weight))
+    r = df.agg(*aggs).first()
+    m = np.zeros((k, k))
+    it = iter(r)
+    for i in range(k):
+        for j in range(i, k):
+            m[i, j] = m[j, i] = float(next(it) or 0.0)
+    return m
+
+
+SQL_PATH_MAX_K = 14  # up to 105 aggregate expressions
+
+
 def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
-        cov_type="HC1", cluster_col: str | None = None) -> DataFrame:
+        cov_type="HC1", cluster_col: str | None = None, engine: str = "auto") -> DataFrame:
     """Coefficients with one or several covariance types (``cov_type`` may
-    be a tuple); the normal equations are solved once for all of them."""
+    be a tuple); the normal equations are solved once for all of them.
+
+    ``engine``: ``sql`` sums the cross products with built-in aggregates
+    (JVM only); ``pandas`` folds Arrow batches with numpy (``mapInPandas``);
+    ``auto`` takes ``sql`` while K is small and ``pandas`` beyond."""
     spark = df.sparkSession
     cov_types = (cov_type,) if isinstance(cov_type, str) else tuple(cov_type)
     # The input is read by several passes (levels, normal equations,
@@ -157,6 +190,9 @@ def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
     src = spark.read.parquet(path)
     d = Design(list(terms), factor_levels(src, categoricals))
     k = len(d.names)
+    use_sql = engine == "sql" or (engine == "auto" and k <= SQL_PATH_MAX_K)
+    if engine not in ("auto", "sql", "pandas"):
+        raise ValueError(f"unknown engine {engine!r}")
 
     # pass 1: normal equations from the Gram matrix of [X y]
     def fold_xy(batches):
@@ -166,7 +202,10 @@ def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
             acc += xy.T @ xy
         yield _long(acc)
 
-    g = _merge_long(src.mapInPandas(fold_xy, LONG), k + 1)
+    if use_sql:
+        g = gram_sql(src, d.columns() + [F.col("_y")])
+    else:
+        g = _merge_long(src.mapInPandas(fold_xy, LONG), k + 1)
     xtx, xty = g[:k, :k], g[:k, k]
     n = int(round(xtx[0, 0]))  # the intercept column is all ones
     bread = np.linalg.pinv(xtx)
@@ -176,7 +215,8 @@ def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
     # pass 2 (per covariance type): residuals e = y - X beta and the meat
     rows = []
     for ct in cov_types:
-        cov, clusters, warning = _covariance(src, d, beta, bread, n, rank, ct, cluster_col)
+        cov, clusters, warning = _covariance(src, d, beta, bread, n, rank, ct, cluster_col,
+                                             use_sql)
         if rank < k:
             warning = ((warning + "; ") if warning else "") + f"rank deficient ({rank} < {k})"
         for i, name in enumerate(d.names):
@@ -190,10 +230,34 @@ def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
 
 
 def _covariance(src: DataFrame, d: Design, beta, bread, n: int, rank: int,
-                cov_type: str, cluster_col: str | None):
+                cov_type: str, cluster_col: str | None, use_sql: bool = False):
     k = len(d.names)
     clusters = None
     warning = None
+    if use_sql:
+        xs = d.columns()
+        fitted = None
+        for b_, x in zip(beta, xs):
+            t = F.lit(float(b_)) * x
+            fitted = t if fitted is None else fitted + t
+        e = F.col("_y") - fitted
+    if cov_type in ("nonrobust", "HC1") and use_sql:
+        meat = gram_sql(src, xs, e * e)
+        if cov_type == "nonrobust":
+            return bread * (meat[0, 0] / max(n - rank, 1)), None, None
+        return bread @ meat @ bread * (n / max(n - rank, 1)), None, None
+    if cov_type == "cluster" and use_sql:
+        if not cluster_col:
+            raise ValueError("cluster covariance needs cluster_col")
+        res = src.withColumn("_e", e)
+        scores = res.groupBy("_g").agg(*[F.sum(x * F.col("_e")).alias(f"_s{i}")
+                                         for i, x in enumerate(xs)])
+        full = gram_sql(scores, [F.col(f"_s{i}") for i in range(k)] + [F.lit(1.0)])
+        meat, clusters = full[:k, :k], int(round(full[k, k]))
+        factor = (clusters / max(clusters - 1, 1)) * ((n - 1) / max(n - rank, 1))
+        if clusters <= 2:
+            warning = f"degenerate: {clusters} clusters; cluster-robust SE is not meaningful"
+        return bread @ meat @ bread * factor, clusters, warning
     if cov_type in ("nonrobust", "HC1"):
         def fold_meat(batches):
             acc = np.zeros((k, k))
@@ -237,8 +301,8 @@ def _covariance(src: DataFrame, d: Design, beta, bread, n: int, rank: int,
 
 
 def pretrend_test(panel: DataFrame, cutoff, y: str = "trips_per_zone",
-                  cov_type: str = "HC1", cluster_col: str | None = None,
-                  alpha: float = 0.05) -> DataFrame:
+                  cov_type="HC1", cluster_col: str | None = None,
+                  alpha: float = 0.05, engine: str = "auto") -> DataFrame:
     """Pre-period only: ``y ~ treated + t + treated:t``, t = days since the
     first pre-period date.  Returns the ``treated:t`` row and a verdict."""
     pre = panel.filter(F.col("date") < F.lit(cutoff))
@@ -246,7 +310,7 @@ def pretrend_test(panel: DataFrame, cutoff, y: str = "trips_per_zone",
     pre = pre.withColumn("t", F.datediff(F.col("date"), F.lit(first)).cast("double"))
     terms = {"treated": F.col("treated"), "t": F.col("t"),
              "treated:t": F.col("treated") * F.col("t")}
-    out = ols(pre, y, terms, cov_type=cov_type, cluster_col=cluster_col)
+    out = ols(pre, y, terms, cov_type=cov_type, cluster_col=cluster_col, engine=engine)
     return (out.filter(F.col("term") == "treated:t")
             .withColumn("verdict", F.when(F.col("warning").isNotNull(), "not assessable")
                         .when(F.col("p_value") < alpha, "significant pre-trend")
@@ -254,11 +318,13 @@ def pretrend_test(panel: DataFrame, cutoff, y: str = "trips_per_zone",
 
 
 def did_regression(panel: DataFrame, y: str = "trips_per_zone", with_fe: bool = True,
-                   cov_type: str = "HC1", cluster_col: str | None = None) -> DataFrame:
+                   cov_type="HC1", cluster_col: str | None = None,
+                   engine: str = "auto") -> DataFrame:
     """``y ~ treated + post + treated:post [+ C(month) + C(dow)]``; the
     ``treated:post`` row is the DiD estimate."""
     terms = {"treated": F.col("treated"), "post": F.col("post"),
              "treated:post": F.col("treated") * F.col("post")}
     cats = ("month", "dow") if with_fe else ()
-    out = ols(panel, y, terms, categoricals=cats, cov_type=cov_type, cluster_col=cluster_col)
+    out = ols(panel, y, terms, categoricals=cats, cov_type=cov_type, cluster_col=cluster_col,
+              engine=engine)
     return out.filter(F.col("term") == "treated:post")

@@ -37,18 +37,21 @@ def _np_ols(pdf, cols):
     return b, np.sqrt(np.diag(hc1)), x, e, xtx_inv
 
 
-def test_matches_numpy_hc1(panel):
+@pytest.mark.parametrize("engine", ["sql", "pandas"])
+def test_matches_numpy_hc1(panel, engine):
     pdf = panel.toPandas()
     pdf["tp"] = pdf.treated * pdf.post
     b, se, *_ = _np_ols(pdf, ["treated", "post", "tp"])
     out = R.ols(panel, "y", {"treated": F.col("treated"), "post": F.col("post"),
-                             "treated:post": F.col("treated") * F.col("post")}).toPandas()
+                             "treated:post": F.col("treated") * F.col("post")},
+                engine=engine).toPandas()
     assert np.allclose(out.coef.to_numpy(), b, rtol=1e-9, atol=1e-9)
     assert np.allclose(out.se.to_numpy(), se, rtol=1e-7)
     assert out.n.iloc[0] == len(pdf) and out.k.iloc[0] == 4
 
 
-def test_cluster_matches_numpy_and_flags_two_clusters(panel):
+@pytest.mark.parametrize("engine", ["sql", "pandas"])
+def test_cluster_matches_numpy_and_flags_two_clusters(panel, engine):
     pdf = panel.toPandas()
     pdf["tp"] = pdf.treated * pdf.post
     b, _, x, e, inv = _np_ols(pdf, ["treated", "post", "tp"])
@@ -58,10 +61,10 @@ def test_cluster_matches_numpy_and_flags_two_clusters(panel):
     cov = inv @ (s.T @ s) @ inv * g / (g - 1) * (n - 1) / (n - k)
     terms = {"treated": F.col("treated"), "post": F.col("post"),
              "treated:post": F.col("treated") * F.col("post")}
-    out = R.ols(panel, "y", terms, cov_type="cluster", cluster_col="zone").toPandas()
+    out = R.ols(panel, "y", terms, cov_type="cluster", cluster_col="zone", engine=engine).toPandas()
     assert np.allclose(out.se.to_numpy(), np.sqrt(np.diag(cov)), rtol=1e-7)
     assert out.clusters.iloc[0] == 9 and out.warning.isna().all()
-    two = R.ols(panel, "y", terms, cov_type="cluster", cluster_col="treated").toPandas()
+    two = R.ols(panel, "y", terms, cov_type="cluster", cluster_col="treated", engine=engine).toPandas()
     assert two.warning.iloc[0].startswith("degenerate")
 
 
@@ -75,10 +78,11 @@ def test_pretrend_equals_slope_difference(panel, spark):
     assert res.verdict in ("significant pre-trend", "no significant pre-trend")
 
 
-def test_fe_did_equals_2x2_on_balanced_panel(panel):
+@pytest.mark.parametrize("engine", ["sql", "pandas"])
+def test_fe_did_equals_2x2_on_balanced_panel(panel, engine):
     """With month and weekday fixed effects on a balanced two-group panel,
     the interaction equals the 2x2 difference of daily means."""
-    res = R.did_regression(panel, y="y").first()
+    res = R.did_regression(panel, y="y", engine=engine).first()
     m = {(r.treated, r.post): r.m for r in
          panel.groupBy("treated", "post").agg(F.avg("y").alias("m")).collect()}
     did = (m[(1, 1)] - m[(1, 0)]) - (m[(0, 1)] - m[(0, 0)])
