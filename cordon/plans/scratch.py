@@ -2,32 +2,36 @@
 
 Always under the session's ``spark.checkpoint.dir`` (a folder every executor
 can reach on a cluster).  Only when that is unset - local tests - is a
-private temporary folder chosen and registered as the checkpoint dir.
+private temporary folder chosen (and registered as the context's checkpoint
+folder; the setting itself cannot be changed at run time).
 """
 
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_ROOTS: dict[str, str] = {}
+_LOCK = threading.Lock()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
-    root = sc.getConf().get(_KEY, None)
-    if not root:
-        try:
-            root = spark.conf.get(_KEY)
-        except Exception:
-            root = None
-    if not root:
-        root = tempfile.mkdtemp(prefix="cordon-ckpt-")
-        spark.conf.set(_KEY, root)
-    sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    app = sc.applicationId
+    with _LOCK:
+        root = _ROOTS.get(app)
+        if root is None:
+            root = (sc.getConf().get(_KEY, None) or "").strip()
+            if not root:
+                root = tempfile.mkdtemp(prefix="cordon-ckpt-")
+            root = root.rstrip("/")
+            sc.setCheckpointDir(root)
+            _ROOTS[app] = root
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

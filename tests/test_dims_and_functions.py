@@ -62,3 +62,40 @@ def test_inline_table_quoting(spark):
     df = inline_table(spark, rows, [("k", "int"), ("v", "string")])
     assert sorted(tuple(r) for r in df.collect()) == rows
     assert inline_table(spark, [], [("k", "int")]).count() == 0
+
+
+def test_checkpoint_root_reads_setting_or_falls_back():
+    """The session's spark.checkpoint.dir is used when set; otherwise a
+    private folder is registered with the context (the setting itself is not
+    modifiable at run time)."""
+    from cordon.plans import scratch
+
+    class Conf:
+        def __init__(self, v):
+            self.v = v
+
+        def get(self, k, d=None):
+            return self.v if k == "spark.checkpoint.dir" else d
+
+    class SC:
+        def __init__(self, app, v):
+            self.applicationId, self._conf, self.dirs = app, Conf(v), []
+
+        def getConf(self):
+            return self._conf
+
+        def setCheckpointDir(self, d):
+            self.dirs.append(d)
+
+    class S:
+        def __init__(self, sc):
+            self.sparkContext = sc
+
+    shared = SC("app-shared", "hdfs://cluster/ckpt/")
+    assert scratch.checkpoint_root(S(shared)) == "hdfs://cluster/ckpt"
+    assert shared.dirs == ["hdfs://cluster/ckpt"]
+    local = SC("app-local", None)
+    root = scratch.checkpoint_root(S(local))
+    assert "cordon-ckpt-" in root and local.dirs == [root]
+    assert scratch.checkpoint_root(S(local)) == root and len(local.dirs) == 1
+    assert scratch.scratch_path(S(local), "t").startswith(root + "/cordon/app-local/t-")
