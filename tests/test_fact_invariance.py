@@ -73,3 +73,29 @@ def test_boundary_baseline_equals_did_volume(spark, base):
     assert set(sens) == {"baseline", "move NATION_21"}
     # moving a control zone into the treated set changes the control rate
     assert sens["move NATION_21"].control_pre != base_row.control_pre
+
+
+def test_trend_measures_and_means_variants(spark, base):
+    from cordon.operators import causal, panel
+    raw, zones = base
+    wh = Warehouse(spark, TPCH_TRIPS, raw, zones, materialize=False)
+    zd = wh.zone_day
+    zc = panel.active_zone_counts(zd, wh.dim_zone)
+    fact = wh.fact
+    for measure in ("trip_distance", "tip_pct"):
+        got = {(r.year_month, r.grp): r[f"avg_{measure}"] for r in
+               causal.parallel_trends(zd, wh.dim_date, zc, measure=measure).collect()}
+        grp = F.when(F.col("pu_is_cbd") == 1, "treated_CBD").otherwise("control_nonCBD")
+        want = {(r.year_month, r.g): r.m for r in
+                fact.filter(F.col("pu_is_cbd").isNotNull())
+                .groupBy("year_month", grp.alias("g"))
+                .agg((F.sum(measure).cast("double") / F.count(measure)).alias("m")).collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-12 for k in got if want[k] is not None)
+    all_trips = {r.outcome: r.did_estimate for r in
+                 causal.did_means(zd, wh.dim_date, card_only=False).collect()}
+    card = {r.outcome: r.did_estimate for r in causal.did_means(zd, wh.dim_date).collect()}
+    assert set(all_trips) == set(card) == {"avg_trip_distance", "avg_tip_pct"}
+    rounded = causal.did_volume(zd, wh.dim_date, zc, digits=2).first()
+    exact = causal.did_volume(zd, wh.dim_date, zc).first()
+    assert rounded.control_pre == round(exact.control_pre, 2)

@@ -88,3 +88,16 @@ def test_fe_did_equals_2x2_on_balanced_panel(panel, engine):
     did = (m[(1, 1)] - m[(1, 0)]) - (m[(0, 1)] - m[(0, 0)])
     assert res.coef == pytest.approx(did, rel=1e-9)
     assert res.k == 1 + 3 + 3 + 6          # 4 months, 7 weekdays
+
+
+@pytest.mark.parametrize("engine", ["sql", "pandas"])
+def test_nonrobust_matches_numpy(panel, engine):
+    pdf = panel.toPandas()
+    pdf["tp"] = pdf.treated * pdf.post
+    b, _, x, e, inv = _np_ols(pdf, ["treated", "post", "tp"])
+    n, k = x.shape
+    se = np.sqrt(np.diag(inv * (e @ e) / (n - k)))
+    out = R.ols(panel, "y", {"treated": F.col("treated"), "post": F.col("post"),
+                             "treated:post": F.col("treated") * F.col("post")},
+                cov_type="nonrobust", engine=engine).toPandas()
+    assert np.allclose(out.se.to_numpy(), se, rtol=1e-7)
