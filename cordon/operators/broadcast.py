@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-class TooLargeToBroadcast(ValueError):
-    pass
-
-
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` after checking it has at most ``max_rows`` rows.
 

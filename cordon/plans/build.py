@@ -88,6 +88,9 @@ def run_build(wh: Warehouse, out_root: str, table: str | None = None) -> BuildRe
     write_fact(wh.fact_plan, staged)
     fact = read_fact(spark, staged, wh.fact_plan.schema)
     report = quality.enforce(quality.gate_report(wh.raw, fact, wh.dims, wh.cfg))
+    # the serving contract (types, NOT NULL, widths) is audited too before
+    # anything is published
+    report += quality.enforce(serving.contract_violations(fact))
     if table:
         register_table(spark, table, staged)
     serving_path = f"{out_root}/serving/fact_trips"

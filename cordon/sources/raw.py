@@ -1,4 +1,4 @@
-"""Raw sources and sinks (S1-S3, S5/S6 writers, S16)."""
+"""Raw sources and sinks (S1-S3 and the raw month writer)."""
 
 from __future__ import annotations
 
@@ -48,11 +48,6 @@ def read_raw_trips(spark: SparkSession, root: str, schema=RAW_TRIPS) -> DataFram
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def raw_file_columns(spark: SparkSession, root: str) -> list[str]:
-    """Column names physically present in the raw files (for drift checks)."""
-    return spark.read.option("mergeSchema", "true").parquet(root).columns
-
-
 def conform_raw(raw: DataFrame, schema=RAW_TRIPS) -> DataFrame:
     """The declared raw columns, by name, in the declared types."""
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
@@ -103,8 +98,3 @@ def write_zone_lookup_csv(lookup: DataFrame, path: str) -> None:
     (lookup.coalesce(1).write.mode("overwrite")
         .option("header", True).option("quoteAll", True)
         .csv(path))
-
-
-def write_csv(df: DataFrame, path: str) -> None:
-    """Persist a (small) result as CSV with a header."""
-    df.write.mode("overwrite").option("header", True).csv(path)

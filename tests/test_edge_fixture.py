@@ -187,3 +187,11 @@ def test_empty_fact_does_not_pass(wh):
 def test_schema_drift(wh):
     assert quality.schema_drift(wh.raw).first().failures == 0
     assert quality.schema_drift(wh.raw.drop("tolls_amount")).first().failures == 1
+
+
+def test_serving_contract_violations(wh):
+    from cordon.operators.serving import contract_violations
+    v = {r.check_name: r.failures for r in contract_violations(wh.fact).collect()}
+    assert v["not_null_trip_key"] == 2          # E16: NULL vendor -> NULL key
+    assert v["width_trip_key"] == 0
+    assert sum(v.values()) == 2
