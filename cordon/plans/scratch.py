@@ -1,13 +1,15 @@
 """Where intermediate tables are written.
 
 Always under the session's ``spark.checkpoint.dir`` (a folder every executor
-can reach on a cluster).  Only when that is unset - local tests - is a
-private temporary folder chosen (and registered as the context's checkpoint
-folder; the setting itself cannot be changed at run time).
+can reach on a cluster).  Only a single-machine session (master ``local``) may
+leave it unset, as tests do: a private temporary folder is then chosen and
+registered as the context's checkpoint folder.  On a cluster an unset property
+is an error, since a machine-local folder would lose rows.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import threading
 import uuid
@@ -27,6 +29,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root is None:
             root = (sc.getConf().get(_KEY, None) or "").strip()
             if not root:
+                if not re.match(r"local(\[|$)", sc.master):
+                    raise ValueError(f"set {_KEY} to a folder that all executors share")
                 root = tempfile.mkdtemp(prefix="cordon-ckpt-")
             root = root.rstrip("/")
             sc.setCheckpointDir(root)
