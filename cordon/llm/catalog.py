@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cordon.llm import decontamination, exact_dedup, license_scan, line_dedup
+from cordon.llm import decontamination, exact_dedup, langid, license_scan, line_dedup, quality, toxicity
 from cordon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,16 @@ def op1(spark, sf_dir):
     return line_dedup.dedup_lines(docs)
 
 
+@query("op3_quality")
+def op3(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_toxicity")
+def op4(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_decontamination", decontamination.ORACLE)
 def op7(spark, sf_dir):
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -50,3 +60,8 @@ def op8(spark, sf_dir):
 @query("op9_license_scan", license_scan.ORACLE)
 def op9(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op10_langid")
+def op10(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))

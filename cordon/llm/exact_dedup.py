@@ -29,7 +29,13 @@ from cordon.llm.common import null_safe, written
 from cordon.plans.scratch import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Session settings of the state store while the stream runs: state on disk,
+#: and no space allocated beforehand in its many small files.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -51,17 +57,16 @@ def stream_state(spark: SparkSession, path: str, checkpoint: str | None = None,
     state = arriving.groupBy("text_sha256").agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("n"), F.min("doc_id").alias("locator"))
     checkpoint = checkpoint or scratch_path(spark, "exact-dedup")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STORE}
     try:
+        for k, v in STORE.items():
+            spark.conf.set(k, v)
         run = (state.writeStream.format("noop").outputMode("update")
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         run.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     kept = spark.read.format("statestore").load(checkpoint)
     value = kept.schema["value"].dataType.names
     return kept.select(F.col("key.text_sha256").alias("text_sha256"),
