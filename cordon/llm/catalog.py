@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cordon.llm import decontamination, exact_dedup, langid, license_scan, line_dedup, quality, toxicity
+from cordon.llm import decontamination, exact_dedup, langid, license_scan, line_dedup, packing, quality, token_binary, toxicity
 from cordon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op1(spark, sf_dir):
     return line_dedup.dedup_lines(docs)
 
 
+@query("op2_packing")
+def op2(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality")
 def op3(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -47,6 +52,11 @@ def op4(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op5_token_binary")
+def op5(spark, sf_dir):
+    return token_binary.pack_token_ids(table(spark, sf_dir, "documents"))
+
+
 @query("op7_decontamination", decontamination.ORACLE)
 def op7(spark, sf_dir):
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -2,14 +2,45 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cordon
 from cordon.plans.scratch import scratch_path
 
+_SHIPPED: set[str] = set()
+
 A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this library's code, once per application: Python
+    tasks import it, wherever the driver was started."""
+    sc, root = spark.sparkContext, Path(cordon.__file__).parent
+    if sc.applicationId in _SHIPPED or not root.is_dir():
+        return
+    path = f"{tempfile.mkdtemp(prefix='cordon-code-')}/cordon.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"cordon/{f.relative_to(root)}")
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
+def grouped_pandas(grouped, spark: SparkSession, fn, schema) -> DataFrame:
+    ship(spark)
+    return grouped.applyInPandas(fn, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cordon.llm import textbytes as tb
-from cordon.llm.common import crc32_mod
+from cordon.llm.common import crc32_mod, map_arrow
 from cordon.llm.sampling import bounded
 
 CAP = 1500
@@ -72,7 +72,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     [pa.array([names[c] for c in key >> 32], pa.string()), pa.array(key & 0xFFFFFFFF), pa.array(n)],
                     ["lang", "gram", "n"])
 
-    counted = docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
+    counted = map_arrow(docs.select("lang", "text"), run, "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -170,7 +170,7 @@ def predict(docs: DataFrame, model: ContextTrees | None) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     has = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter")
-    return docs.select("doc_id", "text", has).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return map_arrow(docs.select("doc_id", "text", has), run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cordon.llm import textbytes as tb
-from cordon.llm.common import crc32_mod
+from cordon.llm.common import crc32_mod, grouped_pandas, map_arrow
 from cordon.llm.sampling import labelled_texts
 
 BITS = 18
@@ -124,7 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, cap: int = CAP, shards: int = SHAR
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"w": [_fit(part, bits, epochs).astype(np.float32).tobytes()]})
 
-    got = rows.groupBy("shard").applyInPandas(fit, "w binary").collect()
+    got = grouped_pandas(rows.groupBy("shard"), docs.sparkSession, fit, "w binary").collect()
     if not got:
         return None
     w = np.mean([np.frombuffer(r.w, np.float32) for r in got], axis=0)
@@ -149,7 +149,7 @@ def score(docs: DataFrame, weights: np.ndarray | None, bits: int = BITS) -> Data
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(p)], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

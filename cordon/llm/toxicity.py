@@ -2,7 +2,7 @@
 
 The chain tags every token (a run of letters and digits) as ordinary or toxic.
 A token's emission weight is the sum of hashed features (the word, its first
-3 to 6 bytes, the word before, the word after); two by two transition weights
+4 to 6 bytes, the word before, the word after); two by two transition weights
 link neighbours.  Forward-backward gives each token its marginal probability.
 A document's score is a logistic function of the log of its expected number of
 toxic tokens (marginals under a floor left out), so length alone adds nothing;
@@ -38,15 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cordon.llm import textbytes as tb
-from cordon.llm.common import crc32_mod
+from cordon.llm.common import crc32_mod, grouped_pandas, map_arrow
 from cordon.llm.sampling import labelled_texts
 
 BITS = 18
-CAP = 2500
+CAP = 2000
 EPOCHS = 20
 HELD_OUT = (5, 0)
 THRESHOLD = 0.5
-BEGINNINGS = (3, 4, 5, 6)
+BEGINNINGS = (4, 5, 6)
 FLOOR = 0.2
 LANES = 1024
 
@@ -145,10 +145,10 @@ def _evidence(hashes: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> np.ndar
     mark = np.zeros(len(row), bool)
     for h in hashes[:1 + len(BEGINNINGS)]:
         values, code = np.unique(h, return_inverse=True)
-        seen = np.unique(code.astype(np.int64) * (len(toxic) + 1) + row)
-        v, r = seen // (len(toxic) + 1), seen % (len(toxic) + 1)
-        hits = np.bincount(v, toxic[r], minlength=len(values))
-        df = np.bincount(v, minlength=len(values))
+        # one vote per word before it: copies of a document are no new evidence
+        _, one = np.unique(tb.mix(h + np.uint64(7)) ^ hashes[-2], return_index=True)
+        hits = np.bincount(code[one], toxic[row[one]], minlength=len(values))
+        df = np.maximum(np.bincount(code[one], minlength=len(values)), 1)
         q = np.clip(hits / df, 1e-9, 1 - 1e-9)
         gain = hits * np.log(q / base) + (df - hits) * np.log((1 - q) / (1 - base))
         mark |= ((q > 0.9) & (gain > 14.0))[code]
@@ -234,7 +234,8 @@ def train(docs: DataFrame, labels: DataFrame, cap: int = CAP, epochs: int = EPOC
         return pd.DataFrame({"w": [t.w.tobytes()], "rest": [rest]})
 
     # one group: the sample is bounded by ``cap``
-    got = rows.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(1)).alias("group")).applyInPandas(fit, "w binary, rest array<double>").collect()
+    one = rows.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(1)).alias("group"))
+    got = grouped_pandas(one, docs.sparkSession, fit, "w binary, rest array<double>").collect()
     if not got:
         return None
     t, rest = ToxicityModel(), got[0].rest
@@ -285,7 +286,7 @@ def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
                     ["doc_id", "score", "spans"])
 
     k = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {k}, score double, spans {SPANS}")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {k}, score double, spans {SPANS}")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -314,4 +315,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 if kept.num_rows:
                     yield kept
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
