@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cordon.llm import decontamination, exact_dedup, langid, license_scan, line_dedup, packing, quality, token_binary, toxicity
+from cordon.llm import decontamination, exact_dedup, langid, license_scan, line_dedup, ngram_jaccard, packing, quality, token_binary, toxicity
 from cordon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op5(spark, sf_dir):
     return token_binary.pack_token_ids(table(spark, sf_dir, "documents"))
 
 
+@query("op6_ngram_jaccard", ngram_jaccard.ORACLE)
+def op6(spark, sf_dir):
+    return ngram_jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op7_decontamination", decontamination.ORACLE)
 def op7(spark, sf_dir):
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

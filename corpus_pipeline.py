@@ -6,10 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cordon.llm import decontamination, line_dedup
+from cordon.llm import decontamination, line_dedup, ngram_jaccard, packing, toxicity
 from cordon.llm.common import table, written
 
 
+def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxic documents go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated three-line passages go; every row stays, n_chars follows the text."""
     out = line_dedup.dedup_lines(docs)
@@ -21,9 +26,22 @@ def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays, the smallest doc_id."""
+    return ngram_jaccard.one_per_class(docs)
+
+
+def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents as packed pieces."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
+    ("toxicity", stage_toxicity),
     ("line_dedup", stage_line_dedup),
+    ("near_duplicates", stage_near_duplicates),
     ("decontamination", stage_decontamination),
+    ("packing", stage_packing),
 ]
 #: The toxicity stage is a trained model, which SQL cannot express.
 ORACLE_SQL = None
