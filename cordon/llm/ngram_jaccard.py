@@ -15,17 +15,21 @@ With at most d = n - ceil(0.8 n) tokens of a set missing from a partner:
   on the size class of the smaller set, so a set indexes for its own class and
   the one below.
 
-A token is frequent when it stands in more than T of all plain prefixes, with
-T = max(RARE, prefixes / FREQUENT): there are fewer than FREQUENT such tokens,
-the proven bound of what is broadcast.  Any choice of classes keeps the join
-exact; it only decides the work.
+Classes come from counts over all tokens of all documents, in BUCKETS hash
+buckets (each task counts into one array; the arrays are summed in Spark): a
+token is frequent when its bucket holds more than the mean, five standard
+deviations of a random filling and RARE more.  One bit per bucket is the proven
+bound of what is broadcast.  Any choice of classes keeps the join exact; it
+only decides the work.  With frequent tokens last, a heavily edited copy is
+indexed by the tokens that only it has, and meets nobody.
 
 Sets that share an index entry are candidates.  No entry emits all its pairs:
 each member is verified against the entry's smallest member first, links are
 contracted into components, and only entries that still span several
 components go on, with more leaders each round, until every member of such an
-entry has been a leader.  So no link between components is lost.  Verification
-compares whole sets.
+entry has been a leader.  So no link between components is lost.  Of a candidate
+pair, the sizes and then a parity sketch (bits that differ are at most the
+tokens that differ) are compared first; verification compares whole sets.
 
 Defined cases: null texts and texts without words have the empty set, linked
 with nothing; rows that repeat a doc_id are one node with the links of all
@@ -36,22 +40,26 @@ table gives an empty table; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cordon.llm import textbytes as tb
-from cordon.llm.common import map_arrow, row_key, written
+from cordon.llm.common import grouped_pandas, map_arrow, row_key, written
 from cordon.llm.sampling import unit_hash
 
 WORDS = 5
 PERCENT = 80
 RARE = 8
-FREQUENT = 2_000_000
+BUCKETS = 1 << 22
 SMALL_ENTRY = 16
+SKETCH = 16  # longs
 #: Id tables up to so many rows (8 bytes each) are broadcast; larger ones shuffle.
 BROADCAST_IDS = 500_000
 
@@ -102,22 +110,22 @@ def _class_bounds() -> np.ndarray:
 CLASSES = _class_bounds()
 
 
-def _top(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(32)).astype(np.uint32)
+def _bucket(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(65 - BUCKETS.bit_length())).astype(np.int64)
+
+
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parity of the tokens per bit, as SKETCH longs."""
+    odd = np.bincount((tokens & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def index_entries(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The index entries of a set; ``frequent``: sorted upper halves of the
-    frequent tokens' hashes."""
+    """The index entries of a set; ``frequent``: a flag for every bucket."""
     n = len(tokens)
     d = missing(n)
-    if len(frequent):
-        top = _top(tokens)
-        at = np.minimum(np.searchsorted(frequent, top), len(frequent) - 1)
-        often = frequent[at] == top
-        rare, many = tokens[~often], tokens[often]
-    else:
-        rare, many = tokens, tokens[:0]
+    often = frequent[_bucket(tokens)]
+    rare, many = tokens[~often], tokens[often]
     entries = [tb.mix(rare[:d + 1])]
     if len(rare) <= d and n > 1:
         own = int(np.searchsorted(CLASSES, n, "right")) - 1
@@ -135,26 +143,42 @@ def index_entries(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(entries))
 
 
-def frequent_tokens(docs: DataFrame) -> np.ndarray:
-    """Sorted upper halves of the frequent tokens, fewer than FREQUENT."""
+def frequent_buckets(docs: DataFrame) -> np.ndarray:
+    """A flag for every bucket: it holds frequent tokens."""
+    spark, width = docs.sparkSession, BUCKETS // 256
+    schema = "slice int, part int, data binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(slices, parts, counts) -> dict:
+        return {"slice": slices, "part": parts, "data": [zlib.compress(c.astype("<u8").tobytes(), 1) for c in counts]}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.uint32)
         for batch in batches:
             for part in tb.chunks(batch):
-                prefixes = [s[:missing(len(s)) + 1] for s in shingle_sets(part.column("text")) if len(s)]
-                if prefixes:
-                    t, n = np.unique(_top(np.concatenate(prefixes)).view(np.int32), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(n.astype(np.int32))], ["t", "n"])
-
-    counts = written(map_arrow(docs.select("text"), run, "t int, n int")
-                     .groupBy("t").agg(F.sum("n").alias("n")).filter("n > 1"), "jaccard-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    got = counts.filter(F.col("n") > max(RARE, total // FREQUENT)).select("t").toArrow()
-    return np.sort(got["t"].to_numpy().astype(np.int32).view(np.uint32))
+                own = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(part.column("text"))])
+                total += np.bincount(_bucket(own), minlength=BUCKETS).astype(np.uint32)
+        if total.any():
+            out = packed(range(256), [TaskContext.get().partitionId() % 64] * 256, total.reshape(256, width))
+            yield pa.RecordBatch.from_pydict(out, pa.schema([("slice", pa.int32()), ("part", pa.int32()),
+                                                             ("data", pa.binary())]))
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(width, np.uint64)
+        for data in rows["data"]:
+            total += np.frombuffer(zlib.decompress(data), "<u8")
+        return pd.DataFrame(packed([rows["slice"].iloc[0]], [0], [total]))
+
+    # summed twice, so a group has the arrays of a sixty-fourth of the tasks
+    parts = grouped_pandas(map_arrow(docs.select("text"), count, schema).groupBy("slice", "part"), spark, add, schema)
+    counts = np.zeros((256, width), np.uint64)
+    for r in grouped_pandas(parts.groupBy("slice"), spark, add, schema).collect():  # BUCKETS numbers
+        counts[r.slice] = np.frombuffer(zlib.decompress(r.data), "<u8")
+    mean = counts.sum() / BUCKETS
+    return counts.ravel() > mean + 5 * np.sqrt(mean) + RARE
 
 
 def index(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(doc_id, n, digest, entries) of every row."""
+    """(doc_id, n, digest, entries, sketch) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,10 +191,14 @@ def index(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 ends = np.cumsum([0, *map(len, entries)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(entries).view(np.int64)))],
-                    ["doc_id", "n", "digest", "entries"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(entries).view(np.int64))),
+                     pa.ListArray.from_arrays(
+                         pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SKETCH),
+                         pa.array(np.concatenate([sketch(s) for s in sets])))],
+                    ["doc_id", "n", "digest", "entries", "sketch"])
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, n long, digest binary, entries array<long>")
+    return map_arrow(docs.select("doc_id", "text"), run,
+                     "doc_id long, n long, digest binary, entries array<long>, sketch array<long>")
 
 
 def _few(ids: DataFrame) -> DataFrame:
@@ -220,6 +248,23 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
+def _sizes_fit(lo_a, hi_a, lo_b, hi_b):
+    return (100 * F.col(hi_a) >= PERCENT * F.col(lo_b)) & (100 * F.col(hi_b) >= PERCENT * F.col(lo_a))
+
+
+def _plausible(pairs: DataFrame, size: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow a link."""
+    for c in "ab":
+        pairs = pairs.join(size.select(*[F.col(x).alias(f"{x}_{c}") for x in size.columns])
+                           .withColumnRenamed(f"doc_{c}", c), c)
+    differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda t, x: t + x)
+    # |x - y| + |y - x| = |x| + |y| - 2 o, and a link has (100 + P) o >= P (|x| + |y|)
+    most = (100 - PERCENT) * (F.col("hi_a") + F.col("hi_b"))
+    near = F.coalesce((100 + PERCENT) * differ <= most, F.lit(True))
+    return pairs.filter(_sizes_fit("lo_a", "hi_a", "lo_b", "hi_b") & near).select("a", "b")
+
+
 def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
@@ -227,7 +272,7 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = written(index(docs, frequent_tokens(docs)), "jaccard-index")
+    sets = written(index(docs, frequent_buckets(docs)), "jaccard-index")
     usable = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     same = sets.filter(usable).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     groups = written(same.filter("copies > 1").select("digest", "rep"), "jaccard-copies")
@@ -239,15 +284,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                      .select("x", F.explode("ys").alias("y")), "x", "y").filter("a < b")
     copies = written(rows.filter("rep <> doc_id").select(F.col("doc_id")).distinct(), "jaccard-copy-ids")
     reps = sets.filter(usable).join(_few(copies), "doc_id", "left_anti")
-    size = written(rows.filter("rep = doc_id").groupBy(F.col("rep").alias("doc"))
-                   .agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "jaccard-sizes")
+    # of a doc_id with several texts, the sketch says nothing
+    size = written(reps.groupBy(F.col("doc_id").alias("doc"))
+                   .agg(F.min("n").alias("lo"), F.max("n").alias("hi"),
+                        F.when(F.count("*") == 1, F.first("sketch")).alias("sketch")), "jaccard-sizes")
 
     posting = reps.select(F.explode("entries").alias("entry"), F.col("doc_id").alias("doc"))
     entry = written(posting.groupBy("entry").agg(F.min("doc").alias("lead"), F.max("doc").alias("last"),
                                                  F.sum("doc").alias("total"), F.count("*").alias("c"))
                     .filter("lead < last"), "jaccard-entries")
     large = written(entry.filter("c > 3").select("entry", "lead", "c"), "jaccard-large")
-    member = written(posting.join(large, "entry").select("entry", "doc", "lead", "c"), "jaccard-members")
+    member = written(posting.join(large, "entry").join(size.select("doc", "lo", "hi"), "doc")
+                     .select("entry", "doc", "lead", "c", "lo", "hi"), "jaccard-members")
     middle = F.col("total") - F.col("lead") - F.col("last")
     pairs = (_ordered(entry.filter("c <= 3"), "lead", "last")
              .union(_ordered(entry.filter("c = 3").withColumn("mid", middle), "lead", "mid"))
@@ -256,10 +304,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = None
     leaders = 2
     while True:
-        n_a = size.select(F.col("doc").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"))
-        n_b = size.select(F.col("doc").alias("b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"))
-        fits = ((100 * F.col("hi_a") >= PERCENT * F.col("lo_b")) & (100 * F.col("hi_b") >= PERCENT * F.col("lo_a")))
-        pairs = written(pairs.distinct().join(n_a, "a").join(n_b, "b").filter(fits).select("a", "b"), "jaccard-pairs")
+        pairs = written(_plausible(pairs.distinct(), size), "jaccard-pairs")
         if texts is None:
             # every later pair is of members of large entries
             ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(
@@ -271,7 +316,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if leaders == 0:
             break
         placed = (member.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
-                  .select("entry", "doc", "c", F.coalesce("comp", "doc").alias("comp")))
+                  .select("entry", "doc", "c", "lo", "hi", F.coalesce("comp", "doc").alias("comp")))
         apart = placed.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
         member = written(placed.join(apart.select("entry"), "entry"), "jaccard-members")
         most = member.agg(F.max("c")).first()[0]
@@ -280,12 +325,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         leaders *= 16
         chosen = ((F.col("c") <= SMALL_ENTRY) | (unit_hash(F.col("doc_id")) < F.lit(float(leaders)) / F.col("c")))
         lead = (member.withColumn("doc_id", F.col("doc")).filter(chosen)
-                .select("entry", F.col("doc").alias("x"), F.col("comp").alias("comp_x")))
-        pairs = _ordered(member.join(lead, "entry").filter("comp <> comp_x"), "x", "doc")
+                .select("entry", F.col("doc").alias("x"), F.col("comp").alias("comp_x"), F.col("lo").alias("lo_x"),
+                        F.col("hi").alias("hi_x")))
+        met = F.col("comp") != F.col("comp_x")
+        pairs = _ordered(member.join(lead, "entry").filter(met & _sizes_fit("lo", "hi", "lo_x", "hi_x")), "x", "doc")
         if leaders >= most:  # every member leads: the last round
             leaders = 0
         else:
-            member = member.filter(F.col("c") > SMALL_ENTRY).select("entry", "doc", "c")
+            member = member.filter(F.col("c") > SMALL_ENTRY).drop("comp")
     out = rows.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.coalesce("comp", "rep", "doc_id").alias("component_id"))

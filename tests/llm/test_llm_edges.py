@@ -268,7 +268,7 @@ def brute_classes(docs):
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
-@pytest.mark.parametrize("rare, small", [(0, 2), (8, 16)])
+@pytest.mark.parametrize("rare, small", [(-1, 2), (8, 16)])
 def test_jaccard_brute_force(spark, monkeypatch, rare, small):
     monkeypatch.setattr(ngram_jaccard, "RARE", rare)
     monkeypatch.setattr(ngram_jaccard, "SMALL_ENTRY", small)
