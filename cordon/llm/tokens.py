@@ -12,9 +12,10 @@ from __future__ import annotations
 import os
 import re
 import struct
+from itertools import chain
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-CACHE_PIECES = 250_000
+CACHE_PIECES = 800_000
 LONG_PIECE = 64
 # The Unicode white space.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -33,22 +34,22 @@ class TokenIds:
         self._cache: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
+        if not pieces:
+            return []
         got = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in got]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [_PIECE.findall(t) if t else [] for t in texts]
         cache = self._cache
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        new = list({p for ps in cut for p in ps} - cache.keys())
-        known = dict(zip(new, self._encode(new), strict=True)) if new else {}
-        if len(cache) + len(known) <= 4 * CACHE_PIECES:
-            cache.update({k: v for k, v in known.items() if len(k) <= LONG_PIECE})
-        get = {**known}.get
-        out = []
-        for ps in cut:
-            out.append(b"".join([cache.get(p) or get(p) or b"" for p in ps]))
+        new = list(set(chain.from_iterable(cut)) - cache.keys())
+        cache.update(zip(new, self._encode(new), strict=True))
+        out = [b"".join(map(cache.__getitem__, ps)) for ps in cut]
+        for p in new:
+            if len(p) > LONG_PIECE:
+                del cache[p]
+        if len(cache) > CACHE_PIECES:  # go on with the pieces in use
+            self._cache = {p: cache[p] for p in set(chain.from_iterable(cut)) & cache.keys()}
         return out
 
 
