@@ -53,12 +53,6 @@ class PipelineConfig:
     min_segment_trips: int = 1000
     top_segments: int = 25
     deciles: int = 10
-    # size bound for a dimension that is broadcast after a row-count check
-    max_broadcast_rows: int = 1_000_000
-    # opt-in: also filter the raw month folders to the window +- one month so
-    # the scan prunes partitions; off by default because rows filed under a
-    # far-away month but picked up inside the window would then be dropped
-    prune_raw_months: bool = False
 
     @property
     def expected_months(self) -> int:

@@ -5,13 +5,11 @@ from cordon.functions.columns import (
     iso_dow,
     month_label,
     ntz,
-    ratio,
-    to_double,
     trip_key,
     whole_minutes,
 )
 
 __all__ = [
-    "add_minutes", "date_key", "daypart", "iso_dow", "month_label", "ntz", "ratio",
-    "to_double", "trip_key", "whole_minutes",
+    "add_minutes", "date_key", "daypart", "iso_dow", "month_label", "ntz",
+    "trip_key", "whole_minutes",
 ]

@@ -52,16 +52,16 @@ def daypart(hour) -> Column:
 def trip_key(vendor, pickup_ts, pu_zone, total) -> Column:
     """Surrogate key = upper-case hex MD5 of the pipe-joined natural key.
 
-    Canonical text per part (so the key does not depend on an engine's
-    number/timestamp printing): id as BIGINT text, timestamp as
-    ``yyyy-MM-dd HH:mm:ss.SSS``, amount as DECIMAL(14,2) text.  ``concat``
-    propagates NULL, so a NULL part yields a NULL key (trap T3).
+    Every part enters with all its digits, so trips that de-duplication tells
+    apart never share a key: id as BIGINT text, timestamp with microseconds,
+    amount as the exact text of its declared type.  ``concat`` propagates
+    NULL, so a NULL part yields a NULL key (trap T3).
     """
     text = F.concat(
         _c(vendor).cast("bigint").cast("string"), F.lit("|"),
-        F.date_format(_c(pickup_ts), "yyyy-MM-dd HH:mm:ss.SSS"), F.lit("|"),
+        F.date_format(_c(pickup_ts), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("|"),
         _c(pu_zone).cast("bigint").cast("string"), F.lit("|"),
-        _c(total).cast("decimal(14,2)").cast("string"),
+        _c(total).cast("string"),
     )
     return F.upper(F.md5(text))
 
@@ -70,13 +70,3 @@ def ntz(value) -> Column:
     """Zone-less timestamp literal from a date/datetime (no session-zone shift)."""
     return F.lit(value.isoformat(sep=" ") if hasattr(value, "hour") else
                  value.isoformat() + " 00:00:00").cast("timestamp_ntz")
-
-
-def to_double(c) -> Column:
-    return _c(c).cast("double")
-
-
-def ratio(num, den) -> Column:
-    """num / den in DOUBLE, NULL when den is 0 or NULL (one division, T9)."""
-    d = _c(den).cast("double")
-    return F.when(d != 0, _c(num).cast("double") / d)

@@ -6,18 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` after checking it has at most ``max_rows`` rows.
-
-    Above the bound the frame is returned without a hint, so the planner
-    falls back to a shuffle join.  The check reads at most ``max_rows + 1``
-    rows; callers check a frame once and keep the result.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def bounded(df: DataFrame) -> DataFrame:
     """Broadcast a frame whose size is fixed by construction (a date spine of
-    the configured window, 24 hours, a decode table)."""
+    the configured window, 24 hours, a decode table).  Every other side is
+    left to the planner, which broadcasts by measured size only."""
     return F.broadcast(df)

@@ -37,21 +37,10 @@ def grain_condition(cfg: PipelineConfig) -> Column:
     return cond
 
 
-def month_prune(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Keep only raw month folders within one month of the window (partition
-    pruning on ``trip_month``), when enabled in the config."""
-    if not cfg.prune_raw_months or "trip_month" not in raw.columns:
-        return raw
-    import datetime as dt
-    lo = (cfg.window_start.replace(day=1) - dt.timedelta(days=1)).strftime("%Y-%m")
-    hi = (cfg.last_window_date.replace(day=28) + dt.timedelta(days=8)).strftime("%Y-%m")
-    return raw.filter(F.col("trip_month").between(lo, hi))
-
-
 def clean(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Rows meeting every grain rule (a NULL rule result drops the row);
     NULL rate code becomes the unknown code."""
-    return month_prune(raw, cfg).filter(grain_condition(cfg)).select(
+    return raw.filter(grain_condition(cfg)).select(
         "VendorID",
         F.col(PICKUP).alias("pickup_ts"),
         F.col(DROPOFF).alias("dropoff_ts"),
@@ -160,13 +149,7 @@ FACT_COLUMNS = (
 
 def denormalise(keyed: DataFrame, dim_zone: DataFrame) -> DataFrame:
     """Carry the pickup zone's treated flag on the fact (left join: an
-    unknown zone keeps the trip with a NULL flag).  ``dim_zone`` must already
-    be broadcast-checked by the caller."""
+    unknown zone keeps the trip with a NULL flag)."""
     z = dim_zone.select(F.col("zone_key"), F.col("is_cbd").alias("pu_is_cbd"))
     j = keyed.join(z, keyed.pu_zone_key == z.zone_key, "left")
     return j.select(*FACT_COLUMNS)
-
-
-def build_fact(raw: DataFrame, dim_zone: DataFrame, cfg: PipelineConfig,
-               dedup_method: str = "aggregate") -> DataFrame:
-    return denormalise(key_and_derive(dedup(clean(raw, cfg), method=dedup_method)), dim_zone)

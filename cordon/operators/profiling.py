@@ -34,12 +34,10 @@ def value_ranges(raw: DataFrame) -> DataFrame:
 
 
 def key_cardinality(raw: DataFrame) -> DataFrame:
-    """Exact distinct counts of the would-be dimension keys.  Each key's
-    distinct values are combined map-side first, so only (key, value) pairs
-    of these small domains are shuffled."""
-    return raw.agg(
-        F.countDistinct("PULocationID").alias("distinct_pu_zones"),
-        F.countDistinct("payment_type").alias("distinct_payment_types"),
-        F.countDistinct("VendorID").alias("distinct_vendors"),
-        F.countDistinct("RatecodeID").alias("distinct_ratecodes"),
-    )
+    """Exact distinct counts of the would-be dimension keys.  Rows are grouped
+    by the four keys first (one partial row per combination and task); the
+    distinct counts then see only those few combinations."""
+    keys = {"PULocationID": "distinct_pu_zones", "payment_type": "distinct_payment_types",
+            "VendorID": "distinct_vendors", "RatecodeID": "distinct_ratecodes"}
+    combos = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return combos.agg(*[F.countDistinct(c).alias(n) for c, n in keys.items()])

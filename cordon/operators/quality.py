@@ -4,7 +4,7 @@ Each check returns rows ``(check_name, failures)`` (DQ1 and DQ6 carry their
 detail columns too).  ``gate_report`` fuses them: one pass over the fact
 with broadcast joins to the (bounded) dimension keys answers reconciliation,
 orphans, ranges, NULL keys, emptiness and month completeness together; the
-duplicate-key check is the one shuffle; raw is scanned once.
+duplicate-key check is a second scan and the one shuffle; raw is scanned once.
 """
 
 from __future__ import annotations
@@ -18,10 +18,14 @@ from cordon.operators.fact import exclusion_counts
 
 
 class GateFailed(RuntimeError):
-    def __init__(self, failures: list[tuple[str, int]]):
+    """``failures``: (check, count); ``details``: per failing check, the
+    figures behind it."""
+
+    def __init__(self, failures: list[tuple[str, int]], details: dict[str, str] | None = None):
         self.failures = failures
-        super().__init__("data-quality gate failed: " +
-                         ", ".join(f"{n}={v}" for n, v in failures))
+        self.details = details or {}
+        super().__init__("data-quality gate failed: " + ", ".join(
+            f"{n}={v}" + (f" {self.details[n]}" if self.details.get(n) else "") for n, v in failures))
 
 
 def _count_if(c: Column) -> Column:
@@ -133,14 +137,17 @@ def referential_integrity_antijoin(fact: DataFrame, dims: dict[str, DataFrame])
 # -- DQ3 -------------------------------------------------------------------------
 
 def _range_violations(cfg: PipelineConfig) -> list[Column]:
+    """One condition per bounded measure: under its lowest or over its highest
+    value (a NULL measure violates nothing)."""
     b = cfg.bounds
-    return [
-        (F.col("trip_distance") <= 0) | (F.col("trip_distance") > b.distance_max),
-        (F.col("fare_amount") < 0) | (F.col("fare_amount") > b.fare_max),
-        (F.col("total_amount") < 0) | (F.col("total_amount") > b.total_max),
-        (F.col("trip_duration_min") < 0) | (F.col("trip_duration_min") > b.minutes_max),
-        F.col("tip_pct").isNotNull() & ((F.col("tip_pct") < 0) | (F.col("tip_pct") > b.tip_pct_max)),
-    ]
+    limits = {"trip_distance": b.distance_max, "fare_amount": b.fare_max, "total_amount": b.total_max,
+              "trip_duration_min": b.minutes_max, "tip_pct": b.tip_pct_max}
+    out = []
+    for measure, high in limits.items():
+        c = F.col(measure)
+        low = c <= 0 if measure == "trip_distance" else c < 0  # a trip has a distance
+        out.append(low | (c > high))
+    return out
 
 
 def _range_total(cfg: PipelineConfig) -> Column:
@@ -160,25 +167,11 @@ def range_assertions(fact: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 # -- DQ4 -------------------------------------------------------------------------
 
-def duplicate_keys(fact: DataFrame, method: str = "hash") -> DataFrame:
+def duplicate_keys(fact: DataFrame) -> DataFrame:
     """Number of trip keys occurring more than once (NULL counts as a key).
-
-    ``hash`` (default, exact): group by a 64-bit hash of the key first - the
-    shuffle carries 8-byte hashes with map-side partial counts instead of
-    32-character keys - then count exactly, by full key, only the rows whose
-    hash occurs more than once (a normally tiny set, joined back by a semi
-    join the planner broadcasts when small).  ``exact``: group by the key
-    directly.  Both give the same count."""
-    if method == "exact":
-        keys = fact.select("trip_key")
-    elif method == "hash":
-        h = fact.select(F.xxhash64("trip_key").alias("_h"), "trip_key")
-        cand = (h.groupBy("_h").agg(F.count(F.lit(1)).alias("n"))
-                .filter(F.col("n") > 1).select("_h"))
-        keys = h.join(cand, "_h", "left_semi").select("trip_key")
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    d = (keys.groupBy("trip_key").agg(F.count(F.lit(1)).alias("n"))
+    One scan and one shuffle of the keys as 16 bytes, counted map-side
+    first."""
+    d = (fact.groupBy(F.unhex("trip_key").alias("key")).agg(F.count(F.lit(1)).alias("n"))
          .filter(F.col("n") > 1))
     return d.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit("duplicate_trip_keys").alias("check_name"), "failures")
@@ -218,8 +211,9 @@ def month_completeness(fact: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 def gate_report(raw: DataFrame, fact: DataFrame, dims: dict[str, DataFrame],
                 cfg: PipelineConfig) -> DataFrame:
-    """Every check as (check_name, failures), scanning the fact twice (one
-    fused pass + the duplicate-key shuffle) and raw once."""
+    """Every check as (check_name, failures, detail), scanning the fact twice
+    (one fused pass + the duplicate-key shuffle) and raw once.  ``detail``
+    holds the figures behind a check (empty where the count says all)."""
     f, flags = _mark_orphans(fact, dims, with_time=True)
     fused = f.agg(
         F.count(F.lit(1)).alias("fact_rows"),
@@ -240,19 +234,26 @@ def gate_report(raw: DataFrame, fact: DataFrame, dims: dict[str, DataFrame],
         ("null_trip_key", F.col("null_trip_key")),
         ("fact_not_empty", F.when(F.col("fact_rows") == 0, 1).otherwise(0)),
     ]
-    sel = one.select(*[c.cast("bigint").alias(n) for n, c in checks])
-    pairs = ", ".join(f"'{n}', `{n}`" for n, _ in checks)
-    stacked = sel.selectExpr(f"stack({len(checks)}, {pairs}) AS (check_name, failures)")
+    def text(*names: str) -> Column:
+        return F.concat_ws(", ", *[F.concat(F.lit(f"{n}="), F.col(n).cast("bigint").cast("string")) for n in names])
+
+    one = one.withColumn("unexplained_gap", gap).withColumn("expected_months", F.lit(cfg.expected_months))
+    details = {"row_reconciliation": text("raw_rows", "fact_rows", "excluded_rows", "unexplained_gap"),
+               "month_completeness": text("months_present", "expected_months")}
+    entries = F.array(*[F.struct(F.lit(n).alias("check_name"), c.cast("bigint").alias("failures"),
+                                 details.get(n, F.lit("")).alias("detail")) for n, c in checks])
+    stacked = one.select(F.explode(entries).alias("e")).select("e.*")
+    none = F.lit("").alias("detail")
     return (stacked
-            .unionByName(duplicate_keys(fact))
-            .unionByName(schema_drift(raw)))
+            .unionByName(duplicate_keys(fact).select("*", none))
+            .unionByName(schema_drift(raw).select("*", none)))
 
 
 def enforce(report: DataFrame) -> list[tuple[str, int]]:
-    """Collect the (small) report; raise ``GateFailed`` listing every failing
-    check.  NULL failures count as 0."""
-    rows = report.select("check_name", F.coalesce("failures", F.lit(0)).alias("f")).collect()
-    bad = [(r.check_name, int(r.f)) for r in rows if r.f and r.f > 0]
+    """Collect the (small) report; raise ``GateFailed`` with every failing
+    check and its detail.  NULL failures count as 0."""
+    rows = [(r["check_name"], int(r["failures"] or 0), r.asDict().get("detail", "")) for r in report.collect()]
+    bad = [(n, v) for n, v, _ in rows if v > 0]
     if bad:
-        raise GateFailed(bad)
-    return [(r.check_name, int(r.f)) for r in rows]
+        raise GateFailed(bad, {n: d for n, v, d in rows if v > 0 and d})
+    return [(n, v) for n, v, _ in rows]

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cordon.schemas import SERVING_FACT, SERVING_STRING_WIDTHS
+from cordon.schemas import SERVING_DIMS, SERVING_FACT, SERVING_STRING_WIDTHS
 
 
-def to_serving(rel: DataFrame, contract=SERVING_FACT) -> DataFrame:
-    """Select the contract's columns by name (a folder column such as
-    ``year_month`` is dropped) and cast each with ``try_cast`` - a value that
-    does not fit becomes NULL instead of failing the job (ANSI mode)."""
-    return rel.select(*[F.col(c).try_cast(t).alias(c) for c, t, _ in contract])
+def to_serving(rel: DataFrame, contract=SERVING_FACT, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Select the contract's columns by name (plus ``extra`` ones as they are)
+    and cast each with ``try_cast`` - a value that does not fit becomes NULL
+    instead of failing the job (ANSI mode).  Decimals are rounded half up to
+    the contract's scale; ``contract_rounding`` counts the values this
+    changes."""
+    return rel.select(*[F.col(c).try_cast(t).alias(c) for c, t, _ in contract], *extra)
+
+
+def _stacked(rel: DataFrame, checks: list[tuple[str, Column]]) -> DataFrame:
+    agg = rel.agg(*[F.count(F.when(x, 1)).alias(n) for n, x in checks])
+    pairs = ", ".join(f"'{n}', `{n}`" for n, _ in checks)
+    return agg.selectExpr(f"stack({len(checks)}, {pairs}) AS (check_name, failures)")
 
 
 def contract_violations(rel: DataFrame, contract=SERVING_FACT,
@@ -27,9 +35,26 @@ def contract_violations(rel: DataFrame, contract=SERVING_FACT,
             checks.append((f"not_null_{c}", F.col(c).isNull()))
     for c, w in widths.items():
         checks.append((f"width_{c}", F.length(F.col(c)) > w))
-    agg = rel.agg(*[F.count(F.when(x, 1)).alias(n) for n, x in checks])
-    pairs = ", ".join(f"'{n}', `{n}`" for n, _ in checks)
-    return agg.selectExpr(f"stack({len(checks)}, {pairs}) AS (check_name, failures)")
+    return _stacked(rel, checks)
+
+
+def contract_rounding(rel: DataFrame, contract=SERVING_FACT) -> DataFrame:
+    """Per decimal column, the rows whose value the contract's scale rounds."""
+    checks = []
+    for c, t, _ in contract:
+        if t.startswith("decimal"):
+            checks.append((f"rounded_{c}", F.col(c).try_cast(t) != F.col(c)))
+    return _stacked(rel, checks)
+
+
+def dim_violations(dim: DataFrame, name: str) -> DataFrame:
+    """Contract violations of a serving dimension, with key uniqueness."""
+    table = SERVING_DIMS[name]
+    repeated = (dim.groupBy(table.key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                .agg(F.count(F.lit(1)).alias("failures"))
+                .select(F.lit(f"dim_{name}_unique_{table.key}").alias("check_name"), "failures"))
+    rules = contract_violations(dim, table.columns, table.widths)
+    return rules.withColumn("check_name", F.concat(F.lit(f"dim_{name}_"), "check_name")).unionByName(repeated)
 
 
 def trips_per_period(fact: DataFrame, dim_date: DataFrame) -> DataFrame:

@@ -41,4 +41,4 @@ def unmatched_treated_names(zone_ref: DataFrame, cfg: PipelineConfig) -> DataFra
     names = inline_table(zone_ref.sparkSession, [(n,) for n in cfg.treated_zones],
                          [("zone", "string")])
     matched = zone_ref.filter(F.col("borough").isin(list(cfg.treated_boroughs))).select("zone")
-    return names.join(F.broadcast(matched), "zone", "left_anti")
+    return names.join(matched, "zone", "left_anti")

@@ -1,22 +1,25 @@
 """Write - audit - publish.
 
-``run_build`` writes the dimensions and a *staged* fact, runs the gate on
-the staged files, and only when every check passes publishes: the staged
-folder becomes the catalog table (metadata only - no second copy of the
-fact), partitions are registered and statistics gathered, and the typed
-serving table is written.  A failing gate raises ``GateFailed`` listing every
-failure; nothing is published.
+Every ``run_build`` writes into a folder of its own, ``<out_root>/runs/<id>``:
+the dimensions, the fact and the typed serving tables.  The gate and the
+serving contracts are checked there.  Only when every check passes does the
+build switch the catalog tables to the new folder (metadata only) and register
+partitions and statistics.  A failing check raises ``GateFailed`` with every
+failure and its details; published tables keep pointing at the folder of the
+last good run, which no later run writes to.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cordon.operators import quality, serving
 from cordon.plans.warehouse import Warehouse, read_fact, write_fact
-from cordon.schemas import SERVING_FACT
+from cordon.schemas import FACT_PARTITION, SERVING_DIMS, SERVING_FACT
 
 
 @dataclass
@@ -24,15 +27,32 @@ class BuildResult:
     fact_path: str
     serving_path: str
     report: list[tuple[str, int]]
+    dim_paths: dict[str, str] = field(default_factory=dict)
+    serving_dim_paths: dict[str, str] = field(default_factory=dict)
+
+
+def contract_schema(contract) -> str:
+    return ", ".join(f"{c} {t}" for c, t, _ in contract)
 
 
 def publish_serving(fact: DataFrame, path: str) -> DataFrame:
-    """Typed serving copy of the fact (contract columns only), read back
-    with the contract schema."""
-    typed = serving.to_serving(fact)
-    typed.write.mode("overwrite").parquet(path)
-    schema = ", ".join(f"{c} {t}" for c, t, _ in SERVING_FACT)
-    return fact.sparkSession.read.schema(schema).parquet(path)
+    """Typed serving copy of the fact, laid out like the serving table's sort
+    key: a folder per month, rows range-partitioned and sorted by (date,
+    pickup zone) inside, so a date range reads few folders and row groups.
+    The month is a folder only; the contract's columns are read back."""
+    typed = serving.to_serving(fact, extra=(FACT_PARTITION,))
+    keys = ["date_key", "pu_zone_key"]
+    (typed.repartitionByRange(*keys, "trip_key").sortWithinPartitions(*keys)
+     .write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path))
+    schema = contract_schema(SERVING_FACT) + f", {FACT_PARTITION} string"
+    return fact.sparkSession.read.schema(schema).parquet(path).drop(FACT_PARTITION)
+
+
+def publish_serving_dim(dim: DataFrame, name: str, path: str) -> DataFrame:
+    """Typed serving copy of a dimension, read back with its contract."""
+    contract = SERVING_DIMS[name].columns
+    serving.to_serving(dim, contract).write.mode("overwrite").parquet(path)
+    return dim.sparkSession.read.schema(contract_schema(contract)).parquet(path)
 
 
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = True,
@@ -56,18 +76,11 @@ def add_partition(spark: SparkSession, table: str, column: str, value: str, path
               f"LOCATION '{path}'")
 
 
-class ResultTooLarge(ValueError):
-    pass
-
-
-def fetch_small(df: DataFrame, max_rows: int = 100_000) -> list[dict]:
-    """Rows of a small result as dicts for a client (S15).  Reads at most
-    ``max_rows + 1`` rows and refuses a larger result instead of pulling an
-    unbounded one through the driver."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ResultTooLarge(f"result has more than {max_rows} rows; write it instead")
-    return [r.asDict() for r in rows]
+def iterate_result(df: DataFrame) -> Iterator[dict]:
+    """Rows of a result as dicts for a client (S15), one partition at a time:
+    the driver never holds more than a partition of it."""
+    for r in df.toLocalIterator():
+        yield r.asDict()
 
 
 def export_csv(results: dict[str, DataFrame], root: str) -> dict[str, str]:
@@ -81,18 +94,31 @@ def export_csv(results: dict[str, DataFrame], root: str) -> dict[str, str]:
 
 
 def run_build(wh: Warehouse, out_root: str, table: str | None = None) -> BuildResult:
+    """Build, audit and publish once.  ``table`` (``db.fact``) also publishes
+    each dimension as ``db.dim_<name>``."""
     spark = wh.spark
+    run = f"{out_root}/runs/{uuid.uuid4().hex}"
+    dim_paths = {}
     for name, df in wh.dims.items():
-        df.write.mode("overwrite").parquet(f"{out_root}/dim_{name}")
-    staged = f"{out_root}/_staging/fact_trips"
-    write_fact(wh.fact_plan, staged)
-    fact = read_fact(spark, staged, wh.fact_plan.schema)
+        dim_paths[name] = f"{run}/dim_{name}"
+        df.write.parquet(dim_paths[name])
+    fact_path, serving_path = f"{run}/fact_trips", f"{run}/serving/fact_trips"
+    write_fact(wh.fact_plan, fact_path)
+    fact = read_fact(spark, fact_path, wh.fact_plan.schema)
     report = quality.enforce(quality.gate_report(wh.raw, fact, wh.dims, wh.cfg))
-    # the serving contract (types, NOT NULL, widths) is audited too before
-    # anything is published
+    # the serving contracts (types, NOT NULL, widths, keys) are audited too
+    # before anything is published
     report += quality.enforce(serving.contract_violations(fact))
-    if table:
-        register_table(spark, table, staged)
-    serving_path = f"{out_root}/serving/fact_trips"
+    for name, df in wh.dims.items():
+        report += quality.enforce(serving.dim_violations(df, name))
     publish_serving(fact, serving_path)
-    return BuildResult(staged, serving_path, report)
+    serving_dims = {}
+    for name, df in wh.dims.items():
+        serving_dims[name] = f"{run}/serving/dim_{name}"
+        publish_serving_dim(df, name, serving_dims[name])
+    if table:
+        for name, path in dim_paths.items():
+            register_table(spark, f"{table.rsplit('.', 1)[0]}.dim_{name}" if "." in table else f"dim_{name}",
+                           path, partitioned=False)
+        register_table(spark, table, fact_path)
+    return BuildResult(fact_path, serving_path, report, dim_paths, serving_dims)

@@ -42,3 +42,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for one written table."""
     app = spark.sparkContext.applicationId
     return f"{checkpoint_root(spark)}/cordon/{app}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what this application has written under the checkpoint folder
+    (call it when no frame that reads those tables is needed any more)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{checkpoint_root(spark)}/cordon/{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

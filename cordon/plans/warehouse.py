@@ -21,7 +21,7 @@ from cordon.config import TPCH_TRIPS, PipelineConfig
 from cordon.operators import dims as D
 from cordon.operators import fact as FT
 from cordon.operators import panel as panel_ops
-from cordon.operators.broadcast import bounded, checked_broadcast
+from cordon.operators.broadcast import bounded
 from cordon.operators.zones import classify_zones
 from cordon.plans.scratch import scratch_path
 from cordon.schemas import FACT_PARTITION
@@ -97,8 +97,8 @@ class Warehouse:
 
     @cached_property
     def dim_zone(self) -> DataFrame:
-        """Zone dimension, broadcast only after its row count is checked."""
-        return checked_broadcast(D.dim_zone(self.zone_ref), self.cfg.max_broadcast_rows)
+        """Zone dimension; the planner broadcasts it by its measured size."""
+        return D.dim_zone(self.zone_ref)
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -174,6 +174,12 @@ class Warehouse:
             path = self.zone_day_path
         return self.spark.read.parquet(path)
 
+    def build(self) -> Warehouse:
+        """Write the raw landing, the fact and the zone x day table now, as an
+        explicit step; queries otherwise write them when first read."""
+        _ = (self.raw, self.fact, self.zone_day)
+        return self
+
 
 _CACHE: dict = {}
 _CACHE_LOCK = threading.Lock()

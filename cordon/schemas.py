@@ -6,6 +6,8 @@ physical drift does not break the read) instead of inference.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import types as T
 
 # Raw trip table as declared over the monthly Parquet files.
@@ -67,3 +69,36 @@ SERVING_FACT = (
     ("pu_is_cbd", "smallint", True),
 )
 SERVING_STRING_WIDTHS = {"trip_key": 32}
+
+
+@dataclass(frozen=True)
+class ServingTable:
+    """Contract of a serving dimension: (column, type, nullable), the key that
+    must be unique, and widths of the string columns."""
+
+    columns: tuple[tuple[str, str, bool], ...]
+    key: str
+    widths: dict[str, int]
+
+
+# The serving dimensions' types and widths.
+SERVING_DIMS = {
+    "zone": ServingTable((
+        ("zone_key", "int", False), ("location_id", "int", False), ("borough", "string", True),
+        ("zone", "string", True), ("service_zone", "string", True), ("is_cbd", "smallint", False)),
+        "zone_key", {"borough": 64, "zone": 128, "service_zone": 64}),
+    "date": ServingTable((
+        ("date_key", "int", False), ("date", "date", False), ("year", "smallint", False),
+        ("month", "smallint", False), ("dow", "smallint", False), ("year_month", "string", False),
+        ("is_weekend", "smallint", False), ("period", "string", False)),
+        "date_key", {"year_month": 7, "period": 8}),
+    "time": ServingTable((
+        ("time_key", "smallint", False), ("hour", "smallint", False), ("daypart", "string", False)),
+        "time_key", {"daypart": 16}),
+    "payment": ServingTable((
+        ("payment_key", "smallint", False), ("payment_desc", "string", True)), "payment_key", {"payment_desc": 32}),
+    "ratecode": ServingTable((
+        ("ratecode_key", "smallint", False), ("ratecode_desc", "string", True)), "ratecode_key", {"ratecode_desc": 32}),
+    "vendor": ServingTable((
+        ("vendor_key", "smallint", False), ("vendor_desc", "string", True)), "vendor_key", {"vendor_desc": 64}),
+}

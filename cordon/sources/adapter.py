@@ -25,28 +25,20 @@ Money stays in exact decimals so that sums are identical in any engine.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cordon.functions import add_minutes, month_label, ntz
+from cordon.functions import add_minutes, month_label
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tpch_raw_trips(
-    spark: SparkSession,
-    sf_dir: str,
-    raw_window: tuple[dt.date, dt.date] | None = None,
-) -> DataFrame:
-    """Raw trips with the declared raw column names plus ``trip_month``.
-
-    ``raw_window`` (optional) keeps only pickups in [start, end); it exists to
-    reproduce a published small fixture in tests, the default is every row.
-    """
+def tpch_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips with the declared raw column names plus ``trip_month``, one
+    or two per line item: a line item without an order, supplier or customer
+    stays, with NULLs that the cleaning and the orphan checks then find."""
     li = _t(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_discount")
@@ -59,9 +51,9 @@ def tpch_raw_trips(
     # that grows with the data.  Supplier and customer are left to the
     # planner: broadcast only while their measured size is under the
     # broadcast threshold, otherwise shuffle joins.
-    j = (li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey)
-           .join(supp, li.l_suppkey == supp.s_suppkey)
-           .join(cust, orders.o_custkey == cust.c_custkey))
+    j = (li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey, "left")
+           .join(supp, li.l_suppkey == supp.s_suppkey, "left")
+           .join(cust, orders.o_custkey == cust.c_custkey, "left"))
 
     ln4 = F.col("l_linenumber") % 4
     vendor = (F.when(ln4 == 0, 1).when(ln4 == 1, 2).when(ln4 == 2, 6).otherwise(7)).cast("bigint")
@@ -115,10 +107,6 @@ def tpch_raw_trips(
         F.lit(0).cast("decimal(12,2)").alias("airport_fee"),
         month_label("tpep_pickup_datetime").alias("trip_month"),
     )
-    if raw_window is not None:
-        lo, hi = raw_window
-        raw = raw.filter((F.col("tpep_pickup_datetime") >= ntz(lo))
-                         & (F.col("tpep_pickup_datetime") < ntz(hi)))
     return raw
 
 

@@ -1,41 +1,48 @@
 """Idempotent monthly ingest.
 
 A landing area holds monthly raw files (``trip_month=YYYY-MM/``); the raw
-store receives every month it does not have yet.  Months already present
-are skipped, so re-running is a no-op.  The pending months are found with a
-left anti join of the two month lists and the landing rows are selected with
-a semi join on them - dynamic partition pruning then reads only the pending
-months' folders.  Writes use dynamic partition overwrite, so a month is
-replaced whole if a half-written attempt is retried.
+store receives every month it has not taken yet.  A month counts as taken only
+by its marker, a row in ``<store>/_months`` that is written after the month's
+rows are committed.  A run that breaks between the two leaves no marker, so the
+next run writes that month again, whole: dynamic partition overwrite replaces
+what the broken run left.  Re-running with nothing pending writes nothing.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cordon.schemas import RAW_PARTITION
-from cordon.sources.raw import read_raw_trips, write_raw_months
+from cordon.sources.raw import list_months, read_raw_trips, write_raw_months
 
+MARKER = f"{RAW_PARTITION} string, rows long"
 
-def _months(spark: SparkSession, root: str) -> DataFrame:
+
+def taken_months(spark: SparkSession, store: str) -> DataFrame:
+    """(trip_month, rows) of the months whose rows are committed."""
     try:
-        return read_raw_trips(spark, root).select(RAW_PARTITION).distinct()
-    except Exception as e:  # an empty or missing store has no months
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], f"{RAW_PARTITION} string")
-        raise
+        return spark.read.schema(MARKER).parquet(f"{store}/_months")
+    except AnalysisException as e:  # the first run
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MARKER)
 
 
 def pending_months(spark: SparkSession, landing: str, store: str) -> DataFrame:
-    return _months(spark, landing).join(_months(spark, store), RAW_PARTITION, "left_anti")
+    return list_months(spark, landing).join(taken_months(spark, store), RAW_PARTITION, "left_anti")
 
 
 def ingest_pending(spark: SparkSession, landing: str, store: str) -> DataFrame:
-    """Copy months present in ``landing`` but not in ``store``; returns the
-    months copied with their row counts."""
-    todo = pending_months(spark, landing, store)
-    rows = read_raw_trips(spark, landing).join(F.broadcast(todo), RAW_PARTITION, "left_semi")
-    write_raw_months(rows, store, mode="append", layout="local")
-    return (read_raw_trips(spark, store).join(F.broadcast(todo), RAW_PARTITION, "left_semi")
+    """Copy the pending months of ``landing``; returns them with their row
+    counts."""
+    todo = sorted(r[RAW_PARTITION] for r in pending_months(spark, landing, store).collect())
+    if not todo:
+        return spark.createDataFrame([], MARKER)
+    rows = read_raw_trips(spark, landing).filter(F.col(RAW_PARTITION).isin(todo))
+    write_raw_months(rows, store, layout="local")
+    done = (read_raw_trips(spark, store, uniform=True).filter(F.col(RAW_PARTITION).isin(todo))
             .groupBy(RAW_PARTITION).agg(F.count(F.lit(1)).alias("rows")))
+    done.write.mode("append").parquet(f"{store}/_months")
+    return taken_months(spark, store).filter(F.col(RAW_PARTITION).isin(todo))

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cordon.schemas import RAW_PARTITION, RAW_TRIPS, ZONE_LOOKUP
+from cordon.schemas import RAW_PARTITION, RAW_TRIPS, RAW_TRIPS_PARTITIONED, ZONE_LOOKUP
 
 
-def _conform_read(df: DataFrame, schema) -> DataFrame:
+def conform_read(df: DataFrame, schema) -> DataFrame:
     present = {c.lower(): c for c in df.columns}
     cols = []
     for f in schema.fields:
@@ -22,29 +22,46 @@ def _conform_read(df: DataFrame, schema) -> DataFrame:
     return df.select(*cols)
 
 
-def read_raw_trips(spark: SparkSession, root: str, schema=RAW_TRIPS) -> DataFrame:
+def list_months(spark: SparkSession, root: str) -> DataFrame:
+    """The month folders under ``root``: the read has the partition column
+    only, so no data column is decoded."""
+    return (spark.read.schema(f"{RAW_PARTITION} string").option("basePath", root).parquet(root)
+            .select(RAW_PARTITION).distinct())
+
+
+def month_schemas(spark: SparkSession, root: str) -> list[tuple[T.StructType, list[str]]]:
+    """The distinct physical schemas of the month folders and their months
+    (one footer is read per month)."""
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for r in sorted(list_months(spark, root).collect()):
+        month = r[RAW_PARTITION]
+        own = spark.read.parquet(f"{root}/{RAW_PARTITION}={month}").schema
+        groups.setdefault(own.json(), (own, []))[1].append(month)
+    return list(groups.values())
+
+
+def read_raw_trips(spark: SparkSession, root: str, schema=RAW_TRIPS, uniform: bool = False) -> DataFrame:
     """Monthly Parquet under ``root/trip_month=YYYY-MM/``.
 
-    Partitions are discovered from the folder names; the partition column is
-    read as a string.  Each column is taken by its declared name (any case)
-    and cast to the declared type; a column missing from some files reads as
-    NULL.  When months store a column in incompatible physical types (INT in
-    one month, DOUBLE in another) the files cannot share one schema: then
-    each month is read with its own schema, normalised the same way, and the
-    months are unioned - one scan per month instead of one in total.
+    Each column is taken by its declared name (any case) and cast to the
+    declared type; a column missing from a month reads as NULL.  Months may
+    store a column in different physical types (INT in one, DOUBLE in
+    another): months of one physical schema are one scan, and the scans are
+    unioned, so the plan grows with the number of schemas, not of months.
+    ``uniform`` says that all files were written in the declared types: one
+    scan with that schema, no footer read while planning.
     """
-    reader = spark.read.option("basePath", root).option("mergeSchema", "true")
-    try:
-        return _conform_read(reader.parquet(root), schema)
-    except Exception as e:  # incompatible physical types across files
-        if "merge" not in str(e).lower():
-            raise
-    files = spark.read.option("basePath", root).parquet(root).inputFiles()
-    months: dict[str, list[str]] = {}
-    for f in files:
-        m = re.search(rf"{RAW_PARTITION}=([^/]+)/", f)
-        months.setdefault(m.group(1) if m else "", []).append(f)
-    parts = [_conform_read(reader.parquet(*fs), schema) for _, fs in sorted(months.items())]
+    if uniform:
+        declared = T.StructType([*schema.fields, T.StructField(RAW_PARTITION, T.StringType())])
+        return spark.read.schema(declared).parquet(root)
+    parts = []
+    for own, months in month_schemas(spark, root):
+        full = T.StructType([*own.fields, T.StructField(RAW_PARTITION, T.StringType())])
+        folders = [f"{root}/{RAW_PARTITION}={m}" for m in months]
+        scan = spark.read.option("basePath", root).schema(full).parquet(*folders)
+        parts.append(conform_read(scan, schema))
+    if not parts:
+        return spark.createDataFrame([], RAW_TRIPS_PARTITIONED)
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -54,8 +71,8 @@ def conform_raw(raw: DataFrame, schema=RAW_TRIPS) -> DataFrame:
                       F.col(RAW_PARTITION))
 
 
-RANGE_KEYS = (RAW_PARTITION, "tpep_pickup_datetime", "PULocationID", "VendorID",
-              "total_amount", "tpep_dropoff_datetime", "DOLocationID", "fare_amount")
+#: Month for the folders, the others so that one month's rows can be split.
+RANGE_KEYS = (RAW_PARTITION, "tpep_pickup_datetime", "PULocationID", "total_amount")
 
 
 def write_raw_months(raw: DataFrame, root: str, mode: str = "overwrite",
@@ -64,10 +81,10 @@ def write_raw_months(raw: DataFrame, root: str, mode: str = "overwrite",
     types; dynamic partition overwrite replaces only the months present in
     ``raw``.
 
-    ``range``: range-partition on (month, pickup time, zone, ...) - each task
-    writes a contiguous slice of one or two months, and a month (or a pickup
-    instant) holding a large share of the rows is split across tasks.  For
-    input whose rows arrive mixed across months (a join's output).
+    ``range``: range-partition on month and splitting keys - each task writes
+    a contiguous slice of one or two months, and a month holding a large
+    share of the rows is split across tasks.  For input whose rows arrive
+    mixed across months (a join's output).
     ``local``: no shuffle - each task writes what it read.  For copying
     monthly files, where every input split already belongs to one month, so
     each task writes a single file and split sizes bound the task size.

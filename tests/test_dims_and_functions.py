@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cordon.config import TAXI
@@ -39,21 +40,16 @@ def test_scalar_functions(spark):
                   trip_key(F.lit(None), "a", F.lit(161), F.lit(12.5)).alias("nk")).first()
     import hashlib
     assert r.m == 0 and r.w == 7 and r.p == "AM peak"
-    assert r.k == hashlib.md5(b"1|2024-01-01 00:00:50.000|161|12.50").hexdigest().upper()
+    assert r.k == hashlib.md5(b"1|2024-01-01 00:00:50.000000|161|12.5").hexdigest().upper()
     assert r.nk is None
 
 
-def test_checked_broadcast_falls_back_above_bound(spark):
-    from cordon.operators.broadcast import checked_broadcast
-    small = spark.range(5)
-    big = spark.range(50)
-    j_small = spark.range(100).join(checked_broadcast(small, 10), "id")
-    j_big = spark.range(100).join(checked_broadcast(big, 10), "id")
-    plan_small = j_small._jdf.queryExecution().optimizedPlan().toString()
-    plan_big = j_big._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan_small.lower()
-    assert "broadcast" not in plan_big.lower()
-    assert j_small.count() == 5 and j_big.count() == 50
+def test_trip_keys_differ_where_amounts_differ(spark):
+    rows = spark.sql("""SELECT timestamp_ntz'2024-01-01 00:00:50' a, CAST(v AS DECIMAL(14,4)) v
+                        FROM VALUES ('10.001'), ('10.004') t(v)""")
+    keys = {r.k for r in rows.select(trip_key(F.lit(1), "a", F.lit(161), "v").alias("k")).collect()}
+    late = rows.select(trip_key(F.lit(1), F.expr("a + INTERVAL '0.000001' SECOND"), F.lit(161), "v").alias("k"))
+    assert len(keys | {r.k for r in late.collect()}) == 4
 
 
 def test_inline_table_quoting(spark):
@@ -78,8 +74,8 @@ def test_checkpoint_root_reads_setting_or_falls_back():
             return self.v if k == "spark.checkpoint.dir" else d
 
     class SC:
-        def __init__(self, app, v):
-            self.applicationId, self._conf, self.dirs = app, Conf(v), []
+        def __init__(self, app, v, master="local[2]"):
+            self.applicationId, self._conf, self.dirs, self.master = app, Conf(v), [], master
 
         def getConf(self):
             return self._conf
@@ -99,3 +95,6 @@ def test_checkpoint_root_reads_setting_or_falls_back():
     assert "cordon-ckpt-" in root and local.dirs == [root]
     assert scratch.checkpoint_root(S(local)) == root and len(local.dirs) == 1
     assert scratch.scratch_path(S(local), "t").startswith(root + "/cordon/app-local/t-")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.checkpoint_root(S(SC(f"app-{master}", None, master)))

@@ -47,16 +47,21 @@ def test_order_and_partitioning_invariance(spark, base):
     assert _fact_rows(one) == _fact_rows(two)
 
 
-def test_duplicate_key_forms_agree(spark, base):
+def test_duplicate_keys_in_one_scan_and_shuffle(spark, base):
     from cordon.operators import quality
     raw, zones = base
     wh = Warehouse(spark, TPCH_TRIPS, raw, zones, materialize=False)
     doubled = wh.fact.unionByName(wh.fact.limit(37))
-    for f in (wh.fact, doubled):
-        a = quality.duplicate_keys(f, method="hash").first().failures
-        b = quality.duplicate_keys(f, method="exact").first().failures
-        assert a == b
+    assert quality.duplicate_keys(wh.fact).first().failures == 0
     assert quality.duplicate_keys(doubled).first().failures == 37
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = quality.duplicate_keys(spark.range(9).select(F.md5(F.col("id").cast("string")).alias("trip_key")))
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 1 and text.count("Range (") == 1 and "Join" not in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_boundary_baseline_equals_did_volume(spark, base):

@@ -1,5 +1,7 @@
 """Write-audit-publish, the gate, and idempotent batch/streaming ingest."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from cordon.config import TPCH_TRIPS
 from cordon.operators import quality
 from cordon.plans.build import run_build
 from cordon.plans.warehouse import Warehouse
+from cordon.schemas import SERVING_FACT
 from cordon.sources import read_raw_trips, tpch_raw_trips, tpch_zone_lookup, write_raw_months
 from cordon.sources.ingest import ingest_pending
 from cordon.streaming import stream_ingest
@@ -22,7 +25,7 @@ def test_build_publishes_when_gate_passes(spark, tmp_dir):
     assert n == wh.fact.count()
     serving = spark.read.parquet(res.serving_path)
     assert serving.schema["tip_pct"].dataType.simpleString() == "decimal(6,4)"
-    assert "year_month" not in serving.columns
+    assert [c for c in serving.columns if c != "year_month"] == [c for c, _, _ in SERVING_FACT]
 
 
 def test_build_stops_on_failure(spark, tmp_dir):
@@ -31,15 +34,76 @@ def test_build_stops_on_failure(spark, tmp_dir):
     with pytest.raises(quality.GateFailed) as e:
         run_build(wh, tmp_dir)
     assert "orphan_payment" in str(e.value)
-    import os
-    assert not os.path.exists(f"{tmp_dir}/serving/fact_trips")
+    assert not glob.glob(f"{tmp_dir}/runs/*/serving")
+
+
+def test_failed_build_leaves_the_published_tables(spark, tmp_dir):
+    raw, zones = tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001)
+    good = run_build(Warehouse(spark, TPCH_TRIPS, raw, zones), tmp_dir, table="cordon_safe.fact_trips")
+    n = spark.table("cordon_safe.fact_trips").count()
+    bad = Warehouse(spark, TPCH_TRIPS, raw.withColumn("payment_type", F.lit(77).cast("bigint")), zones)
+    with pytest.raises(quality.GateFailed):
+        run_build(bad, tmp_dir, table="cordon_safe.fact_trips")
+    after = spark.table("cordon_safe.fact_trips")
+    assert after.count() == n and after.filter("payment_key = 77").count() == 0
+    assert spark.table("cordon_safe.dim_payment").count() == len(TPCH_TRIPS.payment_codes)
+    again = run_build(Warehouse(spark, TPCH_TRIPS, raw, zones), tmp_dir, table="cordon_safe.fact_trips")
+    assert again.fact_path != good.fact_path and spark.table("cordon_safe.fact_trips").count() == n
+    fact = spark.read.parquet(good.serving_path)
+    assert fact.count() == n  # the earlier run's files stay as they were
+
+
+def test_gate_failure_carries_its_figures(spark):
+    wh = Warehouse(spark, TPCH_TRIPS, tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001))
+    few = wh.fact.filter("time_key < 12")
+    with pytest.raises(quality.GateFailed) as e:
+        quality.enforce(quality.gate_report(wh.raw, few, wh.dims, TPCH_TRIPS))
+    assert "fact_rows=" in e.value.details["row_reconciliation"] and "raw_rows=" in str(e.value)
+
+
+@pytest.mark.parametrize("name", ["zone", "date", "time", "payment", "ratecode", "vendor"])
+def test_serving_dimensions(spark, tmp_dir, name):
+    from cordon.operators import serving
+    from cordon.plans.build import publish_serving_dim
+    from cordon.schemas import SERVING_DIMS
+    wh = Warehouse(spark, TPCH_TRIPS, tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001))
+    dim = wh.dims[name]
+    assert {r.failures for r in serving.dim_violations(dim, name).collect()} == {0}
+    twice = {r.check_name: r.failures for r in serving.dim_violations(dim.unionByName(dim), name).collect()}
+    key = SERVING_DIMS[name].key
+    assert twice[f"dim_{name}_unique_{key}"] == dim.count()
+    got = publish_serving_dim(dim, name, f"{tmp_dir}/{name}")
+    assert got.dtypes == [(c, t) for c, t, _ in SERVING_DIMS[name].columns] and got.count() == dim.count()
+
+
+def test_serving_fact_is_laid_out_by_month(spark, tmp_dir):
+    from cordon.plans.build import publish_serving
+    wh = Warehouse(spark, TPCH_TRIPS, tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001))
+    got = publish_serving(wh.fact, f"{tmp_dir}/s")
+    assert glob.glob(f"{tmp_dir}/s/year_month=1998-03") and "year_month" not in got.columns
+    assert got.count() == wh.fact.count()
+
+
+def test_half_written_month_is_completed(spark, tmp_dir):
+    """A run that broke after some rows of a month: the next run replaces the
+    month whole, and takes it only once."""
+    raw = tpch_raw_trips(spark, SF001).filter("trip_month in ('1999-01', '1999-02')")
+    landing, store = f"{tmp_dir}/landing", f"{tmp_dir}/store"
+    write_raw_months(raw, landing)
+    half = read_raw_trips(spark, landing, uniform=True).filter("trip_month = '1999-01'").limit(11)
+    write_raw_months(half, store)
+    assert ingest_pending(spark, landing, store).count() == 2
+    got = read_raw_trips(spark, store, uniform=True)
+    assert got.exceptAll(read_raw_trips(spark, landing, uniform=True)).count() == 0 and got.count() == raw.count()
+    assert ingest_pending(spark, landing, store).count() == 0
 
 
 def test_batch_ingest_is_idempotent(spark, tmp_dir):
     raw = tpch_raw_trips(spark, SF001)
     landing, store = f"{tmp_dir}/landing", f"{tmp_dir}/store"
     early = raw.filter(F.col("trip_month") < "1998-01")
-    write_raw_months(early, store)
+    write_raw_months(early, landing)
+    ingest_pending(spark, landing, store)
     write_raw_months(raw, landing)
     copied = {r.trip_month for r in ingest_pending(spark, landing, store).collect()}
     assert copied and min(copied) >= "1998-01"
@@ -53,8 +117,7 @@ def test_stream_ingest_is_idempotent(spark, tmp_dir):
     write_raw_months(raw, landing)
     store, ckpt = f"{tmp_dir}/s_store", f"{tmp_dir}/ckpt"
     stream_ingest(spark, landing, store, ckpt)
-    stream_ingest(spark, landing, store, ckpt)
-    assert read_raw_trips(spark, store).count() == raw.count()
+    assert stream_ingest(spark, landing, store, ckpt).count() == raw.count()
 
 
 def test_export_csv(spark, tmp_dir):
@@ -84,28 +147,25 @@ def test_taxi_warehouse_reads_files(spark, tmp_dir):
             quality.gate_report(wh.raw, wh.fact, wh.dims, TPCH_TRIPS).collect()}["orphan_date"] == 0
 
 
-def test_month_pruning_and_catalog_drift(spark, tmp_dir):
-    from cordon.operators.fact import clean
+def test_catalog_drift_and_partitions(spark, tmp_dir):
     from cordon.plans.build import add_partition, register_table
-    raw = tpch_raw_trips(spark, SF001)
     root = f"{tmp_dir}/raw"
-    write_raw_months(raw, root)
-    files = read_raw_trips(spark, root)
-    cfg = TPCH_TRIPS.with_(prune_raw_months=True)
-    pruned = clean(files, cfg)
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "trip_month" in plan
-    assert pruned.count() == clean(files, TPCH_TRIPS).count()
+    write_raw_months(tpch_raw_trips(spark, SF001), root)
     register_table(spark, "cordon_test.raw_trips", root, analyze=False)
     assert quality.schema_drift_table(spark, "cordon_test.raw_trips").first().failures == 0
     add_partition(spark, "cordon_test.raw_trips", "trip_month", "1995-01", f"{root}/trip_month=1995-01")
 
 
-def test_fetch_small(spark):
-    from cordon.plans.build import ResultTooLarge, fetch_small
-    assert fetch_small(spark.range(3)) == [{"id": 0}, {"id": 1}, {"id": 2}]
-    with pytest.raises(ResultTooLarge):
-        fetch_small(spark.range(10), max_rows=5)
+def test_rows_filed_under_another_month_are_kept(spark):
+    from cordon.operators.fact import clean
+    raw = tpch_raw_trips(spark, SF001)
+    moved = raw.withColumn("trip_month", F.lit("2010-01"))
+    assert clean(moved, TPCH_TRIPS).count() == clean(raw, TPCH_TRIPS).count()
+
+
+def test_iterate_result(spark):
+    from cordon.plans.build import iterate_result
+    assert list(iterate_result(spark.range(3))) == [{"id": 0}, {"id": 1}, {"id": 2}]
 
 
 def test_raw_read_survives_type_drift(spark, tmp_dir):
@@ -122,3 +182,13 @@ def test_raw_read_survives_type_drift(spark, tmp_dir):
         "trip_month").collect())
     assert [tuple(r) for r in rows] == [(1, 2.0, 3.0, 4.5, None, "2024-01"),
                                         (2, 2.0, 3.5, 5.0, 1.0, "2024-02")]
+
+
+def test_stream_survives_type_drift(spark, tmp_dir):
+    spark.sql("SELECT 1L AS VendorID, 2 AS passenger_count, 4.5D AS fare_amount").write.parquet(
+        f"{tmp_dir}/l/trip_month=2024-01")
+    spark.sql("SELECT 2L AS VendorID, 3.0D AS passenger_count, 5L AS fare_amount").write.parquet(
+        f"{tmp_dir}/l/trip_month=2024-02")
+    got = stream_ingest(spark, f"{tmp_dir}/l", f"{tmp_dir}/s", f"{tmp_dir}/c")
+    assert sorted((r.VendorID, r.passenger_count, r.fare_amount, r.trip_month) for r in got.collect()) == [
+        (1, 2.0, 4.5, "2024-01"), (2, 3.0, 5.0, "2024-02")]
