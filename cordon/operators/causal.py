@@ -25,6 +25,32 @@ def _cell(flag: int, period: str, value: str) -> Column:
     return F.max(F.when((F.col("_g") == flag) & (F.col("_p") == period), F.col(value)))
 
 
+def _cells(value: str, pre: str = "pre", post: str = "post", prefix: str = "") -> list[Column]:
+    """The four cells of a 2x2 as columns of one row."""
+    return [_cell(g, p, value).alias(f"{prefix}{n}_{w}")
+            for g, n in ((1, "treated"), (0, "control")) for p, w in ((pre, "pre"), (post, "post"))]
+
+
+def _change(group: str, prefix: str = "") -> Column:
+    return F.col(f"{prefix}{group}_post") - F.col(f"{prefix}{group}_pre")
+
+
+def _did(prefix: str = "") -> Column:
+    """Change of the treated group over the change of the control group."""
+    return _change("treated", prefix) - _change("control", prefix)
+
+
+def rounded(df: DataFrame, digits: int | dict[str, int]) -> DataFrame:
+    """Display variant of a result: DOUBLE columns rounded (``digits``: one
+    number, or by column; columns not named stay)."""
+    out = []
+    for f in df.schema.fields:
+        n = digits if isinstance(digits, int) else digits.get(f.name)
+        out.append(F.round(f.name, n).alias(f.name) if f.dataType.typeName() == "double" and n is not None
+                   else F.col(f.name))
+    return df.select(*out)
+
+
 def _period(cutoff: dt.date | None, pre: str = "pre", post: str = "post") -> Column:
     if cutoff is None:
         return F.col("period")
@@ -48,32 +74,20 @@ def volume_cells(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
         (_d("trips") / (F.col("days") * F.col("n_zones")).cast("double")).alias("rate"))
 
 
-def _did_row(cells: DataFrame, pre: str, post: str) -> DataFrame:
-    p = cells.agg(_cell(1, pre, "rate").alias("t_pre"), _cell(1, post, "rate").alias("t_post"),
-                  _cell(0, pre, "rate").alias("c_pre"), _cell(0, post, "rate").alias("c_post"))
-    t_ch = F.col("t_post") - F.col("t_pre")
-    c_ch = F.col("c_post") - F.col("c_pre")
-    return p.select(
-        "t_pre", "t_post", "c_pre", "c_post",
-        t_ch.alias("treated_change"), c_ch.alias("control_change"),
-        (t_ch - c_ch).alias("did_estimate"),
-        (F.lit(100.0) * (t_ch - c_ch) / F.col("t_pre")).alias("did_pct_of_treated_pre"))
-
-
 def did_volume(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
                digits: int | None = None) -> DataFrame:
     """Outcome A: trips per zone-day, treated vs control, pre vs post."""
-    r = _did_row(volume_cells(zd, dim_date, zone_counts), "pre", "post")
+    r = volume_cells(zd, dim_date, zone_counts).agg(*_cells("rate"))
     out = r.select(
         F.lit("volume_trips_per_zone_day").alias("outcome"),
-        F.col("t_pre").alias("treated_pre"), F.col("t_post").alias("treated_post"),
-        F.col("c_pre").alias("control_pre"), F.col("c_post").alias("control_post"),
-        "treated_change", "control_change", "did_estimate", "did_pct_of_treated_pre")
-    if digits is not None:
-        out = out.select("outcome", *[
-            F.round(c, 1 if c == "did_pct_of_treated_pre" else digits).alias(c)
-            for c in out.columns[1:]])
-    return out
+        "treated_pre", "treated_post", "control_pre", "control_post",
+        _change("treated").alias("treated_change"), _change("control").alias("control_change"),
+        _did().alias("did_estimate"),
+        (F.lit(100.0) * _did() / F.col("treated_pre")).alias("did_pct_of_treated_pre"))
+    if digits is None:
+        return out
+    places = {c: digits for c in out.columns[1:]} | {"did_pct_of_treated_pre": 1}
+    return rounded(out, places)
 
 
 def placebo_did(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
@@ -81,9 +95,9 @@ def placebo_did(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
     """Volume DiD at the fake cutoff on dates before ``placebo_end`` only."""
     cells = volume_cells(zd, dim_date, zone_counts, cutoff=cfg.placebo_cutoff,
                          date_before=cfg.placebo_end)
-    r = _did_row(cells, "pre", "post")
-    return r.select(F.lit("placebo_volume").alias("test"),
-                    F.col("did_estimate").alias("placebo_did_estimate_should_be_near_zero"))
+    return cells.agg(*_cells("rate")).select(
+        F.lit("placebo_volume").alias("test"),
+        _did().alias("placebo_did_estimate_should_be_near_zero"))
 
 
 def did_means(zd: DataFrame, dim_date: DataFrame, card_only: bool = True,
@@ -102,14 +116,12 @@ def did_means(zd: DataFrame, dim_date: DataFrame, card_only: bool = True,
                        (_d("s_dist") / _d("n_dist")).alias("avg_distance"),
                        (_d("s_tip") / _d("n_tip")).alias("avg_tip_pct"))
 
-    def did(v: str) -> Column:
-        return _cell(1, "post", v) - _cell(1, "pre", v) - _cell(0, "post", v) + _cell(0, "pre", v)
-
-    row = cells.agg(did("avg_distance").alias("d_dist"), did("avg_tip_pct").alias("d_tip"))
-    return row.selectExpr(
-        "stack(2, 'avg_trip_distance', d_dist, 'avg_tip_pct', d_tip) AS (outcome, did_estimate)")
+    row = cells.agg(*_cells("avg_distance", prefix="d_"), *_cells("avg_tip_pct", prefix="t_"))
+    return row.select(_did("d_").alias("d"), _did("t_").alias("t")).selectExpr(
+        "stack(2, 'avg_trip_distance', d, 'avg_tip_pct', t) AS (outcome, did_estimate)")
 
 
+# The group labels of the trend outputs.
 TREATED_LABEL = "treated_CBD"
 CONTROL_LABEL = "control_nonCBD"
 
@@ -184,10 +196,6 @@ def boundary_sensitivity(zd: DataFrame, dim_date: DataFrame, zone_ref: DataFrame
              .select("scenario", "moved_zones", F.col("treated").alias("_g"),
                      F.col("period").alias("_p"),
                      (_d("trips") / (F.col("days") * F.col("n_zones")).cast("double")).alias("rate")))
-    p = cells.groupBy("scenario", "moved_zones").agg(
-        _cell(1, "pre", "rate").alias("treated_pre"), _cell(1, "post", "rate").alias("treated_post"),
-        _cell(0, "pre", "rate").alias("control_pre"), _cell(0, "post", "rate").alias("control_post"))
-    return p.select(
+    return cells.groupBy("scenario", "moved_zones").agg(*_cells("rate")).select(
         "scenario", "moved_zones", "treated_pre", "treated_post", "control_pre", "control_post",
-        ((F.col("treated_post") - F.col("treated_pre"))
-         - (F.col("control_post") - F.col("control_pre"))).alias("did_estimate"))
+        _did().alias("did_estimate"))

@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cordon.functions import month_label
+from cordon.functions import date_key, month_label
 
 
 def zone_day(fact: DataFrame, card_payment: int) -> DataFrame:
@@ -72,3 +72,28 @@ def did_panel(zd: DataFrame, dim_date: DataFrame, zone_counts: DataFrame,
         month_label("date").alias("month"),
         F.weekday("date").alias("dow"),
     )
+
+
+def zone_day_panel(zd: DataFrame, dim_zone: DataFrame, cfg, group_col: str = "pu_is_cbd") -> DataFrame:
+    """Zero-filled zone x day panel: every zone of the dimension that has a
+    trip, on every day of the window - zone, date, trips (0 without trips),
+    treated, post.  Its size is zones x days by construction; each zone's row
+    is expanded into its days, no cross join."""
+    used = (zd.filter(F.col(group_col).isNotNull())
+            .groupBy("pu_zone_key").agg(F.max(group_col).cast("int").alias("treated")))
+    zones = used.join(dim_zone.select(F.col("zone_key").alias("pu_zone_key")).distinct(), "pu_zone_key")
+    days = F.sequence(F.lit(cfg.window_start), F.lit(cfg.last_window_date), F.expr("INTERVAL 1 DAY"))
+    grid = zones.select("pu_zone_key", "treated", F.explode(days).alias("date")).withColumn(
+        "date_key", date_key("date"))
+    trips = zd.groupBy("pu_zone_key", "date_key").agg(F.sum("trips").alias("trips"))
+    return grid.join(trips, ["pu_zone_key", "date_key"], "left").select(
+        F.col("pu_zone_key").alias("zone"), "date", F.coalesce("trips", F.lit(0)).cast("double").alias("trips"),
+        "treated", F.when(F.col("date") >= F.lit(cfg.cutoff), 1).otherwise(0).alias("post"))
+
+
+def calendar_profile(zd: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Trips and days with trips per year, month, weekend flag and period."""
+    per_day = zd.groupBy("date_key").agg(F.sum("trips").alias("trips"))
+    return (per_day.join(dim_date, "date_key").groupBy("year", "month", "year_month", "is_weekend", "period")
+            .agg(F.sum("trips").cast("bigint").alias("trips"), F.count(F.lit(1)).alias("days"),
+                 F.min("date").alias("first_date"), F.max("dow").cast("int").alias("last_dow")))

@@ -1,16 +1,17 @@
-"""Ordinary least squares as two distributed aggregations.
+"""Ordinary least squares as distributed aggregations.
 
-Pass 1 sums the cross products of the augmented design ``[X y]`` - giving
-``X'X``, ``X'y``, ``y'y`` and ``n`` - with ``mapInPandas``: each task folds
-its Arrow batches into one K x K partial matrix with numpy and emits it in
-long form ``(i, j, v)``; ``groupBy(i, j).sum`` merges the partials.  (With
-month and weekday fixed effects K is near 90, i.e. ~4000 products per row -
-far too many for separate SQL aggregate expressions.)  Only the K x K system
-reaches the driver, where it is solved with a pseudo-inverse.  Pass 2 forms
-residuals with the coefficients as literals and sums the covariance "meat":
-``sum e^2 x x'`` (HC1), or - for clustered covariance - per-cluster score
-sums ``s_g = sum x e`` by ``groupBy(cluster)`` followed by ``sum s_g s_g'``,
-again in Spark.
+One engine for every design: the cross products of ``[X y]`` - ``X'X``,
+``X'y``, ``y'y`` - are built-in aggregates over the rows (JVM only, combined
+map-side), and only that K x K system reaches the driver, where it is solved
+with a pseudo-inverse.  The covariance passes are aggregates too: ``sum e^2 x
+x'`` (HC1), or per-cluster score sums ``s_g = sum x e`` by ``groupBy(cluster)``
+followed by ``sum s_g s_g'``.
+
+A large factor is *absorbed*: the outcome and every other column lose their
+group means (exact for one factor), so its levels never enter K.  Further
+factors become dummies; K^2 grows with their levels, so they are meant for a
+few (weekdays).  Rows with a NULL in any used column are dropped, factors and
+clusters are compared as text.
 
 Covariance choices: ``nonrobust``, ``HC1`` and ``cluster``.  With two or
 fewer clusters the cluster-robust covariance is degenerate (the normal
@@ -23,8 +24,6 @@ covariance.
 from __future__ import annotations
 
 import math
-import sys
-from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -33,15 +32,9 @@ from pyspark.sql import types as T
 
 from cordon.plans.scratch import scratch_path
 
-# The per-task folds below run in Python workers; ship this module's code
-# with them by value so executors need no installed copy of the package.
-try:
-    from pyspark import cloudpickle as _cp
-    _cp.register_pickle_by_value(sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle
-    pass
-
 Z975 = 1.959963984540054  # two-sided 95 % normal critical value
+#: Aggregate expressions of one job; wider designs take several jobs.
+PRODUCTS_PER_JOB = 300
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("term", T.StringType()),
@@ -59,242 +52,106 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-@dataclass
-class Design:
-    """Column layout of X: intercept, numeric terms, then one dummy per
-    non-reference level of each categorical (treatment coding, first level
-    dropped)."""
-
-    terms: list[str]
-    levels: dict[str, list[str]]
-
-    @property
-    def names(self) -> list[str]:
-        out = ["Intercept"] + list(self.terms)
-        for cat, lv in self.levels.items():
-            out += [f"C({cat})[T.{v}]" for v in lv[1:]]
-        return out
-
-    def columns(self) -> list[Column]:
-        """X as Spark expressions (for the SQL-aggregate path)."""
-        cols = [F.lit(1.0)] + [F.col(f"_t{i}") for i in range(len(self.terms))]
-        for cat, lv in self.levels.items():
-            v = F.col(cat).cast("string")
-            cols += [F.when(v == x, 1.0).otherwise(0.0) for x in lv[1:]]
-        return cols
-
-    def matrix(self, b) -> np.ndarray:
-        """X for one pandas batch (columns ``_t<i>`` and the categoricals)."""
-        cols = [np.ones(len(b))] + [b[f"_t{i}"].to_numpy(dtype=float)
-                                    for i in range(len(self.terms))]
-        for cat, lv in self.levels.items():
-            v = b[cat].astype(str).to_numpy()
-            cols += [(v == x).astype(float) for x in lv[1:]]
-        return np.column_stack(cols)
-
-
-def factor_levels(df: DataFrame, categoricals, max_levels: int = 10_000) -> dict[str, list[str]]:
-    """Sorted distinct levels of every categorical in one query, bounded."""
-    if not categoricals:
-        return {}
-    u = None
-    for c in categoricals:
-        x = df.select(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-        u = x if u is None else u.unionByName(x)
-    rows = u.distinct().limit(len(categoricals) * max_levels + 1).collect()
-    out = {c: [] for c in categoricals}
-    for r in rows:
-        out[r.c].append(r.v)
-    for c, lv in out.items():
-        if len(lv) > max_levels:
-            raise ValueError(f"{c}: more than {max_levels} levels")
-        lv.sort()
-    return out
-
-
-def _merge_long(parts: DataFrame, k: int) -> np.ndarray:
-    m = np.zeros((k, k))
-    for r in parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
-        m[r.i, r.j] = m[r.j, r.i] = r.v
-    return m
-
-
-def _long(acc: np.ndarray):
-    import pandas as pd
-    iu = np.triu_indices(acc.shape[0])
-    return pd.DataFrame({"i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "v": acc[iu]})
-
-
-LONG = "i int, j int, v double"
-
-
-def gram(df: DataFrame, cols: list[str], weight: str | None = None) -> np.ndarray:
-    """Symmetric matrix ``sum_rows w * v v'`` of the numeric columns ``cols``:
-    one numpy partial per task, merged by ``groupBy(i, j).sum``."""
+def gram(df: DataFrame, cols: list[Column], weight: Column | None = None) -> np.ndarray:
+    """Symmetric matrix ``sum_rows w * v v'`` of the columns."""
     k = len(cols)
-
-    def fold(batches):
-        acc = np.zeros((k, k))
-        for b in batches:
-            v = b[cols].to_numpy(dtype=float)
-            vw = v * b[weight].to_numpy(dtype=float)[:, None] if weight else v
-            acc += vw.T @ v
-        yield _long(acc)
-
-    src = df.select(*cols, *([weight] if weight else []))
-    return _merge_long(src.mapInPandas(fold, LONG), k)
-
-
-def gram_sql(df: DataFrame, cols: list[Column], weight: Column | None = None) -> np.ndarray:
-    """``sum_rows w * v v'`` with built-in aggregates (one JVM-side pass);
-    for small K only - the number of aggregate expressions is K(K+1)/2."""
-    k = len(cols)
-    aggs = []
-    for i in range(k):
-        for j in range(i, k):
-            e = cols[i] * cols[j]
-            aggs.append(F.sum(e if weight is None else e * weight))
-    r = df.agg(*aggs).first()
+    at = [(i, j) for i in range(k) for j in range(i, k)]
     m = np.zeros((k, k))
-    it = iter(r)
-    for i in range(k):
-        for j in range(i, k):
-            m[i, j] = m[j, i] = float(next(it) or 0.0)
+    for lo in range(0, len(at), PRODUCTS_PER_JOB):
+        part = at[lo:lo + PRODUCTS_PER_JOB]
+        products = [cols[i] * cols[j] if weight is None else cols[i] * cols[j] * weight for i, j in part]
+        for (i, j), v in zip(part, df.agg(*[F.sum(p) for p in products]).first(), strict=True):
+            m[i, j] = m[j, i] = float(v or 0.0)
     return m
 
 
-SQL_PATH_MAX_K = 14  # up to 105 aggregate expressions
-
-
-def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(),
-        cov_type="HC1", cluster_col: str | None = None, engine: str = "auto") -> DataFrame:
-    """Coefficients with one or several covariance types (``cov_type`` may
-    be a tuple); the normal equations are solved once for all of them.
-
-    ``engine``: ``sql`` sums the cross products with built-in aggregates
-    (JVM only); ``pandas`` folds Arrow batches with numpy (``mapInPandas``);
-    ``auto`` takes ``sql`` while K is small and ``pandas`` beyond."""
-    spark = df.sparkSession
+def factor_levels(df: DataFrame, factors: list[str]) -> dict[str, list[str]]:
+    """Sorted distinct levels of every factor, in one query."""
+    out: dict[str, list[str]] = {c: [] for c in factors}
+    if factors:
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in factors]))
+        for r in df.select(pairs.alias("e")).select("e.*").distinct().collect():
+            out[r.c].append(r.v)
+    return {c: sorted(v) for c, v in out.items()}
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _design(df: DataFrame, y: str, terms: dict[str, Column], factors: list[str], absorb: str | None,
+            cluster_col: str | None) -> tuple[DataFrame, list[str], int]:
+    """(rows with x0.., y and g written once, names of the x, absorbed levels)."""
+    used = df.select(*[c.cast("double").alias(f"_t{i}") for i, c in enumerate(terms.values())],
+                     *[F.col(c).cast("string").alias(c) for c in dict.fromkeys([*factors, *([absorb] if absorb else [])])],
+                     F.col(y).cast("double").alias("_y"),
+                     *([F.col(cluster_col).cast("string").alias("_g")] if cluster_col else [])).na.drop()
+    src = _stored(used, "ols_rows")
+    names, cols = list(terms), [F.col(f"_t{i}") for i in range(len(terms))]
+    for c, levels in factor_levels(src, factors).items():
+        names += [f"C({c})[T.{v}]" for v in levels[1:]]
+        cols += [F.when(F.col(c) == v, 1.0).otherwise(0.0) for v in levels[1:]]
+    keep = ["_g"] if cluster_col else []
+    if absorb is None:
+        names, cols = ["Intercept", *names], [F.lit(1.0), *cols]
+        return src.select(*[c.alias(f"_x{i}") for i, c in enumerate(cols)], "_y", *keep), names, 0
+    wide = src.select(*[c.alias(f"_x{i}") for i, c in enumerate(cols)], "_y", F.col(absorb).alias("_f"), *keep)
+    own = [f"_x{i}" for i in range(len(cols))] + ["_y"]
+    means = _stored(wide.groupBy("_f").agg(*[F.avg(c).alias(f"_m{c}") for c in own]), "ols_means")
+    within = wide.join(means, "_f").select(*[(F.col(c) - F.col(f"_m{c}")).alias(c) for c in own], *keep)
+    return _stored(within, "ols_within"), names, means.count()
+
+
+def ols(df: DataFrame, y: str, terms: dict[str, Column], categoricals=(), absorb: str | None = None,
+        cov_type="HC1", cluster_col: str | None = None) -> DataFrame:
+    """Coefficients with one or several covariance types (``cov_type`` may be
+    a tuple).  ``absorb`` names one factor to demean by; ``k`` counts its
+    levels among the parameters."""
     cov_types = (cov_type,) if isinstance(cov_type, str) else tuple(cov_type)
-    # The input is read by several passes (levels, normal equations,
-    # covariance): project the needed columns and write them once as a
-    # Parquet table in the checkpoint folder - lineage cut, survives a lost
-    # executor, computed once - instead of recomputing it for every pass.
-    categoricals = list(categoricals)
-    src = df.select(*[c.cast("double").alias(f"_t{i}") for i, c in enumerate(terms.values())],
-                    *[F.col(c) for c in categoricals],
-                    F.col(y).cast("double").alias("_y"),
-                    *([F.col(cluster_col).alias("_g")] if cluster_col else []))
-    path = scratch_path(spark, "ols_input")
-    src.filter(F.col("_y").isNotNull()).write.mode("overwrite").parquet(path)
-    src = spark.read.parquet(path)
-    d = Design(list(terms), factor_levels(src, categoricals))
-    k = len(d.names)
-    use_sql = engine == "sql" or (engine == "auto" and k <= SQL_PATH_MAX_K)
-    if engine not in ("auto", "sql", "pandas"):
-        raise ValueError(f"unknown engine {engine!r}")
-
-    # pass 1: normal equations from the Gram matrix of [X y]
-    def fold_xy(batches):
-        acc = np.zeros((k + 1, k + 1))
-        for b in batches:
-            xy = np.column_stack([d.matrix(b), b["_y"].to_numpy(dtype=float)])
-            acc += xy.T @ xy
-        yield _long(acc)
-
-    if use_sql:
-        g = gram_sql(src, d.columns() + [F.col("_y")])
-    else:
-        g = _merge_long(src.mapInPandas(fold_xy, LONG), k + 1)
-    xtx, xty = g[:k, :k], g[:k, k]
-    n = int(round(xtx[0, 0]))  # the intercept column is all ones
-    bread = np.linalg.pinv(xtx)
-    beta = bread @ xty
-    rank = int(np.linalg.matrix_rank(xtx))
-
-    # pass 2 (per covariance type): residuals e = y - X beta and the meat
+    src, names, levels = _design(df, y, terms, list(categoricals), absorb, cluster_col)
+    p = len(names)
+    xs = [F.col(f"_x{i}") for i in range(p)]
+    g = gram(src, [*xs, F.col("_y")])
+    n = src.count()
+    bread = np.linalg.pinv(g[:p, :p], hermitian=True)
+    beta = bread @ g[:p, p]
+    rank, k = int(np.linalg.matrix_rank(g[:p, :p], hermitian=True)) + levels, p + levels
+    residual = F.col("_y")
+    for b, x in zip(beta, xs, strict=True):
+        residual = residual - F.lit(float(b)) * x
     rows = []
     for ct in cov_types:
-        cov, clusters, warning = _covariance(src, d, beta, bread, n, rank, ct, cluster_col,
-                                             use_sql)
+        cov, clusters, warning = _covariance(src, xs, residual, bread, n, rank, ct, cluster_col)
         if rank < k:
-            warning = ((warning + "; ") if warning else "") + f"rank deficient ({rank} < {k})"
-        for i, name in enumerate(d.names):
-            var = float(cov[i, i])
-            se = math.sqrt(var) if var > 0 else 0.0
+            warning = (f"{warning}; " if warning else "") + f"rank deficient ({rank} < {k})"
+        for i, name in enumerate(names):
+            se = math.sqrt(max(float(cov[i, i]), 0.0))
             z = float(beta[i]) / se if se > 0 else None
-            p = math.erfc(abs(z) / math.sqrt(2.0)) if z is not None else None
-            rows.append((name, float(beta[i]), se, z, p, float(beta[i]) - Z975 * se,
+            pv = math.erfc(abs(z) / math.sqrt(2.0)) if z is not None else None
+            rows.append((name, float(beta[i]), se, z, pv, float(beta[i]) - Z975 * se,
                          float(beta[i]) + Z975 * se, n, k, clusters, ct, warning))
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
-
+    return df.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
 
-def _covariance(src: DataFrame, d: Design, beta, bread, n: int, rank: int,
-                cov_type: str, cluster_col: str | None, use_sql: bool = False):
-    k = len(d.names)
-    clusters = None
-    warning = None
-    if use_sql:
-        xs = d.columns()
-        fitted = None
-        for b_, x in zip(beta, xs):
-            t = F.lit(float(b_)) * x
-            fitted = t if fitted is None else fitted + t
-        e = F.col("_y") - fitted
-    if cov_type in ("nonrobust", "HC1") and use_sql:
-        meat = gram_sql(src, xs, e * e)
-        if cov_type == "nonrobust":
-            return bread * (meat[0, 0] / max(n - rank, 1)), None, None
-        return bread @ meat @ bread * (n / max(n - rank, 1)), None, None
-    if cov_type == "cluster" and use_sql:
-        if not cluster_col:
-            raise ValueError("cluster covariance needs cluster_col")
-        res = src.withColumn("_e", e)
-        scores = res.groupBy("_g").agg(*[F.sum(x * F.col("_e")).alias(f"_s{i}")
-                                         for i, x in enumerate(xs)])
-        full = gram_sql(scores, [F.col(f"_s{i}") for i in range(k)] + [F.lit(1.0)])
-        meat, clusters = full[:k, :k], int(round(full[k, k]))
-        factor = (clusters / max(clusters - 1, 1)) * ((n - 1) / max(n - rank, 1))
-        if clusters <= 2:
-            warning = f"degenerate: {clusters} clusters; cluster-robust SE is not meaningful"
-        return bread @ meat @ bread * factor, clusters, warning
-    if cov_type in ("nonrobust", "HC1"):
-        def fold_meat(batches):
-            acc = np.zeros((k, k))
-            for b in batches:
-                x = d.matrix(b)
-                e = b["_y"].to_numpy(dtype=float) - x @ beta
-                acc += (x * (e * e)[:, None]).T @ x
-            yield _long(acc)
 
-        meat = _merge_long(src.mapInPandas(fold_meat, LONG), k)
-        if cov_type == "nonrobust":
-            # sum e^2 is the intercept entry of the e^2-weighted Gram matrix
-            return bread * (meat[0, 0] / max(n - rank, 1)), None, None
-        return bread @ meat @ bread * (n / max(n - rank, 1)), None, None
+def _covariance(src: DataFrame, xs: list[Column], e: Column, bread: np.ndarray, n: int, rank: int,
+                cov_type: str, cluster_col: str | None):
+    free = max(n - rank, 1)
+    if cov_type == "nonrobust":
+        return bread * (float(src.agg(F.sum(e * e)).first()[0] or 0.0) / free), None, None
+    if cov_type == "HC1":
+        return bread @ gram(src, xs, e * e) @ bread * (n / free), None, None
     if cov_type != "cluster":
         raise ValueError(f"unknown cov_type {cov_type!r}")
     if not cluster_col:
         raise ValueError("cluster covariance needs cluster_col")
-    score_cols = [f"_s{i}" for i in range(k)]
-
-    def fold_scores(batches):
-        import pandas as pd
-        for b in batches:
-            x = d.matrix(b)
-            e = b["_y"].to_numpy(dtype=float) - x @ beta
-            part = pd.DataFrame(x * e[:, None], columns=score_cols)
-            part.insert(0, "_g", b["_g"].astype(str).to_numpy())
-            yield part.groupby("_g", as_index=False).sum()
-
-    schema = "_g string, " + ", ".join(f"{c} double" for c in score_cols)
-    partial = src.mapInPandas(fold_scores, schema)
-    # per-cluster score sums (partials of one cluster from several tasks are
-    # added here), then sum_g s_g s_g'
-    scores = partial.groupBy("_g").agg(*[F.sum(c).alias(c) for c in score_cols])
-    full = gram(scores.withColumn("_one", F.lit(1.0)), score_cols + ["_one"])
-    meat, clusters = full[:k, :k], int(round(full[k, k]))
-    factor = (clusters / max(clusters - 1, 1)) * ((n - 1) / max(n - rank, 1))
+    scores = _stored(src.withColumn("_e", e).groupBy("_g").agg(
+        *[F.sum(x * F.col("_e")).alias(f"_s{i}") for i, x in enumerate(xs)]), "ols_scores")
+    clusters = scores.count()
+    meat = gram(scores, [F.col(f"_s{i}") for i in range(len(xs))])
+    factor = (clusters / max(clusters - 1, 1)) * ((n - 1) / free)
+    warning = None
     if clusters <= 2:
         warning = f"degenerate: {clusters} clusters; cluster-robust SE is not meaningful"
     return bread @ meat @ bread * factor, clusters, warning
@@ -302,7 +159,7 @@ def _covariance(src: DataFrame, d: Design, beta, bread, n: int, rank: int,
 
 def pretrend_test(panel: DataFrame, cutoff, y: str = "trips_per_zone",
                   cov_type="HC1", cluster_col: str | None = None,
-                  alpha: float = 0.05, engine: str = "auto") -> DataFrame:
+                  alpha: float = 0.05) -> DataFrame:
     """Pre-period only: ``y ~ treated + t + treated:t``, t = days since the
     first pre-period date.  Returns the ``treated:t`` row and a verdict."""
     pre = panel.filter(F.col("date") < F.lit(cutoff))
@@ -310,7 +167,7 @@ def pretrend_test(panel: DataFrame, cutoff, y: str = "trips_per_zone",
     pre = pre.withColumn("t", F.datediff(F.col("date"), F.lit(first)).cast("double"))
     terms = {"treated": F.col("treated"), "t": F.col("t"),
              "treated:t": F.col("treated") * F.col("t")}
-    out = ols(pre, y, terms, cov_type=cov_type, cluster_col=cluster_col, engine=engine)
+    out = ols(pre, y, terms, cov_type=cov_type, cluster_col=cluster_col)
     return (out.filter(F.col("term") == "treated:t")
             .withColumn("verdict", F.when(F.col("warning").isNotNull(), "not assessable")
                         .when(F.col("p_value") < alpha, "significant pre-trend")
@@ -318,13 +175,11 @@ def pretrend_test(panel: DataFrame, cutoff, y: str = "trips_per_zone",
 
 
 def did_regression(panel: DataFrame, y: str = "trips_per_zone", with_fe: bool = True,
-                   cov_type="HC1", cluster_col: str | None = None,
-                   engine: str = "auto") -> DataFrame:
-    """``y ~ treated + post + treated:post [+ C(month) + C(dow)]``; the
-    ``treated:post`` row is the DiD estimate."""
+                   cov_type="HC1", cluster_col: str | None = None) -> DataFrame:
+    """``y ~ treated + post + treated:post [+ C(month) + C(dow)]`` (months
+    absorbed); the ``treated:post`` row is the DiD estimate."""
     terms = {"treated": F.col("treated"), "post": F.col("post"),
              "treated:post": F.col("treated") * F.col("post")}
-    cats = ("month", "dow") if with_fe else ()
-    out = ols(panel, y, terms, categoricals=cats, cov_type=cov_type, cluster_col=cluster_col,
-              engine=engine)
+    out = ols(panel, y, terms, categoricals=("dow",) if with_fe else (), absorb="month" if with_fe else None,
+              cov_type=cov_type, cluster_col=cluster_col)
     return out.filter(F.col("term") == "treated:post")

@@ -136,13 +136,10 @@ def _scratch(spark, name):
 
 @query("src_raw_trips")
 def q_src_raw(spark, sf_dir):
-    """Raw rows landed as monthly folders and read back with the declared
-    schema (partition discovery of ``trip_month``)."""
-    from cordon.sources import read_raw_trips, write_raw_months
-    wh = _wh(spark, sf_dir)
-    root = _scratch(spark, "raw")
-    write_raw_months(wh.raw, root)
-    return read_raw_trips(spark, root)
+    """The landed monthly folders read in the declared types (partition
+    discovery of ``trip_month``)."""
+    from cordon.sources import read_raw_trips
+    return read_raw_trips(spark, _wh(spark, sf_dir).raw_path)
 
 
 @query("src_zone_lookup")
@@ -157,18 +154,15 @@ def q_src_zone_lookup(spark, sf_dir):
 
 @query("ingest_pending_months")
 def q_ingest(spark, sf_dir):
-    """Land every month, ingest into an empty store twice (the second run
-    must add nothing), report rows per month in the store."""
-    from cordon.sources import read_raw_trips, write_raw_months
+    """Ingest every landed month into an empty store, twice (the second run
+    must add nothing); rows per month in the store."""
+    from cordon.sources import read_raw_trips
     from cordon.sources.ingest import ingest_pending
-    wh = _wh(spark, sf_dir)
-    landing, store = _scratch(spark, "landing"), _scratch(spark, "store")
-    write_raw_months(wh.raw, landing)
-    ingest_pending(spark, landing, store).collect()
-    second = ingest_pending(spark, landing, store).count()
-    if second:
-        raise RuntimeError(f"ingest is not idempotent: {second} months copied twice")
-    return (read_raw_trips(spark, store).groupBy("trip_month")
+    landing, store = _wh(spark, sf_dir).raw_path, _scratch(spark, "store")
+    ingest_pending(spark, landing, store)
+    if not ingest_pending(spark, landing, store).isEmpty():
+        raise RuntimeError("ingest is not idempotent: months were copied twice")
+    return (read_raw_trips(spark, store, uniform=True).groupBy("trip_month")
             .agg(F.count(F.lit(1)).alias("trips")))
 
 
@@ -176,15 +170,11 @@ def q_ingest(spark, sf_dir):
 def q_stream_ingest(spark, sf_dir):
     """The same ingest as an availableNow Structured Streaming job, run twice
     on one checkpoint; rows per month in the store."""
-    from cordon.sources import read_raw_trips, write_raw_months
     from cordon.streaming import stream_ingest
-    wh = _wh(spark, sf_dir)
-    landing, store, ckpt = (_scratch(spark, "s_landing"), _scratch(spark, "s_store"),
-                            _scratch(spark, "s_ckpt"))
-    write_raw_months(wh.raw, landing)
-    stream_ingest(spark, landing, store, ckpt)
+    landing = _wh(spark, sf_dir).raw_path
+    store, ckpt = _scratch(spark, "s_store"), _scratch(spark, "s_ckpt")
     stream_ingest(spark, landing, store, ckpt)
-    return (read_raw_trips(spark, store).groupBy("trip_month")
+    return (stream_ingest(spark, landing, store, ckpt).groupBy("trip_month")
             .agg(F.count(F.lit(1)).alias("trips")))
 
 
@@ -322,6 +312,28 @@ def q_serving(spark, sf_dir):
     return publish_serving(wh.fact, path)
 
 
+@query("serving_dim_zone")
+def q_serving_dim_zone(spark, sf_dir):
+    """Typed serving copy of the zone dimension (the dimension that is read
+    from given tables), written and read back."""
+    from cordon.plans.build import publish_serving_dim
+    return publish_serving_dim(_wh(spark, sf_dir).dim_zone, "zone", _scratch(spark, "serving_dim_zone"))
+
+
+@query("serving_rounding")
+def q_serving_rounding(spark, sf_dir):
+    """Rows whose money the serving contract's scale rounds, per column."""
+    return serving.contract_rounding(_wh(spark, sf_dir).fact)
+
+
+@query("trips_by_calendar")
+def q_calendar(spark, sf_dir):
+    """Trips per year, month, weekend flag and period (every column of the
+    date dimension)."""
+    wh = _wh(spark, sf_dir)
+    return panel.calendar_profile(wh.zone_day, wh.dim_date)
+
+
 @query("trips_per_period")
 def q_trips_per_period(spark, sf_dir):
     wh = _wh(spark, sf_dir)
@@ -375,18 +387,31 @@ def _panel(spark, sf_dir):
     return panel.did_panel(wh.zone_day, wh.dim_date, _zc(wh), CFG.cutoff)
 
 
+def _shown(df: DataFrame, *extra: str) -> DataFrame:
+    """Estimates to 8 decimals (sums of doubles differ in the last digits
+    between runs), without the p-value, which the z value determines."""
+    return df.select("term", *[F.round(c, 8).alias(c) for c in ("coef", "se", "z", "ci_lo", "ci_hi")],
+                     "n", F.col("k").cast("bigint").alias("k"), "cov_type", *extra)
+
+
 @query("pretrend_regression")
 def q_pretrend(spark, sf_dir):
-    """Pre-trend slope difference with HC1 covariance and with the study's
-    two-cluster covariance (flagged degenerate)."""
-    p = _panel(spark, sf_dir)
-    return regression.pretrend_test(p, CFG.cutoff, cov_type=("HC1", "cluster"),
-                                    cluster_col="treated")
+    """Pre-trend slope difference with HC1 covariance and its verdict."""
+    return _shown(regression.pretrend_test(_panel(spark, sf_dir), CFG.cutoff), "verdict")
 
 
 @query("did_regression")
 def q_did_reg(spark, sf_dir):
-    """DiD with month and weekday fixed effects; HC1 and the study's
-    two-cluster covariance (flagged degenerate)."""
-    p = _panel(spark, sf_dir)
-    return regression.did_regression(p, cov_type=("HC1", "cluster"), cluster_col="treated")
+    """DiD without fixed effects: HC1 on the group x day panel, and clustered
+    by zone on the zero-filled zone x day panel."""
+    wh = _wh(spark, sf_dir)
+    zones_ = panel.zone_day_panel(wh.zone_day, wh.dim_zone, CFG)
+    hc1 = regression.did_regression(_panel(spark, sf_dir), with_fe=False)
+    clustered = regression.did_regression(zones_, y="trips", with_fe=False, cov_type="cluster", cluster_col="zone")
+    return _shown(hc1.unionByName(clustered))
+
+
+@query("did_regression_fe")
+def q_did_reg_fe(spark, sf_dir):
+    """DiD with month and weekday fixed effects, HC1."""
+    return _shown(regression.did_regression(_panel(spark, sf_dir)))

@@ -37,21 +37,18 @@ def _np_ols(pdf, cols):
     return b, np.sqrt(np.diag(hc1)), x, e, xtx_inv
 
 
-@pytest.mark.parametrize("engine", ["sql", "pandas"])
-def test_matches_numpy_hc1(panel, engine):
+def test_matches_numpy_hc1(panel):
     pdf = panel.toPandas()
     pdf["tp"] = pdf.treated * pdf.post
     b, se, *_ = _np_ols(pdf, ["treated", "post", "tp"])
     out = R.ols(panel, "y", {"treated": F.col("treated"), "post": F.col("post"),
-                             "treated:post": F.col("treated") * F.col("post")},
-                engine=engine).toPandas()
+                             "treated:post": F.col("treated") * F.col("post")}).toPandas()
     assert np.allclose(out.coef.to_numpy(), b, rtol=1e-9, atol=1e-9)
     assert np.allclose(out.se.to_numpy(), se, rtol=1e-7)
     assert out.n.iloc[0] == len(pdf) and out.k.iloc[0] == 4
 
 
-@pytest.mark.parametrize("engine", ["sql", "pandas"])
-def test_cluster_matches_numpy_and_flags_two_clusters(panel, engine):
+def test_cluster_matches_numpy_and_flags_two_clusters(panel):
     pdf = panel.toPandas()
     pdf["tp"] = pdf.treated * pdf.post
     b, _, x, e, inv = _np_ols(pdf, ["treated", "post", "tp"])
@@ -61,10 +58,10 @@ def test_cluster_matches_numpy_and_flags_two_clusters(panel, engine):
     cov = inv @ (s.T @ s) @ inv * g / (g - 1) * (n - 1) / (n - k)
     terms = {"treated": F.col("treated"), "post": F.col("post"),
              "treated:post": F.col("treated") * F.col("post")}
-    out = R.ols(panel, "y", terms, cov_type="cluster", cluster_col="zone", engine=engine).toPandas()
+    out = R.ols(panel, "y", terms, cov_type="cluster", cluster_col="zone").toPandas()
     assert np.allclose(out.se.to_numpy(), np.sqrt(np.diag(cov)), rtol=1e-7)
     assert out.clusters.iloc[0] == 9 and out.warning.isna().all()
-    two = R.ols(panel, "y", terms, cov_type="cluster", cluster_col="treated", engine=engine).toPandas()
+    two = R.ols(panel, "y", terms, cov_type="cluster", cluster_col="treated").toPandas()
     assert two.warning.iloc[0].startswith("degenerate")
 
 
@@ -78,11 +75,10 @@ def test_pretrend_equals_slope_difference(panel, spark):
     assert res.verdict in ("significant pre-trend", "no significant pre-trend")
 
 
-@pytest.mark.parametrize("engine", ["sql", "pandas"])
-def test_fe_did_equals_2x2_on_balanced_panel(panel, engine):
+def test_fe_did_equals_2x2_on_balanced_panel(panel):
     """With month and weekday fixed effects on a balanced two-group panel,
     the interaction equals the 2x2 difference of daily means."""
-    res = R.did_regression(panel, y="y", engine=engine).first()
+    res = R.did_regression(panel, y="y").first()
     m = {(r.treated, r.post): r.m for r in
          panel.groupBy("treated", "post").agg(F.avg("y").alias("m")).collect()}
     did = (m[(1, 1)] - m[(1, 0)]) - (m[(0, 1)] - m[(0, 0)])
@@ -90,8 +86,7 @@ def test_fe_did_equals_2x2_on_balanced_panel(panel, engine):
     assert res.k == 1 + 3 + 3 + 6          # 4 months, 7 weekdays
 
 
-@pytest.mark.parametrize("engine", ["sql", "pandas"])
-def test_nonrobust_matches_numpy(panel, engine):
+def test_nonrobust_matches_numpy(panel):
     pdf = panel.toPandas()
     pdf["tp"] = pdf.treated * pdf.post
     b, _, x, e, inv = _np_ols(pdf, ["treated", "post", "tp"])
@@ -99,5 +94,46 @@ def test_nonrobust_matches_numpy(panel, engine):
     se = np.sqrt(np.diag(inv * (e @ e) / (n - k)))
     out = R.ols(panel, "y", {"treated": F.col("treated"), "post": F.col("post"),
                              "treated:post": F.col("treated") * F.col("post")},
-                cov_type="nonrobust", engine=engine).toPandas()
+                cov_type="nonrobust").toPandas()
     assert np.allclose(out.se.to_numpy(), se, rtol=1e-7)
+
+
+def test_absorbing_equals_dummies(panel):
+    """Demeaning by a factor gives the coefficients and HC1 errors of its
+    dummies."""
+    terms = {"treated": F.col("treated"), "post": F.col("post"),
+             "treated:post": F.col("treated") * F.col("post")}
+    a = R.ols(panel, "y", terms, categoricals=("dow",), absorb="month").toPandas().set_index("term")
+    d = R.ols(panel, "y", terms, categoricals=("dow", "month")).toPandas().set_index("term")
+    assert np.allclose(a.coef, d.coef[a.index], rtol=1e-7, atol=1e-9)
+    assert np.allclose(a.se, d.se[a.index], rtol=1e-6)
+    assert (a.k == d.k.iloc[0]).all()
+
+
+def test_rows_with_nulls_are_dropped(spark):
+    rows = [(1.0 + 2 * x, None if x % 4 == 0 else float(x)) for x in range(40)]
+    out = R.ols(spark.createDataFrame(rows, "y double, x double"), "y", {"x": F.col("x")}).toPandas()
+    assert out.coef.iloc[1] == pytest.approx(2.0) and out.n.iloc[0] == 30
+
+
+def test_boolean_and_null_factors(spark):
+    rows = [(float(i % 5) + (3.0 if i % 2 else 0.0), bool(i % 2) if i != 7 else None, i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "y double, b boolean, g int")
+    out = R.ols(df, "y", {}, categoricals=("b",), cov_type="cluster", cluster_col="g").toPandas()
+    ys = [(y, b) for y, b, _ in rows if b is not None]
+    want = np.mean([y for y, b in ys if b]) - np.mean([y for y, b in ys if not b])
+    assert list(out.term) == ["Intercept", "C(b)[T.true]"]
+    assert out.coef.iloc[1] == pytest.approx(want) and out.n.iloc[0] == 59 and out.clusters.iloc[0] == 3
+
+
+def test_zone_day_panel_is_zero_filled(spark):
+    from conftest import SF001
+    from cordon.config import TPCH_TRIPS
+    from cordon.operators import panel as P
+    from cordon.plans.warehouse import tpch_warehouse
+    wh = tpch_warehouse(spark, SF001)
+    got = P.zone_day_panel(wh.zone_day, wh.dim_zone, TPCH_TRIPS)
+    days = (TPCH_TRIPS.window_end - TPCH_TRIPS.window_start).days
+    zones = got.select("zone").distinct().count()
+    assert got.count() == zones * days and got.filter("trips = 0").count() > 0
+    assert got.agg(F.sum("trips")).first()[0] == wh.fact.filter("pu_is_cbd is not null").count()
