@@ -1,568 +1,476 @@
 """Independent SQL twins of the named queries, for DuckDB.
 
-Every statement starts from the same CTE chain written directly in SQL over
-the test tables (adapter -> raw -> cleaned -> deduped -> keyed -> fact and
-the dimensions), with the ``TPCH_TRIPS`` values inlined.  Counts are cast to
-BIGINT and ratios computed as one DOUBLE division of exact integers or
-decimals, so both engines produce identical values.
+The twins are written from the definitions of the quantities, not from the
+Spark operators: the kept row of a trip is an ordered aggregate, calendar
+attributes are computed from the trips' own dates, every rate counts fact rows
+and distinct days directly, ranks and deciles are counted, and regressions are
+closed forms (differences of slopes or cell means, alternating demeaning for
+two fixed effects).  Counts are BIGINT and ratios one DOUBLE division of exact
+integers or decimals, so both engines produce identical values.
 """
 
 from __future__ import annotations
 
 from cordon.config import DAYPARTS, EXPECTED_RAW_COLUMNS, OVERNIGHT, TPCH_TRIPS, PipelineConfig
-from cordon.schemas import SERVING_FACT
+from cordon.schemas import SERVING_DIMS, SERVING_FACT
 
 CFG = TPCH_TRIPS
+Z975 = 1.959963984540054
 
 
-def _lst(values) -> str:
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+def _text(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
 
 
-def _date(d) -> str:
-    return f"DATE '{d.isoformat()}'"
+def _texts(values) -> str:
+    return ", ".join(map(_text, values))
 
 
-def _ts(d) -> str:
-    return f"TIMESTAMP '{d.isoformat()} 00:00:00'"
+def _day(d) -> str:
+    return f"DATE '{d.isoformat()}'"
 
 
-def prelude(cfg: PipelineConfig = CFG) -> str:
-    daypart = " ".join(f"WHEN h BETWEEN {lo} AND {hi} THEN '{n}'" for n, lo, hi in DAYPARTS)
-    weekend = ", ".join(str(d) for d in cfg.weekend_iso_days)
-    payment = ", ".join(f"({k}, '{v}')" for k, v in cfg.payment_codes)
-    ratecode = ", ".join(f"({k}, '{v}')" for k, v in cfg.ratecode_codes)
-    vendor = ", ".join(f"({k}, '{v}')" for k, v in cfg.vendor_codes)
-    return f"""
-WITH src AS (
-    SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity,
-           l.l_extendedprice, l.l_discount, o.o_orderdate,
-           s.s_nationkey, c.c_nationkey,
-           o.o_orderdate + to_minutes(CAST((l.l_orderkey * 37 + l.l_linenumber * 211
-                                            + l.l_partkey * 13) % 1440 AS BIGINT)) AS pickup
-    FROM lineitem l
-    JOIN orders o ON l.l_orderkey = o.o_orderkey
-    JOIN supplier s ON l.l_suppkey = s.s_suppkey
-    JOIN customer c ON o.o_custkey = c.c_custkey
-),
-src2 AS (
-    SELECT *, 0 AS shift FROM src
-    UNION ALL
-    SELECT *, 5 AS shift FROM src WHERE l_orderkey % 101 = 0
-),
-raw AS (
-    SELECT
-        CAST(CASE l_linenumber % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 6 ELSE 7 END AS BIGINT) AS VendorID,
-        pickup AS tpep_pickup_datetime,
-        pickup + to_minutes(CAST(CASE WHEN l_orderkey % 89 = 0 THEN -5
-                                      ELSE CAST(l_quantity AS INTEGER) END AS BIGINT))
-               + to_minutes(CAST(shift AS BIGINT)) AS tpep_dropoff_datetime,
-        CAST(l_linenumber % 5 + 1 AS DOUBLE) AS passenger_count,
-        CAST(l_quantity - 1 AS DECIMAL(10,2)) AS trip_distance,
-        CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE CAST(l_partkey % 6 + 1 AS DOUBLE) END AS RatecodeID,
-        'N' AS store_and_fwd_flag,
-        CAST(s_nationkey AS BIGINT) AS PULocationID,
-        CAST(c_nationkey AS BIGINT) AS DOLocationID,
-        CAST(l_suppkey % 6 + 1 AS BIGINT) AS payment_type,
-        CASE WHEN l_orderkey % 97 = 0 THEN -CAST(l_extendedprice AS DECIMAL(12,2))
-             ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END AS fare_amount,
-        CAST(0 AS DECIMAL(12,2)) AS extra,
-        CAST(0 AS DECIMAL(12,2)) AS mta_tax,
-        CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS tip_amount,
-        CAST(0 AS DECIMAL(12,2)) AS tolls_amount,
-        CAST(0 AS DECIMAL(12,2)) AS improvement_surcharge,
-        CASE WHEN l_orderkey % 97 = 0 THEN -CAST(l_extendedprice AS DECIMAL(12,2))
-             ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END
-          + CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS total_amount,
-        CAST(0 AS DECIMAL(12,2)) AS congestion_surcharge,
-        CAST(0 AS DECIMAL(12,2)) AS airport_fee,
-        strftime(pickup, '%Y-%m') AS trip_month
-    FROM src2
-),
-zone_lookup AS (
-    SELECT CAST(n.n_nationkey AS INTEGER) AS LocationID, r.r_name AS Borough, n.n_name AS Zone,
-           'Region ' || CAST(n.n_regionkey AS VARCHAR) AS service_zone
-    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-),
-zone_ref AS (
-    SELECT LocationID AS location_id, Borough AS borough, Zone AS zone, service_zone,
-           CASE WHEN Borough IN ({_lst(cfg.treated_boroughs)})
-                 AND Zone IN ({_lst(cfg.treated_zones)}) THEN 1 ELSE 0 END AS is_cbd
-    FROM zone_lookup
-),
-dim_zone AS (
-    SELECT location_id AS zone_key, location_id, borough, zone, service_zone, is_cbd FROM zone_ref
-),
-dim_payment AS (SELECT * FROM (VALUES {payment}) AS t(payment_key, payment_desc)),
-dim_ratecode AS (SELECT * FROM (VALUES {ratecode}) AS t(ratecode_key, ratecode_desc)),
-dim_vendor AS (SELECT * FROM (VALUES {vendor}) AS t(vendor_key, vendor_desc)),
-spine AS (
-    SELECT CAST(d AS DATE) AS date
-    FROM range({_ts(cfg.window_start)}, {_ts(cfg.window_end)}, INTERVAL 1 DAY) AS t(d)
-),
-dim_date AS (
-    SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, date,
-           CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
-           CAST(isodow(date) AS INTEGER) AS dow, strftime(date, '%Y-%m') AS year_month,
-           CASE WHEN isodow(date) IN ({weekend}) THEN 1 ELSE 0 END AS is_weekend,
-           CASE WHEN date >= {_date(cfg.cutoff)} THEN 'post' ELSE 'pre' END AS period
-    FROM spine
-),
-dim_time AS (
-    SELECT CAST(h AS INTEGER) AS time_key, CAST(h AS INTEGER) AS hour,
-           CASE {daypart} ELSE '{OVERNIGHT}' END AS daypart
-    FROM range(0, 24) AS t(h)
-),
-cleaned AS (
-    SELECT VendorID, tpep_pickup_datetime AS pickup_ts, tpep_dropoff_datetime AS dropoff_ts,
-           passenger_count, trip_distance,
-           COALESCE(RatecodeID, CAST({cfg.unknown_ratecode} AS DOUBLE)) AS ratecode_id,
-           PULocationID, DOLocationID, payment_type, fare_amount, tip_amount, tolls_amount,
-           total_amount
-    FROM raw
-    WHERE trip_distance > 0
-      AND fare_amount >= 0
-      AND tpep_dropoff_datetime >= tpep_pickup_datetime
-      AND tpep_pickup_datetime >= {_ts(cfg.window_start)}
-      AND tpep_pickup_datetime < {_ts(cfg.window_end)}
-),
-deduped AS (
-    SELECT * EXCLUDE (rn) FROM (
-        SELECT *, ROW_NUMBER() OVER (
-            PARTITION BY VendorID, pickup_ts, PULocationID, total_amount
-            ORDER BY dropoff_ts ASC NULLS LAST, trip_distance ASC NULLS LAST,
-                     DOLocationID ASC NULLS LAST, payment_type ASC NULLS LAST,
-                     fare_amount ASC NULLS LAST, tip_amount ASC NULLS LAST,
-                     ratecode_id ASC NULLS LAST, passenger_count ASC NULLS LAST,
-                     tolls_amount ASC NULLS LAST) AS rn
-        FROM cleaned) t
-    WHERE rn = 1
-),
-keyed AS (
-    SELECT
-        upper(md5(CAST(VendorID AS VARCHAR) || '|' ||
-                  strftime(pickup_ts, '%Y-%m-%d %H:%M:%S.%g') || '|' ||
-                  CAST(PULocationID AS VARCHAR) || '|' ||
-                  CAST(CAST(total_amount AS DECIMAL(14,2)) AS VARCHAR))) AS trip_key,
-        CAST(strftime(pickup_ts, '%Y%m%d') AS INTEGER) AS date_key,
-        CAST(hour(pickup_ts) AS INTEGER) AS time_key,
-        CAST(PULocationID AS INTEGER) AS pu_zone_key,
-        CAST(DOLocationID AS INTEGER) AS do_zone_key,
-        CAST(VendorID AS INTEGER) AS vendor_key,
-        CAST(payment_type AS INTEGER) AS payment_key,
-        CAST(ratecode_id AS INTEGER) AS ratecode_key,
-        trip_distance, fare_amount, tip_amount, tolls_amount, total_amount,
-        CAST(passenger_count AS INTEGER) AS passenger_count,
-        CAST(date_sub('minute', pickup_ts, dropoff_ts) AS INTEGER) AS trip_duration_min,
-        CAST(CASE WHEN fare_amount > 0 THEN ROUND(tip_amount / fare_amount, 4) END
-             AS DECIMAL(16,4)) AS tip_pct,
-        strftime(pickup_ts, '%Y-%m') AS year_month
-    FROM deduped
-),
-fact AS (
-    SELECT k.*, z.is_cbd AS pu_is_cbd
-    FROM keyed k LEFT JOIN dim_zone z ON k.pu_zone_key = z.zone_key
-),
-zone_counts AS (
-    SELECT f.pu_is_cbd, COUNT(DISTINCT z.zone_key) AS n_zones
-    FROM dim_zone z JOIN fact f ON z.zone_key = f.pu_zone_key
-    GROUP BY f.pu_is_cbd
-),
-daily AS (
-    SELECT f.pu_is_cbd, d.date, d.year_month, d.period, COUNT(*) AS trips
-    FROM fact f JOIN dim_date d ON d.date_key = f.date_key
-    GROUP BY f.pu_is_cbd, d.date, d.year_month, d.period
-)"""
+def _hours() -> str:
+    """The daypart of each hour, as a list literal."""
+    names = [next((n for n, lo, hi in DAYPARTS if lo <= h <= hi), OVERNIGHT) for h in range(24)]
+    return f"[{_texts(names)}]"
 
 
-FACT_SELECT = """
-SELECT trip_key, date_key, time_key, pu_zone_key, do_zone_key, vendor_key, payment_key,
-       ratecode_key, CAST(trip_distance AS DOUBLE) AS trip_distance,
-       CAST(fare_amount AS DOUBLE) AS fare_amount, CAST(tip_amount AS DOUBLE) AS tip_amount,
-       CAST(tolls_amount AS DOUBLE) AS tolls_amount, CAST(total_amount AS DOUBLE) AS total_amount,
-       passenger_count, trip_duration_min, CAST(tip_pct AS DOUBLE) AS tip_pct, pu_is_cbd,
-       year_month
-FROM fact"""
+def _doubles(*cols: str) -> str:
+    return ", ".join(f"{c}::DOUBLE AS {c}" for c in cols)
 
 
-def _vol_cells(cutoff=None, before=None) -> str:
-    period = "period" if cutoff is None else (
-        f"CASE WHEN date >= {_date(cutoff)} THEN 'post' ELSE 'pre' END")
-    where = "" if before is None else f"WHERE date < {_date(before)}"
+def base(cfg: PipelineConfig = CFG) -> str:
+    pairs = ", ".join(f"({_text(b)}, {_text(z)})" for b in cfg.treated_boroughs for z in cfg.treated_zones)
     return f"""
-cells AS (
-    SELECT c.pu_is_cbd AS g, c.p,
-           CAST(c.trips AS DOUBLE) / CAST(c.days * zc.n_zones AS DOUBLE) AS rate
-    FROM (SELECT pu_is_cbd, {period} AS p, SUM(trips) AS trips, COUNT(*) AS days
-          FROM daily {where} GROUP BY pu_is_cbd, {period}) c
-    JOIN zone_counts zc ON zc.pu_is_cbd = c.pu_is_cbd
-),
-p AS (
-    SELECT MAX(CASE WHEN g = 1 AND p = 'pre' THEN rate END) AS t_pre,
-           MAX(CASE WHEN g = 1 AND p = 'post' THEN rate END) AS t_post,
-           MAX(CASE WHEN g = 0 AND p = 'pre' THEN rate END) AS c_pre,
-           MAX(CASE WHEN g = 0 AND p = 'post' THEN rate END) AS c_post
-    FROM cells
+WITH lines AS (
+    SELECT l_orderkey AS ok, l_partkey AS pk, l_suppkey AS sk, l_linenumber AS ln, l_quantity AS qty,
+           l_extendedprice::DECIMAL(12,2) * (CASE WHEN l_orderkey % 97 = 0 THEN -1 ELSE 1 END)::DECIMAL(1,0) AS fare,
+           l_extendedprice::DECIMAL(12,2) * l_discount::DECIMAL(4,2) AS tip,
+           s_nationkey AS pu, c_nationkey AS dz,
+           o_orderdate + to_minutes(((l_orderkey * 37 + l_linenumber * 211 + l_partkey * 13) % 1440)::BIGINT) AS start
+    FROM lineitem
+    LEFT JOIN orders ON o_orderkey = l_orderkey
+    LEFT JOIN supplier ON s_suppkey = l_suppkey
+    LEFT JOIN customer ON c_custkey = o_custkey
+), raw AS (
+    SELECT CASE ln % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 6 ELSE 7 END::BIGINT AS VendorID,
+           start AS tpep_pickup_datetime,
+           start + to_minutes((CASE WHEN ok % 89 = 0 THEN -5 ELSE qty::INTEGER END + late)::BIGINT)
+             AS tpep_dropoff_datetime,
+           (ln % 5 + 1)::DOUBLE AS passenger_count, (qty - 1)::DECIMAL(10,2) AS trip_distance,
+           CASE WHEN pk % 50 <> 0 THEN (pk % 6 + 1)::DOUBLE END AS RatecodeID, 'N' AS store_and_fwd_flag,
+           pu::BIGINT AS PULocationID, dz::BIGINT AS DOLocationID, (sk % 6 + 1)::BIGINT AS payment_type,
+           fare::DECIMAL(12,2) AS fare_amount, 0::DECIMAL(12,2) AS extra, 0::DECIMAL(12,2) AS mta_tax,
+           tip AS tip_amount, 0::DECIMAL(12,2) AS tolls_amount, 0::DECIMAL(12,2) AS improvement_surcharge,
+           fare::DECIMAL(12,2) + tip AS total_amount, 0::DECIMAL(12,2) AS congestion_surcharge,
+           0::DECIMAL(12,2) AS airport_fee, strftime(start, '%Y-%m') AS trip_month
+    FROM (SELECT *, unnest(CASE WHEN ok % 101 = 0 THEN [0, 5] ELSE [0] END) AS late FROM lines)
+), place AS (
+    SELECT n_nationkey::INTEGER AS zone_key, r_name AS borough, n_name AS zone,
+           concat('Region ', n_regionkey) AS service_zone, ((r_name, n_name) IN ({pairs}))::INTEGER AS is_cbd
+    FROM nation JOIN region ON r_regionkey = n_regionkey
+), judged AS (
+    SELECT *, coalesce(RatecodeID, {cfg.unknown_ratecode}) AS ratecode_id,
+           trip_distance > 0 AS far, fare_amount >= 0 AS paid, tpep_dropoff_datetime >= tpep_pickup_datetime AS forward,
+           tpep_pickup_datetime >= {_day(cfg.window_start)} AND tpep_pickup_datetime < {_day(cfg.window_end)} AS inside
+    FROM raw
+), kept AS (
+    SELECT VendorID, tpep_pickup_datetime AS pickup_ts, PULocationID, total_amount,
+           first({{'dropoff_ts': tpep_dropoff_datetime, 'passenger_count': passenger_count,
+                  'trip_distance': trip_distance, 'ratecode_id': ratecode_id, 'DOLocationID': DOLocationID,
+                  'payment_type': payment_type, 'fare_amount': fare_amount, 'tip_amount': tip_amount,
+                  'tolls_amount': tolls_amount}}
+                 ORDER BY tpep_dropoff_datetime NULLS LAST, trip_distance NULLS LAST, DOLocationID NULLS LAST,
+                          payment_type NULLS LAST, fare_amount NULLS LAST, tip_amount NULLS LAST,
+                          ratecode_id NULLS LAST, passenger_count NULLS LAST, tolls_amount NULLS LAST) AS r
+    FROM judged WHERE far AND paid AND forward AND inside
+    GROUP BY ALL
+), trips AS (
+    SELECT upper(md5(concat_ws('|', VendorID, strftime(pickup_ts, '%Y-%m-%d %H:%M:%S.%f'), PULocationID, total_amount)))
+             AS whole_key,
+           CASE WHEN VendorID IS NOT NULL AND PULocationID IS NOT NULL AND total_amount IS NOT NULL THEN whole_key END
+             AS trip_key,
+           pickup_ts::DATE AS day, (year(day) * 10000 + month(day) * 100 + day(day))::INTEGER AS date_key,
+           date_part('hour', pickup_ts)::INTEGER AS time_key, PULocationID::INTEGER AS pu_zone_key,
+           r.DOLocationID::INTEGER AS do_zone_key, VendorID::INTEGER AS vendor_key,
+           r.payment_type::INTEGER AS payment_key, r.ratecode_id::INTEGER AS ratecode_key,
+           r.trip_distance AS trip_distance, r.fare_amount AS fare_amount, r.tip_amount AS tip_amount,
+           r.tolls_amount AS tolls_amount, total_amount, r.passenger_count::INTEGER AS passenger_count,
+           ((epoch_us(r.dropoff_ts) - epoch_us(pickup_ts)) // 60000000)::INTEGER AS trip_duration_min,
+           round(r.tip_amount / nullif(r.fare_amount, 0), 4)::DECIMAL(16,4) AS tip_pct,
+           strftime(pickup_ts, '%Y-%m') AS year_month
+    FROM kept
+), fact AS (
+    SELECT trips.*, place.is_cbd AS pu_is_cbd, day >= {_day(cfg.cutoff)} AS post,
+           ({_hours()})[time_key + 1] AS daypart
+    FROM trips LEFT JOIN place ON zone_key = pu_zone_key
+), groups AS (
+    SELECT pu_is_cbd, count(DISTINCT pu_zone_key) AS zones FROM fact WHERE pu_is_cbd IS NOT NULL GROUP BY pu_is_cbd
 )"""
 
 
-def _seg(keys: str, cfg: PipelineConfig) -> str:
-    return f"""
-SELECT {keys}, COUNT(*) AS trips, SUM(f.total_amount) AS revenue,
-       CAST(SUM(f.total_amount) AS DOUBLE) / CAST(COUNT(f.total_amount) AS DOUBLE) AS avg_fare,
-       CASE WHEN SUM(f.trip_duration_min) <> 0
-            THEN CAST(SUM(f.total_amount) AS DOUBLE) / CAST(SUM(f.trip_duration_min) AS DOUBLE)
-       END AS revenue_per_min
-FROM fact f
-JOIN dim_zone z ON z.zone_key = f.pu_zone_key
-JOIN dim_time t ON t.time_key = f.time_key
-GROUP BY {keys}
-HAVING COUNT(*) >= {cfg.min_segment_trips}"""
+KEYS = ("trip_key, date_key, time_key, pu_zone_key, do_zone_key, vendor_key, payment_key, ratecode_key, "
+        + _doubles("trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount")
+        + ", passenger_count, trip_duration_min, " + _doubles("tip_pct"))
 
+#: The measures of the marts over fact rows.
+MEASURES = """count(*) AS trips, sum(total_amount)::DOUBLE AS revenue,
+       sum(total_amount)::DOUBLE / count(total_amount)::DOUBLE AS avg_fare,
+       sum(tip_pct)::DOUBLE / count(tip_pct)::DOUBLE AS avg_tip_pct,
+       sum(total_amount)::DOUBLE / nullif(sum(trip_duration_min), 0)::DOUBLE AS revenue_per_min"""
 
-def oracle_sql(cfg: PipelineConfig = CFG) -> dict[str, str]:
-    pre = prelude(cfg)
-    q: dict[str, str] = {}
 
-    q["fact_trips"] = pre + FACT_SELECT
-
-    q["active_zone_counts"] = pre + """
-SELECT pu_is_cbd, CAST(n_zones AS BIGINT) AS n_zones FROM zone_counts"""
-
-    q["did_volume"] = pre + "," + _vol_cells() + """
-SELECT 'volume_trips_per_zone_day' AS outcome,
-       t_pre AS treated_pre, t_post AS treated_post, c_pre AS control_pre, c_post AS control_post,
-       t_post - t_pre AS treated_change, c_post - c_pre AS control_change,
-       (t_post - t_pre) - (c_post - c_pre) AS did_estimate,
-       100.0 * ((t_post - t_pre) - (c_post - c_pre)) / t_pre AS did_pct_of_treated_pre
-FROM p"""
-
-    q["placebo_did"] = pre + "," + _vol_cells(cfg.placebo_cutoff, cfg.placebo_end) + """
-SELECT 'placebo_volume' AS test,
-       (t_post - t_pre) - (c_post - c_pre) AS placebo_did_estimate_should_be_near_zero
-FROM p"""
-
-    q["did_means"] = pre + f""",
-cell AS (
-    SELECT f.pu_is_cbd AS g, d.period AS p,
-           CAST(SUM(f.trip_distance) AS DOUBLE) / CAST(COUNT(f.trip_distance) AS DOUBLE) AS avg_distance,
-           CAST(SUM(f.tip_pct) AS DOUBLE) / CAST(COUNT(f.tip_pct) AS DOUBLE) AS avg_tip_pct
-    FROM fact f JOIN dim_date d ON d.date_key = f.date_key
-    WHERE f.payment_key = {cfg.card_payment}
-    GROUP BY f.pu_is_cbd, d.period
-)
-SELECT 'avg_trip_distance' AS outcome,
-       MAX(CASE WHEN g = 1 AND p = 'post' THEN avg_distance END)
-     - MAX(CASE WHEN g = 1 AND p = 'pre' THEN avg_distance END)
-     - MAX(CASE WHEN g = 0 AND p = 'post' THEN avg_distance END)
-     + MAX(CASE WHEN g = 0 AND p = 'pre' THEN avg_distance END) AS did_estimate
-FROM cell
-UNION ALL
-SELECT 'avg_tip_pct',
-       MAX(CASE WHEN g = 1 AND p = 'post' THEN avg_tip_pct END)
-     - MAX(CASE WHEN g = 1 AND p = 'pre' THEN avg_tip_pct END)
-     - MAX(CASE WHEN g = 0 AND p = 'post' THEN avg_tip_pct END)
-     + MAX(CASE WHEN g = 0 AND p = 'pre' THEN avg_tip_pct END)
-FROM cell"""
-
-    trends = """
-trend AS (
-    SELECT daily.year_month,
-           CASE WHEN daily.pu_is_cbd = 1 THEN 'treated_CBD' ELSE 'control_nonCBD' END AS grp,
-           CAST(SUM(daily.trips) AS DOUBLE) / CAST(COUNT(*) * MAX(zc.n_zones) AS DOUBLE)
-             AS avg_trips_per_zone_day
-    FROM daily JOIN zone_counts zc ON zc.pu_is_cbd = daily.pu_is_cbd
-    GROUP BY daily.year_month,
-             CASE WHEN daily.pu_is_cbd = 1 THEN 'treated_CBD' ELSE 'control_nonCBD' END
-)"""
-    q["parallel_trends"] = pre + "," + trends + """
-SELECT year_month, grp, avg_trips_per_zone_day FROM trend ORDER BY year_month, grp"""
-
-    q["parallel_trends_wide"] = pre + "," + trends + """
-SELECT year_month,
-       MAX(CASE WHEN grp = 'control_nonCBD' THEN avg_trips_per_zone_day END) AS control_nonCBD,
-       MAX(CASE WHEN grp = 'treated_CBD' THEN avg_trips_per_zone_day END) AS treated_CBD
-FROM trend GROUP BY year_month ORDER BY year_month"""
-
-    q["did_panel"] = pre + f"""
-SELECT daily.date, daily.pu_is_cbd, CAST(daily.trips AS BIGINT) AS trips,
-       CAST(zc.n_zones AS BIGINT) AS n_zones, CAST(daily.pu_is_cbd AS INTEGER) AS treated,
-       CASE WHEN daily.date >= {_date(cfg.cutoff)} THEN 1 ELSE 0 END AS post,
-       CAST(daily.trips AS DOUBLE) / CAST(zc.n_zones AS DOUBLE) AS trips_per_zone,
-       strftime(daily.date, '%Y-%m') AS month,
-       CAST(isodow(daily.date) - 1 AS INTEGER) AS dow
-FROM daily JOIN zone_counts zc ON zc.pu_is_cbd = daily.pu_is_cbd"""
-
-    scen = [("baseline", [])] + [(f"move {z}", [z]) for z in cfg.borderline_zones]
-    if len(cfg.borderline_zones) > 1:
-        scen.append(("move all", list(cfg.borderline_zones)))
-    flag_rows = []
-    for name, moved in scen:
-        flag = (f"CASE WHEN zone IN ({_lst(moved)}) THEN 1 - is_cbd ELSE is_cbd END"
-                if moved else "is_cbd")
-        flag_rows.append(f"SELECT '{name}' AS scenario, '{', '.join(moved)}' AS moved_zones, "
-                         f"location_id AS pu_zone_key, {flag} AS treated FROM zone_ref")
-    q["did_boundary_sensitivity"] = pre + f""",
-flags AS ({' UNION ALL '.join(flag_rows)}),
-zd AS (
-    SELECT f.pu_zone_key, d.date, d.period, COUNT(*) AS trips
-    FROM fact f JOIN dim_date d ON d.date_key = f.date_key
-    GROUP BY f.pu_zone_key, d.date, d.period
-),
-j AS (SELECT zd.*, fl.scenario, fl.moved_zones, fl.treated FROM zd JOIN flags fl ON fl.pu_zone_key = zd.pu_zone_key),
-nz AS (SELECT scenario, treated, COUNT(DISTINCT pu_zone_key) AS n_zones FROM j GROUP BY scenario, treated),
-cells AS (
-    SELECT c.scenario, c.moved_zones, c.treated AS g, c.period AS p,
-           CAST(c.trips AS DOUBLE) / CAST(c.days * nz.n_zones AS DOUBLE) AS rate
-    FROM (SELECT scenario, moved_zones, treated, period, SUM(trips) AS trips,
-                 COUNT(DISTINCT date) AS days
-          FROM j GROUP BY scenario, moved_zones, treated, period) c
-    JOIN nz ON nz.scenario = c.scenario AND nz.treated = c.treated
-),
-pv AS (
-    SELECT scenario, moved_zones,
-           MAX(CASE WHEN g = 1 AND p = 'pre' THEN rate END) AS treated_pre,
-           MAX(CASE WHEN g = 1 AND p = 'post' THEN rate END) AS treated_post,
-           MAX(CASE WHEN g = 0 AND p = 'pre' THEN rate END) AS control_pre,
-           MAX(CASE WHEN g = 0 AND p = 'post' THEN rate END) AS control_post
-    FROM cells GROUP BY scenario, moved_zones
-)
-SELECT scenario, moved_zones, treated_pre, treated_post, control_pre, control_post,
-       (treated_post - treated_pre) - (control_post - control_pre) AS did_estimate
-FROM pv"""
-
-    q["segment_top25"] = pre + f""",
-seg AS ({_seg("z.borough, z.zone, t.daypart", cfg)}),
-ranked AS (
-    SELECT RANK() OVER (ORDER BY revenue_per_min DESC NULLS LAST) AS efficiency_rank,
-           borough, zone, daypart, CAST(trips AS BIGINT) AS trips,
-           CAST(revenue AS DOUBLE) AS revenue, avg_fare, revenue_per_min,
-           100.0 * CAST(revenue AS DOUBLE) / CAST(SUM(revenue) OVER () AS DOUBLE) AS pct_of_total_revenue,
-           NTILE({cfg.deciles}) OVER (ORDER BY revenue_per_min DESC NULLS LAST, borough, zone, daypart)
-             AS efficiency_decile
-    FROM seg
-)
-SELECT * FROM ranked ORDER BY efficiency_rank, borough, zone, daypart LIMIT {cfg.top_segments}"""
-
-    q["segment_concentration"] = pre + f""",
-seg AS ({_seg("z.zone, t.daypart", cfg)}),
-d AS (SELECT *, NTILE({cfg.deciles}) OVER (ORDER BY revenue_per_min DESC NULLS LAST, zone, daypart) AS decile
-      FROM seg)
-SELECT CASE WHEN decile = 1 THEN 'top_decile' ELSE 'rest' END AS bucket,
-       CAST(COUNT(*) AS BIGINT) AS segments,
-       CAST(SUM(revenue) AS DOUBLE) AS revenue,
-       100.0 * CAST(SUM(revenue) AS DOUBLE) / CAST(SUM(SUM(revenue)) OVER () AS DOUBLE) AS pct_of_revenue
-FROM d GROUP BY CASE WHEN decile = 1 THEN 'top_decile' ELSE 'rest' END"""
-
-    _more(q, pre, cfg)
-    return q
+def _arms(value: str) -> str:
+    """The four corners of a 2x2 from rows (g, post, value)."""
+    return ", ".join(
+        f"any_value({value}) FILTER (WHERE g = {g} AND {'' if p == 'post' else 'NOT '}post) AS {n}_{p}"
+        for g, n in ((1, "treated"), (0, "control")) for p in ("pre", "post"))
 
 
-def _dbl(cols: str) -> str:
-    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols.split())
+DID = "(treated_post - treated_pre) - (control_post - control_pre)"
 
 
-CLEANED_COLS = ("VendorID, pickup_ts, dropoff_ts, passenger_count, " +
-                _dbl("trip_distance") + ", ratecode_id, PULocationID, DOLocationID, payment_type, " +
-                _dbl("fare_amount tip_amount tolls_amount total_amount"))
-
-
-def _measures() -> str:
-    return """CAST(COUNT(*) AS BIGINT) AS trips,
-       CAST(SUM(total_amount) AS DOUBLE) AS revenue,
-       CAST(SUM(total_amount) AS DOUBLE) / CAST(COUNT(total_amount) AS DOUBLE) AS avg_fare,
-       CAST(SUM(tip_pct) AS DOUBLE) / CAST(COUNT(tip_pct) AS DOUBLE) AS avg_tip_pct,
-       CASE WHEN SUM(trip_duration_min) <> 0
-            THEN CAST(SUM(total_amount) AS DOUBLE) / CAST(SUM(trip_duration_min) AS DOUBLE) END
-         AS revenue_per_min"""
+def _volume(cutoff, before=None) -> str:
+    """Corners of trips per zone and day."""
+    where = f"WHERE day < {_day(before)}" if before else ""
+    return f"""
+arms AS (
+    SELECT {_arms('rate')} FROM (
+        SELECT pu_is_cbd AS g, day >= {_day(cutoff)} AS post,
+               count(*)::DOUBLE / (count(DISTINCT day) * any_value(zones))::DOUBLE AS rate
+        FROM fact JOIN groups USING (pu_is_cbd) {where} GROUP BY 1, 2)
+)"""
 
 
-def _more(q: dict, pre: str, cfg: PipelineConfig) -> None:
-    rules = f"""trip_distance > 0 AND fare_amount >= 0
-           AND tpep_dropoff_datetime >= tpep_pickup_datetime
-           AND tpep_pickup_datetime >= {_ts(cfg.window_start)}
-           AND tpep_pickup_datetime < {_ts(cfg.window_end)}"""
-    raw_dbl = ("VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, "
-               + _dbl("trip_distance") + ", RatecodeID, store_and_fwd_flag, PULocationID, "
-               "DOLocationID, payment_type, "
-               + _dbl("fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge "
-                      "total_amount congestion_surcharge airport_fee") + ", trip_month")
-    per_month = """
-SELECT trip_month, CAST(COUNT(*) AS BIGINT) AS trips FROM raw GROUP BY trip_month"""
+def _causal(q: dict, pre: str, cfg: PipelineConfig) -> None:
+    q["active_zone_counts"] = pre + "SELECT pu_is_cbd, zones::BIGINT AS n_zones FROM groups"
+    q["did_volume"] = pre + "," + _volume(cfg.cutoff) + f"""
+SELECT 'volume_trips_per_zone_day' AS outcome, arms.*, treated_post - treated_pre AS treated_change,
+       control_post - control_pre AS control_change, {DID} AS did_estimate,
+       100.0::DOUBLE * ({DID}) / treated_pre AS did_pct_of_treated_pre
+FROM arms"""
+    q["placebo_did"] = pre + "," + _volume(cfg.placebo_cutoff, cfg.placebo_end) + f"""
+SELECT 'placebo_volume' AS test, {DID} AS placebo_did_estimate_should_be_near_zero FROM arms"""
+    outcomes = " UNION ALL ".join(f"""
+SELECT 'avg_{m}' AS outcome, {DID} AS did_estimate FROM (SELECT {_arms('v')} FROM (
+    SELECT pu_is_cbd AS g, post, sum({m})::DOUBLE / count({m})::DOUBLE AS v
+    FROM fact WHERE payment_key = {cfg.card_payment} AND pu_is_cbd IS NOT NULL GROUP BY 1, 2))"""
+                                  for m in ("trip_distance", "tip_pct"))
+    q["did_means"] = pre + outcomes
+    rate = "count(*)::DOUBLE / (count(DISTINCT day) * any_value(zones))::DOUBLE"
+    by_month = f"""
+SELECT year_month, pu_is_cbd, {rate} AS rate FROM fact JOIN groups USING (pu_is_cbd) GROUP BY 1, 2"""
+    label = "['control_nonCBD', 'treated_CBD'][pu_is_cbd + 1]"
+    q["parallel_trends"] = pre + f"""
+SELECT year_month, {label} AS grp, rate AS avg_trips_per_zone_day FROM ({by_month}) ORDER BY 1, 2"""
+    q["parallel_trends_wide"] = pre + f"""
+SELECT year_month, any_value(rate) FILTER (WHERE pu_is_cbd = 0) AS control_nonCBD,
+       any_value(rate) FILTER (WHERE pu_is_cbd = 1) AS treated_CBD
+FROM ({by_month}) GROUP BY 1 ORDER BY 1"""
+    moves = [("baseline", [])] + [(f"move {z}", [z]) for z in cfg.borderline_zones]
+    if len(cfg.borderline_zones) > 1:
+        moves.append(("move all", list(cfg.borderline_zones)))
+    listed = ", ".join(f"({_text(n)}, {_text(', '.join(m))}, [{_texts(m)}]::VARCHAR[])" for n, m in moves)
+    q["did_boundary_sensitivity"] = pre + f""",
+plan AS (
+    SELECT scenario, moved_zones, zone_key, abs(is_cbd - list_contains(names, zone)::INTEGER) AS g
+    FROM place, (VALUES {listed}) AS s(scenario, moved_zones, names)
+), placed AS (
+    SELECT plan.*, day, post, count(*) AS n FROM fact JOIN plan ON zone_key = pu_zone_key GROUP BY ALL
+), size AS (SELECT scenario, g, count(DISTINCT zone_key) AS zones FROM placed GROUP BY 1, 2
+), rates AS (
+    SELECT scenario, moved_zones, g, post, sum(n)::DOUBLE / (count(DISTINCT day) * any_value(zones))::DOUBLE AS rate
+    FROM placed JOIN size USING (scenario, g) GROUP BY 1, 2, 3, 4
+), arms AS (SELECT scenario, moved_zones, {_arms('rate')} FROM rates GROUP BY 1, 2)
+SELECT arms.*, {DID} AS did_estimate FROM arms"""
+
+
+def _panel(cfg: PipelineConfig) -> str:
+    """The group x day panel."""
+    return """
+days AS (
+    SELECT day, pu_is_cbd AS g, post, count(*) AS n, any_value(groups.zones) AS zones, count(*)::DOUBLE / any_value(groups.zones)::DOUBLE AS y
+    FROM fact JOIN groups USING (pu_is_cbd) GROUP BY 1, 2, 3
+)"""
 
-    # sources
-    q["src_raw_trips"] = pre + f"\nSELECT {raw_dbl} FROM raw"
-    q["src_zone_lookup"] = pre + "\nSELECT * FROM zone_lookup"
-    q["ingest_pending_months"] = pre + per_month
-    q["stream_ingest_months"] = pre + per_month
 
-    # profiling
-    q["profile_rows_by_month"] = pre + per_month + " ORDER BY trip_month"
+def _row(term: str, coef: str, var: str, n: str, k: str, cov: str) -> str:
+    """One estimate in the shape of the regression queries."""
+    def shown(x):
+        return f"round({x}, 8)"
+    return (f"SELECT {_text(term)} AS term, {shown(coef)} AS coef, {shown(f'sqrt({var})')} AS se, "
+            f"{shown(f'{coef} / sqrt({var})')} AS z, {shown(f'{coef} - {Z975} * sqrt({var})')} AS ci_lo, "
+            f"{shown(f'{coef} + {Z975} * sqrt({var})')} AS ci_hi, ({n})::BIGINT AS n, ({k})::BIGINT AS k, "
+            f"{_text(cov)} AS cov_type")
+
+
+def _demeaned(rounds: int = 30) -> str:
+    """Columns of the panel without month and weekday means, taken out in turn
+    until nothing is left of them."""
+    names = ("y", "a", "p", "ap")
+    ctes = ["d0 AS (SELECT day, strftime(day, '%Y-%m') AS m, isodow(day) AS w, y, g::DOUBLE AS a, "
+            "post::INTEGER::DOUBLE AS p, (g * post::INTEGER)::DOUBLE AS ap FROM days)"]
+    for i in range(rounds):
+        for j, by in enumerate("mw"):
+            cols = ", ".join(f"{c} - avg({c}) OVER (PARTITION BY {by}) AS {c}" for c in names)
+            ctes.append(f"d{2 * i + j + 1} AS (SELECT day, m, w, {cols} FROM d{2 * i + j})")
+    return ",\n".join(ctes) + f",\ndm AS (SELECT * FROM d{2 * rounds})"
+
+
+def _regressions(q: dict, pre: str, cfg: PipelineConfig) -> None:
+    q["did_panel"] = pre + "," + _panel(cfg) + """
+SELECT day AS date, g AS pu_is_cbd, n AS trips, zones::BIGINT AS n_zones, g AS treated, post::INTEGER AS post,
+       y AS trips_per_zone, strftime(day, '%Y-%m') AS month, (isodow(day) - 1)::INTEGER AS dow
+FROM days"""
+    q["pretrend_regression"] = pre + "," + _panel(cfg) + f""",
+early AS (
+    SELECT g, y, (day - (SELECT min(day) FROM days))::DOUBLE AS t FROM days WHERE day < {_day(cfg.cutoff)}
+), line AS (
+    SELECT g, avg(t) AS tm, avg(y) AS ym, regr_slope(y, t) AS b, regr_sxx(y, t) AS sxx FROM early GROUP BY g
+), fit AS (
+    SELECT sum(power((y - ym - b * (t - tm)) * (t - tm), 2) / power(sxx, 2)) * count(*) / (count(*) - 4) AS var,
+           count(*) AS n, (SELECT sum(CASE WHEN g = 1 THEN b ELSE -b END) FROM line) AS coef
+    FROM early JOIN line USING (g)
+)
+{_row('treated:t', 'coef', 'var', 'n', '4', 'HC1')},
+       CASE WHEN abs(coef / sqrt(var)) > {Z975} THEN 'significant pre-trend' ELSE 'no significant pre-trend' END AS verdict
+FROM fit"""
+    q["did_regression"] = pre + "," + _panel(cfg) + f""",
+corner AS (SELECT g, post, avg(y) AS ym, count(*) AS nc FROM days GROUP BY 1, 2
+), plain AS (
+    SELECT sum(power((y - ym) / nc, 2)) * count(*) / (count(*) - 4) AS var, count(*) AS n,
+           (SELECT sum(CASE WHEN (g = 1) = post THEN ym ELSE -ym END) FROM corner) AS coef
+    FROM days JOIN corner USING (g, post)
+), cal AS (
+    SELECT d::DATE AS day FROM range({_day(cfg.window_start)}::TIMESTAMP, {_day(cfg.window_end)}::TIMESTAMP, INTERVAL 1 DAY) r(d)
+), used AS (SELECT DISTINCT pu_zone_key AS zone, pu_is_cbd AS g FROM fact WHERE pu_is_cbd IS NOT NULL
+), per AS (SELECT pu_zone_key AS zone, day, count(*) AS n FROM fact GROUP BY 1, 2
+), grid AS (
+    SELECT zone, g, day, day >= {_day(cfg.cutoff)} AS post, coalesce(n, 0)::DOUBLE AS y
+    FROM (SELECT * FROM used, cal) LEFT JOIN per USING (zone, day)
+), gcorner AS (SELECT g, post, avg(y) AS ym, count(*) AS nc FROM grid GROUP BY 1, 2
+), pull AS (
+    SELECT zone, sum(CASE WHEN (g = 1) = post THEN 1 ELSE -1 END * (y - ym) / nc) AS s, count(*) AS rows
+    FROM grid JOIN gcorner USING (g, post) GROUP BY zone
+), clustered AS (
+    SELECT sum(s * s) * count(*) / (count(*) - 1) * (sum(rows) - 1) / (sum(rows) - 4) AS var, sum(rows) AS n,
+           (SELECT sum(CASE WHEN (g = 1) = post THEN ym ELSE -ym END) FROM gcorner) AS coef
+    FROM pull
+)
+{_row('treated:post', 'coef', 'var', 'n', '4', 'HC1')} FROM plain
+UNION ALL
+{_row('treated:post', 'coef', 'var', 'n', '4', 'cluster')} FROM clustered"""
+    # orthogonal basis a, b, c of the three demeaned regressors; c is the
+    # interaction with everything else taken out of it
+    q["did_regression_fe"] = pre + "," + _panel(cfg) + ",\n" + _demeaned() + f""",
+o1 AS (SELECT *, p - a * (SELECT sum(a * p) / sum(a * a) FROM dm) AS b FROM dm
+), o2 AS (
+    SELECT *, ap - a * (SELECT sum(a * ap) / sum(a * a) FROM dm) - b * (SELECT sum(b * ap) / sum(b * b) FROM o1) AS c
+    FROM o1
+), s AS (SELECT sum(a * y) / sum(a * a) AS ya, sum(b * y) / sum(b * b) AS yb, sum(c * y) / sum(c * c) AS yc,
+                sum(c * c) AS cc, count(*) AS n, count(DISTINCT m) + count(DISTINCT w) - 1 + 3 AS k FROM o2
+), fit AS (
+    SELECT any_value(yc) AS coef, any_value(n) AS n, any_value(k) AS k,
+           sum(power(c * (y - ya * a - yb * b - yc * c), 2)) / power(any_value(cc), 2)
+             * any_value(n) / (any_value(n) - any_value(k)) AS var
+    FROM o2, s
+)
+{_row('treated:post', 'coef', 'var', 'n', 'k', 'HC1')} FROM fit"""
+
+
+def _segments(q: dict, pre: str, cfg: PipelineConfig) -> None:
+    def seg(keys: str) -> str:
+        return f""",
+seg AS (
+    SELECT {keys}, count(*) AS trips, sum(total_amount) AS money,
+           sum(total_amount)::DOUBLE / count(total_amount)::DOUBLE AS avg_fare,
+           sum(total_amount)::DOUBLE / nullif(sum(trip_duration_min), 0)::DOUBLE AS eff
+    FROM fact JOIN place ON zone_key = pu_zone_key GROUP BY {keys}
+    HAVING count(*) >= {cfg.min_segment_trips}
+), placed AS (
+    SELECT *, row_number() OVER (ORDER BY eff DESC NULLS LAST, {keys}) - 1 AS pos,
+           count(*) OVER () // {cfg.deciles} AS per, count(*) OVER () % {cfg.deciles} AS extra
+    FROM seg
+), tiled AS (  -- the first tiles hold one more
+    SELECT *, CASE WHEN pos < extra * (per + 1) THEN pos // (per + 1) ELSE extra + (pos - extra * (per + 1)) // per END + 1
+      AS tile FROM placed
+)"""
+    q["segment_top25"] = pre + seg("borough, zone, daypart") + f"""
+SELECT 1 + (SELECT count(*) FROM seg o WHERE o.eff > t.eff OR (t.eff IS NULL AND o.eff IS NOT NULL)) AS efficiency_rank,
+       borough, zone, daypart, trips, money::DOUBLE AS revenue, avg_fare, eff AS revenue_per_min,
+       100.0::DOUBLE * money::DOUBLE / (SELECT sum(money) FROM seg)::DOUBLE AS pct_of_total_revenue,
+       tile::INTEGER AS efficiency_decile
+FROM tiled t ORDER BY efficiency_rank, borough, zone, daypart LIMIT {cfg.top_segments}"""
+    q["segment_concentration"] = pre + seg("zone, daypart") + """
+SELECT if(tile = 1, 'top_decile', 'rest') AS bucket, count(*) AS segments, sum(money)::DOUBLE AS revenue,
+       100.0::DOUBLE * sum(money)::DOUBLE / (SELECT sum(money) FROM seg)::DOUBLE AS pct_of_revenue
+FROM tiled GROUP BY 1"""
+
+
+def _sources(q: dict, pre: str, cfg: PipelineConfig) -> None:
+    money = _doubles("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
+                     "total_amount", "congestion_surcharge", "airport_fee")
+    q["src_raw_trips"] = pre + f"""
+SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, {_doubles('trip_distance')}, RatecodeID,
+       store_and_fwd_flag, PULocationID, DOLocationID, payment_type, {money}, trip_month FROM raw"""
+    q["src_zone_lookup"] = pre + """
+SELECT zone_key AS LocationID, borough AS Borough, zone AS Zone, service_zone FROM place"""
+    months = pre + "SELECT trip_month, count(*) AS trips FROM raw GROUP BY ALL"
+    q["ingest_pending_months"] = q["stream_ingest_months"] = months
+    q["profile_rows_by_month"] = months + " ORDER BY trip_month"
     q["profile_invalid_rates"] = pre + """
-SELECT CAST(COUNT(*) AS BIGINT) AS total_rows,
-       CAST(COUNT(CASE WHEN tpep_pickup_datetime IS NULL THEN 1 END) AS BIGINT) AS null_pickup_ts,
-       CAST(COUNT(CASE WHEN PULocationID IS NULL THEN 1 END) AS BIGINT) AS null_pu_zone,
-       CAST(COUNT(CASE WHEN trip_distance <= 0 THEN 1 END) AS BIGINT) AS nonpos_distance,
-       CAST(COUNT(CASE WHEN fare_amount < 0 THEN 1 END) AS BIGINT) AS negative_fare,
-       CAST(COUNT(CASE WHEN tpep_dropoff_datetime < tpep_pickup_datetime THEN 1 END) AS BIGINT)
-         AS dropoff_before_pickup
-FROM raw"""
-    q["profile_value_ranges"] = pre + """
-SELECT CAST(MIN(trip_distance) AS DOUBLE) AS min_dist, CAST(MAX(trip_distance) AS DOUBLE) AS max_dist,
-       CAST(MIN(fare_amount) AS DOUBLE) AS min_fare, CAST(MAX(fare_amount) AS DOUBLE) AS max_fare,
-       CAST(MIN(total_amount) AS DOUBLE) AS min_total, CAST(MAX(total_amount) AS DOUBLE) AS max_total
-FROM raw"""
+SELECT count(*) AS total_rows, count(*) - count(tpep_pickup_datetime) AS null_pickup_ts,
+       count(*) - count(PULocationID) AS null_pu_zone, count_if(NOT far)::BIGINT AS nonpos_distance,
+       count_if(NOT paid)::BIGINT AS negative_fare, count_if(NOT forward)::BIGINT AS dropoff_before_pickup
+FROM judged"""
+    q["profile_value_ranges"] = pre + "SELECT " + ", ".join(
+        f"{f}({c})::DOUBLE AS {f}_{n}" for c, n in (("trip_distance", "dist"), ("fare_amount", "fare"),
+                                                    ("total_amount", "total")) for f in ("min", "max")) + " FROM raw"
     q["profile_key_cardinality"] = pre + """
-SELECT CAST(COUNT(DISTINCT PULocationID) AS BIGINT) AS distinct_pu_zones,
-       CAST(COUNT(DISTINCT payment_type) AS BIGINT) AS distinct_payment_types,
-       CAST(COUNT(DISTINCT VendorID) AS BIGINT) AS distinct_vendors,
-       CAST(COUNT(DISTINCT RatecodeID) AS BIGINT) AS distinct_ratecodes
+SELECT len(list_distinct(list(PULocationID)))::BIGINT AS distinct_pu_zones,
+       len(list_distinct(list(payment_type)))::BIGINT AS distinct_payment_types,
+       len(list_distinct(list(VendorID)))::BIGINT AS distinct_vendors,
+       len(list_distinct(list(RatecodeID)))::BIGINT AS distinct_ratecodes
 FROM raw"""
-
-    # zones and dimensions
-    q["zone_treated_ref"] = pre + "\nSELECT * FROM zone_ref"
-    q["zone_treated_list"] = pre + """
-SELECT location_id, zone FROM zone_ref WHERE is_cbd = 1 ORDER BY zone, location_id"""
-    q["zone_treated_counts"] = pre + """
-SELECT is_cbd, CAST(COUNT(*) AS BIGINT) AS zones FROM zone_ref GROUP BY is_cbd"""
-    names = ", ".join(f"('{z}')" for z in cfg.treated_zones)
+    q["zone_treated_ref"] = pre + "SELECT zone_key AS location_id, borough, zone, service_zone, is_cbd FROM place"
+    q["zone_treated_list"] = pre + "SELECT zone_key AS location_id, zone FROM place WHERE is_cbd = 1 ORDER BY 2, 1"
+    q["zone_treated_counts"] = pre + "SELECT is_cbd, count(*) AS zones FROM place GROUP BY ALL"
     q["zone_treated_unmatched"] = pre + f"""
-SELECT n.zone FROM (VALUES {names}) AS n(zone)
-WHERE NOT EXISTS (SELECT 1 FROM zone_ref z
-                  WHERE z.zone = n.zone AND z.borough IN ({_lst(cfg.treated_boroughs)}))"""
-    q["dim_zone"] = pre + "\nSELECT * FROM dim_zone"
-
-    # fact stages
-    q["trips_cleaned"] = pre + f"\nSELECT {CLEANED_COLS} FROM cleaned"
-    q["trips_deduped"] = pre + f"\nSELECT {CLEANED_COLS} FROM deduped"
-    q["trips_keyed"] = pre + """
-SELECT trip_key, date_key, time_key, pu_zone_key, do_zone_key, vendor_key, payment_key,
-       ratecode_key, """ + _dbl("trip_distance fare_amount tip_amount tolls_amount total_amount") + """,
-       passenger_count, trip_duration_min, CAST(tip_pct AS DOUBLE) AS tip_pct, year_month
-FROM keyed"""
-    q["exclusion_counts"] = pre + f"""
-SELECT CAST(COUNT(*) AS BIGINT) AS raw_rows,
-       CAST(COUNT(CASE WHEN ({rules}) THEN 1 END) AS BIGINT) AS kept_rows,
-       CAST(COUNT(CASE WHEN NOT ({rules}) THEN 1 END) AS BIGINT) AS excluded_rows,
-       CAST(COUNT(CASE WHEN ({rules}) IS NULL THEN 1 END) AS BIGINT) AS excluded_null_rows,
-       CAST(COUNT(CASE WHEN NOT (trip_distance > 0) THEN 1 END) AS BIGINT) AS nonpos_distance,
-       CAST(COUNT(CASE WHEN NOT (fare_amount >= 0) THEN 1 END) AS BIGINT) AS negative_fare,
-       CAST(COUNT(CASE WHEN NOT (tpep_dropoff_datetime >= tpep_pickup_datetime) THEN 1 END) AS BIGINT)
-         AS dropoff_before_pickup,
-       CAST(COUNT(CASE WHEN NOT (tpep_pickup_datetime >= {_ts(cfg.window_start)}
-                                 AND tpep_pickup_datetime < {_ts(cfg.window_end)}) THEN 1 END) AS BIGINT)
-         AS outside_window
-FROM raw"""
+SELECT unnest([{_texts(cfg.treated_zones)}]) AS zone
+EXCEPT SELECT zone FROM place WHERE borough IN ({_texts(cfg.treated_boroughs)})"""
+    q["dim_zone"] = pre + "SELECT zone_key, zone_key AS location_id, borough, zone, service_zone, is_cbd FROM place"
+
+
+def _facts(q: dict, pre: str, cfg: PipelineConfig) -> None:
+    cols = _doubles("fare_amount", "tip_amount", "tolls_amount", "total_amount")
+    q["trips_cleaned"] = pre + f"""
+SELECT VendorID, tpep_pickup_datetime AS pickup_ts, tpep_dropoff_datetime AS dropoff_ts, passenger_count,
+       {_doubles('trip_distance')}, ratecode_id::DOUBLE AS ratecode_id, PULocationID, DOLocationID, payment_type, {cols}
+FROM judged WHERE far AND paid AND forward AND inside"""
+    q["trips_deduped"] = pre + f"""
+SELECT VendorID, pickup_ts, dropoff_ts, passenger_count, {_doubles('trip_distance')}, ratecode_id::DOUBLE AS ratecode_id,
+       PULocationID, DOLocationID, payment_type, {cols}
+FROM (SELECT * EXCLUDE (r), unnest(r) FROM kept)"""
+    q["trips_keyed"] = pre + f"SELECT {KEYS}, year_month FROM trips"
+    q["fact_trips"] = pre + f"SELECT {KEYS}, pu_is_cbd, year_month FROM fact"
+    q["exclusion_counts"] = pre + """
+SELECT count(*) AS raw_rows, count_if(good)::BIGINT AS kept_rows, count_if(NOT good)::BIGINT AS excluded_rows,
+       count(*) - count(good) AS excluded_null_rows, count_if(NOT far)::BIGINT AS nonpos_distance,
+       count_if(NOT paid)::BIGINT AS negative_fare, count_if(NOT forward)::BIGINT AS dropoff_before_pickup,
+       count_if(NOT inside)::BIGINT AS outside_window
+FROM (SELECT *, far AND paid AND forward AND inside AS good FROM judged)"""
     q["trip_with_zone_roles"] = pre + """
-SELECT f.trip_key, f.pu_zone_key, pu.borough AS pu_borough, pu.zone AS pu_zone,
-       f.do_zone_key, dz.borough AS do_borough, dz.zone AS do_zone
-FROM fact f
-LEFT JOIN dim_zone pu ON f.pu_zone_key = pu.zone_key
-LEFT JOIN dim_zone dz ON f.do_zone_key = dz.zone_key"""
-
-    # data quality
-    b = cfg.bounds
-    recon = f"""
-recon AS (
-    SELECT r.raw_rows, f.fact_rows, r.kept_rows, r.excluded_rows, r.excluded_null_rows
-    FROM (SELECT COUNT(*) AS raw_rows,
-                 COUNT(CASE WHEN ({rules}) THEN 1 END) AS kept_rows,
-                 COUNT(CASE WHEN NOT ({rules}) THEN 1 END) AS excluded_rows,
-                 COUNT(CASE WHEN ({rules}) IS NULL THEN 1 END) AS excluded_null_rows
-          FROM raw) r,
-         (SELECT COUNT(*) AS fact_rows FROM fact) f
+SELECT trip_key, pu_zone_key, names[pu_zone_key].borough AS pu_borough, names[pu_zone_key].zone AS pu_zone,
+       do_zone_key, names[do_zone_key].borough AS do_borough, names[do_zone_key].zone AS do_zone
+FROM fact, (SELECT map(list(zone_key), list({'borough': borough, 'zone': zone})) AS names FROM place)"""
+
+
+def _quality(q: dict, pre: str, cfg: PipelineConfig) -> None:
+    totals = """
+totals AS (
+    SELECT *, raw_rows - fact_rows - excluded_rows AS gap
+    FROM (SELECT count(*) AS raw_rows, count_if(good)::BIGINT AS kept_rows, count_if(NOT good)::BIGINT AS excluded_rows,
+                 count(*) - count(good) AS excluded_null_rows
+          FROM (SELECT far AND paid AND forward AND inside AS good FROM judged)) r,
+         (SELECT count(*) AS fact_rows FROM fact) f
 )"""
-    fail1 = (f"CASE WHEN ABS(raw_rows - fact_rows - excluded_rows) > {cfg.reconciliation_tolerance} "
-             "* raw_rows THEN 1 ELSE 0 END")
-    q["dq_row_reconciliation"] = pre + "," + recon + f"""
-SELECT 'row_reconciliation' AS check_name,
-       CAST(raw_rows AS BIGINT) AS raw_rows, CAST(fact_rows AS BIGINT) AS fact_rows,
-       CAST(excluded_rows AS BIGINT) AS excluded_rows,
-       CAST(excluded_null_rows AS BIGINT) AS excluded_null_rows,
-       CAST(kept_rows - fact_rows AS BIGINT) AS duplicates_removed,
-       CAST(raw_rows - fact_rows - excluded_rows AS BIGINT) AS unexplained_gap,
-       CAST({fail1} AS BIGINT) AS failures
-FROM recon"""
-    fks = [("orphan_pickup_zone", "pu_zone_key", "dim_zone", "zone_key"),
-           ("orphan_dropoff_zone", "do_zone_key", "dim_zone", "zone_key"),
-           ("orphan_payment", "payment_key", "dim_payment", "payment_key"),
-           ("orphan_ratecode", "ratecode_key", "dim_ratecode", "ratecode_key"),
-           ("orphan_vendor", "vendor_key", "dim_vendor", "vendor_key"),
-           ("orphan_date", "date_key", "dim_date", "date_key"),
-           ("orphan_time", "time_key", "dim_time", "time_key")]
-    orphan_sql = "\nUNION ALL\n".join(
-        f"SELECT '{n}' AS check_name, CAST(COUNT(*) AS BIGINT) AS failures FROM fact f "
-        f"WHERE NOT EXISTS (SELECT 1 FROM {d} x WHERE x.{k} = f.{c})" for n, c, d, k in fks)
-    q["dq_referential_integrity"] = pre + "\n" + orphan_sql
-    range_sql = f"""
-SELECT 'range_assertions' AS check_name, CAST(
-    COALESCE(SUM(CASE WHEN trip_distance <= 0 OR trip_distance > {b.distance_max} THEN 1 ELSE 0 END), 0) +
-    COALESCE(SUM(CASE WHEN fare_amount < 0 OR fare_amount > {b.fare_max} THEN 1 ELSE 0 END), 0) +
-    COALESCE(SUM(CASE WHEN total_amount < 0 OR total_amount > {b.total_max} THEN 1 ELSE 0 END), 0) +
-    COALESCE(SUM(CASE WHEN trip_duration_min < 0 OR trip_duration_min > {b.minutes_max} THEN 1 ELSE 0 END), 0) +
-    COALESCE(SUM(CASE WHEN tip_pct IS NOT NULL AND (tip_pct < 0 OR tip_pct > {b.tip_pct_max}) THEN 1 ELSE 0 END), 0)
-    AS BIGINT) AS failures
-FROM fact"""
-    q["dq_range_assertions"] = pre + range_sql
-    dup_sql = """
-SELECT 'duplicate_trip_keys' AS check_name, CAST(COUNT(*) AS BIGINT) AS failures
-FROM (SELECT trip_key FROM fact GROUP BY trip_key HAVING COUNT(*) > 1) d"""
-    q["dq_duplicate_keys"] = pre + dup_sql
-    expected = ", ".join(f"('{c}')" for c in EXPECTED_RAW_COLUMNS)
-    drift_sql = f"""
-SELECT 'schema_drift_missing_cols' AS check_name, CAST(COUNT(*) AS BIGINT) AS failures
-FROM (VALUES {expected}) AS e(col)
-WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT lower(unnest(json_keys(to_json(r)))) AS col
-                                 FROM raw r) a
-                  WHERE a.col = e.col)"""
-    q["dq_schema_drift"] = pre + drift_sql
-    months_sql = f"""
-SELECT 'month_completeness' AS check_name,
-       CAST(CASE WHEN COUNT(DISTINCT year_month) = {cfg.expected_months} THEN 0 ELSE 1 END AS BIGINT)
-         AS failures,
-       CAST(COUNT(DISTINCT year_month) AS BIGINT) AS months_present
-FROM fact"""
-    q["dq_month_completeness"] = pre + months_sql
-    q["dq_gate_report"] = pre + "," + recon + f"""
-SELECT 'row_reconciliation' AS check_name, CAST({fail1} AS BIGINT) AS failures FROM recon
-UNION ALL {orphan_sql}
-UNION ALL {range_sql}
-UNION ALL SELECT 'month_completeness', CAST(CASE WHEN COUNT(DISTINCT year_month) = {cfg.expected_months}
-                                                 THEN 0 ELSE 1 END AS BIGINT) FROM fact
-UNION ALL SELECT 'null_trip_key', CAST(COUNT(*) AS BIGINT) FROM fact WHERE trip_key IS NULL
-UNION ALL SELECT 'fact_not_empty', CAST(CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END AS BIGINT) FROM fact
-UNION ALL {dup_sql}
-UNION ALL {drift_sql}"""
-
-    # serving
-    casts = ", ".join(f"TRY_CAST({c} AS {t.upper()}) AS {c}" for c, t, _ in SERVING_FACT)
-    q["serving_fact"] = pre + f"\nSELECT {casts} FROM fact"
-    q["trips_per_period"] = pre + """
-SELECT d.period, CAST(COUNT(*) AS BIGINT) AS trips
-FROM fact f JOIN dim_date d ON d.date_key = f.date_key GROUP BY d.period"""
+    off = f"(abs(gap) > {cfg.reconciliation_tolerance} * raw_rows)::BIGINT"
+    q["dq_row_reconciliation"] = pre + "," + totals + f"""
+SELECT 'row_reconciliation' AS check_name, raw_rows, fact_rows, excluded_rows, excluded_null_rows,
+       kept_rows - fact_rows AS duplicates_removed, gap AS unexplained_gap, {off} AS failures
+FROM totals"""
+
+    def outside(col: str, members: str) -> str:
+        return f"coalesce({col} NOT IN ({members}), true)"
+
+    def codes(pairs) -> str:
+        return ", ".join(str(k) for k, _ in pairs)
+
+    zones = "SELECT zone_key FROM place"
+    orphans = [
+        ("orphan_pickup_zone", outside("pu_zone_key", zones)), ("orphan_dropoff_zone", outside("do_zone_key", zones)),
+        ("orphan_payment", outside("payment_key", codes(cfg.payment_codes))),
+        ("orphan_ratecode", outside("ratecode_key", codes(cfg.ratecode_codes))),
+        ("orphan_vendor", outside("vendor_key", codes(cfg.vendor_codes))),
+        ("orphan_date", f"coalesce(NOT day BETWEEN {_day(cfg.window_start)} AND {_day(cfg.last_window_date)}, true)"),
+        ("orphan_time", "coalesce(NOT time_key BETWEEN 0 AND 23, true)")]
+    q["dq_referential_integrity"] = pre + "\nUNION ALL\n".join(
+        f"SELECT {_text(n)} AS check_name, count_if({c})::BIGINT AS failures FROM fact" for n, c in orphans)
+    b = cfg.bounds
+    wrong = " + ".join(f"count_if(NOT ({c}))" for c in (
+        f"trip_distance > 0 AND trip_distance <= {b.distance_max}", f"fare_amount BETWEEN 0 AND {b.fare_max}",
+        f"total_amount BETWEEN 0 AND {b.total_max}", f"trip_duration_min BETWEEN 0 AND {b.minutes_max}",
+        f"tip_pct BETWEEN 0 AND {b.tip_pct_max}"))
+    ranges = f"SELECT 'range_assertions' AS check_name, ({wrong})::BIGINT AS failures FROM fact"
+    q["dq_range_assertions"] = pre + ranges
+    repeated = """SELECT 'duplicate_trip_keys' AS check_name, count(*) AS failures
+FROM (SELECT row_number() OVER (PARTITION BY trip_key) AS nth FROM fact) WHERE nth = 2"""
+    q["dq_duplicate_keys"] = pre + repeated
+    drift = f"""SELECT 'schema_drift_missing_cols' AS check_name, count(*) AS failures FROM (
+    SELECT unnest([{_texts(EXPECTED_RAW_COLUMNS)}]) AS col
+    EXCEPT SELECT DISTINCT lower(unnest(json_keys(to_json(raw)))) FROM raw)"""
+    q["dq_schema_drift"] = pre + drift
+    missing = f"(count(DISTINCT year_month) <> {cfg.expected_months})::BIGINT"
+    q["dq_month_completeness"] = pre + f"""
+SELECT 'month_completeness' AS check_name, {missing} AS failures, count(DISTINCT year_month) AS months_present FROM fact"""
+    checks = [f"SELECT {_text(n)} AS check_name, count_if({c})::BIGINT AS failures, '' AS detail FROM fact"
+              for n, c in orphans]
+    checks += [f"SELECT *, '' AS detail FROM ({s})" for s in (ranges, repeated, drift)]
+    checks += [
+        f"""SELECT 'row_reconciliation' AS check_name, {off} AS failures,
+       format('raw_rows={{}}, fact_rows={{}}, excluded_rows={{}}, unexplained_gap={{}}', raw_rows, fact_rows,
+              excluded_rows, gap) AS detail FROM totals""",
+        f"""SELECT 'month_completeness', {missing},
+       format('months_present={{}}, expected_months={cfg.expected_months}', count(DISTINCT year_month)) FROM fact""",
+        "SELECT 'null_trip_key', count(*) - count(trip_key), '' FROM fact",
+        "SELECT 'fact_not_empty', (count(*) = 0)::BIGINT, '' FROM fact"]
+    q["dq_gate_report"] = pre + "," + totals + "\n" + "\nUNION ALL\n".join(checks)
+
+
+def _serving(q: dict, pre: str, cfg: PipelineConfig) -> None:
+    q["serving_fact"] = pre + "SELECT " + ", ".join(
+        f"try_cast({c} AS {t}) AS {c}" for c, t, _ in SERVING_FACT) + " FROM fact"
+    q["serving_dim_zone"] = pre + "SELECT " + ", ".join(
+        f"{'zone_key' if c == 'location_id' else c}::{t} AS {c}" for c, t, _ in SERVING_DIMS["zone"].columns
+    ).replace("::string", "::VARCHAR") + " FROM place"
+    q["serving_rounding"] = pre + "\nUNION ALL\n".join(
+        f"SELECT 'rounded_{c}' AS check_name, count_if(try_cast({c} AS {t}) <> {c})::BIGINT AS failures FROM fact"
+        for c, t, _ in SERVING_FACT if t.startswith("decimal"))
+    weekend = ", ".join(map(str, cfg.weekend_iso_days))
+    q["trips_by_calendar"] = pre + f"""
+SELECT year(day)::INTEGER AS year, month(day)::INTEGER AS month, year_month,
+       (isodow(day) IN ({weekend}))::INTEGER AS is_weekend, if(post, 'post', 'pre') AS period, count(*) AS trips,
+       count(DISTINCT day) AS days, min(day) AS first_date, max(isodow(day))::INTEGER AS last_dow
+FROM fact GROUP BY 1, 2, 3, 4, 5"""
+    q["trips_per_period"] = pre + "SELECT if(post, 'post', 'pre') AS period, count(*) AS trips FROM fact GROUP BY 1"
     q["orphan_zone_recheck"] = pre + """
-SELECT CAST(COUNT(*) AS BIGINT) AS orphan_zone_rows
-FROM fact f LEFT JOIN dim_zone z ON z.zone_key = f.pu_zone_key WHERE z.zone_key IS NULL"""
-
-    # marts
-    q["mart_kpis"] = pre + """
-SELECT CAST(COUNT(*) AS BIGINT) AS trips, CAST(SUM(total_amount) AS DOUBLE) AS revenue,
-       CAST(SUM(total_amount) AS DOUBLE) / CAST(COUNT(total_amount) AS DOUBLE) AS avg_fare
-FROM fact"""
+SELECT count(*) AS orphan_zone_rows FROM fact ANTI JOIN place ON zone_key = pu_zone_key"""
+
+
+def _marts(q: dict, pre: str, cfg: PipelineConfig) -> None:
+    q["mart_kpis"] = pre + f"SELECT trips, revenue, avg_fare FROM (SELECT {MEASURES} FROM fact)"
     q["mart_monthly_trend"] = pre + f"""
-SELECT year_month, pu_is_cbd, {_measures()}
-FROM fact GROUP BY year_month, pu_is_cbd ORDER BY year_month, pu_is_cbd"""
-    q["mart_zone_map"] = pre + f""",
-g AS (SELECT pu_zone_key, {_measures()} FROM fact GROUP BY pu_zone_key)
-SELECT z.zone_key AS location_id, z.borough, z.zone, z.is_cbd,
-       COALESCE(g.trips, 0) AS trips, g.revenue, g.avg_fare, g.avg_tip_pct, g.revenue_per_min
-FROM dim_zone z LEFT JOIN g ON z.zone_key = g.pu_zone_key"""
+SELECT year_month, pu_is_cbd, {MEASURES} FROM fact GROUP BY 1, 2 ORDER BY 1, 2"""
+    q["mart_zone_map"] = pre + f"""
+SELECT zone_key AS location_id, borough, zone, is_cbd, coalesce(trips, 0) AS trips, revenue, avg_fare, avg_tip_pct,
+       revenue_per_min
+FROM place LEFT JOIN (SELECT pu_zone_key, {MEASURES} FROM fact GROUP BY 1) ON pu_zone_key = zone_key"""
     q["mart_hour_heatmap"] = pre + f"""
-SELECT d.dow, t.hour, t.daypart, {_measures()}
-FROM fact f JOIN dim_date d ON d.date_key = f.date_key JOIN dim_time t ON t.time_key = f.time_key
-GROUP BY d.dow, t.hour, t.daypart"""
-    q["mart_metric_slices"] = pre + f"""
-SELECT f.pu_zone_key, t.daypart, f.payment_key, {_measures()},
-       CAST(GROUPING(f.pu_zone_key, t.daypart, f.payment_key) AS INTEGER) AS slice_level
-FROM fact f JOIN dim_time t ON t.time_key = f.time_key
-GROUP BY CUBE (f.pu_zone_key, t.daypart, f.payment_key)"""
+SELECT isodow(day)::INTEGER AS dow, time_key AS hour, daypart, {MEASURES} FROM fact GROUP BY 1, 2, 3"""
+    keys = ("pu_zone_key", "daypart", "payment_key")
+    slices = []
+    for level in range(8):  # bit set: column rolled up
+        up = [bool(level >> (2 - i) & 1) for i in range(3)]
+        cols = ", ".join(f"{'NULL' if u else k} AS {k}" for k, u in zip(keys, up, strict=True))
+        by = ", ".join(k for k, u in zip(keys, up, strict=True) if not u)
+        slices.append(f"SELECT {cols}, {MEASURES}, {level} AS slice_level FROM fact" + (f" GROUP BY {by}" if by else ""))
+    q["mart_metric_slices"] = pre + "\nUNION ALL\n".join(slices)
+
+
+def oracle_sql(cfg: PipelineConfig = CFG) -> dict[str, str]:
+    pre = base(cfg) + "\n"
+    q: dict[str, str] = {}
+    for part in (_sources, _facts, _causal, _regressions, _segments, _quality, _serving, _marts):
+        part(q, pre, cfg)
+    return q

@@ -25,9 +25,8 @@ def test_query_matches_oracle(spark, con, name):
         assert r["rows"] > 0
 
 
-def test_every_query_but_regressions_has_an_oracle():
-    missing = set(catalog.queries()) - set(oracle.oracle_sql())
-    assert missing == {"pretrend_regression", "did_regression"}
+def test_every_query_has_an_oracle():
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
 def test_entry_smoke(spark):
