@@ -14,10 +14,16 @@ import re
 import struct
 from itertools import chain
 
+import numpy as np
+
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 CACHE_PIECES = 800_000
 LONG_PIECE = 64
 # The Unicode white space.
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_WHITE = frozenset(_SPACE)
+_PIECE = 64
+# The Unicode white space.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _OPEN: dict[str, TokenIds] = {}
@@ -31,13 +37,30 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        vocabulary = self._tokenizer.get_vocab()
+        # a byte-level token has one character for each of its bytes
+        self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self._bytes[i] = len(token)
         self._cache: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        if not pieces:
-            return []
-        got = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in got]
+        """Ids of pieces.  Those that begin with white space and end with a sign
+        are encoded as one text, whose tokens part where the pieces do."""
+        joined = [p for p in pieces if p[0] in _WHITE and p[-1] not in _WHITE]
+        ids = np.array(self._ids(["".join(joined)])[0], "<u4")
+        ends = np.cumsum([len(p) for p in map(str.encode, joined)])
+        at = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
+        body, known, lo = ids.tobytes(), {}, 0
+        for p, hi in zip(joined, (4 * at).tolist(), strict=True):
+            known[p] = body[lo:hi]
+            lo = hi
+        rest = [p for p in pieces if p not in known]
+        known.update(zip(rest, (struct.pack(f"<{len(i)}I", *i) for i in self._ids(rest)), strict=True))
+        return [known[p] for p in pieces]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [_PIECE.findall(t) if t else [] for t in texts]
