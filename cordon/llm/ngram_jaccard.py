@@ -58,6 +58,7 @@ WORDS = 5
 PERCENT = 80
 RARE = 8
 BUCKETS = 1 << 22
+SLICES = 32
 SMALL_ENTRY = 16
 SKETCH = 16  # longs
 #: Id tables up to so many rows (8 bytes each) are broadcast; larger ones shuffle.
@@ -145,7 +146,7 @@ def index_entries(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 def frequent_buckets(docs: DataFrame) -> np.ndarray:
     """A flag for every bucket: it holds frequent tokens."""
-    spark, width = docs.sparkSession, BUCKETS // 256
+    spark, width = docs.sparkSession, BUCKETS // SLICES
     schema = "slice int, part int, data binary"
 
     def packed(slices, parts, counts) -> dict:
@@ -158,7 +159,7 @@ def frequent_buckets(docs: DataFrame) -> np.ndarray:
                 own = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(part.column("text"))])
                 total += np.bincount(_bucket(own), minlength=BUCKETS).astype(np.uint32)
         if total.any():
-            out = packed(range(256), [TaskContext.get().partitionId() % 64] * 256, total.reshape(256, width))
+            out = packed(range(SLICES), [TaskContext.get().partitionId() % 64] * SLICES, total.reshape(SLICES, width))
             yield pa.RecordBatch.from_pydict(out, pa.schema([("slice", pa.int32()), ("part", pa.int32()),
                                                              ("data", pa.binary())]))
 
@@ -170,7 +171,7 @@ def frequent_buckets(docs: DataFrame) -> np.ndarray:
 
     # summed twice, so a group has the arrays of a sixty-fourth of the tasks
     parts = grouped_pandas(map_arrow(docs.select("text"), count, schema).groupBy("slice", "part"), spark, add, schema)
-    counts = np.zeros((256, width), np.uint64)
+    counts = np.zeros((SLICES, width), np.uint64)
     for r in grouped_pandas(parts.groupBy("slice"), spark, add, schema).collect():  # BUCKETS numbers
         counts[r.slice] = np.frombuffer(zlib.decompress(r.data), "<u8")
     mean = counts.sum() / BUCKETS
@@ -252,16 +253,21 @@ def _sizes_fit(lo_a, hi_a, lo_b, hi_b):
     return (100 * F.col(hi_a) >= PERCENT * F.col(lo_b)) & (100 * F.col(hi_b) >= PERCENT * F.col(lo_a))
 
 
+def _near(sketch_a, sketch_b, n_a, n_b):
+    """Whether parity sketches allow a link of sets of at most these sizes (a
+    link has (100 + P) o >= P (|x| + |y|), and |x| + |y| - 2 o tokens differ)."""
+    differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(sketch_a, sketch_b, strict=True)), F.lit(0))
+    return F.coalesce((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col(n_a) + F.col(n_b)), F.lit(True))
+
+
 def _plausible(pairs: DataFrame, size: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and sketches allow a link."""
+    longs = [F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)]
+    wide = size.select("doc", "lo", "hi", *longs)
     for c in "ab":
-        pairs = pairs.join(size.select(*[F.col(x).alias(f"{x}_{c}") for x in size.columns])
+        pairs = pairs.join(wide.select(*[F.col(x).alias(f"{x}_{c}") for x in wide.columns])
                            .withColumnRenamed(f"doc_{c}", c), c)
-    differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                         F.lit(0), lambda t, x: t + x)
-    # |x - y| + |y - x| = |x| + |y| - 2 o, and a link has (100 + P) o >= P (|x| + |y|)
-    most = (100 - PERCENT) * (F.col("hi_a") + F.col("hi_b"))
-    near = F.coalesce((100 + PERCENT) * differ <= most, F.lit(True))
+    near = _near(*[[f"s{i}_{c}" for i in range(SKETCH)] for c in "ab"], "hi_a", "hi_b")
     return pairs.filter(_sizes_fit("lo_a", "hi_a", "lo_b", "hi_b") & near).select("a", "b")
 
 
@@ -294,8 +300,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                                  F.sum("doc").alias("total"), F.count("*").alias("c"))
                     .filter("lead < last"), "jaccard-entries")
     large = written(entry.filter("c > 3").select("entry", "lead", "c"), "jaccard-large")
-    member = written(posting.join(large, "entry").join(size.select("doc", "lo", "hi"), "doc")
-                     .select("entry", "doc", "lead", "c", "lo", "hi"), "jaccard-members")
+    # folded to 256 bits, the sketch is small enough to go with every entry
+    folded = [F.get("sketch", F.lit(i)) for i in range(SKETCH)]
+    for i in range(4, SKETCH):
+        folded[i % 4] = folded[i % 4].bitwiseXOR(folded[i])
+    folded = [c.alias(f"q{i}") for i, c in enumerate(folded[:4])]
+    traits = ["lo", "hi", "q0", "q1", "q2", "q3"]
+    member = written(posting.join(large, "entry").join(size.select("doc", "lo", "hi", *folded), "doc")
+                     .select("entry", "doc", "lead", "c", *traits), "jaccard-members")
     middle = F.col("total") - F.col("lead") - F.col("last")
     pairs = (_ordered(entry.filter("c <= 3"), "lead", "last")
              .union(_ordered(entry.filter("c = 3").withColumn("mid", middle), "lead", "mid"))
@@ -316,19 +328,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if leaders == 0:
             break
         placed = (member.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
-                  .select("entry", "doc", "c", "lo", "hi", F.coalesce("comp", "doc").alias("comp")))
+                  .select("entry", "doc", "c", *traits, F.coalesce("comp", "doc").alias("comp")))
         apart = placed.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
         member = written(placed.join(apart.select("entry"), "entry"), "jaccard-members")
         most = member.agg(F.max("c")).first()[0]
         if most is None:
             break
-        leaders *= 16
+        leaders *= 64
         chosen = ((F.col("c") <= SMALL_ENTRY) | (unit_hash(F.col("doc_id")) < F.lit(float(leaders)) / F.col("c")))
-        lead = (member.withColumn("doc_id", F.col("doc")).filter(chosen)
-                .select("entry", F.col("doc").alias("x"), F.col("comp").alias("comp_x"), F.col("lo").alias("lo_x"),
-                        F.col("hi").alias("hi_x")))
-        met = F.col("comp") != F.col("comp_x")
-        pairs = _ordered(member.join(lead, "entry").filter(met & _sizes_fit("lo", "hi", "lo_x", "hi_x")), "x", "doc")
+        lead = member.withColumn("doc_id", F.col("doc")).filter(chosen).select(
+            "entry", F.col("doc").alias("x"), *[F.col(c).alias(f"{c}_x") for c in ("comp", *traits)])
+        met = ((F.col("comp") != F.col("comp_x")) & _sizes_fit("lo", "hi", "lo_x", "hi_x")
+               & _near(traits[2:], [f"{q}_x" for q in traits[2:]], "hi", "hi_x"))
+        pairs = _ordered(member.join(lead, "entry").filter(met), "x", "doc")
         if leaders >= most:  # every member leads: the last round
             leaders = 0
         else:
