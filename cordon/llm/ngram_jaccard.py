@@ -157,7 +157,7 @@ def frequent_buckets(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for part in tb.chunks(batch):
                 own = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(part.column("text"))])
-                total += np.bincount(_bucket(own), minlength=BUCKETS).astype(np.uint32)
+                np.add.at(total, _bucket(own), np.uint32(1))
         if total.any():
             out = packed(range(SLICES), [TaskContext.get().partitionId() % 64] * SLICES, total.reshape(SLICES, width))
             yield pa.RecordBatch.from_pydict(out, pa.schema([("slice", pa.int32()), ("part", pa.int32()),
@@ -297,7 +297,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     posting = reps.select(F.explode("entries").alias("entry"), F.col("doc_id").alias("doc"))
     entry = written(posting.groupBy("entry").agg(F.min("doc").alias("lead"), F.max("doc").alias("last"),
-                                                 F.sum("doc").alias("total"), F.count("*").alias("c"))
+                                                 F.bit_xor("doc").alias("all"), F.count("*").alias("c"))
                     .filter("lead < last"), "jaccard-entries")
     large = written(entry.filter("c > 3").select("entry", "lead", "c"), "jaccard-large")
     # folded to 256 bits, the sketch is small enough to go with every entry
@@ -306,23 +306,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         folded[i % 4] = folded[i % 4].bitwiseXOR(folded[i])
     folded = [c.alias(f"q{i}") for i, c in enumerate(folded[:4])]
     traits = ["lo", "hi", "q0", "q1", "q2", "q3"]
-    member = written(posting.join(large, "entry").join(size.select("doc", "lo", "hi", *folded), "doc")
+    member = written(posting.join(_few(large), "entry").join(size.select("doc", "lo", "hi", *folded), "doc")
                      .select("entry", "doc", "lead", "c", *traits), "jaccard-members")
-    middle = F.col("total") - F.col("lead") - F.col("last")
+    middle = F.col("all").bitwiseXOR(F.col("lead")).bitwiseXOR(F.col("last"))  # of three
     pairs = (_ordered(entry.filter("c <= 3"), "lead", "last")
              .union(_ordered(entry.filter("c = 3").withColumn("mid", middle), "lead", "mid"))
              .union(_ordered(entry.filter("c = 3").withColumn("mid", middle), "mid", "last"))
              .union(_ordered(member, "lead", "doc")).filter("a < b"))
-    texts = None
     leaders = 2
     while True:
         pairs = written(_plausible(pairs.distinct(), size), "jaccard-pairs")
-        if texts is None:
-            # every later pair is of members of large entries
-            ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(
-                member.select("doc")).distinct(), "jaccard-ids")
-            texts = written(docs.join(_few(ids), "doc_id", "left_semi")
-                            .select(F.col("doc_id").alias("doc"), "text"), "jaccard-texts")
+        ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "jaccard-ids")
+        texts = written(docs.join(_few(ids), "doc_id", "left_semi")
+                        .select(F.col("doc_id").alias("doc"), "text"), "jaccard-texts")
         links = written(links.union(verified(pairs, texts)).distinct(), "jaccard-links")
         comp = components(links)
         if leaders == 0:
