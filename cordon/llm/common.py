@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,19 @@ def grouped_pandas(grouped, spark: SparkSession, fn, schema) -> DataFrame:
     return grouped.applyInPandas(fn, schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Hand Python tasks at most ``rows`` rows at a time meanwhile, where a row
+    may hold very long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

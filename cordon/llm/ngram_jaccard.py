@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cordon.llm import textbytes as tb
-from cordon.llm.common import grouped_pandas, map_arrow, row_key, written
+from cordon.llm.common import grouped_pandas, map_arrow, row_key, small_batches, written
 from cordon.llm.sampling import unit_hash
 
 WORDS = 5
@@ -212,8 +212,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
                 # a leader comes with many partners: one set for each text
                 both = pa.concat_arrays([part.column("text_a"), part.column("text_b")]).fill_null("")
                 both = both.dictionary_encode()
@@ -277,6 +277,11 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    with small_batches(docs.sparkSession, 200):  # a row may be a pair of long texts
+        return _near_duplicates(docs)
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = written(index(docs, frequent_buckets(docs)), "jaccard-index")
     usable = F.col("doc_id").isNotNull() & (F.col("n") > 0)
