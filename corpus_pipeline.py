@@ -16,8 +16,8 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated three-line passages go; every row stays, n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    """Repeated three-line passages and passages of over 50 words go; every row stays, n_chars follows the text."""
+    out = line_dedup.dedup_lines(docs, passages=True)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -69,6 +69,21 @@ def test_line_dedup_brute_force(spark):
     assert {r.doc_id: r.text for r in got} == brute_lines(docs)
 
 
+def test_line_dedup_long_passages(spark):
+    """Paragraphs of over 50 words in texts of one or two lines and alone inside longer texts."""
+    para, half = " ".join(f"w{i}" for i in range(51)), " ".join(f"h{i}" for i in range(30))
+    docs = [(1, f"a\n{para}\nb\nc"), (2, para), (3, f"{para}\nown"), (4, f"d\ne\n{para}\nf"), (5, f"{half}\n{half}x"),
+            (6, f"g\n{half}\n{half}x\ni"), (7, half), (8, "short"), (9, "short"), (10, f"{para}\n{para}"), (11, None),
+            (12, "x\ny\nz"), (13, "x\ny\nz\nq")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, passages=True).collect()}
+    want = dict(docs) | {2: "", 3: "own", 4: "d\ne\nf", 6: "g\ni", 10: "", 13: "q"}
+    assert got == want
+    import corpus_pipeline
+    df = df.selectExpr("doc_id", "text", "length(text) as n_chars")
+    assert {r.doc_id: r.text for r in corpus_pipeline.stage_line_dedup(spark, df, "").collect()} == want
+
+
 def test_decontamination(odd, none, bench):
     got = decontamination.contamination(odd, bench).collect()
     assert len(got) == len(ROWS)
