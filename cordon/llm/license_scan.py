@@ -9,9 +9,10 @@ notice).  The known texts are a parameter; the built-in ones are well-known
 public notices and short licences.
 
 The known digests are one small table (one row per known text, written by hand
-or given by the caller); the join is left to the planner.  Lines are first cut
-down to those with a hint word that some known text has, which drops nothing:
-a line whose canonical form equals a known form has all of its words.
+or given by the caller); the join is left to the planner.  Texts and lines are
+first cut down to those with a hint word or a spelling that becomes one, which
+drops nothing: every known form has a hint word, and each word of a canonical
+form stands in the raw text as it is or as such a spelling.
 
 Defined cases: null and empty texts match nothing; a canonical form without
 words matches nothing; several known texts with one digest give their smallest
@@ -21,6 +22,8 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +82,8 @@ FILLERS = ("the", "version")
 COPYRIGHT_LINE = r"(?m)^[\s*#/;-]*(copyright\b|\(c\)|©|all rights reserved).*$"
 #: Every canonical form of a known text must hold one of these words.
 HINTS = r"licen[cs]|permission|spdx"
+#: The same for raw texts: also the spellings that become a hint word.
+RAW_HINTS = "|".join([HINTS, *(a for a, b in SPELLINGS if re.search(HINTS, b) and not re.search(HINTS, a))])
 
 
 def canonical(text: Column) -> Column:
@@ -107,13 +112,13 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     where the text has no hint word)."""
     look = known_digests(docs.sparkSession, known)
     d = docs.select("doc_id", "text", row_key(F.col("text")).alias("rk"))
-    hinted = F.lower("text").rlike(HINTS)
+    hinted = F.lower("text").rlike(RAW_HINTS)
     cand = d.filter(hinted)
     whole = (cand.select("doc_id", "rk", F.sha2(canonical(F.col("text")), 256).alias("digest"))
              .join(look, "digest").select("doc_id", "rk", F.col("license_id").alias("whole"),
                                           F.lit(None).cast("string").alias("line")))
     line = F.explode(F.split("text", "\n", -1))
-    lines = (cand.select("doc_id", "rk", line.alias("line")).filter(F.lower("line").rlike(HINTS))
+    lines = (cand.select("doc_id", "rk", line.alias("line")).filter(F.lower("line").rlike(RAW_HINTS))
              .select("doc_id", "rk", F.sha2(canonical(F.col("line")), 256).alias("digest"))
              .join(look, "digest").select("doc_id", "rk", F.lit(None).cast("string").alias("whole"),
                                           F.col("license_id").alias("line")))

@@ -171,6 +171,22 @@ def test_license_scan(spark, odd, none):
     assert license_scan.scan_licenses(none).count() == 0
 
 
+def test_license_scan_spellings_of_hint_words(spark):
+    """Against every text and line in canonical form, without a prefilter."""
+    texts = ["Released under CC BY 4.0.", "Prose.\nDistributed under CC0 1.0.\nmore", "distributed under CC BY-SA 4.0",
+             "Distributed under the Apache Licence, ver 2.0", "Released on Monday.", "CC BY 4.0", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = {r.form: r.license_id for r in spark.createDataFrame(license_scan.KNOWN_LICENSES, "license_id string, text string")
+             .select("license_id", license_scan.canonical(F.col("text")).alias("form")).collect()}
+    forms = docs.select("doc_id", license_scan.canonical(F.col("text")).alias("whole"), F.transform(
+        F.split("text", "\n"), license_scan.canonical).alias("lines")).collect()
+    want = {r.doc_id: (known.get(r.whole), ",".join(sorted({known[x] for x in [r.whole, *(r["lines"] or [])] if x in known})))
+            for r in forms}
+    assert want[0] == ("CC-BY-4.0", "CC-BY-4.0") and want[1] == (None, "CC0-1.0") and want[4] == (None, "")
+    got = license_scan.scan_licenses(docs).collect()
+    assert {r.doc_id: (r.whole_text_license, r.license_ids) for r in got} == want
+
+
 def test_quality(odd, none, labels):
     got = quality.quality(odd, labels)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == len(ROWS)
