@@ -6,7 +6,8 @@ SHA-256 of the *entire* canonical text is looked up among the digests of known
 licence texts.  Documents carry licences in two ways, so two kinds of entire
 text are looked up: the whole document, and each of its lines (a one-line
 notice).  The known texts are a parameter; the built-in ones are well-known
-public notices and short licences.
+public notices, short licences and the full texts in ``licenses/``, each with
+and without its heading, its appendix and its numbering.
 
 The known digests are one small table (one row per known text, written by hand
 or given by the caller); the join is left to the planner.  Texts and lines are
@@ -23,6 +24,7 @@ further columns are ignored.
 from __future__ import annotations
 
 import re
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,11 +81,41 @@ SPELLINGS = [
 ]
 #: Words without weight in a notice.
 FILLERS = ("the", "version")
-COPYRIGHT_LINE = r"(?m)^[\s*#/;-]*(copyright\b|\(c\)|©|all rights reserved).*$"
+#: Words after "copyright" and "(c)" in the prose of a licence, not in a copyright statement.
+PROSE = (r"notices?|holders?|owners?|licen[cs](?:e[sd]?|ing)|statements?|permissions?|laws?|interests?|rights?|protections?|"
+         r"ownership|disclaimers?|doctrines?|treat(?:y|ies)|and|or|in|on|of|to|is|are|as|if|that|which|for|with|under|"
+         r"the\s+(?:software|program|work)")
+POINT = r"you|under|any|each|if|in|to|for|it|that|this|such|where|when|no|must"
+COPYRIGHT_LINE = (r"(?m)^[\s*#/;-]*(copyright(?![\p{L}\p{N}_-])(?!\s+(?:" + PROSE + r")\b)(?!\s*[,;.]\s*\p{L})"
+                  r"|\(c\)(?!\s*(?:" + POINT + r")\b)|©|all rights reserved).*$")
+#: What the SQL twin drops.
+SQL_COPYRIGHT_LINE = r"(?m)^[\s*#/;-]*(copyright\b|\(c\)|©|all rights reserved).*$"
+#: What the SQL twin looks at.
+SQL_HINTS = r"licen[cs]|permission|spdx"
 #: Every canonical form of a known text must hold one of these words.
-HINTS = r"licen[cs]|permission|spdx"
+HINTS = SQL_HINTS + "|redistribution"
 #: The same for raw texts: also the spellings that become a hint word.
 RAW_HINTS = "|".join([HINTS, *(a for a, b in SPELLINGS if re.search(HINTS, b) and not re.search(HINTS, a))])
+#: Full texts in ``licenses/``, and the headings that may be missing.
+FULL_TEXTS = {"Apache-2.0": "", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License",
+              "CC0-1.0": "Creative Commons Legal Code", "GPL-2.0": "", "GPL-3.0": "", "MPL-2.0": ""}
+APPENDIX = "END OF TERMS AND CONDITIONS"
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of the full licences, in the forms they come in."""
+    out = [("ISC", ISC.removeprefix("ISC License\n")), ("MIT", MIT.removeprefix("MIT License\n"))]
+    for name, heading in FULL_TEXTS.items():
+        text = resources.files("cordon.llm").joinpath("licenses", f"{name}.txt").read_text("utf-8")
+        forms = {text, text.removeprefix(heading)}
+        if APPENDIX in text:
+            body = text[:text.index(APPENDIX)]
+            forms |= {body, body + APPENDIX}
+        if name.startswith("BSD"):
+            forms |= {re.sub(r"(?m)^\d\. ", "* ", t) for t in forms}
+        forms |= {t.replace("https://", "http://") for t in forms} | {t.replace("http://", "https://") for t in forms}
+        out += [(name, t) for t in sorted(forms)]
+    return out
 
 
 def canonical(text: Column) -> Column:
@@ -99,7 +131,7 @@ def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFr
     """(digest, license_id) of the known texts (license_id, text).  Texts whose
     form lacks a hint word are refused, as the scan could not find them."""
     if known is None:
-        known = spark.createDataFrame(KNOWN_LICENSES, "license_id string, text string")
+        known = spark.createDataFrame(KNOWN_LICENSES + full_texts(), "license_id string, text string")
     k = known.select("license_id", canonical(F.col("text")).alias("form")).filter("form <> ''")
     k = k.withColumn("form", F.when(F.col("form").rlike(HINTS), F.col("form")).otherwise(
         F.raise_error(F.concat(F.lit("known licence without hint word: "), F.col("license_id")))))
@@ -139,7 +171,7 @@ def _sql_text(s: str) -> str:
 
 
 def _sql_canonical(col: str) -> str:
-    base = (f"trim(regexp_replace(regexp_replace(lower(coalesce({col}, '')), {_sql_text(COPYRIGHT_LINE)}, ' ', 'g'), "
+    base = (f"trim(regexp_replace(regexp_replace(lower(coalesce({col}, '')), {_sql_text(SQL_COPYRIGHT_LINE)}, ' ', 'g'), "
             r"'[^\p{L}\p{N}]+', ' ', 'g'))")
     same = "MAP {" + ", ".join(f"{_sql_text(a)}: {_sql_text(b)}" for a, b in SPELLINGS) + "}"
     drop = ", ".join(_sql_text(w) for w in FILLERS)
@@ -153,12 +185,12 @@ WITH known AS (
   FROM (VALUES {', '.join(f'({_sql_text(i)}, {_sql_text(t)})' for i, t in KNOWN_LICENSES)}) AS k(i, t) GROUP BY 1
 ), whole AS (
   SELECT doc_id, license_id FROM (SELECT doc_id, sha256({_sql_canonical('text')}) AS digest FROM documents
-    WHERE regexp_matches(lower(text), '{HINTS}')) JOIN known USING (digest)
+    WHERE regexp_matches(lower(text), '{SQL_HINTS}')) JOIN known USING (digest)
 ), line AS (
   SELECT doc_id, license_id FROM (
     SELECT doc_id, sha256({_sql_canonical('ln')}) AS digest
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS ln FROM documents)
-    WHERE regexp_matches(lower(ln), '{HINTS}')) JOIN known USING (digest)
+    WHERE regexp_matches(lower(ln), '{SQL_HINTS}')) JOIN known USING (digest)
 ), ids AS (
   SELECT doc_id, string_agg(license_id, ',' ORDER BY license_id) AS s
   FROM (SELECT * FROM whole UNION SELECT * FROM line) GROUP BY doc_id

@@ -187,6 +187,34 @@ def test_license_scan_spellings_of_hint_words(spark):
     assert {r.doc_id: (r.whole_text_license, r.license_ids) for r in got} == want
 
 
+def test_license_scan_full_texts(spark):
+    """Full licences, in other line wraps, with a copyright statement and no heading."""
+    import re
+    import textwrap
+    by = "Copyright (c) 2020 A. Person\nAll rights reserved."
+    want, texts = {}, []
+
+    def add(name, text):
+        want[len(texts)] = name
+        texts.append((len(texts), text))
+
+    for name, text in license_scan.full_texts():
+        add(name, text)
+        for width in (45, 66, 90, 110):
+            paragraphs = re.split(r"\n\s*\n", text)
+            add(name, "\n\n".join(p if re.search(r"(?i)copyright (\(c\)|\[|<)", p) else
+                                  textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in paragraphs))
+    isc = license_scan.ISC.replace("Copyright (c) <year> <holder>", "Copyright 2020 A. Person")
+    add("ISC", isc.replace("above copyright notice", "above\ncopyright notice"))
+    bsd = dict(license_scan.full_texts())["BSD-3-Clause"]
+    add("BSD-3-Clause", re.sub(r"(?s)Copyright \(c\).*?reserved\.", by, bsd))
+    add("BSD-3-Clause", re.sub(r"(?s)Copyright \(c\).*?reserved\.", "(c) The Regents\nCopyright The Authors", bsd))
+    docs = spark.createDataFrame([*texts, (len(texts), by)], "doc_id long, text string")
+    got = {r.doc_id: r.whole_text_license for r in license_scan.scan_licenses(docs).collect()}
+    assert {k: (v, texts[k][1][:200]) for k, v in got.items() if k in want and v != want[k]} == {}
+    assert got[len(texts)] is None and {x for x, _ in license_scan.full_texts()} >= set(license_scan.FULL_TEXTS)
+
+
 def test_quality(odd, none, labels):
     got = quality.quality(odd, labels)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == len(ROWS)
