@@ -15,7 +15,8 @@ and broadcasts them only under its threshold; beyond it the joins shuffle.
 
 Defined cases: a null or empty text has no words, no hits and is not
 contaminated; items without words have no windows; repeated items count once by
-item_id; rows that repeat a doc_id with another text are judged apart; empty
+item_id; items with a null item_id have windows and hits like any other, count
+together as one item in n_items, and are not in ``items``; rows that repeat a doc_id with another text are judged apart; empty
 tables give no hits; further columns are ignored.
 """
 
@@ -72,9 +73,9 @@ def _spans(df: DataFrame, span: int, *keys: str) -> DataFrame:
 
 
 def benchmark_tables(benchmark: DataFrame) -> tuple[DataFrame, DataFrame, list[int]]:
-    """Written (span, fp) and (span, a, b, items), and the window lengths in use
+    """Written (span, fp) and (span, a, b, items, unnamed), and the window lengths in use
     (1 to 13)."""
-    items = (benchmark.filter("item_id is not null")
+    items = (benchmark
              .select("item_id", words(F.col("text")).alias("ws")).filter(F.size("ws") > 0))
     items = written(items.withColumn("span", F.least(F.lit(WINDOW), F.size("ws"))), "decon-items")
     spans = sorted(r.span for r in items.select("span").distinct().collect())
@@ -86,7 +87,8 @@ def benchmark_tables(benchmark: DataFrame) -> tuple[DataFrame, DataFrame, list[i
         own = h.filter(F.col("span") == s)
         f = fingerprints(own, s, "span").distinct()
         w = (_spans(own, s, "item_id", "span").groupBy("span", "a", "b")
-             .agg(F.collect_set(F.col("item_id").cast("string")).alias("items")))
+             .agg(F.collect_set(F.col("item_id").cast("string")).alias("items"),  # takes no nulls
+                  F.max(F.col("item_id").isNull()).alias("unnamed")))
         fps, wins = (f, w) if fps is None else (fps.unionByName(f), wins.unionByName(w))
     return written(fps, "decon-fingerprints"), written(wins, "decon-windows"), spans
 
@@ -112,17 +114,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     near = _hashed(near, "doc_id", "rk")
     found = None
     for s in spans:
-        own = wins.filter(F.col("span") == s).select("a", "b", "items")
+        own = wins.filter(F.col("span") == s).select("a", "b", "items", "unnamed")
         f = (_spans(near, s, "doc_id", "rk").join(own, ["a", "b"])
-             .select("doc_id", "rk", F.sequence("pos", F.col("pos") + (s - 1)).alias("at"), "items"))
+             .select("doc_id", "rk", F.sequence("pos", F.col("pos") + (s - 1)).alias("at"), "items", "unnamed"))
         found = f if found is None else found.unionByName(f)
     hits = found.groupBy("doc_id", "rk").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.max("unnamed").cast("long").alias("unnamed"))
     out = null_safe(counted, hits, ["doc_id", "rk"], "left").select(
         "doc_id", "rk", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("items", none).alias("items"))
-    return out.select("doc_id", "rk", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
+        F.coalesce("items", none).alias("items"), F.coalesce("unnamed", F.lit(0).cast("long")).alias("unnamed"))
+    return out.select("doc_id", "rk", "n_words", "n_hit",
+                      (F.size("items") + F.col("unnamed")).cast("long").alias("n_items"), "items",
                       ((F.col("n_hit") > 0) & (ONE_IN * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 

@@ -5,6 +5,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import SF001
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -96,6 +97,26 @@ def test_decontamination(odd, none, bench):
     assert decontamination.drop_contaminated(odd, bench).columns == odd.columns
 
 
+def test_decontamination_items_without_id(spark, bench, tmp_dir):
+    from oracle_check import duck
+    docs = spark.createDataFrame([(1, "no item"), (2, "there is no item, a thing"), (3, "nothing"), (4, None)],
+                                 "doc_id long, text string")
+    more = bench.unionByName(spark.createDataFrame([(None, "is no"), (None, "")], bench.schema))
+    got = {r.doc_id: r for r in decontamination.contamination(docs, more).collect()}
+    assert (got[1].n_hit, got[1].n_items, got[1]["items"], got[1].contaminated) == (2, 1, [], True)
+    assert (got[2].n_hit, got[2].n_items, got[2]["items"], got[2].contaminated) == (4, 2, ["1"], True)
+    assert got[3].n_hit == got[3].n_items == got[4].n_hit == 0 and not got[3].contaminated
+    assert {r.doc_id for r in decontamination.drop_contaminated(docs, more).collect()} == {3, 4}
+    con = duck(SF001)
+    con.execute("CREATE OR REPLACE TEMP VIEW documents AS SELECT * FROM (VALUES (1, 'no item'), "
+                "(2, 'there is no item, a thing'), (3, 'nothing'), (4, NULL)) t(doc_id, text)")
+    con.execute("CREATE OR REPLACE TEMP VIEW benchmark AS SELECT * FROM (VALUES (1, 'a'), (2, NULL), (3, ''), "
+                "(4, 'three lines here'), (NULL, 'no item'), (NULL, 'is no')) t(item_id, text)")
+    rel = con.sql(decontamination.ORACLE)
+    rows = decontamination.report(docs, more).select(rel.columns).collect()
+    assert sorted(map(tuple, rows)) == sorted(rel.fetchall())
+
+
 def brute_hits(words, items):
     hit, found = set(), set()
     for k, it in items.items():
