@@ -61,7 +61,7 @@ BUCKETS = 1 << 22
 SLICES = 32
 SMALL_ENTRY = 16
 SKETCH = 16  # longs
-#: Id tables up to so many rows (8 bytes each) are broadcast; larger ones shuffle.
+#: Id tables up to so many rows (8 bytes each, 24 with a digest) are broadcast; larger ones shuffle.
 BROADCAST_IDS = 500_000
 
 _KIND = tb.class_table(1, space=(0, b" \t\n\x0b\x0c\r"))
@@ -288,13 +288,14 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     same = sets.filter(usable).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     groups = written(same.filter("copies > 1").select("digest", "rep"), "jaccard-copies")
     rows = written(sets.select("doc_id", "n", "digest").join(groups, "digest", "left")
-                   .select("doc_id", "n", F.when(usable, F.coalesce("rep", "doc_id")).alias("rep")), "jaccard-rows")
+                   .select("doc_id", "n", "digest", F.when(usable, F.coalesce("rep", "doc_id")).alias("rep")), "jaccard-rows")
     # a doc_id with several texts links their classes
     links = _ordered(rows.filter("rep is not null").groupBy("doc_id")
                      .agg(F.min("rep").alias("x"), F.collect_set("rep").alias("ys")).filter(F.size("ys") > 1)
                      .select("x", F.explode("ys").alias("y")), "x", "y").filter("a < b")
-    copies = written(rows.filter("rep <> doc_id").select(F.col("doc_id")).distinct(), "jaccard-copy-ids")
-    reps = sets.filter(usable).join(_few(copies), "doc_id", "left_anti")
+    # only the copied text leaves the index, not the other texts of its doc_id
+    copies = written(rows.filter("rep <> doc_id").select("doc_id", "digest").distinct(), "jaccard-copy-ids")
+    reps = sets.filter(usable).join(_few(copies), ["doc_id", "digest"], "left_anti")
     # of a doc_id with several texts, the sketch says nothing
     size = written(reps.groupBy(F.col("doc_id").alias("doc"))
                    .agg(F.min("n").alias("lo"), F.max("n").alias("hi"),

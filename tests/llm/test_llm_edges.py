@@ -370,6 +370,30 @@ def test_jaccard_brute_force(spark, monkeypatch, rare, small):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(docs)
 
 
+def test_jaccard_repeated_ids_with_copies(spark):
+    """Of a doc_id with several texts only the copied one leaves the index; against brute force over rows."""
+    def text(tag, changed=()):
+        return " ".join(f"{tag}{'x' if i in changed else ''}{i}" for i in range(60))
+
+    rows = [(3, text("a")), (10, text("a")), (10, text("b")), (15, text("b")), (20, text("b", {59})),
+            (30, text("c")), (31, text("c")), (31, text("d", {0})), (32, text("d")), (31, text("e")), (33, text("e", {59})),
+            (40, text("f")), (41, text("f")), (42, text("f", {0})), (50, text("g")), (50, text("g")), (51, None)]
+    flat = brute_classes([(i, t) for i, (_, t) in enumerate(rows)])
+    root = {d: d for d, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (_, c) in flat.items():
+        a, b = sorted((find(rows[i][0]), find(rows[c][0])))
+        root[b] = a
+    got = ngram_jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == sorted((d, flat[i][0], find(d)) for i, (d, _) in enumerate(rows))
+    assert find(20) == 3 and find(33) == 30 and find(42) == 40
+
+
 def test_jaccard_edges(odd, none):
     got = ngram_jaccard.near_duplicates(odd)
     by = {(r.doc_id, r.n_shingles): r.component_id for r in got.collect()}
