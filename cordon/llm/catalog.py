@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cordon.llm import decontamination, exact_dedup, langid, license_scan, line_dedup, ngram_jaccard, packing, quality, token_binary, toxicity
+from cordon.llm import (decontamination, exact_dedup, host_rules, langid, license_scan, line_dedup, ngram_jaccard, packing, quality,
+                        sharded_clusters, token_binary, toxicity, vector_codes)
 from cordon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +81,18 @@ def op9(spark, sf_dir):
 @query("op10_langid")
 def op10(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op11_vector_codes", vector_codes.ORACLE)
+def op11(spark, sf_dir):
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_sharded_clusters", sharded_clusters.ORACLE)
+def op12(spark, sf_dir):
+    return sharded_clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_host_rules", host_rules.ORACLE)
+def op13(spark, sf_dir):
+    return host_rules.judge(table(spark, sf_dir, "documents"))
