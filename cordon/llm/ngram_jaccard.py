@@ -2,12 +2,13 @@
 prefixes.
 
 A text is the set of its distinct five-word shingles (64-bit hashes).  Texts
-with equal sets are one class first; the smallest doc_id represents it.  Tokens
-(shingles) are ordered rare ones before frequent ones, by hash within a class.
-With at most d = n - ceil(0.8 n) tokens of a set missing from a partner:
+with equal sets are one class first; the smallest doc_id represents it.  The
+tokens of a set (48 bits of its hashes) are ordered by the number of texts that
+hold them, then by value.  With at most d = n - ceil(0.8 n) tokens of a set
+missing from a partner:
 
-* the first d + 1 tokens of two similar sets share a token; each *rare* one is
-  indexed singly;
+* the first d + 1 tokens of two similar sets share a token; each *rare* one (in
+  at most RARE texts) is indexed singly;
 * a set whose d + 1 tokens reach into the *frequent* class is extended to
   d + g + 1 tokens, of which similar sets share g + 1.  The frequent tokens are
   dealt into g groups by hash, so two of the shared ones meet in a group: the
@@ -15,21 +16,27 @@ With at most d = n - ceil(0.8 n) tokens of a set missing from a partner:
   on the size class of the smaller set, so a set indexes for its own class and
   the one below.
 
-Classes come from counts over all tokens of all documents, in BUCKETS hash
-buckets (each task counts into one array; the arrays are summed in Spark): a
-token is frequent when its bucket holds more than the mean, five standard
-deviations of a random filling and RARE more.  One bit per bucket is the proven
-bound of what is broadcast.  Any choice of classes keeps the join exact; it
-only decides the work.  With frequent tokens last, a heavily edited copy is
-indexed by the tokens that only it has, and meets nobody.
-
-Sets that share an index entry are candidates.  No entry emits all its pairs:
-each member is verified against the entry's smallest member first, links are
-contracted into components, and only entries that still span several
-components go on, with more leaders each round, until every member of such an
-entry has been a leader.  So no link between components is lost.  Of a candidate
-pair, the sizes and then a parity sketch (bits that differ are at most the
-tokens that differ) are compared first; verification compares whole sets.
+Counts.  Hash buckets summed over all documents find the *hot* tokens (their
+bucket holds more than the mean, five standard deviations of a random filling
+and HOT more); one bit per bucket is the proven bound of what is broadcast.  Hot
+tokens come last in the order.  All other tokens are counted exactly: tasks send
+their tokens, cut into slices by value, as packed blobs; a slice returns to each
+text its tokens that occur elsewhere, with their counts.  A slice holds about
+SLICE_TOKENS tokens, none of them hot, however many documents there are.  Most
+texts have more than d tokens of their own and are done here: they index
+nothing.
+
+Sets that share an index entry are candidates.  First every member of an entry
+is paired with the entry's smallest document and with the one that has most
+shared tokens; parity sketches of about three bits a token (bits that differ are
+at most the tokens that differ) cut these pairs, each text is verified against
+its nearest partner, then the pairs still between components.  Links are
+contracted into components.  Entries that still span several components are
+compared in blocks of at most BLOCK members of neighbouring size classes, whose
+sketches are multiplied as matrices: only pairs of different components that
+sizes and sketches allow leave a block, and are verified in the same way.
+So a link between components is never lost, and pairs inside one are not made.
+Verification compares whole sets.
 
 Defined cases: null texts and texts without words have the empty set, linked
 with nothing; rows that repeat a doc_id are one node with the links of all
@@ -47,22 +54,27 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cordon.llm import textbytes as tb
-from cordon.llm.common import grouped_pandas, map_arrow, row_key, small_batches, written
-from cordon.llm.sampling import unit_hash
+from cordon.llm.common import grouped_pandas, map_arrow, row_key, ship, small_batches, written
 
 WORDS = 5
 PERCENT = 80
-RARE = 8
+#: Tokens in more texts than this are indexed in combinations.
+RARE = 256
+#: Tokens in more texts than this (and the noise of their bucket) are not counted one by one.
+HOT = 1000
 BUCKETS = 1 << 22
 SLICES = 32
-SMALL_ENTRY = 16
-SKETCH = 16  # longs
-#: Id tables up to so many rows (8 bytes each, 24 with a digest) are broadcast; larger ones shuffle.
-BROADCAST_IDS = 500_000
+#: Bits of a token that are counted and indexed.
+BITS = 48
+SLICE_TOKENS = 4_000_000
+#: Tokens that a task gathers before it sends them to their slices.
+GATHERED = 4_000_000
+#: Members of an entry that are compared at once.
+BLOCK = 256
 
 _KIND = tb.class_table(1, space=(0, b" \t\n\x0b\x0c\r"))
 
@@ -111,28 +123,59 @@ def _class_bounds() -> np.ndarray:
 CLASSES = _class_bounds()
 
 
-def _bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(65 - BUCKETS.bit_length())).astype(np.int64)
+def _bucket(short_tokens: np.ndarray) -> np.ndarray:
+    return (short_tokens >> np.uint64(BITS + 1 - BUCKETS.bit_length())).astype(np.int64)
 
 
-def sketch(tokens: np.ndarray) -> np.ndarray:
-    """Parity of the tokens per bit, as SKETCH longs."""
-    odd = np.bincount((tokens & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parity of the tokens per bit, two to four bits a token."""
+    m = max(64, 1 << int(2 * len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def index_entries(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The index entries of a set; ``frequent``: a flag for every bucket."""
-    n = len(tokens)
+def folded(data: bytes, size: int) -> np.ndarray:
+    """A sketch as ``size`` bytes; a longer one is folded, its bits keep their meaning."""
+    a = np.frombuffer(data, np.uint8)
+    while len(a) > size:
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return a
+
+
+def sketches_allow(differ, n_a, n_b):
+    """Whether so many differing bits allow a link of sets of these sizes (a
+    link has (100 + P) o >= P (|x| + |y|), and |x| + |y| - 2 o tokens differ)."""
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * (n_a + n_b)
+
+
+def short(tokens: np.ndarray) -> np.ndarray:
+    """The distinct BITS-bit tokens of sorted hashes, sorted."""
+    t = tokens >> np.uint64(64 - BITS)
+    keep = np.ones(len(t), bool)
+    np.not_equal(t[1:], t[:-1], out=keep[1:])
+    return t[keep]
+
+
+def _groups(n: int) -> dict[int, int]:
+    """Size class: number of groups, for the classes in which a set of n is indexed."""
+    own = int(np.searchsorted(CLASSES, n, "right")) - 1
+    return {c: max(1, int(CLASSES[c]) // 10) for c in {own, max(own - 1, 0)}}
+
+
+def index_entries(n: int, alone: int, shared: np.ndarray, count: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The index entries of a set of ``n``: ``alone`` of its tokens are in no
+    other text, ``shared`` ones in ``count`` texts, the first of the ``hot`` ones follow."""
     d = missing(n)
-    often = frequent[_bucket(tokens)]
-    rare, many = tokens[~often], tokens[often]
-    entries = [tb.mix(rare[:d + 1])]
-    if len(rare) <= d and n > 1:
-        own = int(np.searchsorted(CLASSES, n, "right")) - 1
-        for c in {own, max(own - 1, 0)}:
-            g = max(1, int(CLASSES[c]) // 10)
-            part = many[:d + g + 1 - len(rare)]
+    if alone > d:
+        return np.zeros(0, np.uint64)
+    order = np.lexsort((shared, count))
+    shared, often = shared[order], count[order] > RARE
+    rare, many = shared[~often], np.concatenate([shared[often], hot])
+    entries = [tb.mix(rare[:d + 1 - alone])]
+    first = alone + len(rare)
+    if first <= d and n > 1:
+        for c, g in _groups(n).items():
+            part = many[:d + g + 1 - first]
             group = (part >> np.uint64(7)) % np.uint64(g)
             order = np.argsort(group, kind="stable")
             part, group = part[order], group[order]
@@ -144,8 +187,8 @@ def index_entries(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(entries))
 
 
-def frequent_buckets(docs: DataFrame) -> np.ndarray:
-    """A flag for every bucket: it holds frequent tokens."""
+def hot_buckets(docs: DataFrame) -> np.ndarray:
+    """A flag for every bucket: it holds hot tokens."""
     spark, width = docs.sparkSession, BUCKETS // SLICES
     schema = "slice int, part int, data binary"
 
@@ -156,7 +199,7 @@ def frequent_buckets(docs: DataFrame) -> np.ndarray:
         total = np.zeros(BUCKETS, np.uint32)
         for batch in batches:
             for part in tb.chunks(batch):
-                own = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(part.column("text"))])
+                own = np.concatenate([np.zeros(0, np.uint64), *map(short, shingle_sets(part.column("text")))])
                 np.add.at(total, _bucket(own), np.uint32(1))
         if total.any():
             out = packed(range(SLICES), [TaskContext.get().partitionId() % 64] * SLICES, total.reshape(SLICES, width))
@@ -175,36 +218,180 @@ def frequent_buckets(docs: DataFrame) -> np.ndarray:
     for r in grouped_pandas(parts.groupBy("slice"), spark, add, schema).collect():  # BUCKETS numbers
         counts[r.slice] = np.frombuffer(zlib.decompress(r.data), "<u8")
     mean = counts.sum() / BUCKETS
-    return counts.ravel() > mean + 5 * np.sqrt(mean) + RARE
+    return counts.ravel() > mean + 5 * np.sqrt(mean) + HOT
 
 
-def index(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(doc_id, n, digest, entries, sketch) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def _digest(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
+
+def _key(digest: bytes) -> int:
+    """Tells apart rows that repeat a doc_id."""
+    return int.from_bytes(digest[:4], "little", signed=True)
+
+
+def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    flat = np.concatenate([np.zeros(0, np.int64), *[v.astype(np.int64) for v in values]])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat).cast(kind))
+
+
+def describe(docs: DataFrame, hot: np.ndarray) -> DataFrame:
+    """(doc_id, n, digest, key, cls, plain, hot, sketch) of every row: the number
+    of its tokens that are not hot, and the hot ones that its prefix may reach."""
+    flags = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value
         for batch in batches:
             for part in tb.chunks(batch):
                 sets = shingle_sets(part.column("text"))
-                digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                entries = [index_entries(s, often) if len(s) else s for s in sets]
-                ends = np.cumsum([0, *map(len, entries)]).astype(np.int32)
+                plain, own = [], []
+                for s in sets:
+                    t = short(s)
+                    h = t[flags.value[_bucket(t)]]
+                    plain.append(len(t) - len(h))
+                    reach = missing(len(s)) + max(_groups(len(s)).values()) + 1 if len(s) else 0
+                    own.append(h[:max(reach - plain[-1], 0)])
+                n = np.array([len(s) for s in sets], np.int64)
+                digest = [_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(entries).view(np.int64))),
-                     pa.ListArray.from_arrays(
-                         pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SKETCH),
-                         pa.array(np.concatenate([sketch(s) for s in sets])))],
-                    ["doc_id", "n", "digest", "entries", "sketch"])
+                    [part.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), pa.array(map(_key, digest), pa.int32()),
+                     pa.array((np.searchsorted(CLASSES, n, "right") - 1).astype(np.int32)), pa.array(plain, pa.int64()),
+                     _lists(own, pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())],
+                    ["doc_id", "n", "digest", "key", "cls", "plain", "hot", "sketch"])
 
     return map_arrow(docs.select("doc_id", "text"), run,
-                     "doc_id long, n long, digest binary, entries array<long>, sketch array<long>")
+                     "doc_id long, n long, digest binary, key int, cls int, plain long, hot array<long>, sketch binary")
+
+
+def _packed(tokens: np.ndarray) -> bytes:
+    """BITS / 8 bytes a token."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :BITS // 8].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) * 8 // BITS, 8), np.uint8)
+    out[:, :BITS // 8] = np.frombuffer(data, np.uint8).reshape(-1, BITS // 8)
+    return out.view("<u8").ravel()
+
+
+def sliced_tokens(docs: DataFrame, hot: np.ndarray, slices: int) -> DataFrame:
+    """(slice, ids, keys, counts, tokens): the tokens that are not hot, of many
+    texts at once; ``slices`` is a power of two."""
+    flags = docs.sparkSession.sparkContext.broadcast(hot)
+    schema = pa.schema([("slice", pa.int32())] + [(c, pa.binary()) for c in ("ids", "keys", "counts", "tokens")])
+    shift = np.uint64(BITS - slices.bit_length() + 1)
+
+    def blobs(held: list[tuple]) -> pa.RecordBatch:
+        ids = np.array([x[0] for x in held], "<i8")
+        keys = np.array([x[1] for x in held], "<i4")
+        own = np.repeat(np.arange(len(held)), [len(x[2]) for x in held])
+        t = np.concatenate([x[2] for x in held])
+        to = (t >> shift).astype(np.int64) if slices > 1 else np.zeros(len(t), np.int64)
+        order = np.argsort(to, kind="stable")
+        t, own, to = t[order], own[order], to[order]
+        at = np.searchsorted(to, np.arange(slices + 1))
+        cols: list[list] = [[] for _ in schema]
+        for k in range(slices):
+            if at[k + 1] > at[k]:
+                rows, counts = np.unique(own[at[k]:at[k + 1]], return_counts=True)
+                for c, v in zip(cols, (k, ids[rows].tobytes(), keys[rows].tobytes(), counts.astype("<u4").tobytes(),
+                                       _packed(t[at[k]:at[k + 1]])), strict=True):
+                    c.append(v)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, many, seen = [], 0, set()
+        for batch in batches:
+            for part in tb.chunks(batch):
+                sets = shingle_sets(part.column("text"))
+                for doc, s in zip(part.column("doc_id").to_pylist(), sets, strict=True):
+                    key = _digest(s)
+                    t = short(s)
+                    t = t[~flags.value[_bucket(t)]]
+                    if len(t) and (doc, key) not in seen:
+                        seen.add((doc, key))
+                        held.append((doc, _key(key), t))
+                        many += len(t)
+                if many >= GATHERED:
+                    yield blobs(held)
+                    held, many, seen = [], 0, set()
+        if held:
+            yield blobs(held)
+
+    return map_arrow(docs.filter("doc_id is not null").select("doc_id", "text"), run,
+                     "slice int, ids binary, keys binary, counts binary, tokens binary")
+
+
+def shared_tokens(docs: DataFrame, hot: np.ndarray, tokens: int) -> DataFrame:
+    """(doc_id, key, shared, count): the tokens of a text that are not hot and
+    occur in other rows too, with the number of texts that hold them."""
+    slices = SLICES
+    while tokens > slices * SLICE_TOKENS:
+        slices *= 2
+
+    def count(table: pa.Table) -> pa.Table:
+        def column(name, kind):
+            return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
+
+        ids, keys, per = column("ids", "<i8"), column("keys", "<i4"), column("counts", "<u4")
+        t = np.concatenate([_unpacked(x.as_py()) for x in table.column("tokens")])
+        own = np.repeat(np.arange(len(ids), dtype=np.int64), per)
+        # exact copies are one text: of a token, count different digests (eight bits of them)
+        mark = (t << np.uint64(8)) | (keys[own] & 255).astype(np.uint64)
+        order = np.argsort(mark, kind="stable")
+        mark = mark[order]
+        t = mark >> np.uint64(8)
+        new = np.ones(len(t), bool)
+        np.not_equal(t[1:], t[:-1], out=new[1:])
+        other = np.ones(len(t), bool)
+        np.not_equal(mark[1:], mark[:-1], out=other[1:])
+        start = np.flatnonzero(new)
+        rows = np.diff(np.append(start, len(t)))
+        texts = np.add.reduceat(other.astype(np.int64), start) if len(t) else rows
+        again = np.repeat(rows > 1, rows)
+        t, texts, own = t[again], np.repeat(texts, rows)[again], own[order][again]
+        order = np.argsort(own, kind="stable")
+        t, texts, own = t[order], texts[order], own[order]
+        doc, at = np.unique(own, return_index=True)
+        ends = pa.array(np.append(at, len(own)).astype(np.int32))
+        return pa.table({"doc_id": pa.array(ids[doc]), "key": pa.array(keys[doc]),
+                         "shared": pa.ListArray.from_arrays(ends, pa.array(t.astype(np.int64))),
+                         "count": pa.ListArray.from_arrays(ends, pa.array(texts.astype(np.int32)))})
+
+    ship(docs.sparkSession)
+    return sliced_tokens(docs, hot, slices).groupBy("slice").applyInArrow(
+        count, "doc_id long, key int, shared array<long>, count array<int>")
+
+
+def postings(reps: DataFrame, shared: DataFrame) -> DataFrame:
+    """(doc, entry, weight) of the texts ``reps``; weight: their shared tokens."""
+    got = shared.groupBy("doc_id", "key").agg(F.collect_list(F.struct("shared", "count")).alias("parts"))
+    got = got.select("doc_id", "key", F.flatten("parts.shared").alias("shared"), F.flatten("parts.count").alias("count"))
+    own = reps.select("doc_id", "key", "n", "plain", "hot").join(got, ["doc_id", "key"], "left")
+    own = own.filter("shared is not null or size(hot) > 0").select(
+        "doc_id", "n", "plain", "hot", "shared", "count")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts(column, kind):
+            column = column.fill_null(pa.scalar([], column.type))
+            return np.split(column.flatten().to_numpy().astype(kind), column.value_lengths().to_numpy().cumsum()[:-1])
 
-def _few(ids: DataFrame) -> DataFrame:
-    """A written id table with a broadcast hint when its size allows it."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found, weight = [], []
+            for n, plain, hot, tokens, count in zip(
+                    batch.column("n").to_pylist(), batch.column("plain").to_pylist(), parts(batch.column("hot"), np.uint64),
+                    parts(batch.column("shared"), np.uint64), parts(batch.column("count"), np.int64), strict=True):
+                found.append(index_entries(n, plain - len(tokens), tokens, count, hot))
+                weight.append(len(tokens) + len(hot))
+            per = [len(x) for x in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(batch.column("doc_id").to_numpy(), per)),
+                 pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(weight, per))], ["doc", "entry", "weight"])
+
+    return map_arrow(own, run, "doc long, entry long, weight long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -249,26 +436,65 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def _sizes_fit(lo_a, hi_a, lo_b, hi_b):
-    return (100 * F.col(hi_a) >= PERCENT * F.col(lo_b)) & (100 * F.col(hi_b) >= PERCENT * F.col(lo_a))
-
-
-def _near(sketch_a, sketch_b, n_a, n_b):
-    """Whether parity sketches allow a link of sets of at most these sizes (a
-    link has (100 + P) o >= P (|x| + |y|), and |x| + |y| - 2 o tokens differ)."""
-    differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(sketch_a, sketch_b, strict=True)), F.lit(0))
-    return F.coalesce((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col(n_a) + F.col(n_b)), F.lit(True))
+def plausible(pairs: DataFrame, size: DataFrame) -> DataFrame:
+    """(a, b, differ): the pairs whose sizes and sketches allow a link, with the
+    bits that differ (0 without a sketch)."""
+    for c in "ab":
+        pairs = pairs.join(size.select(F.col("doc").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("lo", "hi", "sketch")]), c)
+    fit = (100 * F.col("hi_a") >= PERCENT * F.col("lo_b")) & (100 * F.col("hi_b") >= PERCENT * F.col("lo_a"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            differ = []
+            for x, y in zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist(), strict=True):
+                size = 0 if x is None or y is None else min(len(x), len(y))
+                differ.append(int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()) if size else 0)
+            differ = np.array(differ, np.int64)
+            keep = sketches_allow(differ, batch.column("hi_a").to_numpy(), batch.column("hi_b").to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(differ)],
+                                             ["a", "b", "differ"]).filter(pa.array(keep))
+
+    return map_arrow(pairs.filter(fit).select("a", "b", "hi_a", "hi_b", "sketch_a", "sketch_b"), run,
+                     "a long, b long, differ long")
+
+
+def block_pairs(member: DataFrame, size: DataFrame) -> DataFrame:
+    """(a, b): pairs of different components that share an entry of ``member``
+    (entry, doc, comp) and that sizes and sketches allow."""
+    m = member.join(size, "doc")
+    blocks = F.ceil(F.count("*").over(Window.partitionBy("entry")) / F.lit(BLOCK))
+    m = m.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc"), blocks).cast("int"))
+    row = F.struct("doc", "comp", "lo", "hi", "sketch")
+    # a partner of a set is in its size class or a next one
+    low = (m.withColumn("key", F.explode(F.sequence("cls_lo", "cls_hi")))
+           .groupBy("entry", "key", "block").agg(F.collect_list(row).alias("x")))
+    high = (m.withColumn("key", F.explode(F.sequence(F.col("cls_lo") - 1, "cls_hi")))
+            .groupBy("entry", "key", F.col("block").alias("other")).agg(F.collect_list(row).alias("y")))
+
+    def bits(rows: list[dict], size: int) -> np.ndarray:
+        none = np.zeros(size, np.uint8)
+        data = np.stack([none if r["sketch"] is None else folded(r["sketch"], size) for r in rows])
+        return np.unpackbits(data, axis=1).astype(np.float32)
 
-def _plausible(pairs: DataFrame, size: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes and sketches allow a link."""
-    longs = [F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)]
-    wide = size.select("doc", "lo", "hi", *longs)
-    for c in "ab":
-        pairs = pairs.join(wide.select(*[F.col(x).alias(f"{x}_{c}") for x in wide.columns])
-                           .withColumnRenamed(f"doc_{c}", c), c)
-    near = _near(*[[f"s{i}_{c}" for i in range(SKETCH)] for c in "ab"], "hi_a", "hi_b")
-    return pairs.filter(_sizes_fit("lo_a", "hi_a", "lo_b", "hi_b") & near).select("a", "b")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for both in batch.to_pylist():
+                x, y = both["x"], both["y"]
+                comp, hi, lo, doc = ([np.array([r[c] for r in side]) for side in (x, y)] for c in ("comp", "hi", "lo", "doc"))
+                ok = ((comp[0][:, None] != comp[1][None]) & (doc[0][:, None] != doc[1][None])
+                      & (100 * hi[0][:, None] >= PERCENT * lo[1][None]) & (100 * hi[1][None] >= PERCENT * lo[0][:, None]))
+                if not ok.any():
+                    continue
+                width = min((len(r["sketch"]) for r in (*x, *y) if r["sketch"] is not None), default=8)
+                p, q = bits(x, width), bits(y, width)
+                differ = p.sum(1)[:, None] + q.sum(1)[None] - 2 * (p @ q.T)
+                known = np.outer([r["sketch"] is not None for r in x], [r["sketch"] is not None for r in y])
+                ok &= ~known | sketches_allow(differ, hi[0][:, None], hi[1][None])
+                i, j = np.nonzero(ok)
+                a, b = doc[0][i], doc[1][j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return map_arrow(low.join(high, ["entry", "key"]).select("x", "y"), run, "a long, b long").distinct()
 
 
 def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -281,9 +507,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return _near_duplicates(docs)
 
 
+def _linked(links: DataFrame, pairs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links, components) with the links among ``pairs`` (a, b, differ) added:
+    each text's nearest partner first, then what is between components."""
+    near = (pairs.groupBy(F.col("a").alias("x")).agg(F.min_by("b", F.struct("differ", "b")).alias("y"))
+            .union(pairs.groupBy(F.col("b").alias("x")).agg(F.min_by("a", F.struct("differ", "a")).alias("y"))))
+    near = _ordered(near, "x", "y").distinct()
+    links = written(links.union(verified(near, texts)).distinct(), "jaccard-links")
+    comp = components(links)
+    rest = pairs.select("a", "b")
+    for c in "ab":
+        rest = rest.join(comp.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}")), c, "left")
+    rest = rest.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
+    links = written(links.union(verified(rest, texts)).distinct(), "jaccard-links")
+    return links, components(links)
+
+
 def _near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = written(index(docs, frequent_buckets(docs)), "jaccard-index")
+    hot = hot_buckets(docs)
+    sets = written(describe(docs, hot), "jaccard-sets")
     usable = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     same = sets.filter(usable).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     groups = written(same.filter("copies > 1").select("digest", "rep"), "jaccard-copies")
@@ -293,60 +536,31 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     links = _ordered(rows.filter("rep is not null").groupBy("doc_id")
                      .agg(F.min("rep").alias("x"), F.collect_set("rep").alias("ys")).filter(F.size("ys") > 1)
                      .select("x", F.explode("ys").alias("y")), "x", "y").filter("a < b")
-    # only the copied text leaves the index, not the other texts of its doc_id
-    copies = written(rows.filter("rep <> doc_id").select("doc_id", "digest").distinct(), "jaccard-copy-ids")
-    reps = sets.filter(usable).join(_few(copies), ["doc_id", "digest"], "left_anti")
+    # only the copied text leaves the index, not the other texts of its doc_id; repeated rows are one text
+    reps = rows.filter("rep = doc_id").select("doc_id", "digest").distinct()
+    reps = sets.join(reps, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+    tokens = sets.agg(F.sum("plain")).first()[0] or 0
+    posting = written(postings(reps, shared_tokens(docs, hot, tokens)), "jaccard-postings")
+    entry = (posting.groupBy("entry").agg(F.min("doc").alias("lead"), F.max("doc").alias("last"),
+                                          F.max_by("doc", F.struct("weight", "doc")).alias("middle"))
+             .filter("lead < last").drop("last"))
+    member = written(posting.join(entry, "entry").select("entry", "doc", "lead", "middle").distinct(), "jaccard-members")
+    ids = written(member.select(F.col("doc").alias("doc_id")).distinct(), "jaccard-ids")
     # of a doc_id with several texts, the sketch says nothing
-    size = written(reps.groupBy(F.col("doc_id").alias("doc"))
-                   .agg(F.min("n").alias("lo"), F.max("n").alias("hi"),
-                        F.when(F.count("*") == 1, F.first("sketch")).alias("sketch")), "jaccard-sizes")
-
-    posting = reps.select(F.explode("entries").alias("entry"), F.col("doc_id").alias("doc"))
-    entry = written(posting.groupBy("entry").agg(F.min("doc").alias("lead"), F.max("doc").alias("last"),
-                                                 F.bit_xor("doc").alias("all"), F.count("*").alias("c"))
-                    .filter("lead < last"), "jaccard-entries")
-    large = written(entry.filter("c > 3").select("entry", "lead", "c"), "jaccard-large")
-    # folded to 256 bits, the sketch is small enough to go with every entry
-    folded = [F.get("sketch", F.lit(i)) for i in range(SKETCH)]
-    for i in range(4, SKETCH):
-        folded[i % 4] = folded[i % 4].bitwiseXOR(folded[i])
-    folded = [c.alias(f"q{i}") for i, c in enumerate(folded[:4])]
-    traits = ["lo", "hi", "q0", "q1", "q2", "q3"]
-    member = written(posting.join(_few(large), "entry").join(size.select("doc", "lo", "hi", *folded), "doc")
-                     .select("entry", "doc", "lead", "c", *traits), "jaccard-members")
-    middle = F.col("all").bitwiseXOR(F.col("lead")).bitwiseXOR(F.col("last"))  # of three
-    pairs = (_ordered(entry.filter("c <= 3"), "lead", "last")
-             .union(_ordered(entry.filter("c = 3").withColumn("mid", middle), "lead", "mid"))
-             .union(_ordered(entry.filter("c = 3").withColumn("mid", middle), "mid", "last"))
-             .union(_ordered(member, "lead", "doc")).filter("a < b"))
-    leaders = 2
-    while True:
-        pairs = written(_plausible(pairs.distinct(), size), "jaccard-pairs")
-        ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "jaccard-ids")
-        texts = written(docs.join(_few(ids), "doc_id", "left_semi")
-                        .select(F.col("doc_id").alias("doc"), "text"), "jaccard-texts")
-        links = written(links.union(verified(pairs, texts)).distinct(), "jaccard-links")
-        comp = components(links)
-        if leaders == 0:
-            break
-        placed = (member.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
-                  .select("entry", "doc", "c", *traits, F.coalesce("comp", "doc").alias("comp")))
-        apart = placed.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-        member = written(placed.join(apart.select("entry"), "entry"), "jaccard-members")
-        most = member.agg(F.max("c")).first()[0]
-        if most is None:
-            break
-        leaders *= 64
-        chosen = ((F.col("c") <= SMALL_ENTRY) | (unit_hash(F.col("doc_id")) < F.lit(float(leaders)) / F.col("c")))
-        lead = member.withColumn("doc_id", F.col("doc")).filter(chosen).select(
-            "entry", F.col("doc").alias("x"), *[F.col(c).alias(f"{c}_x") for c in ("comp", *traits)])
-        met = ((F.col("comp") != F.col("comp_x")) & _sizes_fit("lo", "hi", "lo_x", "hi_x")
-               & _near(traits[2:], [f"{q}_x" for q in traits[2:]], "hi", "hi_x"))
-        pairs = _ordered(member.join(lead, "entry").filter(met), "x", "doc")
-        if leaders >= most:  # every member leads: the last round
-            leaders = 0
-        else:
-            member = member.filter(F.col("c") > SMALL_ENTRY).drop("comp")
+    size = written(reps.join(ids, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("doc"))
+                   .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("cls").alias("cls_lo"),
+                        F.max("cls").alias("cls_hi"), F.when(F.count("*") == 1, F.first("sketch")).alias("sketch")),
+                   "jaccard-sizes")
+    texts = written(docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text").distinct(),
+                    "jaccard-texts")
+    pairs = _ordered(member, "lead", "doc").union(_ordered(member, "middle", "doc")).filter("a < b").distinct()
+    links, comp = _linked(links, written(plausible(pairs, size), "jaccard-pairs"), texts)
+    placed = (member.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
+              .select("entry", "doc", F.coalesce("comp", "doc").alias("comp")))
+    apart = placed.groupBy("entry").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
+    member = written(placed.join(apart.select("entry"), "entry"), "jaccard-members")
+    pairs = written(plausible(block_pairs(member, size), size), "jaccard-pairs")
+    links, comp = _linked(links, pairs, texts)
     out = rows.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.coalesce("comp", "rep", "doc_id").alias("component_id"))
@@ -357,7 +571,7 @@ def one_per_class(docs: DataFrame) -> DataFrame:
     that doc_id one stays; rows with a null doc_id stay), all columns."""
     found = written(near_duplicates(docs).select("doc_id", "component_id"), "jaccard-classes")
     losers = written(found.filter("component_id < doc_id").select("doc_id").distinct(), "jaccard-losers")
-    kept = docs.join(_few(losers), "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(losers, "doc_id", "left_anti").select(docs.columns)
     again = written(found.filter("component_id = doc_id").groupBy("doc_id").count().filter("count > 1")
                     .select("doc_id"), "jaccard-repeated")
     if again.isEmpty():

@@ -348,10 +348,12 @@ def brute_classes(docs):
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
-@pytest.mark.parametrize("rare, small", [(-1, 2), (8, 16)])
-def test_jaccard_brute_force(spark, monkeypatch, rare, small):
+@pytest.mark.parametrize("rare, hot, slice_tokens", [(0, -1, 100), (2, 3, 4_000_000), (256, 1000, 300), (1, 1000, 4_000_000)])
+def test_jaccard_brute_force(spark, monkeypatch, rare, hot, slice_tokens):
     monkeypatch.setattr(ngram_jaccard, "RARE", rare)
-    monkeypatch.setattr(ngram_jaccard, "SMALL_ENTRY", small)
+    monkeypatch.setattr(ngram_jaccard, "HOT", hot)
+    monkeypatch.setattr(ngram_jaccard, "SLICE_TOKENS", slice_tokens)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 3)
     rng = np.random.default_rng(4)
     shared = [f"s{i}" for i in range(30)]
     docs, d = [(900, None), (901, ""), (902, " \n")], 0
@@ -370,6 +372,23 @@ def test_jaccard_brute_force(spark, monkeypatch, rare, small):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(docs)
 
 
+def test_jaccard_long_near_copies(spark):
+    """Many edited copies of texts of 600 to 3,000 words, around the threshold; against brute force."""
+    rng = np.random.default_rng(7)
+    docs = []
+    for g, n in enumerate((600, 900, 1500, 3000)):
+        base = [f"g{g}w{i}" for i in range(n)]
+        for _ in range(22):
+            ws = list(base)
+            for at in rng.choice(n, int(rng.integers(0, n // 40)), replace=False):
+                ws[at] = f"x{rng.integers(0, 10 ** 6)}"
+            docs.append((len(docs), " ".join(ws)))
+    got = ngram_jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    want = brute_classes(docs)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert len({c for _, c in want.values()}) > 8
+
+
 def test_jaccard_repeated_ids_with_copies(spark):
     """Of a doc_id with several texts only the copied one leaves the index; against brute force over rows."""
     def text(tag, changed=()):
