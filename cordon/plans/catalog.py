@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cordon.config import TPCH_TRIPS
-from cordon.operators import causal, marts, panel, profiling, quality, regression, segments, serving, zones
+from cordon.operators import causal, marts, panel, permutation, profiling, quality, regression, segments, serving, zones
 from cordon.operators import dims as dims_ops
 from cordon.operators import fact as fact_ops
 from cordon.plans.warehouse import tpch_warehouse
@@ -391,7 +391,7 @@ def _shown(df: DataFrame, *extra: str) -> DataFrame:
     """Estimates to 8 decimals (sums of doubles differ in the last digits
     between runs), without the p-value, which the z value determines."""
     return df.select("term", *[F.round(c, 8).alias(c) for c in ("coef", "se", "z", "ci_lo", "ci_hi")],
-                     "n", F.col("k").cast("bigint").alias("k"), "cov_type", *extra)
+                     "n", F.col("k").cast("bigint").alias("k"), "cov_type", "warning", *extra)
 
 
 @query("pretrend_regression")
@@ -400,14 +400,18 @@ def q_pretrend(spark, sf_dir):
     return _shown(regression.pretrend_test(_panel(spark, sf_dir), CFG.cutoff), "verdict")
 
 
+def _zone_panel(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return panel.zone_day_panel(wh.zone_day, wh.dim_zone, CFG)
+
+
 @query("did_regression")
 def q_did_reg(spark, sf_dir):
     """DiD without fixed effects: HC1 on the group x day panel, and clustered
     by zone on the zero-filled zone x day panel."""
-    wh = _wh(spark, sf_dir)
-    zones_ = panel.zone_day_panel(wh.zone_day, wh.dim_zone, CFG)
     hc1 = regression.did_regression(_panel(spark, sf_dir), with_fe=False)
-    clustered = regression.did_regression(zones_, y="trips", with_fe=False, cov_type="cluster", cluster_col="zone")
+    clustered = regression.did_regression(_zone_panel(spark, sf_dir), y="trips", with_fe=False, cov_type="cluster",
+                                          cluster_col="zone")
     return _shown(hc1.unionByName(clustered))
 
 
@@ -415,3 +419,15 @@ def q_did_reg(spark, sf_dir):
 def q_did_reg_fe(spark, sf_dir):
     """DiD with month and weekday fixed effects, HC1."""
     return _shown(regression.did_regression(_panel(spark, sf_dir)))
+
+
+@query("did_regression_two_way")
+def q_did_reg_two_way(spark, sf_dir):
+    """DiD with zone and day effects, both absorbed, clustered by zone."""
+    return _shown(regression.did_two_way(_zone_panel(spark, sf_dir)))
+
+
+@query("did_permutation")
+def q_did_permutation(spark, sf_dir):
+    """Permutation test over the sets of zones that could have been treated."""
+    return permutation.did_permutation(_zone_panel(spark, sf_dir))

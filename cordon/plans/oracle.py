@@ -12,6 +12,7 @@ integers or decimals, so both engines produce identical values.
 from __future__ import annotations
 
 from cordon.config import DAYPARTS, EXPECTED_RAW_COLUMNS, OVERNIGHT, TPCH_TRIPS, PipelineConfig
+from cordon.operators.permutation import DRAWS, SEED
 from cordon.schemas import SERVING_DIMS, SERVING_FACT
 
 CFG = TPCH_TRIPS
@@ -195,14 +196,16 @@ days AS (
 )"""
 
 
-def _row(term: str, coef: str, var: str, n: str, k: str, cov: str) -> str:
-    """One estimate in the shape of the regression queries."""
+def _row(term: str, coef: str, var: str, n: str, k: str, cov: str, known: str, lacking: str) -> str:
+    """One estimate in the shape of the regression queries; nothing but its
+    size and a warning where it is not ``known``.  ``lacking``: the rank then."""
     def shown(x):
-        return f"round({x}, 8)"
+        return f"CASE WHEN {known} THEN round({x}, 8) END"
     return (f"SELECT {_text(term)} AS term, {shown(coef)} AS coef, {shown(f'sqrt({var})')} AS se, "
             f"{shown(f'{coef} / sqrt({var})')} AS z, {shown(f'{coef} - {Z975} * sqrt({var})')} AS ci_lo, "
             f"{shown(f'{coef} + {Z975} * sqrt({var})')} AS ci_hi, ({n})::BIGINT AS n, ({k})::BIGINT AS k, "
-            f"{_text(cov)} AS cov_type")
+            f"{_text(cov)} AS cov_type, "
+            f"CASE WHEN NOT ({known}) THEN format('rank deficient ({{}} < {{}}); not identified', {lacking}, {k}) END AS warning")
 
 
 def _demeaned(rounds: int = 30) -> str:
@@ -223,60 +226,122 @@ def _regressions(q: dict, pre: str, cfg: PipelineConfig) -> None:
 SELECT day AS date, g AS pu_is_cbd, n AS trips, zones::BIGINT AS n_zones, g AS treated, post::INTEGER AS post,
        y AS trips_per_zone, strftime(day, '%Y-%m') AS month, (isodow(day) - 1)::INTEGER AS dow
 FROM days"""
+    # the rank of 1, treated, x, treated x: what groups and values of x there are
     q["pretrend_regression"] = pre + "," + _panel(cfg) + f""",
 early AS (
     SELECT g, y, (day - (SELECT min(day) FROM days))::DOUBLE AS t FROM days WHERE day < {_day(cfg.cutoff)}
 ), line AS (
     SELECT g, avg(t) AS tm, avg(y) AS ym, regr_slope(y, t) AS b, regr_sxx(y, t) AS sxx FROM early GROUP BY g
 ), fit AS (
-    SELECT sum(power((y - ym - b * (t - tm)) * (t - tm), 2) / power(sxx, 2)) * count(*) / (count(*) - 4) AS var,
-           count(*) AS n, (SELECT sum(CASE WHEN g = 1 THEN b ELSE -b END) FROM line) AS coef
+    SELECT sum(power((y - ym - b * (t - tm)) * (t - tm), 2) / power(sxx, 2)) * count(*) / nullif(count(*) - 4, 0) AS var,
+           count(*) AS n, (SELECT sum(CASE WHEN g = 1 THEN b ELSE -b END) FROM line) AS coef,
+           (SELECT coalesce(sum(1 + (sxx > 0)::INTEGER), 0) FROM line)::BIGINT AS rank
     FROM early JOIN line USING (g)
 )
-{_row('treated:t', 'coef', 'var', 'n', '4', 'HC1')},
-       CASE WHEN abs(coef / sqrt(var)) > {Z975} THEN 'significant pre-trend' ELSE 'no significant pre-trend' END AS verdict
+{_row('treated:t', 'coef', 'var', 'n', '4', 'HC1', 'rank = 4', 'rank')},
+       CASE WHEN rank < 4 THEN 'not assessable'
+            WHEN abs(coef / sqrt(var)) > {Z975} THEN 'significant pre-trend' ELSE 'no significant pre-trend' END AS verdict
 FROM fit"""
-    q["did_regression"] = pre + "," + _panel(cfg) + f""",
-corner AS (SELECT g, post, avg(y) AS ym, count(*) AS nc FROM days GROUP BY 1, 2
-), plain AS (
-    SELECT sum(power((y - ym) / nc, 2)) * count(*) / (count(*) - 4) AS var, count(*) AS n,
-           (SELECT sum(CASE WHEN (g = 1) = post THEN ym ELSE -ym END) FROM corner) AS coef
-    FROM days JOIN corner USING (g, post)
-), cal AS (
+    grid = f"""
+cal AS (
     SELECT d::DATE AS day FROM range({_day(cfg.window_start)}::TIMESTAMP, {_day(cfg.window_end)}::TIMESTAMP, INTERVAL 1 DAY) r(d)
 ), used AS (SELECT DISTINCT pu_zone_key AS zone, pu_is_cbd AS g FROM fact WHERE pu_is_cbd IS NOT NULL
 ), per AS (SELECT pu_zone_key AS zone, day, count(*) AS n FROM fact GROUP BY 1, 2
 ), grid AS (
     SELECT zone, g, day, day >= {_day(cfg.cutoff)} AS post, coalesce(n, 0)::DOUBLE AS y
     FROM (SELECT * FROM used, cal) LEFT JOIN per USING (zone, day)
-), gcorner AS (SELECT g, post, avg(y) AS ym, count(*) AS nc FROM grid GROUP BY 1, 2
+)"""
+    q["did_regression"] = pre + "," + _panel(cfg) + f""",
+corner AS (SELECT g, post, avg(y) AS ym, count(*) AS nc FROM days GROUP BY 1, 2
+), plain AS (
+    SELECT sum(power((y - ym) / nc, 2)) * count(*) / nullif(count(*) - 4, 0) AS var, count(*) AS n,
+           (SELECT sum(CASE WHEN (g = 1) = post THEN ym ELSE -ym END) FROM corner) AS coef,
+           (SELECT count(*) FROM corner) AS rank
+    FROM days JOIN corner USING (g, post)
+),{grid}, gcorner AS (SELECT g, post, avg(y) AS ym, count(*) AS nc FROM grid GROUP BY 1, 2
 ), pull AS (
     SELECT zone, sum(CASE WHEN (g = 1) = post THEN 1 ELSE -1 END * (y - ym) / nc) AS s, count(*) AS rows
     FROM grid JOIN gcorner USING (g, post) GROUP BY zone
 ), clustered AS (
     SELECT sum(s * s) * count(*) / (count(*) - 1) * (sum(rows) - 1) / (sum(rows) - 4) AS var, sum(rows) AS n,
-           (SELECT sum(CASE WHEN (g = 1) = post THEN ym ELSE -ym END) FROM gcorner) AS coef
+           (SELECT sum(CASE WHEN (g = 1) = post THEN ym ELSE -ym END) FROM gcorner) AS coef,
+           (SELECT count(*) FROM gcorner) AS rank
     FROM pull
 )
-{_row('treated:post', 'coef', 'var', 'n', '4', 'HC1')} FROM plain
+{_row('treated:post', 'coef', 'var', 'n', '4', 'HC1', 'rank = 4', 'rank')} FROM plain
 UNION ALL
-{_row('treated:post', 'coef', 'var', 'n', '4', 'cluster')} FROM clustered"""
+{_row('treated:post', 'coef', 'var', 'n', '4', 'cluster', 'rank = 4', 'rank')} FROM clustered"""
     # orthogonal basis a, b, c of the three demeaned regressors; c is the
-    # interaction with everything else taken out of it
+    # interaction with everything else taken out of it; what is left of a
+    # column without variation is rounding only
+    def left(col: str, of: str) -> str:
+        return f"CASE WHEN sum({col} * {col}) > 1e-9 THEN sum({col} * {of}) / sum({col} * {col}) ELSE 0 END"
     q["did_regression_fe"] = pre + "," + _panel(cfg) + ",\n" + _demeaned() + f""",
-o1 AS (SELECT *, p - a * (SELECT sum(a * p) / sum(a * a) FROM dm) AS b FROM dm
+o1 AS (SELECT *, p - a * (SELECT {left('a', 'p')} FROM dm) AS b FROM dm
 ), o2 AS (
-    SELECT *, ap - a * (SELECT sum(a * ap) / sum(a * a) FROM dm) - b * (SELECT sum(b * ap) / sum(b * b) FROM o1) AS c
+    SELECT *, ap - a * (SELECT {left('a', 'ap')} FROM dm) - b * (SELECT {left('b', 'ap')} FROM o1) AS c
     FROM o1
-), s AS (SELECT sum(a * y) / sum(a * a) AS ya, sum(b * y) / sum(b * b) AS yb, sum(c * y) / sum(c * c) AS yc,
-                sum(c * c) AS cc, count(*) AS n, count(DISTINCT m) + count(DISTINCT w) - 1 + 3 AS k FROM o2
+), s AS (SELECT {left('a', 'y')} AS ya, {left('b', 'y')} AS yb, {left('c', 'y')} AS yc,
+                sum(c * c) AS cc, count(*) AS n, count(DISTINCT m) + count(DISTINCT w) - 1 + 3 AS k,
+                (count(DISTINCT m) + count(DISTINCT w) - 1 + (sum(a * a) > 1e-9)::INTEGER + (sum(b * b) > 1e-9)::INTEGER
+                 + (sum(c * c) > 1e-9)::INTEGER)::BIGINT AS rank FROM o2
 ), fit AS (
-    SELECT any_value(yc) AS coef, any_value(n) AS n, any_value(k) AS k,
+    SELECT any_value(yc) AS coef, any_value(n) AS n, any_value(k) AS k, any_value(rank) AS rank,
            sum(power(c * (y - ya * a - yb * b - yc * c), 2)) / power(any_value(cc), 2)
              * any_value(n) / (any_value(n) - any_value(k)) AS var
     FROM o2, s
 )
-{_row('treated:post', 'coef', 'var', 'n', 'k', 'HC1')} FROM fit"""
+{_row('treated:post', 'coef', 'var', 'n', 'k', 'HC1', 'rank = k', 'rank')} FROM fit"""
+    # zone and day means taken out in turn; on a full grid the first turn is exact
+    turns = ["t0 AS (SELECT zone, day, y, (g * post::INTEGER)::DOUBLE AS x FROM grid)"]
+    for i in range(4):
+        by = ("zone", "day")[i % 2]
+        turns.append(f"t{i + 1} AS (SELECT zone, day, y - avg(y) OVER (PARTITION BY {by}) AS y, "
+                     f"x - avg(x) OVER (PARTITION BY {by}) AS x FROM t{i})")
+    q["did_regression_two_way"] = pre + "," + grid + ",\n" + ",\n".join(turns) + f""",
+size AS (
+    SELECT count(*) AS n, count(DISTINCT zone) AS zones, count(DISTINCT zone) + count(DISTINCT day) - 1 + 1 AS k,
+           sum(x * x) AS xx, CASE WHEN sum(x * x) > 1e-9 THEN sum(x * y) / sum(x * x) END AS coef FROM t4
+), pull AS (SELECT zone, sum(x * (y - coef * x)) AS s FROM t4, size GROUP BY zone
+), fit AS (
+    SELECT any_value(coef) AS coef, any_value(n) AS n, any_value(k) AS k, (any_value(xx) > 1e-9) AS known,
+           any_value(k - 1) AS rank,
+           sum(s * s) / power(any_value(xx), 2) * any_value(zones) / (any_value(zones) - 1)
+             * (any_value(n) - 1) / (any_value(n) - any_value(k)) AS var
+    FROM pull, size
+)
+{_row('treated:post', 'coef', 'var', 'n', 'k', 'cluster', 'known', 'rank')} FROM fit"""
+    q["did_permutation"] = pre.replace("WITH ", "WITH RECURSIVE ", 1) + "," + grid + f""",
+delta AS (
+    SELECT zone::VARCHAR AS unit, any_value(g) AS g, count_if(post) * count_if(NOT post) AS days,
+           ((sum(y) FILTER (post)) * count_if(NOT post) - (sum(y) FILTER (NOT post)) * count_if(post))::HUGEINT AS v
+    FROM grid GROUP BY 1
+), m AS (
+    SELECT count(*) AS n, count_if(g = 1)::BIGINT AS k, sum(v) AS total, sum(v) FILTER (g = 1) AS own, max(days) AS days FROM delta
+), sets(size, last, total) AS (
+    SELECT 1, unit, v FROM delta
+    UNION ALL
+    SELECT size + 1, unit, sets.total + v FROM sets, delta, m WHERE unit > last AND size < k
+), many AS (SELECT count(*) AS all_sets FROM sets, m WHERE size = k
+), drawn AS (
+    SELECT draw, sum(v) AS total FROM (
+        SELECT draw, v, k, row_number() OVER (PARTITION BY draw ORDER BY md5(concat_ws('|', '{SEED}', draw, unit))) AS pos
+        FROM delta, m, many, (SELECT unnest(range(1, {DRAWS + 1})) AS draw) WHERE all_sets > {DRAWS}) WHERE pos <= k GROUP BY draw
+), rated AS (
+    SELECT count(*) AS sets, count_if(abs(t.total * n - m.total * k) >= abs(own * n - m.total * k)) AS hits
+    FROM (SELECT sets.total FROM sets, m, many WHERE size = k AND all_sets <= {DRAWS} UNION ALL SELECT total FROM drawn) t, m
+), r AS (
+    SELECT *, k > 0 AND k < n AND days > 0 AS known, all_sets <= {DRAWS} AS exact, if(all_sets <= {DRAWS}, 0, 1) AS more
+    FROM m, many, rated
+)
+SELECT n AS units, k AS treated_units,
+       CASE WHEN known THEN (own * n - total * k)::DOUBLE / (k * (n - k)) / days END AS did_estimate,
+       CASE WHEN known THEN if(exact, 'exact', 'drawn') END AS method,
+       CASE WHEN known THEN sets + more END::BIGINT AS sets, CASE WHEN known THEN hits + more END::BIGINT AS at_least_as_large,
+       CASE WHEN known THEN (hits + more)::DOUBLE / (sets + more) END AS p_value,
+       CASE WHEN k = 0 THEN 'not identified: no treated unit' WHEN k = n THEN 'not identified: no untreated unit'
+            WHEN days = 0 THEN 'not identified: a period has no days' END AS warning
+FROM r"""
 
 
 def _segments(q: dict, pre: str, cfg: PipelineConfig) -> None:
