@@ -32,9 +32,10 @@ shared tokens; parity sketches of about three bits a token (bits that differ are
 at most the tokens that differ) cut these pairs, each text is verified against
 its nearest partner, then the pairs still between components.  Links are
 contracted into components.  Entries that still span several components are
-compared in blocks of at most BLOCK members of neighbouring size classes, whose
-sketches are multiplied as matrices: only pairs of different components that
-sizes and sketches allow leave a block, and are verified in the same way.
+compared in blocks of about BLOCK members (of the same or neighbouring size
+classes), whose folded sketches are multiplied as matrices: only pairs of
+different components that sizes and sketches allow leave a block, and are
+verified in the same way.
 So a link between components is never lost, and pairs inside one are not made.
 Verification compares whole sets.
 
@@ -54,7 +55,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cordon.llm import textbytes as tb
@@ -71,6 +72,8 @@ SLICES = 32
 #: Bits of a token that are counted and indexed.
 BITS = 48
 SLICE_TOKENS = 4_000_000
+#: Bytes of a sketch at most where the members of an entry are compared.
+SKETCH_BYTES = 64
 #: Tokens that a task gathers before it sends them to their slices.
 GATHERED = 4_000_000
 #: Members of an entry that are compared at once.
@@ -237,8 +240,9 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
 
 
 def describe(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(doc_id, n, digest, key, cls, plain, hot, sketch) of every row: the number
-    of its tokens that are not hot, and the hot ones that its prefix may reach."""
+    """(doc_id, n, digest, key, cls, plain, hot, sketch, small) of every row: the
+    number of its tokens that are not hot, the hot ones that its prefix may
+    reach, its sketch and the same folded to SKETCH_BYTES."""
     flags = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,15 +257,16 @@ def describe(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                     reach = missing(len(s)) + max(_groups(len(s)).values()) + 1 if len(s) else 0
                     own.append(h[:max(reach - plain[-1], 0)])
                 n = np.array([len(s) for s in sets], np.int64)
-                digest = [_digest(s) for s in sets]
+                digest, sketches = [_digest(s) for s in sets], [sketch(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), pa.array(map(_key, digest), pa.int32()),
                      pa.array((np.searchsorted(CLASSES, n, "right") - 1).astype(np.int32)), pa.array(plain, pa.int64()),
-                     _lists(own, pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())],
-                    ["doc_id", "n", "digest", "key", "cls", "plain", "hot", "sketch"])
+                     _lists(own, pa.int64()), pa.array(sketches, pa.binary()),
+                     pa.array([folded(x, SKETCH_BYTES).tobytes() for x in sketches], pa.binary())],
+                    ["doc_id", "n", "digest", "key", "cls", "plain", "hot", "sketch", "small"])
 
     return map_arrow(docs.select("doc_id", "text"), run,
-                     "doc_id long, n long, digest binary, key int, cls int, plain long, hot array<long>, sketch binary")
+                     "doc_id long, n long, digest binary, key int, cls int, plain long, hot array<long>, sketch binary, small binary")
 
 
 def _packed(tokens: np.ndarray) -> bytes:
@@ -325,8 +330,9 @@ def sliced_tokens(docs: DataFrame, hot: np.ndarray, slices: int) -> DataFrame:
 
 def shared_tokens(docs: DataFrame, hot: np.ndarray, tokens: int) -> DataFrame:
     """(doc_id, key, shared, count): the tokens of a text that are not hot and
-    occur in other rows too, with the number of texts that hold them."""
-    slices = SLICES
+    occur in other rows too, BITS / 8 bytes each, with the number of texts that
+    hold them (two bytes, 65,535 at most)."""
+    slices = 8
     while tokens > slices * SLICE_TOKENS:
         slices *= 2
 
@@ -354,36 +360,41 @@ def shared_tokens(docs: DataFrame, hot: np.ndarray, tokens: int) -> DataFrame:
         order = np.argsort(own, kind="stable")
         t, texts, own = t[order], texts[order], own[order]
         doc, at = np.unique(own, return_index=True)
-        ends = pa.array(np.append(at, len(own)).astype(np.int32))
+        ends = np.append(at, len(own))
+
+        def packed(data: bytes, width: int) -> pa.Array:
+            return pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer((ends * width).astype(np.int32)),
+                                                                 pa.py_buffer(data)])
+
         return pa.table({"doc_id": pa.array(ids[doc]), "key": pa.array(keys[doc]),
-                         "shared": pa.ListArray.from_arrays(ends, pa.array(t.astype(np.int64))),
-                         "count": pa.ListArray.from_arrays(ends, pa.array(texts.astype(np.int32)))})
+                         "shared": packed(_packed(t), BITS // 8),
+                         "count": packed(np.minimum(texts, 65_535).astype("<u2").tobytes(), 2)})
 
     ship(docs.sparkSession)
     return sliced_tokens(docs, hot, slices).groupBy("slice").applyInArrow(
-        count, "doc_id long, key int, shared array<long>, count array<int>")
+        count, "doc_id long, key int, shared binary, count binary")
 
 
 def postings(reps: DataFrame, shared: DataFrame) -> DataFrame:
     """(doc, entry, weight) of the texts ``reps``; weight: their shared tokens."""
     got = shared.groupBy("doc_id", "key").agg(F.collect_list(F.struct("shared", "count")).alias("parts"))
-    got = got.select("doc_id", "key", F.flatten("parts.shared").alias("shared"), F.flatten("parts.count").alias("count"))
     own = reps.select("doc_id", "key", "n", "plain", "hot").join(got, ["doc_id", "key"], "left")
-    own = own.filter("shared is not null or size(hot) > 0").select(
-        "doc_id", "n", "plain", "hot", "shared", "count")
+    own = own.filter("parts is not null or size(hot) > 0").select(
+        "doc_id", "n", "plain", "hot", "parts.shared", "parts.count")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts(column, kind):
-            column = column.fill_null(pa.scalar([], column.type))
-            return np.split(column.flatten().to_numpy().astype(kind), column.value_lengths().to_numpy().cumsum()[:-1])
+        def parts(column):
+            return [b"".join(x) if x else b"" for x in column.to_pylist()]
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             found, weight = [], []
             for n, plain, hot, tokens, count in zip(
-                    batch.column("n").to_pylist(), batch.column("plain").to_pylist(), parts(batch.column("hot"), np.uint64),
-                    parts(batch.column("shared"), np.uint64), parts(batch.column("count"), np.int64), strict=True):
+                    batch.column("n").to_pylist(), batch.column("plain").to_pylist(), batch.column("hot").to_pylist(),
+                    parts(batch.column("shared")), parts(batch.column("count")), strict=True):
+                hot, tokens = np.array(hot, np.int64).astype(np.uint64), _unpacked(tokens)
+                count = np.frombuffer(count, "<u2").astype(np.int64)
                 found.append(index_entries(n, plain - len(tokens), tokens, count, hot))
                 weight.append(len(tokens) + len(hot))
             per = [len(x) for x in found]
@@ -460,41 +471,49 @@ def plausible(pairs: DataFrame, size: DataFrame) -> DataFrame:
 
 def block_pairs(member: DataFrame, size: DataFrame) -> DataFrame:
     """(a, b): pairs of different components that share an entry of ``member``
-    (entry, doc, comp) and that sizes and sketches allow."""
-    m = member.join(size, "doc")
-    blocks = F.ceil(F.count("*").over(Window.partitionBy("entry")) / F.lit(BLOCK))
-    m = m.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc"), blocks).cast("int"))
-    row = F.struct("doc", "comp", "lo", "hi", "sketch")
-    # a partner of a set is in its size class or a next one
-    low = (m.withColumn("key", F.explode(F.sequence("cls_lo", "cls_hi")))
-           .groupBy("entry", "key", "block").agg(F.collect_list(row).alias("x")))
-    high = (m.withColumn("key", F.explode(F.sequence(F.col("cls_lo") - 1, "cls_hi")))
-            .groupBy("entry", "key", F.col("block").alias("other")).agg(F.collect_list(row).alias("y")))
+    (entry, doc, comp) and that sizes and sketches allow.  The members of an
+    entry are one block; of more than BLOCK members, each size class is cut into
+    blocks, and blocks of the same and of neighbouring classes meet."""
+    m = member.join(size.select("doc", "lo", "hi", "cls_lo", "cls_hi", "small"), "doc")
+    m = m.join(member.groupBy("entry").agg(F.count("*").alias("c")), "entry")
+    few = F.col("c") <= BLOCK
+    m = m.withColumn("cls", F.explode(F.when(few, F.array(F.lit(-1))).otherwise(F.sequence("cls_lo", "cls_hi"))))
+    per = m.groupBy("entry", "cls").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+    m = m.join(per, ["entry", "cls"]).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc"), F.col("blocks")).cast("int"))
+    block = written(m.groupBy("entry", "cls", "block").agg(F.collect_list(F.struct("doc", "comp", "lo", "hi", "small")).alias("x")),
+                    "jaccard-blocks")
+    many = block.filter("cls >= 0")
+    own = many.withColumn("near", F.explode(F.array(F.col("cls"), F.col("cls") + 1)))
+    other = many.select("entry", F.col("cls").alias("near"), F.col("block").alias("other"), F.col("x").alias("y"))
+    across = own.join(other, ["entry", "near"]).filter("near > cls or other > block").select("x", "y")
+    none = F.slice("x", 1, 0)
 
     def bits(rows: list[dict], size: int) -> np.ndarray:
         none = np.zeros(size, np.uint8)
-        data = np.stack([none if r["sketch"] is None else folded(r["sketch"], size) for r in rows])
+        data = np.stack([none if r["small"] is None else folded(r["small"], size) for r in rows])
         return np.unpackbits(data, axis=1).astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for both in batch.to_pylist():
-                x, y = both["x"], both["y"]
+                x, y = both["x"], both["y"] or both["x"]  # a block with itself
                 comp, hi, lo, doc = ([np.array([r[c] for r in side]) for side in (x, y)] for c in ("comp", "hi", "lo", "doc"))
                 ok = ((comp[0][:, None] != comp[1][None]) & (doc[0][:, None] != doc[1][None])
                       & (100 * hi[0][:, None] >= PERCENT * lo[1][None]) & (100 * hi[1][None] >= PERCENT * lo[0][:, None]))
+                if not both["y"]:
+                    ok &= doc[0][:, None] < doc[1][None]
                 if not ok.any():
                     continue
-                width = min((len(r["sketch"]) for r in (*x, *y) if r["sketch"] is not None), default=8)
+                width = min((len(r["small"]) for r in (*x, *y) if r["small"] is not None), default=8)
                 p, q = bits(x, width), bits(y, width)
                 differ = p.sum(1)[:, None] + q.sum(1)[None] - 2 * (p @ q.T)
-                known = np.outer([r["sketch"] is not None for r in x], [r["sketch"] is not None for r in y])
+                known = np.outer([r["small"] is not None for r in x], [r["small"] is not None for r in y])
                 ok &= ~known | sketches_allow(differ, hi[0][:, None], hi[1][None])
                 i, j = np.nonzero(ok)
                 a, b = doc[0][i], doc[1][j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return map_arrow(low.join(high, ["entry", "key"]).select("x", "y"), run, "a long, b long").distinct()
+    return map_arrow(block.select("x", none.alias("y")).unionByName(across), run, "a long, b long").distinct()
 
 
 def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -549,8 +568,8 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     # of a doc_id with several texts, the sketch says nothing
     size = written(reps.join(ids, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("doc"))
                    .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("cls").alias("cls_lo"),
-                        F.max("cls").alias("cls_hi"), F.when(F.count("*") == 1, F.first("sketch")).alias("sketch")),
-                   "jaccard-sizes")
+                        F.max("cls").alias("cls_hi"), F.when(F.count("*") == 1, F.first("sketch")).alias("sketch"),
+                        F.when(F.count("*") == 1, F.first("small")).alias("small")), "jaccard-sizes")
     texts = written(docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text").distinct(),
                     "jaccard-texts")
     pairs = _ordered(member, "lead", "doc").union(_ordered(member, "middle", "doc")).filter("a < b").distinct()
