@@ -332,7 +332,7 @@ def shared_tokens(docs: DataFrame, hot: np.ndarray, tokens: int) -> DataFrame:
     """(doc_id, key, shared, count): the tokens of a text that are not hot and
     occur in other rows too, BITS / 8 bytes each, with the number of texts that
     hold them (two bytes, 65,535 at most)."""
-    slices = 8
+    slices = SLICES
     while tokens > slices * SLICE_TOKENS:
         slices *= 2
 
@@ -526,9 +526,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return _near_duplicates(docs)
 
 
-def _linked(links: DataFrame, pairs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links, components) with the links among ``pairs`` (a, b, differ) added:
-    each text's nearest partner first, then what is between components."""
+def _linked(links: DataFrame, pairs: DataFrame, texts: DataFrame, comp: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(links, components) with the links among the written ``pairs`` (a, b,
+    differ) added: each text's nearest partner first, then what is between
+    components.  ``comp``: the components of ``links``, if known."""
+    if comp is not None and pairs.isEmpty():
+        return links, comp
     near = (pairs.groupBy(F.col("a").alias("x")).agg(F.min_by("b", F.struct("differ", "b")).alias("y"))
             .union(pairs.groupBy(F.col("b").alias("x")).agg(F.min_by("a", F.struct("differ", "a")).alias("y"))))
     near = _ordered(near, "x", "y").distinct()
@@ -538,7 +541,10 @@ def _linked(links: DataFrame, pairs: DataFrame, texts: DataFrame) -> tuple[DataF
     for c in "ab":
         rest = rest.join(comp.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}")), c, "left")
     rest = rest.filter(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
-    links = written(links.union(verified(rest, texts)).distinct(), "jaccard-links")
+    more = written(verified(rest, texts), "jaccard-links")
+    if more.isEmpty():
+        return links, comp
+    links = written(links.union(more).distinct(), "jaccard-links")
     return links, components(links)
 
 
@@ -573,13 +579,13 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     texts = written(docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text").distinct(),
                     "jaccard-texts")
     pairs = _ordered(member, "lead", "doc").union(_ordered(member, "middle", "doc")).filter("a < b").distinct()
-    links, comp = _linked(links, written(plausible(pairs, size), "jaccard-pairs"), texts)
+    links, comp = _linked(links, written(plausible(pairs, size), "jaccard-pairs"), texts, None)
     placed = (member.join(comp.withColumnRenamed("node", "doc"), "doc", "left")
               .select("entry", "doc", F.coalesce("comp", "doc").alias("comp")))
     apart = placed.groupBy("entry").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
     member = written(placed.join(apart.select("entry"), "entry"), "jaccard-members")
     pairs = written(plausible(block_pairs(member, size), size), "jaccard-pairs")
-    links, comp = _linked(links, pairs, texts)
+    _, comp = _linked(links, pairs, texts, comp)
     out = rows.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.coalesce("comp", "rep", "doc_id").alias("component_id"))
