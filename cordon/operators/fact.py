@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cordon.config import PipelineConfig
 from cordon.functions import date_key, month_label, ntz, trip_key, whole_minutes
+from cordon.operators.broadcast import bounded
 
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
@@ -81,22 +82,60 @@ def exclusion_counts(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
     )
 
 
+#: Bits of the filter of repeated keys: a proven bound of what is broadcast
+#: (a 64-bit word per 64 bits, 16 MB of rows at most).
+FILTER_BITS = 1 << 24
+
+
+def key_hash(keys=NATURAL_KEY) -> Column:
+    return F.xxhash64(*keys)
+
+
+def repeated_key_filter(rel: DataFrame, keys=NATURAL_KEY, bits: int = FILTER_BITS) -> DataFrame:
+    """A Bloom filter (one hash) of the keys that occur more than once, as
+    (word, bits) rows, at most ``bits`` / 64 of them.  Only the key columns are
+    read, and a hash and a count are shuffled, after a map-side count."""
+    again = rel.groupBy(key_hash(keys).alias("h")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    pos = F.col("h").bitwiseAND(F.lit(bits - 1))
+    return (again.select(F.shiftright(pos, 6).alias("word"), pos.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
+
+
+def dedup_candidates(rel: DataFrame, keys=NATURAL_KEY, order=KEEP_ORDER, bits: int = FILTER_BITS) -> DataFrame:
+    """Keep one row per key, shuffling only rows whose key may occur again.
+
+    Rows not in the filter of repeated keys are alone with their key and pass as
+    they are; the rest takes the exact path of ``dedup``.  A false positive of
+    the filter only sends a single row there, so the filter may be full and the
+    result is the same."""
+    words = bounded(repeated_key_filter(rel, keys, bits))
+    pos = key_hash(keys).bitwiseAND(F.lit(bits - 1))
+    marked = (rel.withColumn("_pos", pos).join(words, F.shiftright("_pos", 6) == F.col("word"), "left")
+              .withColumn("_again", F.coalesce(F.expr("(shiftright(bits, CAST(_pos & 63L AS INT)) & 1L) = 1L"), F.lit(False))))
+    alone = marked.filter(~F.col("_again")).select(*rel.columns)
+    again = marked.filter("_again").select(*rel.columns)
+    return alone.unionByName(dedup(again, keys, order, method="aggregate"))
+
+
 def dedup(rel: DataFrame, keys=NATURAL_KEY, order=KEEP_ORDER,
-          method: str = "aggregate") -> DataFrame:
+          method: str = "candidates") -> DataFrame:
     """Keep one row per key: the first by ``order`` (NULLs last).
 
-    ``aggregate`` (default) groups by the key and keeps the ``min`` of one
-    struct holding the order columns (each preceded by its NULL flag, so
+    ``candidates`` (default) shuffles only rows whose key may occur again, see
+    ``dedup_candidates``.  ``aggregate`` groups by the key and keeps the ``min``
+    of one struct holding the order columns (each preceded by its NULL flag, so
     NULLs sort last) followed by any remaining columns: the smallest struct
     is the first row by ``order``, ties broken by the remaining columns.  The
     map side combines copies before the shuffle, so even a key that holds a
     large share of the rows becomes one row per task, never one huge group,
     and each shuffled row carries its columns once.  ``window`` is the
-    row_number form (all rows of a key meet in one task); both give the same
-    rows.  NULL keys form one group in both.
+    row_number form (all rows of a key meet in one task); all give the same
+    rows.  NULL keys form one group in all.
     """
     keys, order = list(keys), list(order)
     rest = [c for c in rel.columns if c not in keys]
+    if method == "candidates":
+        return dedup_candidates(rel, keys, order)
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(
             *[F.col(c).asc_nulls_last() for c in order])

@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 from cordon.functions import date_key, month_label
 
 
-def zone_day(fact: DataFrame, card_payment: int) -> DataFrame:
+def zone_day(fact: DataFrame, card_payment: int, *also: str) -> DataFrame:
+    """One row per pickup zone and date; ``also``: columns the date determines."""
     card = F.col("payment_key") == card_payment
 
     def on_card(c: str):
         return F.when(card, F.col(c))
 
-    return fact.groupBy("pu_zone_key", "pu_is_cbd", "date_key").agg(
+    return fact.groupBy(*also, "pu_zone_key", "pu_is_cbd", "date_key").agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum("trip_distance").alias("dist_sum"), F.count("trip_distance").alias("dist_n"),
         F.sum("tip_pct").alias("tip_sum"), F.count("tip_pct").alias("tip_n"),

@@ -5,11 +5,13 @@ detail columns too).  ``gate_report`` fuses them: one pass over the fact
 with broadcast joins to the (bounded) dimension keys answers reconciliation,
 orphans, ranges, NULL keys, emptiness and month completeness together; the
 duplicate-key check is a second scan and the one shuffle; raw is scanned once.
+``observe_fact`` takes the figures of that fused pass while the fact is written,
+so only the duplicate-key scan is left afterwards.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cordon.config import EXPECTED_RAW_COLUMNS, PipelineConfig
@@ -209,31 +211,25 @@ def month_completeness(fact: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 # -- fused gate ------------------------------------------------------------------------
 
-def gate_report(raw: DataFrame, fact: DataFrame, dims: dict[str, DataFrame],
-                cfg: PipelineConfig) -> DataFrame:
-    """Every check as (check_name, failures, detail), scanning the fact twice
-    (one fused pass + the duplicate-key shuffle) and raw once.  ``detail``
-    holds the figures behind a check (empty where the count says all)."""
-    f, flags = _mark_orphans(fact, dims, with_time=True)
-    fused = f.agg(
-        F.count(F.lit(1)).alias("fact_rows"),
-        *[_count_if(c).alias(n) for n, c in flags],
-        _range_total(cfg).alias("range_assertions"),
-        _count_if(F.col("trip_key").isNull()).alias("null_trip_key"),
-        F.countDistinct("year_month").alias("months_present"),
-    )
-    ex = exclusion_counts(raw, cfg).select("raw_rows", "excluded_rows")
-    one = _one_row(ex, fused)
+def _fused(cfg: PipelineConfig, flags: list[tuple[str, Column]]) -> list[Column]:
+    """The figures of one pass over the fact with its orphan marks."""
+    return [F.count(F.lit(1)).alias("fact_rows"), *[_count_if(c).alias(n) for n, c in flags],
+            _range_total(cfg).alias("range_assertions"), _count_if(F.col("trip_key").isNull()).alias("null_trip_key")]
+
+
+def _checks(one: DataFrame, names: list[str], cfg: PipelineConfig) -> DataFrame:
+    """(check_name, failures, detail) from one row of figures."""
     gap = F.col("raw_rows") - F.col("fact_rows") - F.col("excluded_rows")
     checks = [
         ("row_reconciliation",
          F.when(F.abs(gap) > F.lit(cfg.reconciliation_tolerance) * F.col("raw_rows"), 1).otherwise(0)),
-        *[(n, F.col(n)) for n, _ in flags],
+        *[(n, F.col(n)) for n in names],
         ("range_assertions", F.col("range_assertions")),
         ("month_completeness", F.when(F.col("months_present") == cfg.expected_months, 0).otherwise(1)),
         ("null_trip_key", F.col("null_trip_key")),
         ("fact_not_empty", F.when(F.col("fact_rows") == 0, 1).otherwise(0)),
     ]
+
     def text(*names: str) -> Column:
         return F.concat_ws(", ", *[F.concat(F.lit(f"{n}="), F.col(n).cast("bigint").cast("string")) for n in names])
 
@@ -242,18 +238,70 @@ def gate_report(raw: DataFrame, fact: DataFrame, dims: dict[str, DataFrame],
                "month_completeness": text("months_present", "expected_months")}
     entries = F.array(*[F.struct(F.lit(n).alias("check_name"), c.cast("bigint").alias("failures"),
                                  details.get(n, F.lit("")).alias("detail")) for n, c in checks])
-    stacked = one.select(F.explode(entries).alias("e")).select("e.*")
+    return one.select(F.explode(entries).alias("e")).select("e.*")
+
+
+def gate_report(raw: DataFrame, fact: DataFrame, dims: dict[str, DataFrame],
+                cfg: PipelineConfig) -> DataFrame:
+    """Every check as (check_name, failures, detail), scanning the fact twice
+    (one fused pass + the duplicate-key shuffle) and raw once.  ``detail``
+    holds the figures behind a check (empty where the count says all)."""
+    f, flags = _mark_orphans(fact, dims, with_time=True)
+    fused = f.agg(*_fused(cfg, flags), F.countDistinct("year_month").alias("months_present"))
+    one = _one_row(exclusion_counts(raw, cfg).select("raw_rows", "excluded_rows"), fused)
     none = F.lit("").alias("detail")
-    return (stacked
+    return (_checks(one, [n for n, _ in flags], cfg)
             .unionByName(duplicate_keys(fact).select("*", none))
             .unionByName(schema_drift(raw).select("*", none)))
 
 
-def enforce(report: DataFrame) -> list[tuple[str, int]]:
-    """Collect the (small) report; raise ``GateFailed`` with every failing
-    check and its detail.  NULL failures count as 0."""
-    rows = [(r["check_name"], int(r["failures"] or 0), r.asDict().get("detail", "")) for r in report.collect()]
+class FactObserver:
+    """The figures of the gate's fused pass, taken from the rows on their way
+    into the fact's files.
+
+    ``mark`` belongs after the last shuffle of the write: the figures come from
+    the tasks that write the files, which count once however often a stage
+    before them or a task is run again.  ``report`` compares the observed rows
+    with the rows in the written files' footers and, should they ever differ
+    (files and figures from different attempts), scans the fact instead."""
+
+    def __init__(self, dims: dict[str, DataFrame], cfg: PipelineConfig):
+        self.dims, self.cfg, self.observation = dims, cfg, Observation()
+        self.names: list[str] = []
+
+    def mark(self, rows: DataFrame) -> DataFrame:
+        f, flags = _mark_orphans(rows, self.dims, with_time=True)
+        self.names = [n for n, _ in flags]
+        # no distinct count can be observed; the months are a set of bounded size
+        months = F.size(F.collect_set("year_month")).cast("bigint").alias("months_present")
+        return f.observe(self.observation, *_fused(self.cfg, flags), months).select(*rows.columns)
+
+    def report(self, raw: DataFrame, fact: DataFrame) -> DataFrame:
+        """``gate_report`` of the written ``fact``, without its fused scan."""
+        spark, seen = fact.sparkSession, self.observation.get
+        if seen["fact_rows"] != fact.count():  # footers only
+            return gate_report(raw, fact, self.dims, self.cfg)
+        figures = spark.createDataFrame([tuple(seen.values())], ", ".join(f"{n} bigint" for n in seen))
+        one = _one_row(exclusion_counts(raw, self.cfg).select("raw_rows", "excluded_rows"), figures)
+        none = F.lit("").alias("detail")
+        return (_checks(one, self.names, self.cfg)
+                .unionByName(duplicate_keys(fact).select("*", none))
+                .unionByName(schema_drift(raw).select("*", none)))
+
+
+def enforce_all(reports: list[DataFrame]) -> list[tuple[str, int]]:
+    """Collect every (small) report; raise ``GateFailed`` once with all failing
+    checks of all of them."""
+    rows: list[tuple[str, int, str]] = []
+    for report in reports:
+        rows += [(r["check_name"], int(r["failures"] or 0), r.asDict().get("detail", "")) for r in report.collect()]
     bad = [(n, v) for n, v, _ in rows if v > 0]
     if bad:
         raise GateFailed(bad, {n: d for n, v, d in rows if v > 0 and d})
     return [(n, v) for n, v, _ in rows]
+
+
+def enforce(report: DataFrame) -> list[tuple[str, int]]:
+    """Collect the (small) report; raise ``GateFailed`` with every failing
+    check and its detail.  NULL failures count as 0."""
+    return enforce_all([report])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cordon.schemas import SERVING_DIMS, SERVING_FACT, SERVING_STRING_WIDTHS
+from cordon.schemas import FACT_PARTITION, SERVING_DIMS, SERVING_FACT, SERVING_STRING_WIDTHS
 
 
 def to_serving(rel: DataFrame, contract=SERVING_FACT, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -68,3 +68,31 @@ def orphan_zone_recheck(fact: DataFrame, dim_zone: DataFrame) -> DataFrame:
     z = dim_zone.select(F.col("zone_key"))
     j = fact.join(z, fact.pu_zone_key == z.zone_key, "left")
     return j.agg(F.count(F.when(F.col("zone_key").isNull(), 1)).alias("orphan_zone_rows"))
+
+
+def load_checks(loaded: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """What a load must show: as many rows as the fact has, no pickup zone
+    without a zone, and trips in every period that the fact has trips in."""
+    n = loaded.agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("m")).unionByName(
+        fact.agg(F.lit(0).cast("bigint").alias("n"), F.count(F.lit(1)).alias("m"))).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    rows = n.select(F.lit("load_rows").alias("check_name"), F.abs(F.col("n") - F.col("m")).alias("failures"),
+                    F.concat(F.lit("loaded="), F.col("n").cast("string"), F.lit(", fact="), F.col("m").cast("string")).alias("detail"))
+    orphans = orphan_zone_recheck(loaded, dims["zone"]).select(
+        F.lit("load_orphan_zones").alias("check_name"), F.col("orphan_zone_rows").alias("failures"), F.lit("").alias("detail"))
+    per = trips_per_period(loaded, dims["date"]).withColumnRenamed("trips", "loaded")
+    lost = (trips_per_period(fact, dims["date"]).join(per, "period", "left")
+            .filter(F.coalesce("loaded", F.lit(0)) != F.col("trips")))
+    periods = lost.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit("load_trips_per_period").alias("check_name"), "failures", F.lit("").alias("detail"))
+    return rows.unionByName(orphans).unionByName(periods)
+
+
+def post_period_trips(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Trips, revenue and mean distance per month and group after the cutoff,
+    from the trips themselves.  The period is a column of the date dimension;
+    joining on its month too lets Spark prune the fact's month folders by the
+    dates that are left (dynamic partition pruning)."""
+    post = dim_date.filter(F.col("period") == "post").select("date_key", FACT_PARTITION)
+    return (fact.join(post, ["date_key", FACT_PARTITION]).groupBy(FACT_PARTITION, "pu_is_cbd")
+            .agg(F.count(F.lit(1)).alias("trips"), F.sum("total_amount").cast("double").alias("revenue"),
+                 (F.sum("trip_distance").cast("double") / F.count("trip_distance").cast("double")).alias("avg_distance")))

@@ -127,6 +127,21 @@ def q_fact(spark, sf_dir):
     return _doubles(_wh(spark, sf_dir).fact)
 
 
+@query("fact_incremental")
+def q_fact_incremental(spark, sf_dir):
+    """The fact kept by months: all but the last two file months first, then
+    those two late, then the first one once more."""
+    from cordon.plans.incremental import MonthlyFact
+    from cordon.sources.raw import list_months
+    wh = _wh(spark, sf_dir)
+    months = sorted(r[0] for r in list_months(spark, wh.raw_path).collect())
+    fact = MonthlyFact(spark, wh.raw_path, _scratch(spark, "fact_incremental"), wh.dim_zone, CFG,
+                       wh.source_raw.schema)
+    for arrived in (months[:-2], months[-2:], months[:1]):
+        fact.update(arrived)
+    return _doubles(fact.fact())
+
+
 # -- sources -------------------------------------------------------------------------
 
 def _scratch(spark, name):
@@ -201,6 +216,18 @@ def q_prof_card(spark, sf_dir):
     return profiling.key_cardinality(_wh(spark, sf_dir).raw)
 
 
+@query("profile_cardinality_sketches")
+def q_prof_sketches(spark, sf_dir):
+    """Monthly sketches, the last month added alone; their merged estimates
+    against exact counts."""
+    from cordon.sources.raw import list_months
+    wh, store = _wh(spark, sf_dir), _scratch(spark, "sketches")
+    months = sorted(r[0] for r in list_months(spark, wh.raw_path).collect())
+    for own in (months[:-1], months[-1:]):
+        profiling.update_sketches(spark, wh.raw_path, store, own)
+    return profiling.sketch_accuracy(spark.read.parquet(store), wh.raw)
+
+
 # -- zones and dimensions ------------------------------------------------------------------
 
 
@@ -300,9 +327,26 @@ def q_gate(spark, sf_dir):
     return quality.gate_report(wh.raw, wh.fact, wh.dims, CFG)
 
 
+@query("dq_gate_observed")
+def q_gate_observed(spark, sf_dir):
+    """The gate with its fused pass observed while the fact is written."""
+    from cordon.plans.warehouse import read_fact, write_fact
+    wh = _wh(spark, sf_dir)
+    path = _scratch(spark, "fact_observed")
+    observer = quality.FactObserver(wh.dims, CFG)
+    write_fact(wh.fact_plan, path, observer.mark)
+    return observer.report(wh.raw, read_fact(spark, path, wh.fact_plan.schema))
+
+
 # -- serving ------------------------------------------------------------------------------------------
 
 
+@query("post_period_trips")
+def q_post_period(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return serving.post_period_trips(wh.fact, wh.dim_date)
+
+
 @query("serving_fact")
 def q_serving(spark, sf_dir):
     """Typed serving table: contract cast, written, read back."""

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from cordon.config import DAYPARTS, EXPECTED_RAW_COLUMNS, OVERNIGHT, TPCH_TRIPS, PipelineConfig
 from cordon.operators.permutation import DRAWS, SEED
+from cordon.operators.profiling import SKETCHED
 from cordon.schemas import SERVING_DIMS, SERVING_FACT
 
 CFG = TPCH_TRIPS
@@ -392,6 +393,8 @@ FROM judged"""
     q["profile_value_ranges"] = pre + "SELECT " + ", ".join(
         f"{f}({c})::DOUBLE AS {f}_{n}" for c, n in (("trip_distance", "dist"), ("fare_amount", "fare"),
                                                     ("total_amount", "total")) for f in ("min", "max")) + " FROM raw"
+    q["profile_cardinality_sketches"] = pre + "\nUNION ALL\n".join(
+        f"SELECT {_text(n)} AS key, count(DISTINCT {c}) AS distinct_values, true AS within_bound FROM raw" for n, c in SKETCHED)
     q["profile_key_cardinality"] = pre + """
 SELECT len(list_distinct(list(PULocationID)))::BIGINT AS distinct_pu_zones,
        len(list_distinct(list(payment_type)))::BIGINT AS distinct_payment_types,
@@ -418,7 +421,7 @@ SELECT VendorID, pickup_ts, dropoff_ts, passenger_count, {_doubles('trip_distanc
        PULocationID, DOLocationID, payment_type, {cols}
 FROM (SELECT * EXCLUDE (r), unnest(r) FROM kept)"""
     q["trips_keyed"] = pre + f"SELECT {KEYS}, year_month FROM trips"
-    q["fact_trips"] = pre + f"SELECT {KEYS}, pu_is_cbd, year_month FROM fact"
+    q["fact_trips"] = q["fact_incremental"] = pre + f"SELECT {KEYS}, pu_is_cbd, year_month FROM fact"
     q["exclusion_counts"] = pre + """
 SELECT count(*) AS raw_rows, count_if(good)::BIGINT AS kept_rows, count_if(NOT good)::BIGINT AS excluded_rows,
        count(*) - count(good) AS excluded_null_rows, count_if(NOT far)::BIGINT AS nonpos_distance,
@@ -490,7 +493,7 @@ SELECT 'month_completeness' AS check_name, {missing} AS failures, count(DISTINCT
        format('months_present={{}}, expected_months={cfg.expected_months}', count(DISTINCT year_month)) FROM fact""",
         "SELECT 'null_trip_key', count(*) - count(trip_key), '' FROM fact",
         "SELECT 'fact_not_empty', (count(*) = 0)::BIGINT, '' FROM fact"]
-    q["dq_gate_report"] = pre + "," + totals + "\n" + "\nUNION ALL\n".join(checks)
+    q["dq_gate_report"] = q["dq_gate_observed"] = pre + "," + totals + "\n" + "\nUNION ALL\n".join(checks)
 
 
 def _serving(q: dict, pre: str, cfg: PipelineConfig) -> None:
@@ -509,6 +512,10 @@ SELECT year(day)::INTEGER AS year, month(day)::INTEGER AS month, year_month,
        count(DISTINCT day) AS days, min(day) AS first_date, max(isodow(day))::INTEGER AS last_dow
 FROM fact GROUP BY 1, 2, 3, 4, 5"""
     q["trips_per_period"] = pre + "SELECT if(post, 'post', 'pre') AS period, count(*) AS trips FROM fact GROUP BY 1"
+    q["post_period_trips"] = pre + """
+SELECT year_month, pu_is_cbd, count(*) AS trips, sum(total_amount)::DOUBLE AS revenue,
+       sum(trip_distance)::DOUBLE / count(trip_distance)::DOUBLE AS avg_distance
+FROM fact WHERE post GROUP BY 1, 2"""
     q["orphan_zone_recheck"] = pre + """
 SELECT count(*) AS orphan_zone_rows FROM fact ANTI JOIN place ON zone_key = pu_zone_key"""
 

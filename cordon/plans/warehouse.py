@@ -10,6 +10,7 @@ rebuild.
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -28,7 +29,7 @@ from cordon.schemas import FACT_PARTITION
 from cordon.sources import tpch_raw_trips, tpch_zone_lookup, write_raw_months
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
+def write_fact(fact: DataFrame, path: str, mark: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Partitioned fact sink (S6): one folder per month.
 
     Rows are range-partitioned on (date, pickup zone, trip key) and sorted
@@ -37,14 +38,15 @@ def write_fact(fact: DataFrame, path: str) -> None:
     Parquet row-group statistics prune date and zone ranges (the study's
     date/zone sort key).  The unique trip key as last range key lets the
     partitioner split even a single (date, zone) holding a large share of
-    all trips across tasks.  The partition count is left to AQE."""
+    all trips across tasks.  The partition count is left to AQE.  ``mark`` is
+    applied to the rows as they are written (an observer)."""
     keys = ["date_key", "pu_zone_key", "trip_key"]
     # after de-duplication rows are unique on the natural key; when the trip
     # key is NULL (a NULL key part) these columns still tell rows apart, so
     # even a large group of NULL-key trips can be split between tasks
     ties = ["time_key", "vendor_key", "total_amount", "trip_duration_min", "do_zone_key"]
-    (fact.repartitionByRange(*keys, *ties)
-        .sortWithinPartitions(*keys)
+    rows = fact.repartitionByRange(*keys, *ties).sortWithinPartitions(*keys)
+    ((mark(rows) if mark else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(FACT_PARTITION)
@@ -68,7 +70,7 @@ class Warehouse:
     cfg: PipelineConfig
     source_raw: DataFrame
     lookup: DataFrame
-    dedup_method: str = "aggregate"
+    dedup_method: str = "candidates"
     materialize: bool = True
     # land the raw rows as files first; off when they already are files
     land_raw: bool = True

@@ -40,7 +40,8 @@ def month_schemas(spark: SparkSession, root: str) -> list[tuple[T.StructType, li
     return list(groups.values())
 
 
-def read_raw_trips(spark: SparkSession, root: str, schema=RAW_TRIPS, uniform: bool = False) -> DataFrame:
+def read_raw_trips(spark: SparkSession, root: str, schema=RAW_TRIPS, uniform: bool = False,
+                   months: list[str] | None = None) -> DataFrame:
     """Monthly Parquet under ``root/trip_month=YYYY-MM/``.
 
     Each column is taken by its declared name (any case) and cast to the
@@ -49,10 +50,15 @@ def read_raw_trips(spark: SparkSession, root: str, schema=RAW_TRIPS, uniform: bo
     another): months of one physical schema are one scan, and the scans are
     unioned, so the plan grows with the number of schemas, not of months.
     ``uniform`` says that all files were written in the declared types: one
-    scan with that schema, no footer read while planning.
+    scan with that schema, no footer read while planning; ``months`` then names
+    the month folders to open (all without it).
     """
     if uniform:
         declared = T.StructType([*schema.fields, T.StructField(RAW_PARTITION, T.StringType())])
+        if months is not None:
+            if not months:
+                return spark.createDataFrame([], declared)
+            return spark.read.schema(declared).option("basePath", root).parquet(*months)
         return spark.read.schema(declared).parquet(root)
     parts = []
     for own, months in month_schemas(spark, root):

@@ -104,3 +104,94 @@ def test_trend_measures_and_means_variants(spark, base):
     rounded = causal.did_volume(zd, wh.dim_date, zc, digits=2).first()
     exact = causal.did_volume(zd, wh.dim_date, zc).first()
     assert rounded.control_pre == round(exact.control_pre, 2)
+
+
+@pytest.mark.parametrize("share,bits", [(0, 1 << 24), (1, 1 << 24), (50, 1 << 24), (50, 1 << 7)])
+def test_candidate_dedup_equals_the_exact_form(spark, base, share, bits):
+    """Few and many copies, nulls in every key column, a filter that is full."""
+    raw, _ = base
+    cl = FT.clean(raw, TPCH_TRIPS)
+    key = F.pmod(F.xxhash64("pickup_ts", "total_amount"), F.lit(100))
+    cl = cl.withColumn("VendorID", F.when(key != 7, F.col("VendorID"))).withColumn(
+        "total_amount", F.when(key != 8, F.col("total_amount")))
+    copies = cl.filter(key < share).withColumn("dropoff_ts", F.col("dropoff_ts") + F.expr("INTERVAL 3 MINUTES"))
+    rel = cl.unionByName(copies)
+    a, b = FT.dedup(rel, method="aggregate"), FT.dedup_candidates(rel, bits=bits)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_fact_shuffles_whole_rows_once(spark, base):
+    """Rows that are alone with their key reach the write without a shuffle:
+    whole rows are exchanged by the write's range partitioning and, among the
+    candidates only, by the exact path."""
+    raw, zones = base
+    wh = Warehouse(spark, TPCH_TRIPS, raw, zones, materialize=False)
+    plan = FT.dedup(wh.cleaned)._jdf.queryExecution().executedPlan().toString()
+    whole = [line for line in plan.splitlines() if "Exchange hashpartitioning(VendorID" in line]
+    assert len(whole) == 1 and "Union" in plan
+    alone = plan[plan.index("Union"):plan.index("SortAggregate")]
+    assert "BroadcastHashJoin" in alone and "NOT coalesce" in alone
+
+
+def test_incremental_fact_follows_its_files(spark, tmp_dir):
+    """Rows filed under another month, months that arrive late, one delivered
+    again with other rows, one taken back; other months' files stay untouched."""
+    import glob
+    import os
+    import shutil
+
+    from cordon.config import TPCH_TRIPS as C
+    from cordon.plans.incremental import MonthlyFact
+    from cordon.sources import write_raw_months
+    raw, zones = tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001)
+    raw = raw.filter("tpep_pickup_datetime >= '2001-03-01'")
+    stray = F.pmod(F.xxhash64("total_amount"), F.lit(9)) == 0
+    raw = raw.withColumn("trip_month", F.when(stray, "2001-04").otherwise(F.col("trip_month")))
+    store, root = f"{tmp_dir}/raw", f"{tmp_dir}/inc"
+    write_raw_months(raw, store)
+    wh = Warehouse(spark, C, raw, zones, materialize=False)
+    fact = MonthlyFact(spark, store, root, wh.dim_zone, C)
+
+    def check():
+        want = Warehouse(spark, C, spark.read.parquet(store), zones, materialize=False)
+        a, b = fact.fact(), want.fact
+        b = b.select(a.columns)
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
+        z = fact.zone_day().drop("year_month")
+        assert z.exceptAll(want.zone_day.select(z.columns)).count() == 0 and z.count() == want.zone_day.count()
+
+    months = sorted({r[0] for r in raw.select("trip_month").distinct().collect()})
+    assert fact.fact().count() == 0 and fact.update([]) == []
+    assert set(fact.update([m for m in months if m not in ("2001-05", "2001-06")])) >= {"2001-03", "2001-04", "2001-05"}
+    before = fact.state().months
+    assert fact.update(["2001-05", "2001-06"]) == ["2001-05", "2001-06"]
+    check()
+    after = fact.state().months
+    assert {m for m in before if after[m] != before[m]} == {"2001-05", "2001-06"}
+    files = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{root}/runs/**/*.parquet", recursive=True)}
+    again = raw.filter("trip_month = '2001-05' and VendorID <> 2").unionByName(raw.filter("trip_month = '2001-05' and VendorID = 1"))
+    write_raw_months(again, store)
+    assert fact.update(["2001-05"]) == ["2001-05"]
+    check()
+    assert all(os.stat(f).st_mtime_ns == t for f, t in files.items())
+    shutil.rmtree(f"{store}/trip_month=2001-04")  # taken back: the trips of other months filed there go as well
+    assert set(fact.update(["2001-04"])) >= {"2001-03", "2001-04", "2001-05"}
+    check()
+
+
+def test_post_period_prunes_the_fact(spark, base):
+    """Month folders before the cutoff are not read."""
+    from cordon.operators import serving
+    wh = Warehouse(spark, TPCH_TRIPS, *base)
+    df = serving.post_period_trips(wh.fact, wh.dim_date)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "PartitionFilters: [isnotnull(year_month" in plan
+    df.collect()
+    read = df._jdf.queryExecution().executedPlan().executedPlan().collectLeaves()
+    scans = [read.apply(i) for i in range(read.size())]
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in text and scans
+    got = {r.year_month: r.trips for r in df.groupBy("year_month").agg(F.sum("trips").alias("trips")).collect()}
+    want = {r.year_month: r.n for r in wh.fact.filter(F.col("date_key") >= 20001005).filter("pu_is_cbd is not null or true")
+            .groupBy("year_month").agg(F.count("*").alias("n")).collect()}
+    assert got == want and min(got) == "2000-10"

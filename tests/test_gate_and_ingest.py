@@ -1,5 +1,6 @@
 """Write-audit-publish, the gate, and idempotent batch/streaming ingest."""
 
+import datetime as dt
 import glob
 
 import pytest
@@ -7,50 +8,137 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 
-from cordon.config import TPCH_TRIPS
+from cordon.config import TPCH_TRIPS, Bounds
 from cordon.operators import quality
 from cordon.plans.build import run_build
-from cordon.plans.warehouse import Warehouse
-from cordon.schemas import SERVING_FACT
+from cordon.plans.warehouse import Warehouse, read_fact, write_fact
+from cordon.schemas import SERVING_DIMS, SERVING_FACT
 from cordon.sources import read_raw_trips, tpch_raw_trips, tpch_zone_lookup, write_raw_months
 from cordon.sources.ingest import ingest_pending
 from cordon.streaming import stream_ingest
 
 
+# a window of seven months
+FEW = TPCH_TRIPS.with_(window_start=dt.date(2001, 1, 1), cutoff=dt.date(2001, 5, 1))
+
+
+def late(spark):
+    return tpch_raw_trips(spark, SF001).filter("tpep_pickup_datetime >= '2000-12-20'")
+
+
 def test_build_publishes_when_gate_passes(spark, tmp_dir):
-    wh = Warehouse(spark, TPCH_TRIPS, tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001))
-    res = run_build(wh, tmp_dir, table="cordon_test.fact_trips")
+    wh = Warehouse(spark, FEW, late(spark), tpch_zone_lookup(spark, SF001))
+    res = run_build(wh, tmp_dir, database="cordon_test")
     assert all(f == 0 for _, f in res.report)
-    n = spark.table("cordon_test.fact_trips").count()
-    assert n == wh.fact.count()
-    serving = spark.read.parquet(res.serving_path)
+    assert {"load_rows", "load_orphan_zones", "load_trips_per_period", "duplicate_trip_keys"} <= {n for n, _ in res.report}
+    n = wh.fact.count()
+    fact, serving = spark.table("cordon_test.fact_trips"), spark.table("cordon_test.serving_fact_trips")
+    assert fact.exceptAll(wh.fact.select(fact.columns)).count() == 0 and fact.count() == serving.count() == n
+    assert dict(fact.dtypes) == dict(wh.fact.dtypes) and sum(res.trips_per_period.values()) == n
     assert serving.schema["tip_pct"].dataType.simpleString() == "decimal(6,4)"
     assert [c for c in serving.columns if c != "year_month"] == [c for c, _, _ in SERVING_FACT]
-
-
-def test_build_stops_on_failure(spark, tmp_dir):
-    cfg = TPCH_TRIPS.with_(payment_codes=TPCH_TRIPS.payment_codes[:2])   # codes 3-6 orphaned
-    wh = Warehouse(spark, cfg, tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001))
+    for name in wh.dims:
+        typed = spark.table(f"cordon_test.serving_dim_{name}")
+        assert typed.dtypes == [(c, t) for c, t, _ in SERVING_DIMS[name].columns]
+        assert typed.count() == spark.table(f"cordon_test.dim_{name}").count() == wh.dims[name].count()
+    stats = spark.sql(f"DESCRIBE EXTENDED cordon_test.dim_zone_runs PARTITION (run_id='{res.run}')").collect()
+    assert any(r.col_name == "Partition Statistics" and "rows" in r.data_type for r in stats)
+    only = spark.sql("SELECT count(*) FROM cordon_test.fact_trips WHERE year_month = '2001-03'")
+    assert only.first()[0] == wh.fact.filter("year_month = '2001-03'").count()
+
+
+def test_build_reports_every_failure(spark, tmp_dir):
+    """Gate, contract, dimension and load checks in one exception."""
+    cfg = FEW.with_(payment_codes=(*TPCH_TRIPS.payment_codes[:2], (1, "again")))   # codes 3-6 orphaned, 1 twice
+    raw = late(spark).withColumn("DOLocationID", F.when(F.col("passenger_count") > 4, F.col("DOLocationID")))
+    wh = Warehouse(spark, cfg, raw, tpch_zone_lookup(spark, SF001))
     with pytest.raises(quality.GateFailed) as e:
-        run_build(wh, tmp_dir)
-    assert "orphan_payment" in str(e.value)
-    assert not glob.glob(f"{tmp_dir}/runs/*/serving")
+        run_build(wh, tmp_dir, database="cordon_never")
+    failed = {n for n, _ in e.value.failures}
+    assert {"orphan_payment", "orphan_dropoff_zone", "not_null_do_zone_key", "dim_payment_unique_payment_key"} <= failed
+    assert not spark.catalog.databaseExists("cordon_never")
+
+
+class Broken(Exception):
+    pass
+
+
+def test_readers_see_one_whole_run_wherever_publishing_breaks(spark, tmp_dir):
+    """Two tables, one by month; a failure after every step of the second and
+    third run.  The third keeps a month of the second."""
+    from cordon.plans.publish import Part, Publication
+
+    def part(run, months):
+        rows = [(run, m) for m in months]
+        spark.createDataFrame(rows, "v int, year_month string").write.partitionBy("year_month").parquet(f"{tmp_dir}/{run}/m")
+        spark.createDataFrame([(run,)], "v int").write.parquet(f"{tmp_dir}/{run}/d")
+        own = spark.createDataFrame([], "v int, year_month string").schema
+        return {"monthly": Part(own, months={m: f"{tmp_dir}/{run}/m/year_month={m}" for m in months}),
+                "small": Part(spark.createDataFrame([], "v int").schema, f"{tmp_dir}/{run}/d")}
+
+    def seen():
+        return (sorted(map(tuple, spark.table("cordon_steps.monthly").collect())),
+                [r.v for r in spark.table("cordon_steps.small").collect()])
+
+    steps: list[str] = []
+    one = part(1, ["2024-01", "2024-02"])
+    Publication(spark, "cordon_steps", steps.append).publish("one", one, tmp_dir)
+    assert steps[0] == "database" and steps[-1] == "switch" and len(steps) == 8
+    states = [seen()]
+    assert states[0] == ([(1, "2024-01"), (1, "2024-02")], [1])
+    two = part(2, ["2024-02", "2024-03"])
+    three = part(3, ["2024-01"])
+    kept = {"2024-02": two["monthly"].months["2024-02"]} | three["monthly"].months
+    three["monthly"] = Part(two["monthly"].schema, months=kept)
+    for n, (run, tables) in enumerate((("two", two), ("three", three))):
+        for step in steps:
+            def after(done, step=step):
+                if done == step:
+                    raise Broken(step)
+            with pytest.raises(Broken):
+                Publication(spark, "cordon_steps", after).publish(run, tables, tmp_dir)
+            if step == "switch":
+                states.append(seen())
+            else:
+                assert seen() == states[n], (run, step)
+    assert states[1] == ([(2, "2024-02"), (2, "2024-03")], [2])
+    assert states[2] == ([(2, "2024-02"), (3, "2024-01")], [3])
+    p = Publication(spark, "cordon_steps")
+    assert p.published_run() == "three" and p.months("monthly", "two") == ["2024-02", "2024-03"]
+    assert p.month_paths("monthly", "three")["2024-02"].endswith("/2/m/year_month=2024-02")
 
 
 def test_failed_build_leaves_the_published_tables(spark, tmp_dir):
-    raw, zones = tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001)
-    good = run_build(Warehouse(spark, TPCH_TRIPS, raw, zones), tmp_dir, table="cordon_safe.fact_trips")
+    cfg = TPCH_TRIPS.with_(window_start=dt.date(2001, 6, 1), cutoff=dt.date(2001, 7, 1))
+    raw = tpch_raw_trips(spark, SF001).filter("tpep_pickup_datetime >= '2001-06-01'")
+    zones = tpch_zone_lookup(spark, SF001)
+    good = run_build(Warehouse(spark, cfg, raw, zones), tmp_dir, database="cordon_safe")
     n = spark.table("cordon_safe.fact_trips").count()
-    bad = Warehouse(spark, TPCH_TRIPS, raw.withColumn("payment_type", F.lit(77).cast("bigint")), zones)
+    wrong = raw.withColumn("payment_type", F.lit(77).cast("bigint"))
     with pytest.raises(quality.GateFailed):
-        run_build(bad, tmp_dir, table="cordon_safe.fact_trips")
+        run_build(Warehouse(spark, cfg, wrong, zones), tmp_dir, database="cordon_safe")
     after = spark.table("cordon_safe.fact_trips")
-    assert after.count() == n and after.filter("payment_key = 77").count() == 0
-    assert spark.table("cordon_safe.dim_payment").count() == len(TPCH_TRIPS.payment_codes)
-    again = run_build(Warehouse(spark, TPCH_TRIPS, raw, zones), tmp_dir, table="cordon_safe.fact_trips")
+    assert after.count() == n > 0 and after.filter("payment_key = 77").count() == 0
+    again = run_build(Warehouse(spark, cfg, raw, zones), tmp_dir, database="cordon_safe")
     assert again.fact_path != good.fact_path and spark.table("cordon_safe.fact_trips").count() == n
-    fact = spark.read.parquet(good.serving_path)
-    assert fact.count() == n  # the earlier run's files stay as they were
+    assert spark.read.parquet(good.serving_path).count() == n  # the earlier run's files stay as they were
+
+
+def test_observed_gate_equals_the_scan(spark, tmp_dir):
+    """Every figure, on data that fail several checks, and when files and
+    figures come from different attempts."""
+    cfg = FEW.with_(payment_codes=TPCH_TRIPS.payment_codes[:3], bounds=Bounds(fare_max=30000.0, minutes_max=20))
+    raw = late(spark).filter("trip_month <> '2001-02'")
+    wh = Warehouse(spark, cfg, raw, tpch_zone_lookup(spark, SF001))
+    observer = quality.FactObserver(wh.dims, cfg)
+    write_fact(wh.fact_plan, f"{tmp_dir}/fact", observer.mark)
+    fact = read_fact(spark, f"{tmp_dir}/fact", wh.fact_plan.schema)
+    want = {tuple(r) for r in quality.gate_report(wh.raw, fact, wh.dims, cfg).collect()}
+    assert {tuple(r) for r in observer.report(wh.raw, fact).collect()} == want
+    assert {n for n, v, _ in want if v} >= {"orphan_payment", "range_assertions", "month_completeness"}
+    less = fact.filter("time_key < 12")
+    assert {tuple(r) for r in observer.report(wh.raw, less).collect()} == {
+        tuple(r) for r in quality.gate_report(wh.raw, less, wh.dims, cfg).collect()}
 
 
 def test_gate_failure_carries_its_figures(spark):

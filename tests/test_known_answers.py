@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 
+from cordon.schemas import RAW_TRIPS
 from cordon.config import TPCH_TRIPS
 from cordon.operators import causal, panel
 from cordon.operators.fact import exclusion_counts
@@ -57,3 +58,33 @@ def test_segments(wh):
     agg = seg.agg(F.count("*").alias("n"), F.count(F.when(F.col("trips") >= 30, 1)).alias("big"),
                   F.min("trips").alias("lo"), F.max("trips").alias("hi")).first()
     assert (agg.n, agg.big, agg.lo, agg.hi) == (125, 116, 15, 274)
+
+
+def test_monthly_sketches_merge(spark, tmp_dir):
+    """Estimates over merged months are within the bound, a month delivered
+    again replaces its own sketch, and only its folder is read."""
+    from pyspark.sql import functions as F
+
+    from cordon.operators import profiling
+    from cordon.sources import write_raw_months
+
+    def raw(month, lo, hi):
+        return spark.range(lo, hi).select(
+            (F.col("id") % 3).alias("VendorID"), (F.col("id") % 250).alias("PULocationID"),
+            F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_TRIPS.fields
+              if f.name not in ("VendorID", "PULocationID", "tpep_pickup_datetime")], F.lit(month).alias("trip_month"))
+
+    root, store = f"{tmp_dir}/raw", f"{tmp_dir}/sk"
+    write_raw_months(raw("2024-01", 0, 30_000).unionByName(raw("2024-02", 20_000, 60_000)), root)
+    profiling.update_sketches(spark, root, store, ["2024-01"])
+    profiling.update_sketches(spark, root, store, ["2024-02"])
+
+    def check(n):
+        got = {r.key: r.estimate for r in profiling.sketched_cardinality(spark.read.parquet(store)).collect()}
+        assert got["vendors"] == 3 and abs(got["pu_zones"] - 250) <= 250 * profiling.SKETCH_BOUND
+        assert abs(got["pickup_times"] - n) <= n * profiling.SKETCH_BOUND and got["payment_types"] == 0
+    check(60_000)
+    write_raw_months(raw("2024-02", 0, 10), root)
+    profiling.update_sketches(spark, root, store, ["2024-02"])
+    check(30_000)
