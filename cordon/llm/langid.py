@@ -6,13 +6,15 @@ seen n times with d distinct successors, a byte seen c times costs
 -log2(c / (n + d)); an unseen byte pays the escape -log2(d / (n + d)) and is
 coded in the next shorter context, at last among 256 equal bytes.  The
 statistics are frozen, so the cost of every (context, byte, language) is known
-beforehand; a text is scored by one table look-up per byte, and the language
-with the shortest total code wins.
+beforehand, and the language with the shortest total code wins.
 
 Counts come from a bounded sample (``cap`` documents per language), summed in
-Spark.  Order-3 contexts are kept for the ``max_nodes`` most frequent ones over
-all languages; the others use their order-2 context, so the broadcast table is
-bounded by max_nodes, the 256 bytes and the number of languages.
+Spark.  The trees are stored sparsely and whole: one cost for every (context,
+byte) that a language has seen, one escape cost for every context that it has
+seen.  So the broadcast model grows with what the sample holds, not with the
+number of languages times all contexts.  In a chunk of texts the costs of its
+distinct (three bytes, byte) runs are worked out once, order by order, for all
+languages; every byte of a text then takes its run's costs.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 without training rows everything is ``und``; equal code lengths go to the
@@ -35,7 +37,6 @@ from cordon.llm.common import crc32_mod, map_arrow
 from cordon.llm.sampling import bounded
 
 CAP = 1500
-MAX_NODES = 12_000
 HELD_OUT = (5, 0)
 ORDER = 3
 _PAD = "\n" * ORDER
@@ -76,65 +77,76 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+class _Costs:
+    """Sparse costs by key and language, in order of keys."""
+
+    def __init__(self, key: np.ndarray, lang: np.ndarray, cost: np.ndarray):
+        order = np.lexsort((lang, key))
+        self.keys, first = np.unique(key[order], return_index=True)
+        self.first = np.append(first, len(key)).astype(np.int64)
+        self.lang, self.cost = lang[order].astype(np.int32), cost[order].astype(np.float32)
+        self.keys = self.keys.astype(np.uint32)
+
+    def of(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position in ``key``, language, cost) of all that is stored for them."""
+        at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        known = np.flatnonzero(self.keys[at] == key) if len(self.keys) else np.zeros(0, np.int64)
+        lo, n = self.first[at[known]], np.diff(self.first)[at[known]]
+        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(known, n), self.lang[entry], self.cost[entry]
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.keys, self.first, self.lang, self.cost))
+
+
 class ContextTrees:
-    """Frozen cost table of all languages."""
+    """Frozen costs of all languages, by order: of the bytes seen after a
+    context and of the escape from it."""
 
-    def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, max_nodes: int):
+    def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
         self.langs = langs
-        parts = [(gram >> (8 * k)) & 0xFF for k in range(ORDER, -1, -1)]  # oldest context byte first
-        seen = np.unique(np.concatenate(parts))
-        self.a = a = len(seen) + 1  # the last symbol stands for unseen bytes
-        self.symbol = np.full(256, a - 1, np.int64)
-        self.symbol[seen] = np.arange(len(seen))
-        c3, c2, c1, s = (self.symbol[p] for p in parts)
-        ctx2, ctx3 = c2 * a + c1, (c3 * a + c2) * a + c1
-        total3 = np.bincount(ctx3, n, minlength=a ** 3)
-        keep3 = np.argsort(-total3, kind="stable")[:max_nodes]
-        keep3 = np.sort(keep3[total3[keep3] > 0])
-        keep2 = np.unique(ctx2)
-        # nodes: the root, order 2 (with order 1 below), order 3
-        self.node = np.zeros(a ** 3, np.int32)
-        of2 = np.zeros(a * a, np.int32)
-        order1 = 1 + np.arange(a)  # one node per single byte
-        of2[:] = order1[np.arange(a * a) % a]
-        of2[keep2] = 1 + a + np.arange(len(keep2))
-        self.node[:] = of2[np.arange(a ** 3) % (a * a)]
-        self.node[keep3] = 1 + a + len(keep2) + np.arange(len(keep3))
-        size = 1 + a + len(keep2) + len(keep3)
-        self.cost = np.empty((size, a, len(langs)), np.float32)
-        parent = np.zeros(size, np.int64)
-        parent[1 + a:1 + a + len(keep2)] = 1 + keep2 % a
-        parent[1 + a + len(keep2):] = of2[keep3 % (a * a)]
-        levels = [(np.zeros(len(s), np.int64), slice(0, 1)), (1 + c1, slice(1, 1 + a)),
-                  (of2[ctx2].astype(np.int64), slice(1 + a, 1 + a + len(keep2))),
-                  (self.node[ctx3].astype(np.int64), slice(1 + a + len(keep2), size))]
-        for i in range(len(langs)):
-            own = lang == i
-            before = np.full((1, a), 8.0)
-            for at, nodes in levels:
-                lo, hi = nodes.start, nodes.stop
-                inside = own & (at >= lo) & (at < hi)
-                c = np.zeros((hi - lo, a))
-                np.add.at(c, (at[inside] - lo, s[inside]), n[inside])
-                total, distinct = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-                shorter = before if lo == 0 else self.cost[parent[lo:hi], :, i].astype(np.float64)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    coded = np.log2((total + distinct) / c)
-                    escaped = np.log2((total + distinct) / distinct) + shorter
-                self.cost[lo:hi, :, i] = np.where(c > 0, coded, np.where(total > 0, escaped, shorter))
+        self.coded: list[_Costs] = []
+        self.escaped: list[_Costs] = []
+        lang, gram, n = lang.astype(np.int64), gram.astype(np.int64), n.astype(np.int64)
+        for order in range(ORDER + 1):
+            key = (lang << 32) | (gram & ((1 << (8 * (order + 1))) - 1))
+            key, own = np.unique(key, return_inverse=True)
+            count = np.bincount(own, n, len(key))
+            context, of = np.unique((key >> 32 << 32) | ((key & 0xFFFFFFFF) >> 8), return_inverse=True)
+            total, distinct = np.bincount(of, count, len(context)), np.bincount(of, minlength=len(context))
+            self.coded.append(_Costs(key & 0xFFFFFFFF, key >> 32, np.log2((total + distinct)[of] / count)))
+            self.escaped.append(_Costs(context & 0xFFFFFFFF, context >> 32, np.log2((total + distinct) / distinct)))
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (*self.coded, *self.escaped))
+
+    def costs(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of every run (three bytes, byte) under every language."""
+        bits = np.full((len(gram), len(self.langs)), 8.0, np.float32)
+        for order in range(ORDER + 1):
+            key = gram & np.uint32((1 << (8 * (order + 1))) - 1)
+            at, lang, cost = self.escaped[order].of(key >> np.uint32(8))
+            bits[at, lang] += cost
+            at, lang, cost = self.coded[order].of(key)
+            bits[at, lang] = cost
+        return bits
 
     def code_lengths(self, column: pa.Array) -> np.ndarray:
         """Bits of every row under every language."""
         data, lo, hi = _padded(column)
-        s = self.symbol[data]
-        a = self.a
-        ctx = (s[:-ORDER] * a + s[1:-2]) * a + s[2:-1]
-        at = self.node[ctx].astype(np.int64) * a + s[ORDER:]
-        flat = self.cost.reshape(-1, len(self.langs))
-        return tb.row_sums(flat[at], lo - ORDER, hi - ORDER)
+        if len(data) <= ORDER:
+            return np.zeros((len(column), len(self.langs)))
+        b = data.astype(np.uint32)
+        gram = np.zeros(len(b) - ORDER, np.uint32)
+        for k in range(ORDER + 1):
+            gram |= b[k:len(b) - ORDER + k] << np.uint32(8 * (ORDER - k))
+        runs, at = np.unique(gram, return_inverse=True)
+        return tb.row_sums(self.costs(runs)[at], lo - ORDER, hi - ORDER)
 
 
-def train(docs: DataFrame, cap: int = CAP, max_nodes: int = MAX_NODES) -> ContextTrees | None:
+def train(docs: DataFrame, cap: int = CAP) -> ContextTrees | None:
     m, out = HELD_OUT
     rows = docs.select("doc_id", "lang", "text").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
@@ -144,7 +156,7 @@ def train(docs: DataFrame, cap: int = CAP, max_nodes: int = MAX_NODES) -> Contex
         return None
     langs = sorted(got["lang"].unique())
     code = got["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
-    return ContextTrees(langs, code, got["gram"].to_numpy(), got["n"].to_numpy(), max_nodes)
+    return ContextTrees(langs, code, got["gram"].to_numpy(), got["n"].to_numpy())
 
 
 def predict(docs: DataFrame, model: ContextTrees | None) -> DataFrame:
