@@ -10,10 +10,12 @@ public notices, short licences and the full texts in ``licenses/``, each with
 and without its heading, its appendix and its numbering.
 
 The known digests are one small table (one row per known text, written by hand
-or given by the caller); the join is left to the planner.  Texts and lines are
-first cut down to those with a hint word or a spelling that becomes one, which
-drops nothing: every known form has a hint word, and each word of a canonical
-form stands in the raw text as it is or as such a spelling.
+or given by the caller); the join is left to the planner.  Where every known
+form has a hint word, texts and lines are first cut down to those with such a
+word or a spelling of it, which drops nothing: each word of a canonical form
+stands in the raw text as it is or as another spelling.  Otherwise every text
+and line is looked up.  The SQL twin has the same rules and texts and no such
+first cut.
 
 Defined cases: null and empty texts match nothing; a canonical form without
 words matches nothing; several known texts with one digest give their smallest
@@ -29,7 +31,7 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cordon.llm.common import null_safe, row_key
+from cordon.llm.common import null_safe, row_key, written
 
 # Wordings of public licences and notices.
 MIT = (
@@ -53,31 +55,27 @@ ISC = (
     "SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA "
     "OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
     "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+#: Names that one-line notices give a licence.
+NOTICES = [
+    ("Apache-2.0", "the Apache License, Version 2.0"), ("BSD-2-Clause", "the BSD 2-Clause License"),
+    ("BSD-3-Clause", "the BSD 3-Clause License"), ("CC-BY-4.0", "CC BY 4.0"), ("CC-BY-NC-4.0", "CC BY-NC 4.0"),
+    ("CC-BY-SA-4.0", "CC BY-SA 4.0"), ("CC0-1.0", "CC0 1.0"), ("GPL-2.0", "the GNU General Public License, version 2"),
+    ("GPL-3.0", "the GNU General Public License, version 3"), ("ISC", "the ISC License"), ("MIT", "the MIT License"),
+    ("MPL-2.0", "the Mozilla Public License, version 2.0"),
+]
+#: How a notice begins.
+BEGINNINGS = ["Licensed under", "Released under", "Distributed under", "This work is licensed under",
+              "This software is licensed under", "This program is licensed under"]
 KNOWN_LICENSES: list[tuple[str, str]] = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "Licensed under CC0 1.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
-    ("ISC", ISC),
-    ("ISC", "Released under the ISC License."),
-    ("MIT", MIT),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    *[(i, f"{verb} {name}.") for i, name in NOTICES for verb in BEGINNINGS],
+    *[(i, f"SPDX-License-Identifier: {i}") for i, _ in NOTICES],
+    ("ISC", ISC), ("MIT", MIT),
 ]
 #: Spellings that count as equal (from, to), on single words.
 SPELLINGS = [
     ("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"), ("sublicence", "sublicense"),
     ("organisation", "organization"), ("favour", "favor"), ("judgement", "judgment"), ("acknowledgement", "acknowledgment"),
-    ("noncommercial", "nc"), ("ver", "version"), ("v", "version"), ("released", "licensed"), ("distributed", "licensed"),
-    ("work", "software"), ("program", "software"),
+    ("noncommercial", "nc"), ("ver", "version"), ("v", "version"), ("https", "http"),
 ]
 #: Words without weight in a notice.
 FILLERS = ("the", "version")
@@ -86,16 +84,14 @@ PROSE = (r"notices?|holders?|owners?|licen[cs](?:e[sd]?|ing)|statements?|permiss
          r"ownership|disclaimers?|doctrines?|treat(?:y|ies)|and|or|in|on|of|to|is|are|as|if|that|which|for|with|under|"
          r"the\s+(?:software|program|work)")
 POINT = r"you|under|any|each|if|in|to|for|it|that|this|such|where|when|no|must"
-COPYRIGHT_LINE = (r"(?m)^[\s*#/;-]*(copyright(?![\p{L}\p{N}_-])(?!\s+(?:" + PROSE + r")\b)(?!\s*[,;.]\s*\p{L})"
-                  r"|\(c\)(?!\s*(?:" + POINT + r")\b)|©|all rights reserved).*$")
-#: What the SQL twin drops.
-SQL_COPYRIGHT_LINE = r"(?m)^[\s*#/;-]*(copyright\b|\(c\)|©|all rights reserved).*$"
-#: What the SQL twin looks at.
-SQL_HINTS = r"licen[cs]|permission|spdx"
-#: Every canonical form of a known text must hold one of these words.
-HINTS = SQL_HINTS + "|redistribution"
-#: The same for raw texts: also the spellings that become a hint word.
-RAW_HINTS = "|".join([HINTS, *(a for a, b in SPELLINGS if re.search(HINTS, b) and not re.search(HINTS, a))])
+#: A line that begins so, after marks of a comment, states a copyright ...
+STATEMENT = r"^[\x20\x09-\x0D*#/;-]*(copyright[^\p{L}\p{N}_-]*[\x20\x09-\x0D(]|copyright[^\p{L}\p{N}_-]+$|\(c\)|©|all rights reserved)"
+#: ... unless it goes on as the prose of a licence does.
+SPOKEN = (r"^[\x20\x09-\x0D*#/;-]*(copyright[\x20\x09-\x0D]+(" + PROSE.replace(r"\s", r"[\x20\x09-\x0D]") + r")\b"
+          r"|copyright[\x20\x09-\x0D]*[,;.][\x20\x09-\x0D]*\p{L}|copyright[\x20\x09-\x0D]*$"
+          r"|\(c\)[\x20\x09-\x0D]*(" + POINT + r")\b)")
+#: A text that holds none of these words (nor a spelling of one) is no known licence, if all known ones hold one.
+HINTS = r"licen[cs]|permission|spdx|redistribution"
 #: Full texts in ``licenses/``, and the headings that may be missing.
 FULL_TEXTS = {"Apache-2.0": "", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License",
               "CC0-1.0": "Creative Commons Legal Code", "GPL-2.0": "", "GPL-3.0": "", "MPL-2.0": ""}
@@ -113,44 +109,44 @@ def full_texts() -> list[tuple[str, str]]:
             forms |= {body, body + APPENDIX}
         if name.startswith("BSD"):
             forms |= {re.sub(r"(?m)^\d\. ", "* ", t) for t in forms}
-        forms |= {t.replace("https://", "http://") for t in forms} | {t.replace("http://", "https://") for t in forms}
         out += [(name, t) for t in sorted(forms)]
     return out
 
 
 def canonical(text: Column) -> Column:
     """The canonical form of an entire text."""
-    t = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " ")
-    t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
+    lines = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "\n", -1),
+                     lambda x: ~x.rlike(STATEMENT) | x.rlike(SPOKEN))
+    t = F.trim(F.regexp_replace(F.array_join(lines, " "), r"[^\p{L}\p{N}]+", " "))
     same = F.create_map(*[F.lit(x) for pair in SPELLINGS for x in pair])
     ws = F.transform(F.split(t, " "), lambda w: F.coalesce(F.try_element_at(same, w), w))
     return F.array_join(F.filter(ws, lambda w: ~w.isin(*FILLERS)), " ")
 
 
-def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
-    """(digest, license_id) of the known texts (license_id, text).  Texts whose
-    form lacks a hint word are refused, as the scan could not find them."""
+def known_forms(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
+    """(form, license_id) of the known texts (license_id, text)."""
     if known is None:
         known = spark.createDataFrame(KNOWN_LICENSES + full_texts(), "license_id string, text string")
-    k = known.select("license_id", canonical(F.col("text")).alias("form")).filter("form <> ''")
-    k = k.withColumn("form", F.when(F.col("form").rlike(HINTS), F.col("form")).otherwise(
-        F.raise_error(F.concat(F.lit("known licence without hint word: "), F.col("license_id")))))
-    return k.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license_id").alias("license_id"))
+    return known.select("license_id", canonical(F.col("text")).alias("form")).filter("form <> ''")
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, whole_text_license (NULL if none),
-    license_ids (distinct, sorted), n_license_lines, canonical_sha256 (NULL
-    where the text has no hint word)."""
-    look = known_digests(docs.sparkSession, known)
+    license_ids (distinct, sorted), n_license_lines."""
+    forms = written(known_forms(docs.sparkSession, known), "licence-forms")
+    look = forms.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license_id").alias("license_id"))
+    hinted = forms.filter(~F.col("form").rlike(HINTS)).isEmpty()
+
+    def worth(column: str) -> Column:
+        return F.lower(column).rlike(HINTS) if hinted else F.col(column).isNotNull()
+
     d = docs.select("doc_id", "text", row_key(F.col("text")).alias("rk"))
-    hinted = F.lower("text").rlike(RAW_HINTS)
-    cand = d.filter(hinted)
+    cand = d.filter(worth("text"))
     whole = (cand.select("doc_id", "rk", F.sha2(canonical(F.col("text")), 256).alias("digest"))
              .join(look, "digest").select("doc_id", "rk", F.col("license_id").alias("whole"),
                                           F.lit(None).cast("string").alias("line")))
     line = F.explode(F.split("text", "\n", -1))
-    lines = (cand.select("doc_id", "rk", line.alias("line")).filter(F.lower("line").rlike(RAW_HINTS))
+    lines = (cand.select("doc_id", "rk", line.alias("line")).filter(worth("line"))
              .select("doc_id", "rk", F.sha2(canonical(F.col("line")), 256).alias("digest"))
              .join(look, "digest").select("doc_id", "rk", F.lit(None).cast("string").alias("whole"),
                                           F.col("license_id").alias("line")))
@@ -171,8 +167,9 @@ def _sql_text(s: str) -> str:
 
 
 def _sql_canonical(col: str) -> str:
-    base = (f"trim(regexp_replace(regexp_replace(lower(coalesce({col}, '')), {_sql_text(SQL_COPYRIGHT_LINE)}, ' ', 'g'), "
-            r"'[^\p{L}\p{N}]+', ' ', 'g'))")
+    lines = (f"list_filter(string_split(lower(coalesce({col}, '')), chr(10)), lambda x: "
+             f"NOT regexp_matches(x, {_sql_text(STATEMENT)}) OR regexp_matches(x, {_sql_text(SPOKEN)}))")
+    base = rf"trim(regexp_replace(array_to_string({lines}, ' '), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
     same = "MAP {" + ", ".join(f"{_sql_text(a)}: {_sql_text(b)}" for a, b in SPELLINGS) + "}"
     drop = ", ".join(_sql_text(w) for w in FILLERS)
     return (f"array_to_string(list_filter(list_transform(string_split({base}, ' '), "
@@ -181,16 +178,16 @@ def _sql_canonical(col: str) -> str:
 
 ORACLE = f"""
 WITH known AS (
-  SELECT sha256({_sql_canonical('t')}) AS digest, min(i) AS license_id
-  FROM (VALUES {', '.join(f'({_sql_text(i)}, {_sql_text(t)})' for i, t in KNOWN_LICENSES)}) AS k(i, t) GROUP BY 1
+  SELECT sha256(form) AS digest, min(i) AS license_id FROM (SELECT i, {_sql_canonical('t')} AS form
+  FROM (VALUES {', '.join(f'({_sql_text(i)}, {_sql_text(t)})' for i, t in KNOWN_LICENSES + full_texts())}) AS k(i, t))
+  WHERE form <> '' GROUP BY 1
 ), whole AS (
-  SELECT doc_id, license_id FROM (SELECT doc_id, sha256({_sql_canonical('text')}) AS digest FROM documents
-    WHERE regexp_matches(lower(text), '{SQL_HINTS}')) JOIN known USING (digest)
+  SELECT doc_id, license_id FROM (SELECT doc_id, sha256({_sql_canonical('text')}) AS digest FROM documents)
+  JOIN known USING (digest)
 ), line AS (
   SELECT doc_id, license_id FROM (
     SELECT doc_id, sha256({_sql_canonical('ln')}) AS digest
-    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS ln FROM documents)
-    WHERE regexp_matches(lower(ln), '{SQL_HINTS}')) JOIN known USING (digest)
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS ln FROM documents)) JOIN known USING (digest)
 ), ids AS (
   SELECT doc_id, string_agg(license_id, ',' ORDER BY license_id) AS s
   FROM (SELECT * FROM whole UNION SELECT * FROM line) GROUP BY doc_id
