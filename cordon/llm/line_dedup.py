@@ -16,8 +16,9 @@ No passage is lost: a removed line is covered by a window that also occurs at
 an earlier place, and that order is well founded.
 
 Defined cases: a null text stays null (no lines); texts of fewer than three
-lines have no window of three and stay as they are without ``passages``; windows of three blank lines are no
-evidence and are never counted; rows that repeat doc_id and text are one
+lines have no window of three and stay as they are without ``passages``; windows of three blank lines
+(white space only, carriage returns and tabs included) are no evidence and are
+never counted; rows that repeat doc_id and text are one
 occurrence, so all of them get the same result; rows that repeat a doc_id with
 another text are told apart by a hash of the text; an empty table gives an
 empty table; further columns pass through.  A document whose lines all go
@@ -36,6 +37,10 @@ WINDOW_LINES = 3
 PASSAGE_WORDS = 50
 
 
+#: White space; a line of nothing else is blank.
+SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
 def _lines(col):
     return F.split(F.coalesce(col, F.lit("")), "\n", -1)
 
@@ -48,7 +53,7 @@ def line_windows(docs: DataFrame, text: str = "text", key: str = "doc_id", passa
         "doc", "rk",
         F.transform("ls", lambda x: F.xxhash64(x)).alias("a"),
         F.transform("ls", lambda x: F.xxhash64(F.lit("second"), x)).alias("b"),
-        F.transform("ls", lambda x: F.trim(x) != "").alias("full"),
+        F.transform("ls", lambda x: F.translate(x, SPACE, "") != "").alias("full"),
         *([F.transform("ls", lambda x: F.size(F.filter(F.split(x, r"\s+"), lambda v: v != ""))).alias("words")]
           if passages else []))
 
@@ -103,13 +108,13 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", passag
                     F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 
-ORACLE = """
+ORACLE = r"""
 WITH l AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
 ), w AS (
   SELECT doc_id, p AS pos, ls[p:p+2] AS win
   FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls) - 2)) AS p FROM l WHERE len(ls) >= 3)
-  WHERE trim(ls[p]) <> '' OR trim(ls[p+1]) <> '' OR trim(ls[p+2]) <> ''
+  WHERE regexp_matches(ls[p] || ls[p+1] || ls[p+2], '[^\x20\x09-\x0D]')
 ), later AS (
   SELECT doc_id, pos FROM w
   QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) > 1
