@@ -24,15 +24,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cordon.llm import textbytes as tb
 from cordon.llm.common import map_arrow
-from cordon.llm.tokens import token_ids
+from cordon.llm.tokens import largest_id, token_ids
 
 CONTEXT = 2048
 END_ID = 50256
 BUFFER_TOKENS = 2_000_000
-VOCABULARY_SIZE = 50_257
 SCHEMA = ("sequence_id long, n_tokens int, ids binary, cu_seqlens array<int>, position_resets array<int>, "
           "segment_doc_ids array<long>, segment_starts array<long>")
 
@@ -90,9 +90,10 @@ def id_type(vocabulary_size: int) -> str:
 
 
 def pack_token_ids(docs: DataFrame, context: int = CONTEXT, end_id: int = END_ID, vocabulary: str | None = None,
-                   vocabulary_size: int = VOCABULARY_SIZE, buffer_tokens: int = BUFFER_TOKENS) -> DataFrame:
-    """The matrix rows of ``docs`` (schema ``SCHEMA``); padding repeats the end id."""
-    kind = id_type(vocabulary_size)
+                   buffer_tokens: int = BUFFER_TOKENS) -> DataFrame:
+    """The matrix rows of ``docs`` (schema ``SCHEMA``); padding repeats the end
+    id.  The width of an id follows the largest id of the vocabulary and ``end_id``."""
+    kind = id_type(max(largest_id(vocabulary), end_id) + 1)
     arrow = pa.schema([("sequence_id", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.binary()),
                        ("cu_seqlens", pa.list_(pa.int32())), ("position_resets", pa.list_(pa.int32())),
                        ("segment_doc_ids", pa.list_(pa.int64())), ("segment_starts", pa.list_(pa.int64()))])
@@ -137,7 +138,14 @@ def pack_token_ids(docs: DataFrame, context: int = CONTEXT, end_id: int = END_ID
     return map_arrow(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), run, SCHEMA)
 
 
-def write_matrices(rows: DataFrame, path: str) -> None:
-    """Write matrix rows as Parquet (their bytes are read back with
-    ``numpy.frombuffer(ids, id_type(vocabulary_size))``)."""
-    rows.write.mode("overwrite").parquet(path)
+def write_matrices(rows: DataFrame, path: str, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
+    """Write matrix rows as Parquet with the type of an id (``id_type``, for
+    ``numpy.frombuffer``) in every row; returns the written table."""
+    kind = id_type(max(largest_id(vocabulary), end_id) + 1)
+    rows.withColumn("id_type", F.lit(kind)).write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def read_matrix(ids: bytes, kind: str) -> np.ndarray:
+    """The ids of one row."""
+    return np.frombuffer(ids, kind)

@@ -60,3 +60,8 @@ def token_ids(path: str | None = None) -> TokenIds:
         else:
             _OPEN[key] = TokenIds(path)
     return _OPEN[key]
+
+
+def largest_id(path: str | None = None) -> int:
+    """The largest id of a vocabulary file, added tokens included."""
+    return max(token_ids(path)._tokenizer.get_vocab(with_added_tokens=True).values())

@@ -63,6 +63,12 @@ def brute_lines(docs):
     return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone.get(d, ())) for d, t in docs}
 
 
+def test_line_dedup_keeps_blank_lines_of_any_space(spark):
+    rows = [(1, "a\r\n\r\n\r\n\r\nb\r"), (2, "c\r\n\r\n\r\n\r\nd\r"), (3, "e\n\t\n \n\x0b\nf"), (4, "g\n\t\n \n\x0b\nh")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == rows and all(r.n_removed == 0 for r in got)
+
+
 def test_line_dedup_brute_force(spark):
     rng = np.random.default_rng(5)
     docs = [(i, "\n".join(rng.choice(list("abc ")) for _ in range(rng.integers(1, 12)))) for i in range(60)]
@@ -155,6 +161,9 @@ def test_exact_dedup(spark, odd, none, tmp_dir):
     empty = [r for r in got if r.group_size == 3]
     assert {r.doc_id for r in empty} == {1, 2, None} and {r.keep_id for r in empty} == {2}
     assert sum(r.group_size == 2 for r in got) == 4 and len(by) == len(ROWS) - 1
+    # of every text one row stays, of repeated rows too
+    assert sum(r.kept for r in got) == len({r.text_sha256 for r in got})
+    assert [r.kept for r in got if r.doc_id == 8].count(True) == 1 and not any(r.kept for r in empty if r.doc_id is None)
     assert exact_dedup.exact_dedup(spark, f"{tmp_dir}/n.parquet").count() == 0
 
 
@@ -163,21 +172,23 @@ def test_exact_dedup_goes_on_from_its_state(spark, tmp_dir):
     spark.createDataFrame([(1, "x"), (2, "y")], "doc_id long, text string").coalesce(1).write.parquet(path)
     assert exact_dedup.stream_state(spark, path, ck).count() == 2
     spark.createDataFrame([(5, "x")], "doc_id long, text string").coalesce(1).write.mode("append").parquet(path)
-    got = {(r.keep_id, r.n, r.locator) for r in exact_dedup.stream_state(spark, path, ck).collect()}
-    assert got == {(5, 2, 1), (2, 1, 2)}
+    place = {r.doc_id: r.place for r in exact_dedup._keyed(spark.read.parquet(path)).collect()}
+    got = {(r.keep_id, r.keep_place, r.n) for r in exact_dedup.stream_state(spark, path, ck).collect()}
+    assert got == {(5, place[5], 2), (2, place[2], 1)}
+    assert {r.locator for r in exact_dedup.stream_state(spark, path, ck).collect()} == {min(place[1], place[5]), place[2]}
 
 
-def test_exact_dedup_compares_bytes(spark):
-    docs = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "doc_id long, text string")
-    state = exact_dedup._keyed(docs).groupBy("text_sha256").agg(F.count("*").alias("n"))
-    assert exact_dedup.collided(docs, state).count() == 0
+def test_exact_dedup_splits_collisions(spark, tmp_dir, monkeypatch):
+    """A digest under which different texts meet: each text is its own group."""
+    path = f"{tmp_dir}/odd [name]"
+    rows = [(1, "x"), (2, "x"), (3, "y"), (None, "y"), (None, "z"), (None, "z"), (7, "x"), (7, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
     original = exact_dedup._keyed
-    try:  # a digest under which all texts collide
-        exact_dedup._keyed = lambda d: d.select("doc_id", "text", F.lit("0").alias("text_sha256"))
-        state = spark.createDataFrame([("0", 3)], "text_sha256 string, n long")
-        assert exact_dedup.collided(docs, state).count() == 1
-    finally:
-        exact_dedup._keyed = original
+    monkeypatch.setattr(exact_dedup, "_keyed", lambda d: original(d).withColumn("text_sha256", F.lit("same")))
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(spark, path).collect()), key=repr)
+    one = {(1, 7, 4, False), (2, 7, 4, False), (7, 7, 4, True), (7, 7, 4, False), (3, 3, 2, True), (None, 3, 2, False),
+           (None, None, 2, True), (None, None, 2, False)}
+    assert got == sorted(one, key=repr)
 
 
 def test_license_scan(spark, odd, none):
@@ -208,6 +219,34 @@ def test_license_scan_spellings_of_hint_words(spark):
     assert {r.doc_id: (r.whole_text_license, r.license_ids) for r in got} == want
 
 
+def test_license_scan_equals_its_twin_on_every_rule(spark, tmp_dir):
+    """Copyright lines and prose, spellings, punctuation, full texts in pieces; both definitions on the same rows."""
+    import duckdb
+    texts = ["Released under the MIT Licence.", "distributed under CC0 1.0", "Licensed under the Apache License, ver 2.0!",
+             "Copyright (c) 2020 A\nLicensed under CC BY 4.0.", "(c) you\nLicensed under CC BY 4.0.", "copyright\nspdx",
+             "// Copyright 2021 B. Person\n# SPDX-License-Identifier: MPL-2.0", "© 2022\nThis program is licensed under the MIT license",
+             "Copyright notice\nLicensed under CC BY 4.0.", "copyright, all\nLicensed under CC BY 4.0.", "CC BY 4.0", "", None,
+             "all rights reserved\r\nReleased under the ISC License.\r", "work is licensed under CC0 1.0", license_scan.MIT,
+             license_scan.MIT.upper().replace("LICENSE", "LICENCE"), "licensed under cc by-noncommercial 4.0", " Copyrighted\nx"]
+    texts += [t for _, t in license_scan.full_texts()] + [t.replace("\n", "\r\n") for _, t in license_scan.full_texts()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_dir}/d")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_dir}/d/*.parquet')")
+    want = {r[0]: tuple(r[1:]) for r in con.execute(license_scan.ORACLE).fetchall()}
+    got = {r[0]: tuple(r)[1:] for r in license_scan.scan_licenses(docs).select(
+        "doc_id", "whole_text_license", "license_ids", "n_license_lines").collect()}
+    assert got == want
+    assert got[3][0] == "CC-BY-4.0" and got[4][0] is None and got[6][0] == "MPL-2.0" and got[14][0] is None and got[0][0] == "MIT"
+
+
+def test_license_scan_takes_texts_without_hint_words(spark):
+    known = spark.createDataFrame([("WTF", "Do what you want to.")], "license_id string, text string")
+    docs = spark.createDataFrame([(1, "DO WHAT you want to"), (2, "x\ndo what you want to!"), (3, "other")], "doc_id long, text string")
+    got = {r.doc_id: (r.whole_text_license, r.n_license_lines) for r in license_scan.scan_licenses(docs, known).collect()}
+    assert got == {1: ("WTF", 1), 2: (None, 1), 3: (None, 0)}
+
+
 def test_license_scan_full_texts(spark):
     """Full licences, in other line wraps, with a copyright statement and no heading."""
     import re
@@ -320,13 +359,28 @@ def test_code_lengths_equal_brute_force(spark):
     docs = spark.createDataFrame([(x, t) for x, ts in train.items() for t in ts], "lang string, text string")
     got = langid.gram_counts(docs).toPandas()
     model = langid.ContextTrees(["aa", "bb"], got.lang.map({"aa": 0, "bb": 1}).to_numpy(), got.gram.to_numpy(),
-                                got.n.to_numpy(), 10_000)
+                                got.n.to_numpy())
     texts = ["abra", "bonñ nobody", "zzz q", "", "cab\nñ😀"]
     bits = model.code_lengths(pa.array(texts))
     want = [[brute_bits(train[x], t) for x in ("aa", "bb")] for t in texts]
     assert np.allclose(bits, want, atol=1e-3)
 
 
+def test_trees_of_a_hundred_languages_are_whole_and_small():
+    """Every context that a language has seen is kept, also of the smallest one."""
+    rng = np.random.default_rng(1)
+    langs, lang, gram, n = [f"l{i:03}" for i in range(100)], [], [], []
+    for i in range(100):
+        letters = rng.integers(97, 123, 4000 if i else 30)
+        g = sum(letters[k:len(letters) - 3 + k].astype(np.int64) << (8 * (3 - k)) for k in range(4))
+        g, c = np.unique(g, return_counts=True)
+        lang, gram, n = [*lang, np.full(len(g), i)], [*gram, g], [*n, c]
+    model = langid.ContextTrees(langs, *map(np.concatenate, (lang, gram, n)))
+    assert len(model.coded[3].cost) == sum(map(len, gram)) and model.nbytes < 60e6
+    small = (model.escaped[3].lang == 0).sum()
+    assert small == len(np.unique(gram[0] >> 8))
+
+
 def brute_classes(docs):
     import re
     sets = {}
@@ -433,6 +487,44 @@ def test_packing_and_matrices(odd, none):
     assert token_binary.pack_token_ids(none).count() == 0
 
 
+def test_matrices_follow_the_vocabulary(spark, tmp_dir):
+    """Width of the ids by the vocabulary's largest id; written and read back."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    big = {f"w{i}": i for i in range(70_000)}
+    t = Tokenizer(models.WordLevel({**big, "?": 70_000}, unk_token="?"))
+    t.pre_tokenizer = pre_tokenizers.Whitespace()
+    t.save(f"{tmp_dir}/big.json")
+    docs = spark.createDataFrame([(1, "w3 w69999 w66000"), (2, None), (3, "zzz")], "doc_id long, text string").coalesce(1)
+    rows = token_binary.pack_token_ids(docs, context=8, end_id=5, vocabulary=f"{tmp_dir}/big.json")
+    (row,) = token_binary.write_matrices(rows, f"{tmp_dir}/m", f"{tmp_dir}/big.json", 5).collect()
+    ids = token_binary.read_matrix(row.ids, row.id_type).tolist()
+    assert row.id_type == "<u4" and sorted(ids) == sorted([3, 69999, 66000, 5, 5, 70_000, 5, 5])
+    small = token_binary.write_matrices(token_binary.pack_token_ids(docs), f"{tmp_dir}/s")
+    assert {r.id_type for r in small.collect()} == {"<u2"} and small.count() == 1
+
+
+def naive_best_fit(lengths, context):
+    rows = []
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        free = [context - sum(lengths[j] for j in r) for r in rows]
+        fit = [f for f in free if f >= lengths[i]]
+        if fit:
+            rows[len(free) - 1 - free[::-1].index(min(fit))].append(i)
+        else:
+            rows.append([i])
+    return rows
+
+
+@given(st.lists(st.integers(1, 16), min_size=1, max_size=40))
+@settings(max_examples=80, deadline=None)
+def test_best_fit_equals_a_naive_one(lengths):
+    got = token_binary.best_fit_decreasing(np.array(lengths), 16)
+    free = sorted(16 - sum(lengths[i] for i in r) for r in got)
+    assert free == sorted(16 - sum(lengths[i] for i in r) for r in naive_best_fit(lengths, 16))
+    assert sorted(i for r in got for i in r) == list(range(len(lengths)))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=120))
 def test_packers_keep_every_piece(lengths):
