@@ -72,6 +72,7 @@ def row_reconciliation(raw: DataFrame, fact: DataFrame, cfg: PipelineConfig) ->
 
 # -- DQ2 -------------------------------------------------------------------------
 
+# The names of the checks.
 def _fk_specs(dims: dict[str, DataFrame]):
     """(check name, fact column, dimension, dimension key)."""
     return [

@@ -19,6 +19,7 @@ row per month.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -97,10 +98,11 @@ class MonthlyFact:
         paths = [f"{self.raw_root}/{RAW_PARTITION}={m}" for m in files]
         return read_raw_trips(self.spark, self.raw_root, self.schema, uniform=True, months=paths)
 
-    def update(self, arrived: list[str]) -> list[str]:
+    def update(self, arrived: list[str], check: Callable[[DataFrame], None] = lambda rebuilt: None) -> list[str]:
         """Take the file months ``arrived`` (new or delivered again; one that is
         gone from the store takes its trips with it); returns the pickup months
-        that were rebuilt or removed."""
+        that were rebuilt or removed.  ``check`` gets the rebuilt months before
+        they count; what it raises leaves the state as it was."""
         old = self.state()
         index = {f: own for f, own in old.index.items() if f not in arrived}
         there = [f for f in arrived if self._exists(f)]
@@ -120,6 +122,7 @@ class MonthlyFact:
             rel = FT.denormalise(FT.key_and_derive(FT.dedup(FT.clean(raw, self.cfg))), self.dim_zone)
             write_fact(rel, f"{run}/fact")
             fact = self.spark.read.schema(rel.schema).parquet(f"{run}/fact")
+            check(fact)
             (panel.zone_day(fact.withColumn("_m", F.col(FACT_PARTITION)), self.cfg.card_payment, "_m")
              .withColumnRenamed("_m", FACT_PARTITION).write.partitionBy(FACT_PARTITION).parquet(f"{run}/zone_day"))
             for r in fact.select(FACT_PARTITION).distinct().collect():

@@ -195,3 +195,47 @@ def test_post_period_prunes_the_fact(spark, base):
     want = {r.year_month: r.n for r in wh.fact.filter(F.col("date_key") >= 20001005).filter("pu_is_cbd is not null or true")
             .groupBy("year_month").agg(F.count("*").alias("n")).collect()}
     assert got == want and min(got) == "2000-10"
+
+
+def test_streamed_fact_equals_the_batch_result(spark, tmp_dir):
+    """Late and repeated files over several batches and a restart; a batch that
+    fails its gate changes nothing and is taken once it is in order."""
+    from cordon.operators import quality
+    from cordon.plans.incremental import MonthlyFact
+    from cordon.streaming.fact import stream_fact
+    raw, zones = tpch_raw_trips(spark, SF001), tpch_zone_lookup(spark, SF001)
+    raw = raw.filter("tpep_pickup_datetime >= '2001-05-01'").cache()
+    wh = Warehouse(spark, TPCH_TRIPS, raw, zones, materialize=False)
+    landing, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/ckpt"
+    fact = MonthlyFact(spark, f"{tmp_dir}/store", f"{tmp_dir}/inc", wh.dim_zone, TPCH_TRIPS, raw.schema)
+
+    def land(rows):
+        rows.coalesce(1).write.mode("append").partitionBy("trip_month").parquet(landing)
+
+    def check(seen):
+        want = Warehouse(spark, TPCH_TRIPS, seen, zones, materialize=False).fact
+        got = fact.fact().select(want.columns)
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+    land(raw.filter("trip_month = '2001-07'"))
+    assert [r.late_rows for r in stream_fact(spark, landing, fact, wh.dims, ckpt).collect()] == [0]
+    check(raw.filter("trip_month = '2001-07'"))
+    # a late month, and copies of trips of the first batch with an earlier dropoff
+    earlier = raw.filter("trip_month = '2001-07' and VendorID = 1").withColumn(
+        "tpep_dropoff_datetime", F.col("tpep_pickup_datetime"))
+    land(raw.filter("trip_month = '2001-05'"))
+    land(earlier)
+    got = stream_fact(spark, landing, fact, wh.dims, ckpt, max_files_per_trigger=1).orderBy("batch").collect()
+    assert len(got) == 3 and sum(r.late_rows for r in got) == raw.filter("trip_month = '2001-05'").count()
+    seen = raw.filter("trip_month <> '2001-06'").unionByName(earlier)
+    check(seen)
+    # a batch with a payment code that no dimension has
+    land(raw.filter("trip_month = '2001-06'"))
+    few = dict(wh.dims, payment=wh.dims["payment"].filter("payment_key > 1"))
+    with pytest.raises(Exception, match="orphan_payment"):
+        stream_fact(spark, landing, fact, few, ckpt)
+    check(seen)
+    stream_fact(spark, landing, fact, wh.dims, ckpt)
+    check(seen.unionByName(raw.filter("trip_month = '2001-06'")))
+    assert quality.duplicate_keys(fact.fact()).first().failures == 0
+    assert stream_fact(spark, landing, fact, wh.dims, ckpt).count() == 4
