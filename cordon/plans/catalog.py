@@ -142,6 +142,22 @@ def q_fact_incremental(spark, sf_dir):
     return _doubles(fact.fact())
 
 
+@query("fact_streamed")
+def q_fact_streamed(spark, sf_dir):
+    """The landed months taken as a stream, gated per batch; run twice on one
+    checkpoint (the second run must add nothing)."""
+    from cordon.plans.incremental import MonthlyFact
+    from cordon.streaming.fact import stream_fact
+    wh = _wh(spark, sf_dir)
+    fact = MonthlyFact(spark, _scratch(spark, "stream_store"), _scratch(spark, "fact_streamed"), wh.dim_zone, CFG,
+                       wh.source_raw.schema)
+    ckpt = _scratch(spark, "stream_fact")
+    n = stream_fact(spark, wh.raw_path, fact, wh.dims, ckpt).count()
+    if stream_fact(spark, wh.raw_path, fact, wh.dims, ckpt).count() != n:
+        raise RuntimeError("the stream is not idempotent: files were taken twice")
+    return _doubles(fact.fact())
+
+
 # -- sources -------------------------------------------------------------------------
 
 def _scratch(spark, name):

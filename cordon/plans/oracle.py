@@ -421,7 +421,7 @@ SELECT VendorID, pickup_ts, dropoff_ts, passenger_count, {_doubles('trip_distanc
        PULocationID, DOLocationID, payment_type, {cols}
 FROM (SELECT * EXCLUDE (r), unnest(r) FROM kept)"""
     q["trips_keyed"] = pre + f"SELECT {KEYS}, year_month FROM trips"
-    q["fact_trips"] = q["fact_incremental"] = pre + f"SELECT {KEYS}, pu_is_cbd, year_month FROM fact"
+    q["fact_trips"] = q["fact_incremental"] = q["fact_streamed"] = pre + f"SELECT {KEYS}, pu_is_cbd, year_month FROM fact"
     q["exclusion_counts"] = pre + """
 SELECT count(*) AS raw_rows, count_if(good)::BIGINT AS kept_rows, count_if(NOT good)::BIGINT AS excluded_rows,
        count(*) - count(good) AS excluded_null_rows, count_if(NOT far)::BIGINT AS nonpos_distance,
