@@ -169,7 +169,7 @@ def predict(docs: DataFrame, model: ContextTrees | None) -> DataFrame:
         trees = shared.value
         names = np.array([*trees.langs, "und"], dtype=object)
         for batch in batches:
-            for part in tb.chunks(batch, limit=1 << 20):
+            for part in tb.chunks(batch, limit=1 << 18):
                 bits = trees.code_lengths(part.column("text"))
                 best = bits.argmin(1)
                 weight = np.exp2(-np.minimum(bits - bits.min(1, keepdims=True), 1000.0))
