@@ -35,7 +35,9 @@ contracted into components.  Entries that still span several components are
 compared in blocks of about BLOCK members (of the same or neighbouring size
 classes), whose folded sketches are multiplied as matrices: only pairs of
 different components that sizes and sketches allow leave a block, and are
-verified in the same way.
+verified in the same way.  Similar texts share many entries: a pair is left to a
+smaller shared entry where the LOWEST smallest entries of both texts hold one,
+and the smallest shared entry never leaves it to another.
 So a link between components is never lost, and pairs inside one are not made.
 Verification compares whole sets.
 
@@ -78,6 +80,8 @@ SKETCH_BYTES = 64
 GATHERED = 4_000_000
 #: Members of an entry that are compared at once.
 BLOCK = 256
+#: Smallest entries of a text that it carries, so that a pair leaves one block, not one per shared entry.
+LOWEST = 16
 
 _KIND = tb.class_table(1, space=(0, b" \t\n\x0b\x0c\r"))
 
@@ -469,23 +473,43 @@ def plausible(pairs: DataFrame, size: DataFrame) -> DataFrame:
                      "a long, b long, differ long")
 
 
+def left_to_smaller(entry: int, x: list[list[int]], y: list[list[int]]) -> np.ndarray:
+    """A flag for every pair of rows of ``x`` and ``y`` (the smallest entries of a
+    text each): both hold the same entry below ``entry``."""
+    low = np.array(sorted({e for side in (x, y) for own in side for e in own if e < entry}), np.int64)
+
+    def held(side: list[list[int]]) -> np.ndarray:
+        out = np.zeros((len(side), len(low)), np.float32)
+        row = np.repeat(np.arange(len(side)), [len(own) for own in side])
+        flat = np.array([e for own in side for e in own], np.int64)
+        row, flat = row[flat < entry], flat[flat < entry]
+        out[row, np.searchsorted(low, flat)] = 1
+        return out
+
+    return held(x) @ held(y).T > 0
+
+
 def block_pairs(member: DataFrame, size: DataFrame) -> DataFrame:
     """(a, b): pairs of different components that share an entry of ``member``
     (entry, doc, comp) and that sizes and sketches allow.  The members of an
     entry are one block; of more than BLOCK members, each size class is cut into
     blocks, and blocks of the same and of neighbouring classes meet."""
-    m = member.join(size.select("doc", "lo", "hi", "cls_lo", "cls_hi", "small"), "doc")
+    m = member.join(size.select("doc", "cls_lo", "cls_hi"), "doc")
     m = m.join(member.groupBy("entry").agg(F.count("*").alias("c")), "entry")
     few = F.col("c") <= BLOCK
     m = m.withColumn("cls", F.explode(F.when(few, F.array(F.lit(-1))).otherwise(F.sequence("cls_lo", "cls_hi"))))
     per = m.groupBy("entry", "cls").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
     m = m.join(per, ["entry", "cls"]).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc"), F.col("blocks")).cast("int"))
-    block = written(m.groupBy("entry", "cls", "block").agg(F.collect_list(F.struct("doc", "comp", "lo", "hi", "small")).alias("x")),
-                    "jaccard-blocks")
+    # what is compared joins last: the joins above move ids only
+    lowest = member.groupBy("doc").agg(F.slice(F.sort_array(F.collect_set("entry")), 1, LOWEST).alias("lowest"))
+    compared = written(size.select("doc", "lo", "hi", "small").join(lowest, "doc"), "jaccard-compared")
+    m = m.select("entry", "cls", "block", "doc", "comp").join(compared, "doc")
+    block = written(m.groupBy("entry", "cls", "block")
+                    .agg(F.collect_list(F.struct("doc", "comp", "lo", "hi", "small", "lowest")).alias("x")), "jaccard-blocks")
     many = block.filter("cls >= 0")
     own = many.withColumn("near", F.explode(F.array(F.col("cls"), F.col("cls") + 1)))
     other = many.select("entry", F.col("cls").alias("near"), F.col("block").alias("other"), F.col("x").alias("y"))
-    across = own.join(other, ["entry", "near"]).filter("near > cls or other > block").select("x", "y")
+    across = own.join(other, ["entry", "near"]).filter("near > cls or other > block").select("entry", "x", "y")
     none = F.slice("x", 1, 0)
 
     def bits(rows: list[dict], size: int) -> np.ndarray:
@@ -510,10 +534,15 @@ def block_pairs(member: DataFrame, size: DataFrame) -> DataFrame:
                 known = np.outer([r["small"] is not None for r in x], [r["small"] is not None for r in y])
                 ok &= ~known | sketches_allow(differ, hi[0][:, None], hi[1][None])
                 i, j = np.nonzero(ok)
-                a, b = doc[0][i], doc[1][j]
+                if not len(i):
+                    continue
+                rows, cols = np.unique(i), np.unique(j)
+                later = left_to_smaller(both["entry"], [x[k]["lowest"] for k in rows], [y[k]["lowest"] for k in cols])
+                stay = ~later[np.searchsorted(rows, i), np.searchsorted(cols, j)]
+                a, b = doc[0][i[stay]], doc[1][j[stay]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return map_arrow(block.select("x", none.alias("y")).unionByName(across), run, "a long, b long").distinct()
+    return map_arrow(block.select("entry", "x", none.alias("y")).unionByName(across), run, "a long, b long").distinct()
 
 
 def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
