@@ -128,7 +128,7 @@ def run_build(wh: Warehouse, out_root: str, database: str | None = None,
     after("dimensions")
     fact_path, serving_path = f"{home}/fact_trips", f"{home}/serving/fact_trips"
     observer = quality.FactObserver(wh.dims, wh.cfg)
-    write_fact(wh.fact_plan, fact_path, observer.mark)
+    write_fact(wh.fact_plan, fact_path, observer.mark, wh.raw_rows)
     fact = read_fact(spark, fact_path, wh.fact_plan.schema)
     after("fact")
     loaded = publish_serving(fact, serving_path, ordered=True)

@@ -350,7 +350,7 @@ def q_gate_observed(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     path = _scratch(spark, "fact_observed")
     observer = quality.FactObserver(wh.dims, CFG)
-    write_fact(wh.fact_plan, path, observer.mark)
+    write_fact(wh.fact_plan, path, observer.mark, wh.raw_rows)
     return observer.report(wh.raw, read_fact(spark, path, wh.fact_plan.schema))
 
 

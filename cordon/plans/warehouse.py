@@ -26,10 +26,12 @@ from cordon.operators.broadcast import bounded
 from cordon.operators.zones import classify_zones
 from cordon.plans.scratch import scratch_path
 from cordon.schemas import FACT_PARTITION
-from cordon.sources import tpch_raw_trips, tpch_zone_lookup, write_raw_months
+from cordon.shuffles import shuffles_for
+from cordon.sources import tpch_raw_trips, tpch_trip_count, tpch_zone_lookup, write_raw_months
 
 
-def write_fact(fact: DataFrame, path: str, mark: Callable[[DataFrame], DataFrame] | None = None) -> None:
+def write_fact(fact: DataFrame, path: str, mark: Callable[[DataFrame], DataFrame] | None = None,
+               rows: int | None = None) -> None:
     """Partitioned fact sink (S6): one folder per month.
 
     Rows are range-partitioned on (date, pickup zone, trip key) and sorted
@@ -38,19 +40,21 @@ def write_fact(fact: DataFrame, path: str, mark: Callable[[DataFrame], DataFrame
     Parquet row-group statistics prune date and zone ranges (the study's
     date/zone sort key).  The unique trip key as last range key lets the
     partitioner split even a single (date, zone) holding a large share of
-    all trips across tasks.  The partition count is left to AQE.  ``mark`` is
-    applied to the rows as they are written (an observer)."""
+    all trips across tasks.  ``mark`` is applied to the rows as they are
+    written (an observer).  ``rows``: about how many rows go into ``fact``, for
+    which all its shuffles are planned; AQE joins small partitions."""
     keys = ["date_key", "pu_zone_key", "trip_key"]
     # after de-duplication rows are unique on the natural key; when the trip
     # key is NULL (a NULL key part) these columns still tell rows apart, so
     # even a large group of NULL-key trips can be split between tasks
     ties = ["time_key", "vendor_key", "total_amount", "trip_duration_min", "do_zone_key"]
-    rows = fact.repartitionByRange(*keys, *ties).sortWithinPartitions(*keys)
-    ((mark(rows) if mark else rows)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(FACT_PARTITION)
-        .parquet(path))
+    laid = fact.repartitionByRange(*keys, *ties).sortWithinPartitions(*keys)
+    with shuffles_for(fact.sparkSession, rows):
+        ((mark(laid) if mark else laid)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(FACT_PARTITION)
+            .parquet(path))
 
 
 def read_fact(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -74,6 +78,8 @@ class Warehouse:
     materialize: bool = True
     # land the raw rows as files first; off when they already are files
     land_raw: bool = True
+    # about how many rows ``source_raw`` has, for the shuffles that land them
+    source_rows: Callable[[], int] | None = None
     _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
 
     @cached_property
@@ -81,7 +87,7 @@ class Warehouse:
         if not (self.materialize and self.land_raw):
             return None
         path = scratch_path(self.spark, "raw_trips")
-        write_raw_months(self.source_raw, path, conform=False)
+        write_raw_months(self.source_raw, path, conform=False, rows=self.source_rows() if self.source_rows else None)
         return path
 
     @property
@@ -92,6 +98,11 @@ class Warehouse:
             path = self.raw_path
         return self.spark.read.schema(self.source_raw.schema).parquet(path)
 
+    @cached_property
+    def raw_rows(self) -> int:
+        """Rows of the raw files, from their footers."""
+        return self.raw.count()
+
     # -- zone reference and dimensions --------------------------------------
     @cached_property
     def zone_ref(self) -> DataFrame:
@@ -150,7 +161,7 @@ class Warehouse:
         if not self.materialize:
             return None
         path = scratch_path(self.spark, "fact_trips")
-        write_fact(self.fact_plan, path)
+        write_fact(self.fact_plan, path, rows=self.raw_rows)
         return path
 
     @property
@@ -211,6 +222,7 @@ def tpch_warehouse(spark: SparkSession, sf_dir: str,
         wh = _CACHE.get(key)
         if wh is None:
             wh = Warehouse(spark, cfg, tpch_raw_trips(spark, sf_dir),
-                           tpch_zone_lookup(spark, sf_dir), **kw)
+                           tpch_zone_lookup(spark, sf_dir),
+                           source_rows=lambda: tpch_trip_count(spark, sf_dir), **kw)
             _CACHE[key] = wh
     return wh

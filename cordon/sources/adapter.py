@@ -110,6 +110,11 @@ def tpch_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw
 
 
+def tpch_trip_count(spark: SparkSession, sf_dir: str) -> int:
+    """About the rows of ``tpch_raw_trips``: the line items, from the footers."""
+    return _t(spark, sf_dir, "lineitem").count()
+
+
 def tpch_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup: one zone per nation, borough = region name."""
     n = _t(spark, sf_dir, "nation")

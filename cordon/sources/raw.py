@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cordon.schemas import RAW_PARTITION, RAW_TRIPS, RAW_TRIPS_PARTITIONED, ZONE_LOOKUP
+from cordon.shuffles import shuffles_for
 
 
 def conform_read(df: DataFrame, schema) -> DataFrame:
@@ -82,10 +83,11 @@ RANGE_KEYS = (RAW_PARTITION, "tpep_pickup_datetime", "PULocationID", "total_amou
 
 
 def write_raw_months(raw: DataFrame, root: str, mode: str = "overwrite",
-                     conform: bool = True, layout: str = "range") -> None:
+                     conform: bool = True, layout: str = "range", rows: int | None = None) -> None:
     """Land raw rows as ``trip_month=`` folders, by default in the declared
     types; dynamic partition overwrite replaces only the months present in
-    ``raw``.
+    ``raw``.  ``rows``: about how many rows there are, for which the shuffles
+    of ``raw`` and of the layout are planned.
 
     ``range``: range-partition on month and splitting keys - each task writes
     a contiguous slice of one or two months, and a month holding a large
@@ -102,11 +104,12 @@ def write_raw_months(raw: DataFrame, root: str, mode: str = "overwrite",
         rel = rel.sortWithinPartitions(RAW_PARTITION)
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    (rel
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(RAW_PARTITION)
-        .parquet(root))
+    with shuffles_for(raw.sparkSession, rows):
+        (rel
+            .write.mode(mode)
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(RAW_PARTITION)
+            .parquet(root))
 
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
