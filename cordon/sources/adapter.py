@@ -50,10 +50,12 @@ def tpch_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     # always a sort-merge join on the order key - never a broadcast of a side
     # that grows with the data.  Supplier and customer are left to the
     # planner: broadcast only while their measured size is under the
-    # broadcast threshold, otherwise shuffle joins.
-    j = (li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey, "left")
-           .join(supp, li.l_suppkey == supp.s_suppkey, "left")
-           .join(cust, orders.o_custkey == cust.c_custkey, "left"))
+    # broadcast threshold, otherwise shuffle joins.  The customer joins the
+    # order, so a shuffle for it moves orders and not line items.
+    placed = orders.join(cust, orders.o_custkey == cust.c_custkey, "left").select(
+        "o_orderkey", "o_orderdate", "c_nationkey")
+    j = (li.join(placed.hint("merge"), li.l_orderkey == placed.o_orderkey, "left")
+           .join(supp, li.l_suppkey == supp.s_suppkey, "left"))
 
     ln4 = F.col("l_linenumber") % 4
     vendor = (F.when(ln4 == 0, 1).when(ln4 == 1, 2).when(ln4 == 2, 6).otherwise(7)).cast("bigint")
