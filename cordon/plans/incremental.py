@@ -33,6 +33,7 @@ from cordon.operators import fact as FT
 from cordon.operators import panel
 from cordon.plans.warehouse import write_fact
 from cordon.schemas import FACT_PARTITION, RAW_PARTITION, RAW_TRIPS
+from cordon.shuffles import shuffles_for
 from cordon.sources.raw import read_raw_trips
 
 INDEX = f"{RAW_PARTITION} string, {FACT_PARTITION} string, rows long"
@@ -120,9 +121,11 @@ class MonthlyFact:
             run = f"{self.root}/runs/{uuid.uuid4().hex}"
             raw = self._raw(files).filter(month_label(FT.PICKUP).isin(stale))
             rel = FT.denormalise(FT.key_and_derive(FT.dedup(FT.clean(raw, self.cfg))), self.dim_zone)
-            write_fact(rel, f"{run}/fact")
+            rows = sum(n for f in files for p, n in index[f].items() if p in stale)
+            write_fact(rel, f"{run}/fact", rows=rows)
             fact = self.spark.read.schema(rel.schema).parquet(f"{run}/fact")
-            check(fact)
+            with shuffles_for(self.spark, rows):
+                check(fact)
             (panel.zone_day(fact.withColumn("_m", F.col(FACT_PARTITION)), self.cfg.card_payment, "_m")
              .withColumnRenamed("_m", FACT_PARTITION).write.partitionBy(FACT_PARTITION).parquet(f"{run}/zone_day"))
             for r in fact.select(FACT_PARTITION).distinct().collect():
