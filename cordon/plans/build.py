@@ -24,6 +24,7 @@ from cordon.operators import quality, serving
 from cordon.plans.publish import Part, Publication
 from cordon.plans.warehouse import Warehouse, read_fact, write_fact
 from cordon.schemas import FACT_PARTITION, SERVING_DIMS, SERVING_FACT
+from cordon.shuffles import shuffles_for
 
 
 @dataclass
@@ -45,18 +46,20 @@ def _contract_struct(contract) -> T.StructType:
     return T.StructType.fromDDL(contract_schema(contract))
 
 
-def publish_serving(fact: DataFrame, path: str, ordered: bool = False) -> DataFrame:
+def publish_serving(fact: DataFrame, path: str, ordered: bool = False, rows: int | None = None) -> DataFrame:
     """Typed serving copy of the fact, laid out like the serving table's sort
     key: a folder per month, rows sorted by (date, pickup zone) inside, so a date
     range reads few folders and row groups.  A fact that ``write_fact`` wrote is
     ``ordered`` already: its files are date ranges, so every task sorts what it
-    reads and no row is shuffled; otherwise rows are range-partitioned first.
+    reads and no row is shuffled; otherwise rows are range-partitioned first,
+    into partitions for about ``rows`` rows.
     The month is a folder only; the contract's columns are read back."""
     typed = serving.to_serving(fact, extra=(FACT_PARTITION,))
     keys = ["date_key", "pu_zone_key"]
-    rows = typed if ordered else typed.repartitionByRange(*keys, "trip_key")
+    laid = typed if ordered else typed.repartitionByRange(*keys, "trip_key")
     order = [FACT_PARTITION, *keys] if ordered else keys
-    rows.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path)
+    with shuffles_for(fact.sparkSession, rows):
+        laid.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path)
     schema = contract_schema(SERVING_FACT) + f", {FACT_PARTITION} string"
     return fact.sparkSession.read.schema(schema).parquet(path).drop(FACT_PARTITION)
 

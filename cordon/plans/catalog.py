@@ -369,7 +369,7 @@ def q_serving(spark, sf_dir):
     from cordon.plans.build import publish_serving
     wh = _wh(spark, sf_dir)
     path = _scratch(spark, "serving_fact")
-    return publish_serving(wh.fact, path)
+    return publish_serving(wh.fact, path, rows=wh.raw_rows)
 
 
 @query("serving_dim_zone")
