@@ -16,10 +16,12 @@ token labels and generalises them by its other features.
 
 Fitting takes a bounded sample of labelled rows (``cap`` per label value) in one
 task, with features hashed into 2**BITS weights; both bounds are parameters and
-do not grow with the corpus.  Scoring streams over all rows, in chunks of
-bounded bytes, and shuffles nothing.  The recurrences of forward-backward run
-over many lanes of the token stream at once; a first pass multiplies each
-lane's matrices, so the result is exact whatever the lane borders.
+do not grow with the corpus.  Rows are independent chains, so the fit goes over
+the sample in chunks of bounded bytes and holds only 48 bytes of hashes a token,
+later 24 of feature numbers.  Scoring streams over all rows, in such chunks too,
+and shuffles nothing.  The recurrences of forward-backward run over many lanes
+of the token stream at once; a first pass multiplies each lane's matrices, so
+the result is exact whatever the lane borders.
 
 Defined cases: texts without tokens (null, empty, only signs) have score 0 and
 no spans; without labelled rows of both kinds every score is 0; rows that
@@ -30,6 +32,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -49,6 +52,7 @@ THRESHOLD = 0.5
 BEGINNINGS = (4, 5, 6)
 FLOOR = 0.2
 LANES = 1024
+SLICE_TOKENS = 1 << 17
 
 _KIND = tb.class_table(0, word=(1, bytes([*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])))
 
@@ -69,6 +73,22 @@ def token_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.array(own, np.uint64).reshape(len(own), -1), row, start, end
 
 
+def sample_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[tuple[slice, slice]]]:
+    """(features x tokens hashes, row) of all texts, and the chunks of whole
+    rows that they were made in, as slices of the tokens and of the rows."""
+    chunks = [c.column("text") for c in tb.chunks(pa.RecordBatch.from_arrays([texts], ["text"]))]
+    ends = [0]
+    for data, at in map(tb.text_bytes, chunks):
+        ends.append(ends[-1] + len(tb.tokens(_KIND[data], at)[0]))
+    row_ends = np.cumsum([0, *map(len, chunks)]).tolist()
+    parts = [(slice(*t), slice(*r)) for t, r in zip(pairwise(ends), pairwise(row_ends))]
+    hashes, row = np.empty((3 + len(BEGINNINGS), ends[-1]), np.uint64), np.empty(ends[-1], np.int32)
+    for chunk, (own, rows) in zip(chunks, parts):
+        hashes[:, own], row[own] = token_features(chunk)[:2]
+        row[own] += rows.start
+    return hashes, row, parts
+
+
 def _index(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
@@ -140,18 +160,23 @@ def marginals(emission: np.ndarray, row: np.ndarray, trans: np.ndarray, begin: n
 
 def _evidence(hashes: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Which tokens count as labelled toxic (word and beginnings of the first
-    rows of ``hashes``; ``toxic`` by row)."""
+    rows of ``hashes``; ``toxic`` by row).  Values are taken in slices by their
+    top bits, each with all its tokens, so that sorting needs little memory."""
     base = max(toxic.mean(), 1e-6)
     mark = np.zeros(len(row), bool)
-    for h in hashes[:1 + len(BEGINNINGS)]:
-        values, code = np.unique(h, return_inverse=True)
-        # one vote per word before it: copies of a document are no new evidence
-        _, one = np.unique(tb.mix(h + np.uint64(7)) ^ hashes[-2], return_index=True)
-        hits = np.bincount(code[one], toxic[row[one]], minlength=len(values))
-        df = np.maximum(np.bincount(code[one], minlength=len(values)), 1)
-        q = np.clip(hits / df, 1e-9, 1 - 1e-9)
-        gain = hits * np.log(q / base) + (df - hits) * np.log((1 - q) / (1 - base))
-        mark |= ((q > 0.9) & (gain > 14.0))[code]
+    bits = np.uint64(max(1, (len(row) // SLICE_TOKENS).bit_length()))
+    for own in hashes[:1 + len(BEGINNINGS)]:
+        for top in range(1 << int(bits)):
+            at = np.flatnonzero(own >> (np.uint64(64) - bits) == top)
+            h = own[at]
+            values, code = np.unique(h, return_inverse=True)
+            # one vote per word before it: copies of a document are no new evidence
+            _, one = np.unique(tb.mix(h + np.uint64(7)) ^ hashes[-2, at], return_index=True)
+            hits = np.bincount(code[one], toxic[row[at[one]]], minlength=len(values))
+            df = np.maximum(np.bincount(code[one], minlength=len(values)), 1)
+            q = np.clip(hits / df, 1e-9, 1 - 1e-9)
+            gain = hits * np.log(q / base) + (df - hits) * np.log((1 - q) / (1 - base))
+            mark[at] |= ((q > 0.9) & (gain > 14.0))[code]
     return mark & toxic[row].astype(bool)
 
 
@@ -161,14 +186,14 @@ class ToxicityModel:
         self.bias, self.trans, self.begin = -6.0, np.zeros((2, 2)), np.zeros(2)
         self.slope, self.offset = 1.0, 0.0
 
-    def emission(self, hashes: np.ndarray) -> np.ndarray:
-        total = np.full(hashes.shape[1], float(self.bias))
-        for h in hashes:
-            total += self.w[_index(h)]
+    def emission(self, index: np.ndarray) -> np.ndarray:
+        total = np.full(index.shape[1], float(self.bias))
+        for i in index:
+            total += self.w[i]
         return total
 
     def token_probability(self, hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
-        return marginals(self.emission(hashes), row, self.trans, self.begin)
+        return marginals(self.emission(_index(hashes)), row, self.trans, self.begin)
 
     def evidence(self, p: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
         return np.log(0.01 + np.bincount(row, np.where(p >= FLOOR, p, 0.0), minlength=n_rows))
@@ -179,9 +204,12 @@ class ToxicityModel:
         return np.where(has, 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35))), 0.0)
 
     def fit(self, texts: pa.Array, toxic: np.ndarray, shift: float, epochs: int) -> ToxicityModel:
-        hashes, row, _, _ = token_features(texts)
-        gold = _evidence(hashes, row, toxic).astype(np.float64)
-        index = [_index(h) for h in hashes]
+        hashes, row, parts = sample_features(texts)
+        gold = _evidence(hashes, row, toxic)
+        index = np.empty(hashes.shape, np.int32)
+        for own, _ in parts:
+            index[:, own] = _index(hashes[:, own])
+        del hashes
         first = _first_of_row(row)
         link = ~first[1:]
         a, b = gold[:-1][link].astype(int), gold[1:][link].astype(int)
@@ -191,8 +219,13 @@ class ToxicityModel:
         rate, decay = 1.0, 0.002
         for _ in range(epochs):  # Adagrad on the full likelihood
             self.w, self.bias = weight.astype(np.float32), bias
-            p, pair, p_first = marginals(self.emission(hashes), row, self.trans, self.begin, pairs=True)
-            miss = gold - p
+            miss, pair, p_first = np.empty(len(row)), np.zeros((2, 2)), 0.0
+            for own, _ in parts:
+                p, own_pair, own_first = marginals(self.emission(index[:, own]), row[own], self.trans, self.begin,
+                                                   pairs=True)
+                miss[own] = gold[own] - p
+                pair += own_pair
+                p_first += own_first.sum()
             grad = sum(np.bincount(i, miss, minlength=1 << BITS) for i in index) - decay * weight
             g2 += grad * grad
             weight += rate * grad / np.sqrt(g2)
@@ -201,11 +234,14 @@ class ToxicityModel:
             gt = gold_pairs - pair - decay * self.trans
             t2 += gt * gt
             self.trans = self.trans + 0.3 * gt / np.sqrt(t2)
-            gs = (gold[first] - p_first).sum() * np.array([-1.0, 1.0])
+            gs = (gold[first].sum() - p_first) * np.array([-1.0, 1.0])
             s2 += gs * gs
             self.begin = self.begin + 0.3 * gs / np.sqrt(s2)
         self.w, self.bias = weight.astype(np.float32), bias
-        x = self.evidence(self.token_probability(hashes, row), row, len(toxic))
+        x = np.empty(len(toxic))
+        for own, rows in parts:
+            p = marginals(self.emission(index[:, own]), row[own], self.trans, self.begin)
+            x[rows] = self.evidence(p, row[own] - rows.start, rows.stop - rows.start)
         slope, offset = 1.0, 0.0
         for _ in range(200):  # logistic fit of two numbers, with a small ridge
             q = 1.0 / (1.0 + np.exp(-np.clip(slope * x + offset, -35, 35)))

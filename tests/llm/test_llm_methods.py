@@ -1,12 +1,15 @@
 """Learners and packers against plain versions, without Spark."""
 
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cordon.llm import packing, quality
+from cordon.llm import packing, quality, toxicity
+from cordon.llm import textbytes as tb
 
 
 def plain_ftrl(rows, alpha, beta, l1, l2):
@@ -74,3 +77,49 @@ def test_steps_are_balanced(costs, size):
     assert n.max() <= size and n.max() - n.min() <= 1
     total = np.bincount(group, costs)
     assert total.max() - total.min() <= 2 * max(costs)
+
+
+def toxic_sample(n_rows, n_words=150, seed=5):
+    """Texts of made-up words, every third one toxic by a few words of its own."""
+    rng = np.random.default_rng(seed)
+    words = np.array([f"{a}{b}" for a in ("lorem", "tam", "sib", "quor", "ne") for b in range(400)])
+    texts = []
+    for i in range(n_rows):
+        own = list(rng.choice(words, n_words))
+        if i % 3 == 0:
+            own[n_words // 2] = "vilest" + "abc"[i % 2]
+        texts.append(" ".join(own))
+    return pa.array([*texts, None, "", "--"], pa.large_string()), np.array(
+        [float(i % 3 == 0) for i in range(n_rows)] + [0.0] * 3)
+
+
+def test_toxicity_fit_goes_by_chunks(monkeypatch):
+    """Chunks and slices of any size mark the same tokens and give the same model."""
+    texts, toxic = toxic_sample(300)
+    whole = toxicity.ToxicityModel().fit(texts, toxic, 0.5, 4)
+    hashes, row, parts = toxicity.sample_features(texts)
+    marks = toxicity._evidence(hashes, row, toxic)
+    assert len(parts) == 1 and marks.sum() == toxic.sum()
+    chunks = tb.chunks
+    monkeypatch.setattr(tb, "chunks", lambda batch: chunks(batch, limit=3000))
+    monkeypatch.setattr(toxicity, "SLICE_TOKENS", 500)
+    assert len(toxicity.sample_features(texts)[2]) > 50
+    for a, b in zip(toxicity.sample_features(texts)[:2], (hashes, row)):
+        assert (a == b).all()
+    assert (toxicity._evidence(hashes, row, toxic) == marks).all()
+    cut = toxicity.ToxicityModel().fit(texts, toxic, 0.5, 4)
+    assert np.allclose(cut.w, whole.w, atol=1e-5)
+    assert np.allclose([cut.bias, cut.slope, cut.offset, *cut.trans.ravel(), *cut.begin],
+                       [whole.bias, whole.slope, whole.offset, *whole.trans.ravel(), *whole.begin], atol=1e-6)
+
+
+def test_toxicity_fit_needs_little_memory():
+    """At most 120 bytes for each further token (about 300 when all passes held the whole sample)."""
+    peaks = []
+    for n_rows in (2000, 6000):
+        texts, toxic = toxic_sample(n_rows)
+        tracemalloc.start()
+        toxicity.ToxicityModel().fit(texts, toxic, 0.5, 1)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] - peaks[0] < 120 * 4000 * 150
